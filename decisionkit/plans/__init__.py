@@ -6,7 +6,7 @@ from importlib import import_module
 
 from .base import ORACLES, QUERIES, Query
 
-FAMILIES = ["flagship"]
+FAMILIES = ["flagship", "sources", "features", "contracts"]
 
 
 def _load() -> None:

@@ -15,6 +15,7 @@ def local_session(cpus: int | str = 8, app: str = "decisionkit", **extra: str) -
         .config("spark.sql.shuffle.partitions", str(cpus if str(cpus).isdigit() else 8))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
     )
     for key, value in extra.items():

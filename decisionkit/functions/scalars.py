@@ -63,3 +63,9 @@ def row_brier(label: Column, p: Column) -> Column:
 def r6(c: Column) -> Column:
     """Outputs are rounded to six decimals; adding 0.0 turns -0.0 into 0.0."""
     return F.round(c.cast("double"), 6) + F.lit(0.0)
+
+
+def mean_score(p: Column) -> Column:
+    """Mean of six-digit scores, summed in millionths: exact, whatever order the rows are added in."""
+    total = F.sum(F.round(p * 1e6).cast("bigint")).cast("double")
+    return F.round(total / F.count(p) / 1e6, 9)

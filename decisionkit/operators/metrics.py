@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import r6, ratio, ratio_or_zero, row_brier, row_log_loss
+from .ordered import match_keys
+from .quantiles import ordered_distinct
 
 FP_COST, FN_COST = 1.0, 5.0
 METRIC_COLUMNS = [
@@ -108,8 +110,6 @@ def model_report(df: DataFrame, by: Sequence[str], threshold: Column | float = 0
     )
     ranked = ranking_metrics(df, by, label, score)
     if by:
-        from .ordered import match_keys
-
         return match_keys(base, ranked, list(by))
     return base.select(
         "*",
@@ -161,3 +161,59 @@ def threshold_table(
         "tn", "fp", "fn", "tp", "log_loss", "brier",
         *[c.alias(n) for n, c in decision_columns(fp_cost, fn_cost).items()],
     )
+
+
+def value_auc(tidy: DataFrame, by: Sequence[str], value: str = "value", label: str = "y") -> DataFrame:
+    """ROC-AUC of raw values with any number of distinct values: no group is ordered in one task."""
+    cells = ordered_distinct(
+        tidy, by, value, {"pos": (F.col(label) == 1).cast("bigint"), "neg": (F.col(label) != 1).cast("bigint")}
+    )
+    wins = F.sum(F.col("pos").cast("double") * (F.col("neg_before") + F.col("neg") / 2))
+    return cells.groupBy(*by).agg(
+        r6(ratio(wins, F.max("pos_all").cast("double") * F.max("neg_all"))).alias("roc_auc")
+    )
+
+
+def precision_at_prevalence(counts: DataFrame, keep: Sequence[str], prevalences: Sequence[float]) -> DataFrame:
+    """Precision the same recall and specificity would give under other base rates."""
+    rates = F.array(*[F.lit(float(p)) for p in prevalences])
+    recall = ratio(F.col("tp"), F.col("tp") + F.col("fn"))
+    specificity = ratio(F.col("tn"), F.col("tn") + F.col("fp"))
+    rows = counts.withColumn("prevalence", F.explode(rates))
+    hit, false = recall * F.col("prevalence"), (1 - specificity) * (1 - F.col("prevalence"))
+    return rows.select(*keep, "prevalence", r6(ratio_or_zero(hit, hit + false)).alias("precision"))
+
+
+def base_rates(df: DataFrame, by: Sequence[str], label: str = "y") -> DataFrame:
+    """Prevalence and the accuracy of always answering with the majority."""
+    rate = F.avg(label)
+    return df.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("rows"), r6(rate).alias("prevalence"), r6(F.greatest(rate, 1 - rate)).alias("majority_accuracy")
+    )
+
+
+def paired_differences(per_fold: DataFrame, baseline: str, metrics: Sequence[str], model: str = "model", fold: str = "fold") -> DataFrame:
+    """Per model and metric: the mean over folds of (model - baseline) on the same fold."""
+    base = per_fold.filter(F.col(model) == baseline).select(fold, *[F.col(m).alias(f"_base_{m}") for m in metrics])
+    both = per_fold.filter(F.col(model) != baseline).join(base, fold)
+    tidy = both.select(model, fold, *[(F.col(m) - F.col(f"_base_{m}")).alias(m) for m in metrics]).unpivot(
+        [model, fold], list(metrics), "metric", "value"
+    )
+    return tidy
+
+
+def best_models(report: DataFrame, lower: Sequence[str], higher: Sequence[str], model: str = "model") -> DataFrame:
+    """The winning model per metric; equal values go to the first name."""
+    lines = []
+    for m in [*lower, *higher]:
+        key = F.col(m) if m in lower else -F.col(m)
+        best = F.min(F.struct(key.alias("key"), F.col(model).alias("model"), F.col(m).alias("value")))
+        lines.append(best.alias(f"_w_{m}"))
+    one = report.agg(*lines)
+    rows = F.array(
+        *[
+            F.struct(F.lit(m).alias("metric"), F.col(f"_w_{m}.model").alias("best"), F.col(f"_w_{m}.value").alias("value"))
+            for m in [*lower, *higher]
+        ]
+    )
+    return one.select(F.inline(rows))

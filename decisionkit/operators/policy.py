@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .metrics import FP_COST, score_counts
+from ..functions.scalars import r6, ratio
+from .metrics import FN_COST, FP_COST, confusion, decision_metrics, score_counts
 from .ordered import ordered_state
 
 
@@ -69,3 +70,63 @@ def tie_bucket(df: DataFrame, key: str, buckets: int = 1024) -> Column:
     high = df.agg(F.max(key)).scalar()
     width = F.greatest(F.ceil((high - low + 1) / F.lit(float(buckets))), F.lit(1))
     return F.floor((F.col(key) - low) / width)
+
+
+def top_k_metrics(flagged: DataFrame, label: str = "y") -> DataFrame:
+    """precision@k, recall@k, lift@k of exactly the taken rows; recall is NULL without positives."""
+    taken, pos = F.col("taken"), F.col(label) == 1
+    counts = flagged.agg(
+        F.count_if(taken).alias("k"),
+        F.count_if(taken & pos).alias("hits"),
+        F.count_if(pos).alias("positives"),
+        F.count(F.lit(1)).alias("_n"),
+    )
+    precision = ratio(F.col("hits"), F.col("k"))
+    return counts.select(
+        "k",
+        "hits",
+        r6(precision).alias("precision_at_k"),
+        r6(ratio(F.col("hits"), F.col("positives"))).alias("recall_at_k"),
+        r6(precision / ratio(F.nullif(F.col("positives"), F.lit(0)), F.col("_n"))).alias("lift_at_k"),
+    )
+
+
+def capacity_policy(flagged: DataFrame, label: str = "y", fp_cost: float = FP_COST, fn_cost: float = FN_COST) -> DataFrame:
+    """Confusion counts and metrics when exactly the taken rows are called."""
+    scored = flagged.withColumn("_call", F.col("taken").cast("int"))
+    return decision_metrics(confusion(scored, [], 1, label, "_call"), fp_cost=fp_cost, fn_cost=fn_cost)
+
+
+def gain_table(df: DataFrame, by: Sequence[str], parts: int = 10, benefit: float = 5.0, call_cost: float = 1.0,
+               label: str = "y", score: str = "p") -> DataFrame:
+    """Cumulative gain, lift, profit and workload per score part.
+
+    Rows with the same score stay together, in the part where their score begins.
+    """
+    cells = score_cells(df, by, label, score)
+    whole = Window.partitionBy(*by)
+    placed = cells.select(
+        *by,
+        "n",
+        "pos",
+        (F.floor(F.col("n_above") * parts / F.sum("n").over(whole)) + 1).cast("int").alias("part"),
+    )
+    table = placed.groupBy(*by, "part").agg(F.sum("n").alias("n"), F.sum("pos").alias("positives"))
+    upto = whole.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = table.select(
+        *by, "part", "n", "positives",
+        F.sum("n").over(upto).alias("workload"),
+        F.sum("positives").over(upto).alias("captured"),
+        F.sum("n").over(whole).alias("_n"),
+        F.sum("positives").over(whole).alias("_pos"),
+    )
+    gain = ratio(F.col("captured"), F.col("_pos"))
+    spent = F.col("workload") * call_cost
+    profit = F.col("captured") * benefit - spent
+    return sums.select(
+        *by, "part", "n", "positives", "workload", "captured",
+        r6(gain).alias("gain"),
+        r6(gain / ratio(F.col("workload"), F.col("_n"))).alias("lift"),
+        profit.cast("double").alias("profit"),
+        r6(ratio(profit, spent)).alias("roi"),
+    )

@@ -126,3 +126,7 @@ def sweep_sql(source: str, by: str = "") -> str:
     key = f"{by}, " if by else ""
     return f"""SELECT {key}threshold, tn, fp, fn, tp, log_loss, brier, {decision_sql()} FROM (
   {SWEEP_COUNTS}{', ' + by if by else ''} FROM {source}, range(5, 81) AS t(i) GROUP BY {key}i) AS c"""
+
+
+def mean_p(p: str = "p") -> str:
+    return f"round(CAST(sum(CAST(round({p} * 1000000.0) AS BIGINT)) AS DOUBLE) / count({p}) / 1000000.0, 9)"

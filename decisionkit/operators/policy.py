@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import r6, ratio
+from ..session import staged
 from .metrics import FN_COST, FP_COST, confusion, decision_metrics, score_counts
 from .ordered import ordered_state
 
@@ -47,6 +48,7 @@ def top_k_flags(df: DataFrame, k: Column, key: str, label: str = "y", score: str
     Scores are collapsed to (score, count); every score that fits whole is taken, and only the rows of
     the one score at the cut are ordered, so the ordered part is the tie group, read with a top-k limit.
     """
+    df = staged(df, "scores")
     cells = score_cells(df, [], label, score).withColumn("_k", k.cast("bigint"))
     cut = cells.filter((F.col("n_above") < F.col("_k")) & (F.col("n_above") + F.col("n") >= F.col("_k")))
     cut_score = cut.select(F.max("p")).scalar()

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import mean_score
 from ..operators.scoring import score
 from ..operators.splits import split_summary, stratified_split
+from ..session import scratch_path
 from ..sources import catalog, files
 from ..sources.frames import contacts, read_table
 from .base import CONTACTS, SCORED, SPLITS, mean_p, query
@@ -32,7 +33,7 @@ DICTIONARY_SQL = "\nUNION ALL\n".join(
   campaign - 1 AS prior_contacts_in_campaign FROM contacts""",
 )
 def csv_source(spark, sf_dir):
-    path = files.scratch_folder(spark, "contacts_csv")
+    path = scratch_path(spark, "contacts_csv")
     files.write_contacts_csv(contacts(spark, sf_dir), path)
     return files.read_contacts_csv(spark, path)
 
@@ -108,7 +109,7 @@ def cardinality(spark, sf_dir):
 )
 def metadata_sink(spark, sf_dir):
     summary = split_summary(stratified_split(contacts(spark, sf_dir), "contact_id"))
-    path = files.scratch_folder(spark, "reports")
+    path = scratch_path(spark, "reports")
     files.write_report(summary, path)
     return files.read_report(spark, path, summary.schema)
 
@@ -127,7 +128,7 @@ def prediction_sink(spark, sf_dir):
         "p",
         (F.col("p") >= 0.14).alias("prioritize_call"),
     )
-    path = files.scratch_folder(spark, "predictions")
+    path = scratch_path(spark, "predictions")
     files.write_predictions(scored, path)
     stored = spark.read.schema(scored.schema).parquet(path)
     return stored.groupBy("model_version", "score_date").agg(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,18 +26,27 @@ def local_session(cpus: int | str = 8, app: str = "decisionkit", **extra: str) -
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the cluster's shared folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's shared folder from ``spark.checkpoint.dir``; only a local run may go without it."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if root is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a shared folder")
+        root = tempfile.mkdtemp(prefix="decisionkit-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return root.rstrip("/")
 
-    The folder is the session's own ``spark.checkpoint.dir``; only a local run without one gets a
-    temporary folder.
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write a narrow intermediate table once and read it back.
+
+    For operators that pass over the same rows several times: later passes scan columns of a finished
+    table, the plan stays small, and a lost executor costs at most its own tasks.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir")
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="decisionkit-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,16 +27,6 @@ CONTACT_CSV_SCHEMA = T.StructType(
 )
 
 
-def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the cluster's shared checkpoint folder; local runs may use a temporary one."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a shared folder")
-        root = tempfile.mkdtemp(prefix="decisionkit-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def read_contacts_csv(spark: SparkSession, path: str, include_duration: bool = False, schema: T.StructType = CONTACT_CSV_SCHEMA) -> DataFrame:
     """Semicolon-separated contacts with a declared schema; leakage columns are dropped unless asked for."""
     raw = spark.read.schema(schema).option("sep", ";").option("header", True).option("mode", "FAILFAST").csv(path)

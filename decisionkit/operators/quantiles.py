@@ -37,17 +37,14 @@ def ordered_distinct(
     """One row per (by, value): each total, ``<name>_before`` over smaller values and ``<name>_all``."""
     by = list(by)
     names = list(totals)
-    distinct = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*by, value)
-        .agg(*[F.sum(e).alias(n) for n, e in totals.items()])
-    )
+    present = df.filter(F.col(value).isNotNull())
+    distinct = present.groupBy(*by, value).agg(*[F.sum(e).alias(n) for n, e in totals.items()])
     points = [i / (FANOUT * FANOUT) for i in range(1, FANOUT * FANOUT)]
     cuts = F.percentile_approx(value, points, 4096).alias("_cuts")
     if by:
-        ranged = match_keys(distinct, distinct.groupBy(*by).agg(cuts), by)
+        ranged = match_keys(distinct, present.groupBy(*by).agg(cuts), by)
     else:
-        ranged = distinct.withColumn("_cuts", distinct.agg(cuts).scalar())
+        ranged = distinct.withColumn("_cuts", present.agg(cuts).scalar())
     ranged = ranged.withColumn("_range", _range_of(value, "_cuts")).drop("_cuts")
     whole = Window.partitionBy(*by)
     before = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

@@ -6,7 +6,7 @@ from importlib import import_module
 
 from .base import ORACLES, QUERIES, Query
 
-FAMILIES = ["flagship", "sources", "features", "contracts", "splitting", "relational", "encoding", "evaluation", "rare", "monitoring", "explaining"]
+FAMILIES = ["flagship", "sources", "features", "contracts", "splitting", "relational", "encoding", "evaluation", "rare", "monitoring", "explaining", "modelling", "serving"]
 
 
 def _load() -> None:

@@ -66,7 +66,7 @@ DONE_SQL = "(SELECT max(ts) - INTERVAL 10 MINUTE FROM events)"
 
 def stream(spark, sf_dir):
     table = read_table(spark, sf_dir, "events")
-    return S.event_stream(spark, f"{sf_dir}/events.parquet", table.schema)
+    return S.event_stream(spark, f"{sf_dir}/events.parquet*", table.schema)
 
 
 def replayed(spark, sf_dir, kind):
@@ -149,10 +149,10 @@ SELECT prediction_id, CAST(predicted_at AS DATE) AS predicted_on, CAST(labelled_
 @query("str4_delayed_label_join", JOIN_SQL)
 def label_join(spark, sf_dir):
     orders, items = read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "lineitem")
-    predictions = S.event_stream(spark, f"{sf_dir}/orders.parquet", orders.schema, "o_orderdate").select(
+    predictions = S.event_stream(spark, f"{sf_dir}/orders.parquet*", orders.schema, "o_orderdate").select(
         F.col("o_orderkey").alias("prediction_id"), F.col("o_orderdate").alias("predicted_at")
     )
-    labels = S.event_stream(spark, f"{sf_dir}/lineitem.parquet", items.schema, "l_shipdate").filter("l_linenumber = 1").select(
+    labels = S.event_stream(spark, f"{sf_dir}/lineitem.parquet*", items.schema, "l_shipdate").filter("l_linenumber = 1").select(
         F.col("l_orderkey").alias("prediction_id"),
         F.col("l_shipdate").alias("labelled_at"),
         (F.col("l_returnflag") == "R").cast("int").alias("label"),

@@ -14,9 +14,9 @@ from .quantiles import bin_left_closed, ordered_distinct
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count and share per level, most frequent first; only the levels reach the window."""
+    """Count and share per level, most frequent first."""
     counts = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
-    share = ratio(F.col("n"), F.sum("n").over(Window.partitionBy()))
+    share = ratio(F.col("n"), df.agg(F.count(F.lit(1))).scalar())
     return counts.select(*columns, "n", r6(share).alias("rate")).orderBy(F.col("n").desc(), *columns)
 
 

@@ -87,6 +87,7 @@ def fit_isolation_forest(train: DataFrame, trees: int, key: str = "id", vector:
     The rows come from a hash sample of the whole table, so the work after one scan does not grow with it.
     """
     pool = train.orderBy(hash_order(seed, key), key).limit(POOL).select(key, vector)
+    pool = staged(pool, "pool")
     size = pool.agg(F.count(F.lit(1))).scalar()
     drawn = (
         pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))

@@ -65,9 +65,9 @@ def psi_of(p: Column, q: Column) -> Column:
 def divergences(shares: DataFrame, by: Sequence[str] = ("feature",)) -> DataFrame:
     """PSI and squared Jensen-Shannon distance (base 2, shares renormalised) per feature."""
     by = list(by)
-    whole = Window.partitionBy(*by)
-    work = shares.select(
-        *by, "p", "q", (F.col("p") / F.sum("p").over(whole)).alias("_p"), (F.col("q") / F.sum("q").over(whole)).alias("_q")
+    sums = shares.groupBy(*by).agg(F.sum("p").alias("_ps"), F.sum("q").alias("_qs"))
+    work = match_keys(shares, sums, by).select(
+        *by, "p", "q", (F.col("p") / F.col("_ps")).alias("_p"), (F.col("q") / F.col("_qs")).alias("_q")
     )
     p, q = F.col("_p"), F.col("_q")
     middle = (p + q) / 2
@@ -118,16 +118,19 @@ def level_table(tidy: DataFrame) -> DataFrame:
     )
 
 
+def with_totals(levels: DataFrame) -> DataFrame:
+    """Totals per feature joined to its levels, so that many levels never meet in one task."""
+    totals = levels.groupBy("feature").agg(
+        F.sum("n_ref").cast("double").alias("_r"),
+        F.sum("n_cur").cast("double").alias("_c"),
+        (F.count(F.lit(1)) - 1).alias("df"),
+    )
+    return match_keys(levels, totals, ["feature"])
+
+
 def chi_square(levels: DataFrame) -> DataFrame:
     """Homogeneity statistic of the 2 x L table, with Yates' correction when there is one degree of freedom."""
-    whole = Window.partitionBy("feature")
-    ref_all, cur_all = F.sum("n_ref").over(whole), F.sum("n_cur").over(whole)
-    work = levels.select(
-        "feature", "n_ref", "n_cur",
-        ref_all.cast("double").alias("_r"),
-        cur_all.cast("double").alias("_c"),
-        (F.count(F.lit(1)).over(whole) - 1).alias("df"),
-    )
+    work = with_totals(levels)
     both = (F.col("n_ref") + F.col("n_cur")) / F.nullif(F.col("_r") + F.col("_c"), F.lit(0.0))
 
     def part(seen: str, total: str) -> Column:
@@ -142,10 +145,9 @@ def chi_square(levels: DataFrame) -> DataFrame:
 
 
 def level_shares(levels: DataFrame) -> DataFrame:
-    whole = Window.partitionBy("feature")
-    p = F.col("n_ref") / F.nullif(F.sum("n_ref").over(whole).cast("double"), F.lit(0.0))
-    q = F.col("n_cur") / F.nullif(F.sum("n_cur").over(whole).cast("double"), F.lit(0.0))
-    return levels.select(
+    p = F.col("n_ref") / F.nullif(F.col("_r"), F.lit(0.0))
+    q = F.col("n_cur") / F.nullif(F.col("_c"), F.lit(0.0))
+    return with_totals(levels).select(
         "feature", "level", F.greatest(p, F.lit(FLOOR)).alias("p"), F.greatest(q, F.lit(FLOOR)).alias("q")
     )
 

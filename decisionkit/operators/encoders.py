@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_bucket
@@ -145,12 +145,15 @@ def out_of_fold_target(df: DataFrame, category: str, label: str, folds: int) ->
     return apply_state(df, state, [category])
 
 
+def text_bucket(text: Column) -> Column:
+    """A monotone bucket of text order: the code points of the first two characters."""
+    return F.ascii(text).cast("bigint") * F.lit(2**21) + F.ascii(F.substring(text, 2, 1))
+
+
 def fit_ordinal(train: DataFrame, column: str) -> DataFrame:
     """Index of each level in the sorted vocabulary; ordered in ranges of the first two characters."""
     levels = train.filter(F.col(column).isNotNull()).select(column).distinct()
-    span = F.lit(2**21).cast("bigint")
-    bucket = F.ascii(column) * span + F.ascii(F.substring(column, 2, 1))
-    ranked = ordered_state(levels, [], [column], bucket, rank="_rank")
+    ranked = ordered_state(levels, [], [column], text_bucket(F.col(column)), rank="_rank")
     return ranked.select(column, (F.col("_rank") - 1).alias("code"))
 
 
@@ -176,8 +179,12 @@ def encoded_names(df: DataFrame, numeric: Sequence[str], categorical: Sequence[s
     )
     numbers = df.agg(F.count(F.lit(1)).alias("_n")).select(F.inline(plain))
     names = encoded.unionByName(numbers)
-    position = F.row_number().over(Window.orderBy(F.col("level").isNull().desc(), "source", "level")) - 1
-    return names.withColumn("position", position.cast("bigint"))
+    sources = F.create_map(*[x for i, c in enumerate(sorted({*numeric, *categorical})) for x in (F.lit(c), F.lit(i))])
+    group = F.when(F.col("level").isNull(), 0).otherwise(len(numeric) + len(categorical)) + sources[F.col("source")]
+    work = names.withColumns({"_group": group, "_level": F.coalesce("level", F.lit(""))})
+    bucket = F.col("_group").cast("bigint") * F.lit(2**42) + text_bucket(F.col("_level"))
+    ranked = ordered_state(work, [], ["_group", "_level"], bucket, rank="_rank")
+    return ranked.select("source", "level", "feature", (F.col("_rank") - 1).alias("position"))
 
 
 def missing_indicator(df: DataFrame, column: str) -> DataFrame:
@@ -191,18 +198,20 @@ def tokens(text: str) -> Column:
 
 def tf_idf(df: DataFrame, key: str, text: str, vocabulary_size: int) -> DataFrame:
     """(key, term, tf, tfidf) for the most widely used terms; whole texts, counted with partial aggregates."""
-    counted = df.select(key, F.explode(tokens(text)).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    words = tokens(text)
     vocabulary = (
-        counted.groupBy("term")
+        df.select(F.explode(F.array_distinct(words)).alias("term"))
+        .groupBy("term")
         .agg(F.count(F.lit(1)).alias("df"))
         .orderBy(F.col("df").desc(), "term")
         .limit(vocabulary_size)
     )
     n = df.agg(F.count(F.lit(1))).scalar()
     idf = F.ln((n + 1.0) / (F.col("df") + 1.0)) + 1.0
-    # At most vocabulary_size rows.
-    weighted = counted.join(F.broadcast(vocabulary), "term")
-    return weighted.select(key, "term", "tf", (F.col("tf") * idf).alias("tfidf"))
+    # At most vocabulary_size rows; other words are dropped before anything is shuffled.
+    known = df.select(key, F.explode(words).alias("term")).join(F.broadcast(vocabulary), "term")
+    counted = known.groupBy(key, "term", "df").agg(F.count(F.lit(1)).alias("tf"))
+    return counted.select(key, "term", "tf", (F.col("tf") * idf).alias("tfidf"))
 
 
 def vector_norm(vector: str) -> Column:

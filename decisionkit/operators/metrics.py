@@ -96,6 +96,9 @@ def ranking_metrics(df: DataFrame, by: Sequence[str], label: str = "y", score: s
 
 def model_report(df: DataFrame, by: Sequence[str], threshold: Column | float = 0.5, label: str = "y", score: str = "p") -> DataFrame:
     """The superset of metrics: probability quality, ranking and decisions, one row per group."""
+    if not by:
+        whole = model_report(df.withColumn("_all", F.lit(0)), ["_all"], threshold, label, score)
+        return whole.drop("_all")
     hit = F.col(score) >= (threshold if isinstance(threshold, Column) else F.lit(threshold))
     pos = F.col(label) == 1
     base = df.groupBy(*by).agg(
@@ -108,14 +111,7 @@ def model_report(df: DataFrame, by: Sequence[str], threshold: Column | float = 0
     base = base.select(
         *by, "log_loss", "brier", "tn", "fp", "fn", "tp", *[c.alias(n) for n, c in decision_columns().items()]
     )
-    ranked = ranking_metrics(df, by, label, score)
-    if by:
-        return match_keys(base, ranked, list(by))
-    return base.select(
-        "*",
-        ranked.select("roc_auc").scalar().alias("roc_auc"),
-        ranked.select("average_precision").scalar().alias("average_precision"),
-    )
+    return match_keys(base, ranking_metrics(df, by, label, score), list(by))
 
 
 def threshold_table(

@@ -27,6 +27,7 @@ from ..session import scratch_path, staged
 from .features import add_domain_features, prepare_precontact
 from .imbalance import balanced_weights
 from .quantiles import bin_right_closed
+from .stages import AsDoubles, ContractGate, DomainFeatures, PrecontactColumns
 
 Fit = Callable[[DataFrame], PipelineModel]
 LABEL = "y"
@@ -72,6 +73,15 @@ def logistic(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str
     return Pipeline(stages=[*feature_stages(numeric, categorical), learner]).fit(as_doubles(train, numeric))
 
 
+def guarded_logistic(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> PipelineModel:
+    """One saved artifact from raw contacts to probability: columns, contract, features, encoders, learner."""
+    learner = LogisticRegression(
+        labelCol=LABEL, maxIter=100, regParam=1.0 / float(train.count()), elasticNetParam=0.0, standardization=False
+    )
+    guards = [PrecontactColumns(), ContractGate(), DomainFeatures(), AsDoubles(columns=list(numeric))]
+    return Pipeline(stages=[*guards, *feature_stages(numeric, categorical), learner]).fit(train)
+
+
 def weighted_logistic(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> PipelineModel:
     return logistic(balanced_weights(train, LABEL), numeric, categorical, weight="weight")
 
@@ -198,14 +208,14 @@ def isotonic(train: DataFrame, new: DataFrame, keep: Sequence[str], score: str =
     return model.transform(rows).select(*keep, F.round("prediction", 6).alias("calibrated"))
 
 
-def reload_difference(model: PipelineModel, df: DataFrame, numeric: Sequence[str], key: str) -> DataFrame:
+def reload_difference(model: PipelineModel, df: DataFrame, key: str) -> DataFrame:
     """Largest absolute difference between a fitted pipeline and its saved and reloaded copy."""
     path = scratch_path(df.sparkSession, "model")
     model.write().save(path)
     again = PipelineModel.load(path)
 
     def raw(m: PipelineModel, name: str) -> DataFrame:
-        return m.transform(as_doubles(df, numeric)).select(key, vector_to_array("probability")[1].alias(name))
+        return m.transform(df).select(key, vector_to_array("probability")[1].alias(name))
 
     both = raw(model, "before").join(raw(again, "after"), key)
     gap = F.max(F.abs(F.col("before") - F.col("after")))

@@ -221,8 +221,10 @@ def timing(spark, sf_dir):
 
 @query("enc14_reload_parity")
 def reload_parity(spark, sf_dir):
-    development, validation = split_frames(spark, sf_dir)
-    return L.reload_difference(plain(development), validation, NUMERIC, "contact_id")
+    """The whole artifact, contract and features included, is saved, loaded and compared on the validation rows."""
+    rows = staged(stratified_split(contacts(spark, sf_dir), "contact_id"), "raw")
+    model = L.guarded_logistic(rows.filter("split = 'development'"), NUMERIC, CATEGORICAL)
+    return L.reload_difference(model, rows.filter("split = 'validation'"), "contact_id")
 
 
 @query("evl19_out_of_fold")

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import r6
+from ..session import staged
 from .ordered import match_keys
 from .quantiles import bin_left_closed, exact_quantiles, ordered_distinct
 from .resampling import with_replicates
@@ -28,7 +29,8 @@ def reference_edges(tidy: DataFrame, by: Sequence[str] = ("feature",), bins: int
     """Distinct interpolated quantiles of the reference rows, per feature."""
     points = [i / bins for i in range(bins + 1)]
     edges = exact_quantiles(tidy.filter("part = 'ref'"), by, "value", points, "_q")
-    return edges.select(*by, F.array_distinct("_q").alias("edges"))
+    # Used by several later steps; a few numbers per feature, so they are written down once.
+    return staged(edges.select(*by, F.array_distinct("_q").alias("edges")), "edges")
 
 
 def binned(tidy: DataFrame, edges: DataFrame, by: Sequence[str] = ("feature",)) -> DataFrame:

@@ -14,54 +14,52 @@ from pyspark.sql import functions as F
 
 from .ordered import match_keys
 
-FANOUT = 16  # FANOUT * FANOUT ranges
+RANGES = 256  # a power of four
 
 
-def _range_of(value: str, cuts: str) -> Column:
-    """How many cuts lie below the value: a two-step search, 2 * FANOUT comparisons."""
-    v = F.col(value)
-    coarse_cuts = F.transform(
-        F.sequence(F.lit(1), F.lit(FANOUT - 1)), lambda i: F.get(F.col(cuts), i * FANOUT - 1)
-    )
-    coarse = F.size(F.filter(coarse_cuts, lambda e: e < v))
-    fine = F.size(F.filter(F.slice(F.col(cuts), coarse * FANOUT + 1, FANOUT), lambda e: e < v))
-    return coarse * FANOUT + fine
+def _with_range(df: DataFrame, value: str, cuts: str, name: str = "_range") -> DataFrame:
+    """Add how many cuts lie below the value: a four-way search, a dozen plain comparisons."""
+    out = df.withColumn(name, F.lit(0))
+    step = RANGES // 4
+    while step:
+        here = [F.get(F.col(cuts), F.col(name) + (i * step - 1)) < F.col(value) for i in (1, 2, 3)]
+        out = out.withColumn(name, F.col(name) + sum((h.cast("int") for h in here[1:]), here[0].cast("int")) * step)
+        step //= 4
+    return out.drop(cuts)
 
 
-def ordered_distinct(
-    df: DataFrame,
-    by: Sequence[str],
-    value: str,
-    totals: Mapping[str, Column],
-) -> DataFrame:
-    """One row per (by, value): each total, ``<name>_before`` over smaller values and ``<name>_all``."""
-    by = list(by)
-    names = list(totals)
+def _ranges(df: DataFrame, by: Sequence[str], value: str, totals: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """Distinct values with their range, and per range the totals before it and of the whole group."""
     present = df.filter(F.col(value).isNotNull())
     distinct = present.groupBy(*by, value).agg(*[F.sum(e).alias(n) for n, e in totals.items()])
-    points = [i / (FANOUT * FANOUT) for i in range(1, FANOUT * FANOUT)]
-    cuts = F.percentile_approx(value, points, 4096).alias("_cuts")
+    points = ", ".join(f"{i / RANGES}D" for i in range(1, RANGES))
+    cuts = F.percentile_approx(value, F.expr(f"array({points})"), 4096).alias("_cuts")
     if by:
         ranged = match_keys(distinct, present.groupBy(*by).agg(cuts), by)
     else:
         ranged = distinct.withColumn("_cuts", present.agg(cuts).scalar())
-    ranged = ranged.withColumn("_range", _range_of(value, "_cuts")).drop("_cuts")
+    ranged = _with_range(ranged, value, "_cuts")
     whole = Window.partitionBy(*by)
     before = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         ranged.groupBy(*by, "_range")
-        .agg(*[F.sum(n).alias(f"_r_{n}") for n in names])
+        .agg(*[F.sum(n).alias(f"_r_{n}") for n in totals])
         .select(
             *by,
             "_range",
-            *[F.coalesce(F.sum(f"_r_{n}").over(before), F.lit(0)).alias(f"_c_{n}") for n in names],
-            *[F.sum(f"_r_{n}").over(whole).alias(f"{n}_all") for n in names],
+            *[f"_r_{n}" for n in totals],
+            *[F.coalesce(F.sum(f"_r_{n}").over(before), F.lit(0)).alias(f"_c_{n}") for n in totals],
+            *[F.sum(f"_r_{n}").over(whole).alias(f"{n}_all") for n in totals],
         )
     )
+    return ranged, carried
+
+
+def _running(ranged: DataFrame, carried: DataFrame, by: Sequence[str], value: str, names: Sequence[str], how: str) -> DataFrame:
     inside = (
         Window.partitionBy(*by, "_range").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     )
-    return match_keys(ranged, carried, [*by, "_range"]).select(
+    return match_keys(ranged, carried, [*by, "_range"], how).select(
         *by,
         value,
         *names,
@@ -73,21 +71,42 @@ def ordered_distinct(
     )
 
 
+def ordered_distinct(
+    df: DataFrame,
+    by: Sequence[str],
+    value: str,
+    totals: Mapping[str, Column],
+) -> DataFrame:
+    """One row per (by, value): each total, ``<name>_before`` over smaller values and ``<name>_all``."""
+    by = list(by)
+    ranged, carried = _ranges(df, by, value, totals)
+    return _running(ranged, carried, by, value, list(totals), "left")
+
+
 def exact_quantiles(
     df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float], name: str = "quantiles"
 ) -> DataFrame:
-    """One row per group: array of linearly interpolated quantiles of the non-NULL values."""
-    work = df.withColumn("_value", F.col(value).cast("double"))
-    ranked = ordered_distinct(work, by, "_value", {"_n": F.lit(1)})
+    """One row per group: array of linearly interpolated quantiles of the non-NULL values.
+
+    Range counts show which ranges hold the wanted positions; only their values are put in order.
+    """
+    by = list(by)
+    work = df.select(*by, F.col(value).cast("double").alias("_value"))
+    ranged, carried = _ranges(work, by, "_value", {"_n": F.lit(1)})
+    positions = [F.lit(float(p)) * (F.col("_n_all") - 1) for p in probs]
+    last = F.col("_c__n") + F.col("_r__n") - 1
+    wanted = F.lit(False)
+    for at in positions:
+        wanted = wanted | F.floor(at).between(F.col("_c__n"), last) | F.ceil(at).between(F.col("_c__n"), last)
+    ranked = _running(ranged, carried.filter(wanted), by, "_value", ["_n"], "inner")
     low, high = F.col("_n_before"), F.col("_n_before") + F.col("_n") - 1
     aggregates, parts = [], []
-    for i, p in enumerate(probs):
-        position = F.lit(float(p)) * (F.col("_n_all") - 1)
-        floor, ceil = F.floor(position), F.ceil(position)
+    for i, at in enumerate(positions):
+        floor, ceil = F.floor(at), F.ceil(at)
         aggregates += [
             F.max(F.when(floor.between(low, high), F.col("_value"))).alias(f"_lo_{i}"),
             F.max(F.when(ceil.between(low, high), F.col("_value"))).alias(f"_hi_{i}"),
-            F.max(position - floor).alias(f"_w_{i}"),
+            F.max(at - floor).alias(f"_w_{i}"),
         ]
         parts.append(F.col(f"_lo_{i}") + (F.col(f"_hi_{i}") - F.col(f"_lo_{i}")) * F.col(f"_w_{i}"))
     return ranked.groupBy(*by).agg(*aggregates).select(*by, F.array(*parts).alias(name))

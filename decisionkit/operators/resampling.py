@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import hex_digest, hex_slice
+from ..functions.hashing import hex_digest
 from ..functions.scalars import r6
 
 PER_DIGEST = 8  # an md5 holds eight 16-bit draws
@@ -16,9 +16,10 @@ POISSON_CUTS = [round(65536 * sum(math.exp(-1) / math.factorial(j) for j in rang
 
 
 def poisson_weight(draw: Column) -> Column:
+    """Weight of a draw given as four hex digits; equally long hex texts compare like their numbers."""
     weight = F.lit(0)
     for cut in POISSON_CUTS:
-        weight = weight + (draw >= cut).cast("int")
+        weight = weight + (draw >= f"{cut:04x}").cast("int")
     return weight.cast("bigint")
 
 
@@ -35,7 +36,7 @@ def with_replicates(df: DataFrame, key: str, replicates: int, seed: int | str =
         *[
             F.struct(
                 (F.col("_block") * PER_DIGEST + j).alias("replicate"),
-                poisson_weight(hex_slice(F.col("_digest"), 4 * j + 1, 4)).alias("weight"),
+                poisson_weight(F.substring("_digest", 4 * j + 1, 4)).alias("weight"),
             )
             for j in range(PER_DIGEST)
         ]

@@ -1,9 +1,11 @@
 """The minimum decision path: frame, contract, split, scorecard, threshold choice."""
 
+from ..operators.contracts import Rule, fail_fast, out_of_range
 from ..operators.metrics import threshold_table
 from ..operators.policy import mark_selected
-from ..operators.scoring import score
+from ..operators.scoring import FULL, score
 from ..operators.splits import stratified_split
+from ..session import staged
 from ..sources.frames import contacts
 from .base import SPLITS, query, sweep_sql
 
@@ -15,8 +17,9 @@ from .base import SPLITS, query, sweep_sql
 SELECT *, row_number() OVER (ORDER BY cost, threshold) = 1 AS selected FROM sweep""",
 )
 def flagship(spark, sf_dir):
-    frame = contacts(spark, sf_dir)
-    valid = frame.filter("age BETWEEN 18 AND 100")
+    # Staged once: the split counts the rows before it places them, and should not redo the history.
+    frame = staged(contacts(spark, sf_dir).select("contact_id", "y", *FULL.required_columns()), "contacts")
+    valid = fail_fast(frame, [Rule("age is between 18 and 100", out_of_range("age", 18, 100))])
     split = stratified_split(valid, "contact_id")
     validation = score(split.filter("split = 'validation'"))
     return mark_selected(threshold_table(validation))

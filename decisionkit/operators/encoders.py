@@ -24,8 +24,9 @@ def training_copies(df: DataFrame, folds: int, fold: str = "fold", held: str = "
 
 
 def apply_state(df: DataFrame, state: DataFrame, keys: Sequence[str] = (), fold: str = "fold", held: str = "held") -> DataFrame:
-    """Join the state fitted without a row's own fold."""
-    return match_keys(df, state.withColumnRenamed(held, fold), [fold, *keys])
+    """Join the state fitted without a row's own fold. State without keys is one row per fold."""
+    renamed = state.withColumnRenamed(held, fold)
+    return match_keys(df, renamed if keys else F.broadcast(renamed), [fold, *keys])
 
 
 def fit_medians(df: DataFrame, column: str, folds: int) -> DataFrame:

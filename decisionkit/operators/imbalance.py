@@ -21,7 +21,7 @@ def balanced_weights(df: DataFrame, label: str = "y", name: str = "weight") -> D
         label,
         (sizes.agg(F.sum("_n")).scalar() / (sizes.agg(F.count(F.lit(1))).scalar() * F.col("_n").cast("double"))).alias(name),
     )
-    return match_keys(df, state, [label])
+    return match_keys(df, F.broadcast(state), [label])  # one row per class
 
 
 def class_size(df: DataFrame, value: int, label: str = "y") -> F.Column:

@@ -85,12 +85,13 @@ class _Groups:
         self.group = stats["group"].to_numpy()
         self.cell = self.group // self.rings
         self.low, self.high = stats["low"].to_numpy(), stats["high"].to_numpy()
-        via = between[self.cell][:, nearest["cell"].to_numpy()] + nearest["distance"].to_numpy()[None, :]
-        if via.shape[1] <= k:
-            radius = np.full(len(self.group), np.inf)
-        else:
-            radius = np.partition(via, k - 1, axis=1)[:, k - 1] + self.high
-        self.radius = radius * (1 + 1e-9) + SLACK
+        at, away = nearest["cell"].to_numpy(), nearest["distance"].to_numpy()
+        # Per pivot: the k-th smallest way to a reference through that reference's own pivot.
+        way = np.full(len(self.pivots), np.inf)
+        if len(away) >= k:
+            for i in np.unique(self.cell):
+                way[i] = np.partition(between[i, at] + away, k - 1)[k - 1]
+        self.radius = (way[self.cell] + self.high) * (1 + 1e-9) + SLACK
 
     def reached(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(reference row, index of a query group it may serve)."""

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
+MAX_HOT_GROUPS = 100_000
 
 
 def match_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
@@ -32,6 +33,15 @@ def group_sizes(df: DataFrame, by: Sequence[str], name: str = "_size") -> DataFr
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias(name))
 
 
+def hot_groups(df: DataFrame, by: Sequence[str], hot_rows: int) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows: at most MAX_HOT_GROUPS of them, so they can be broadcast.
+
+    A key left out of the list is only ordered in one task; no result depends on the list.
+    """
+    sizes = group_sizes(df, by).filter(F.col("_size") > hot_rows)
+    return sizes.orderBy(F.col("_size").desc(), *by).limit(MAX_HOT_GROUPS)
+
+
 def ordered_state(
     df: DataFrame,
     by: Sequence[str],
@@ -61,17 +71,12 @@ def ordered_state(
         bucket.cast("bigint").alias("_order_bucket"),
     )
     if by:
-        sizes = group_sizes(df, by)
-        if total is None:
-            sizes = sizes.filter(F.col("_size") > hot_rows)
-        work = match_keys(work, sizes, by)
-        hot = F.coalesce(F.col("_size") > hot_rows, F.lit(False))
+        work = match_keys(work, F.broadcast(hot_groups(df, by, hot_rows)), by)
+        hot = F.col("_size").isNotNull()
         work = work.withColumn("_bucket", F.when(hot, F.col("_order_bucket")).otherwise(F.lit(-1)))
         hot_part = work.filter(hot)
     else:
         work = work.withColumn("_bucket", F.col("_order_bucket"))
-        if total is not None:
-            work = work.withColumn("_size", df.agg(F.count(F.lit(1))).scalar())
         hot_part = work
 
     order_key = F.struct(*order_cols)
@@ -88,6 +93,7 @@ def ordered_state(
         *by,
         "_bucket",
         F.sum("_n").over(before).alias("_c_rank"),
+        F.sum("_n").over(Window.partitionBy(*by)).alias("_c_total"),
         *[F.sum(f"_b_{n}").over(before).alias(f"_c_{n}") for n in sums],
         *[F.last(f"_b_{n}", ignorenulls=True).over(before).alias(f"_c_{n}") for n in lasts],
     )
@@ -105,5 +111,6 @@ def ordered_state(
         here = F.last(f"_l_{n}", ignorenulls=True).over(earlier)
         added.append(F.coalesce(here, F.col(f"_c_{n}")).alias(n))
     if total:
-        added.append(F.col("_size").alias(total))
+        # A hot group's size comes from its buckets; any other group is whole inside its window.
+        added.append(F.coalesce("_c_total", F.count(F.lit(1)).over(Window.partitionBy(*keys))).alias(total))
     return joined.select(*df.columns, *added)

@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import staged
 from .ordered import match_keys
 
 RANGES = 256  # a power of four
@@ -35,7 +36,8 @@ def _ranges(df: DataFrame, by: Sequence[str], value: str, totals: Mapping[str, C
     points = ", ".join(f"{i / RANGES}D" for i in range(1, RANGES))
     cuts = F.percentile_approx(value, F.expr(f"array({points})"), 4096).alias("_cuts")
     if by:
-        ranged = match_keys(distinct, present.groupBy(*by).agg(cuts), by)
+        # Written down first: Spark then knows its size and broadcasts it only if it is small.
+        ranged = match_keys(distinct, staged(present.groupBy(*by).agg(cuts), "cuts"), by)
     else:
         ranged = distinct.withColumn("_cuts", present.agg(cuts).scalar())
     ranged = _with_range(ranged, value, "_cuts")
@@ -98,7 +100,8 @@ def exact_quantiles(
     wanted = F.lit(False)
     for at in positions:
         wanted = wanted | F.floor(at).between(F.col("_c__n"), last) | F.ceil(at).between(F.col("_c__n"), last)
-    ranked = _running(ranged, carried.filter(wanted), by, "_value", ["_n"], "inner")
+    # The few wanted ranges are written down, so that the join can drop all other values before a shuffle.
+    ranked = _running(ranged, staged(carried.filter(wanted), "ranges"), by, "_value", ["_n"], "inner")
     low, high = F.col("_n_before"), F.col("_n_before") + F.col("_n") - 1
     aggregates, parts = [], []
     for i, at in enumerate(positions):

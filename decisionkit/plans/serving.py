@@ -69,15 +69,14 @@ def stream(spark, sf_dir):
     return S.event_stream(spark, f"{sf_dir}/events.parquet*", table.schema)
 
 
-def replayed(spark, sf_dir, kind):
-    """Test data for streams: the table as one file, then a hash-chosen part in a later file."""
+def in_two_loads(spark, sf_dir, late, run):
+    """Drain a stream, add a hash-chosen part of the table (late rows or repeats), and drain it again."""
     rows = read_table(spark, sf_dir, "events")
     again = hash_order("late", "event_id") % 20 == 0
     path = scratch_path(spark, "replay")
-    first = rows.filter(~again) if kind == "late" else rows
-    first.coalesce(1).write.parquet(f"{path}/part=0")
-    rows.filter(again).coalesce(1).write.parquet(f"{path}/part=1")
-    return S.event_stream(spark, f"{path}/part=*", rows.schema, files_per_batch=1)
+    for i, part in enumerate([rows.filter(~again) if late else rows, rows.filter(again)]):
+        part.write.parquet(f"{path}/part={i}")
+        run(S.event_stream(spark, f"{path}/part=*", rows.schema))
 
 
 @query(
@@ -172,8 +171,12 @@ def label_join(spark, sf_dir):
 )
 def backfill(spark, sf_dir):
     path = scratch_path(spark, "labels")
-    labels = replayed(spark, sf_dir, "late").select("event_id", F.col("ts").cast("date").alias("day"), (F.col("event_type") == "purchase").cast("int").alias("label"))
-    S.label_log(labels, f"{path}/log", f"{path}/checkpoint")
+
+    def run(events):
+        label = (F.col("event_type") == "purchase").cast("int").alias("label")
+        S.label_log(events.select("event_id", F.col("ts").cast("date").alias("day"), label), f"{path}/log", f"{path}/checkpoint")
+
+    in_two_loads(spark, sf_dir, True, run)
     newest = S.latest_labels(spark.read.parquet(f"{path}/log"), "event_id", ["day", "label"])
     return newest.groupBy("day").agg(F.count(F.lit(1)).alias("labels"), r6(F.avg("label")).alias("rate"))
 
@@ -181,8 +184,12 @@ def backfill(spark, sf_dir):
 @query("str6_alert_deduplication", "SELECT event_id, user_id, event_type FROM events WHERE value > 20")
 def deduplication(spark, sf_dir):
     path = scratch_path(spark, "alerts")
-    alerts = replayed(spark, sf_dir, "again").filter("value > 20").select("event_id", "ts", "user_id", "event_type")
-    S.to_table(S.deduplicated(alerts, "ts", ["event_id"], "31 days"), f"{path}/out", f"{path}/checkpoint")
+
+    def run(events):
+        alerts = events.filter("value > 20").select("event_id", "ts", "user_id", "event_type")
+        S.to_table(S.deduplicated(alerts, "ts", ["event_id"], "31 days"), f"{path}/out", f"{path}/checkpoint")
+
+    in_two_loads(spark, sf_dir, False, run)
     return spark.read.parquet(f"{path}/out").select("event_id", "user_id", "event_type")
 
 

@@ -121,7 +121,7 @@ def test_late_rows_are_dropped_from_closed_windows_only(spark):
     schema = "ts timestamp, value double"
     t = dt.datetime.fromisoformat
     first = [(t("2024-01-01 10:00"), 1.0), (t("2024-01-03 10:00"), 1.0)]
-    path = write_batches(spark, [first, [(t("2024-01-03 11:00"), 1.0)], [(t("2024-01-01 11:00"), 1.0), (t("2024-01-04 01:00"), 1.0)]], schema)
+    path = write_batches(spark, [first, [(t("2024-01-03 11:00"), 1.0)], [(t("2024-01-01 11:00"), 1.0), (t("2024-01-03 23:00"), 1.0)]], schema)
     stream = S.event_stream(spark, path, spark.createDataFrame(first, schema).schema, files_per_batch=1)
     out = scratch_path(spark, "late")
     rows = S.volume_monitor(stream, "ts", [], F.col("value") > 0, F.col("value").isNull(), "1 hour")

@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}  # application id -> temporary folder, local runs only
+
+
 def local_session(cpus: int | str = 8, app: str = "decisionkit", **extra: str) -> SparkSession:
     """A local session; on a cluster the submitter's own settings are used instead."""
     builder = (
@@ -32,8 +35,10 @@ def shared_folder(spark: SparkSession) -> str:
     if root is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a shared folder")
-        root = tempfile.mkdtemp(prefix="decisionkit-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        app = spark.sparkContext.applicationId
+        if app not in _LOCAL_FOLDERS:
+            _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="decisionkit-")
+        root = _LOCAL_FOLDERS[app]
     return root.rstrip("/")
 
 

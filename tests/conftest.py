@@ -11,11 +11,8 @@ SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
-    session = local_session(4, app="decisionkit-tests", spark__sql__shuffle__partitions="4")
-    if session.sparkContext.getConf().get("spark.checkpoint.dir") is None:
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
-    return session
+def spark():
+    return local_session(4, app="decisionkit-tests", spark__sql__shuffle__partitions="4")
 
 
 @pytest.fixture(scope="session")

@@ -7,12 +7,17 @@ from ..sources.frames import contacts, event_log, labelled_documents, read_table
 from .base import CONTACTS, query
 
 REQUIRED = {"age", "balance", "contact", "previous", "housing"}
-STRICT = [
-    C.Rule("age is between 18 and 95", C.out_of_range("age", 18, 95)),
-    C.Rule("pdays is -1 or at least 3", C.not_sentinel_or_range("pdays", low=3)),
-    C.Rule("job is known", C.not_in_vocabulary("job", ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD"])),
-    C.Rule("balance is not negative", C.out_of_range("balance", 0)),
-]
+
+
+def strict_rules():
+    return [
+        C.Rule("age is between 18 and 95", C.out_of_range("age", 18, 95)),
+        C.Rule("pdays is -1 or at least 3", C.not_sentinel_or_range("pdays", low=3)),
+        C.Rule("job is known", C.not_in_vocabulary("job", ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD"])),
+        C.Rule("balance is not negative", C.out_of_range("balance", 0)),
+    ]
+
+
 STRICT_SQL = {
     "age is between 18 and 95": "age NOT BETWEEN 18 AND 95",
     "pdays is -1 or at least 3": "NOT (pdays = -1 OR pdays >= 3)",
@@ -232,7 +237,7 @@ def quality(spark, sf_dir):
     CONTACTS + f"""SELECT contact_id, age, balance, {REASONS_SQL} AS reasons, {REASONS_SQL} = '' AS accepted FROM contacts""",
 )
 def quarantine(spark, sf_dir):
-    good, bad = C.quarantine(contacts(spark, sf_dir).select("contact_id", "age", "balance", "pdays", "job"), STRICT)
+    good, bad = C.quarantine(contacts(spark, sf_dir).select("contact_id", "age", "balance", "pdays", "job"), strict_rules())
     keep = ["contact_id", "age", "balance"]
     accepted = good.select(*keep, F.lit("").alias("reasons"), F.lit(True).alias("accepted"))
     rejected = bad.select(*keep, F.concat_ws("; ", "reasons").alias("reasons"), F.lit(False).alias("accepted"))

@@ -57,13 +57,16 @@ def record(spark, sf_dir):
 
 
 DELAY = "10 minutes"
-STREAM_RULES = [
-    C.Rule("value is between 0 and 30", C.out_of_range("value", 0, 30)),
-    C.Rule("event type is known", C.not_in_vocabulary("event_type", ["view", "click", "purchase", "signup"])),
-]
 DONE_SQL = "(SELECT max(ts) - INTERVAL 10 MINUTE FROM events)"
 
 
+def stream_rules():
+    return [
+        C.Rule("value is between 0 and 30", C.out_of_range("value", 0, 30)),
+        C.Rule("event type is known", C.not_in_vocabulary("event_type", ["view", "click", "purchase", "signup"])),
+    ]
+
+
 def stream(spark, sf_dir):
     table = read_table(spark, sf_dir, "events")
     return S.event_stream(spark, f"{sf_dir}/events.parquet*", table.schema)
@@ -86,7 +89,7 @@ def in_two_loads(spark, sf_dir, late, run):
 )
 def gate(spark, sf_dir):
     path = scratch_path(spark, "gate")
-    S.gate(stream(spark, sf_dir), STREAM_RULES, f"{path}/good", f"{path}/bad", f"{path}/checkpoint")
+    S.gate(stream(spark, sf_dir), stream_rules(), f"{path}/good", f"{path}/bad", f"{path}/checkpoint")
     good = spark.read.parquet(f"{path}/good").select("event_id", F.lit("").alias("reasons"))
     return good.unionByName(spark.read.parquet(f"{path}/bad").select("event_id", F.concat_ws("; ", "reasons").alias("reasons")))
 

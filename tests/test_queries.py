@@ -1,3 +1,7 @@
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as entry
@@ -21,6 +25,12 @@ def test_query_equals_sql(spark, duck, sf, name):
     assert compare(got, duck.sql(entry.oracle_sql()[name]).to_arrow_table()) == []
 
 
+def test_registry_loads_without_a_session():
+    code = "import __spark_entry__ as e; assert set(e.oracle_sql()) <= set(e.queries())"
+    root = Path(entry.__file__).parent
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)
+
+
 def test_registry():
     names = set(entry.queries())
     assert set(entry.oracle_sql()) <= names and len(names) > 150

@@ -33,7 +33,7 @@ def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder from ``spark.checkpoint.dir``; only a local run may go without it."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if root is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a shared folder")
         app = spark.sparkContext.applicationId
         if app not in _LOCAL_FOLDERS:

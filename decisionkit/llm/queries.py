@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, near
+from . import bpe, exact, licenses, near, packing, pii, toxicity
 from .common import read
 
 QUERIES, ORACLES = {}, {}
+VOCABULARIES = {"word": "word_bpe_49k.json", "byte": "byte_bpe_50k.json"}
+
+
+def vocabulary(kind: str) -> str:
+    """Path of a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(VOCABULARIES[kind])
 
 
 def query(name: str, sql: str | None = None):
@@ -37,3 +45,29 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near.near_duplicates(read(spark, sf_dir, "documents"), width=4, share=80)
     return out.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op2_license_scan")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(read(spark, sf_dir, "documents"))
+
+
+@query("op3_pack")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(read(spark, sf_dir, "documents"), vocabulary("word"))
+
+
+@query("op4_personal_data")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(read(spark, sf_dir, "documents"))
+
+
+@query("op6_toxicity")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return out.select("doc_id", "held_out", "score", "predicted")
+
+
+@query("op9_bpe")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(read(spark, sf_dir, "documents"), vocabulary("byte"))

@@ -5,9 +5,11 @@
 2. Classes that agree on a band of the signature share a bucket. The smallest class of a bucket is its hub; only
    (class, hub) pairs are formed, so a bucket of m classes gives m - 1 of them.
 3. Pairs whose signatures are far from the threshold go; the others are confirmed on the full sets.
-4. Components of the confirmed links. A bucket that still holds several components is compared again, between components
-   only, in blocks of ``BLOCK`` signatures; what passes is confirmed like the rest. So no link between components is lost, and
-   links inside one, which change nothing, are never formed.
+4. Components of the confirmed links. In buckets that still hold several components, signatures are compared between components, in
+   blocks; what is near joins those components into a cluster, and a task passes on only the pairs that join something.
+5. Inside a cluster all links between different components are sought on the full sets, block against block. Counts of common
+   shingles come from a product of incidence matrices, and again only links that join components leave a task. So no link that matters is lost, and
+   pairs inside a component, or pairs that fail, are never written.
 
 With 32 bands of 4 rows a pair at similarity 0.8 shares no band with probability 5e-8; with 128 minima the estimate lies more than
 ``MARGIN`` below the truth with probability 1e-8.
@@ -33,7 +35,7 @@ from .common import filled, rows_of, staged, target_partitions
 from .components import star_components
 
 HASHES, BANDS = 128, 32
-BLOCK = 512
+BLOCK, SET_BLOCK = 512, 256
 MARGIN = 0.2
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _CHUNK = 2048
@@ -128,60 +130,132 @@ def _confirm(share: int):
     return run
 
 
+def sets_of(docs: DataFrame, classes: DataFrame, ids: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, data) with the full sets of the given classes, read from their representatives' texts."""
+    needed = staged(ids.join(classes.select("id", "set_key", "rep"), "id"), "needed")
+    reps = needed.select(F.col("rep").alias("__rep")).distinct()
+    texts = docs.select(id_col, text_col).join(reps, docs[id_col].eqNullSafe(reps["__rep"]), "left_semi")
+    sets = shingled(texts, width, with_sets=True, id_col=id_col, text_col=text_col).select("set_key", "data")
+    sets = sets.join(needed.select("id", "set_key"), "set_key").groupBy("id").agg(F.first("data").alias("data"))
+    return staged(sets, "sets")
+
+
 def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, share: int, width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The pairs (u, v) of class ids whose full sets are as similar as ``share`` percent."""
     signed = classes.select("id", "data")
     pairs = pairs.join(signed.select(F.col("id").alias("u"), F.col("data").alias("sig_u")), "u")
     pairs = pairs.join(signed.select(F.col("id").alias("v"), F.col("data").alias("sig_v")), "v")
     pairs = staged(pairs.select("u", "v", "sig_u", "sig_v").mapInArrow(_near(share / 100), "u long, v long"), "pairs")
-    needed = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct().join(classes.select("id", "set_key", "rep"), "id")
-    needed = staged(needed, "needed")
-    reps = needed.select(F.col("rep").alias("__rep")).distinct()
-    texts = docs.select(id_col, text_col).join(reps, docs[id_col].eqNullSafe(reps["__rep"]), "left_semi")
-    sets = shingled(texts, width, with_sets=True, id_col=id_col, text_col=text_col).select("set_key", "data")
-    sets = sets.join(needed.select("id", "set_key"), "set_key").groupBy("id").agg(F.first("data").alias("data"))
-    sets = staged(sets, "sets")
+    sets = sets_of(docs, classes, pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct(), width, id_col, text_col)
     full = pairs.join(sets.select(F.col("id").alias("u"), F.col("data").alias("set_u")), "u")
     full = full.join(sets.select(F.col("id").alias("v"), F.col("data").alias("set_v")), "v")
     return staged(full.select("u", "v", "set_u", "set_v").mapInArrow(_confirm(share), "u long, v long"), "links")
 
 
-def _between_blocks(threshold: float):
-    """Signature comparison of the two blocks of each (key, i, j); pairs of different components only."""
+def _blocked(members: DataFrame, group: str, block: int, classes: DataFrame) -> DataFrame:
+    """(group, id, comp) -> rows for every pair of blocks of every group: group, i, j, blk, id, comp; groups of one component are left out."""
+    mixed = members.groupBy(group).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).where("lo < hi")
+    mixed = mixed.select(group, F.ceil(F.col("m") / block).cast("int").alias("blocks"))
+    rows = members.join(mixed, group).withColumn("blk", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    rows = rows.select(F.col(group).alias("key"), F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"), "blk", "id", "comp")
+    return staged(rows.join(classes, "id"), "blocks")
+
+
+def _in_shares(rows: DataFrame, share_bytes: int = 1 << 25) -> DataFrame:
+    """Block pairs are dealt to shares of about ``share_bytes``, so that a task gets many small ones or a few large."""
+    total = rows.agg(F.sum(F.octet_length("data"))).first()[0] or 0
+    shares = max(target_partitions(rows.sparkSession), -(-total // share_bytes))
+    return rows.withColumn("share", F.pmod(F.xxhash64("key", "i", "j"), F.lit(shares))).groupBy("share")
+
+
+def _join_blocks(near_rows):
+    """Runs over block pairs. ``near_rows(first, second)`` gives, row by row of the first, a function that tells which of some rows of the second are near.
+
+    A pair is looked at only while its components are apart, and passed on only if it joins them.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         us, vs = [], []
-        data = np.frombuffer(b"".join(table.column("data").to_pylist()), "<u4").reshape(table.num_rows, -1)
+        data = table.column("data").to_pylist()
         key, i, j, blk, ids, comp = (table.column(c).to_numpy() for c in ("key", "i", "j", "blk", "id", "comp"))
         order = np.lexsort((ids, j, i, key))
         cut = np.flatnonzero(np.any(np.stack([np.diff(x[order]) != 0 for x in (key, i, j)]), axis=0)) + 1
         for rows in np.split(order, cut):
             first, second = rows[blk[rows] == i[rows[0]]], rows[blk[rows] == j[rows[0]]]
-            for r in first:
-                others = second[(comp[second] != comp[r]) & (ids[second] > ids[r])] if i[r] == j[r] else second[comp[second] != comp[r]]
-                near = others[(data[others] == data[r]).mean(axis=1) >= threshold - MARGIN] if len(others) else others
-                us.append(np.maximum(ids[near], ids[r]))
-                vs.append(np.minimum(ids[near], ids[r]))
-        flat = lambda xs: pa.array(np.concatenate(xs) if xs else np.empty(0, np.int64), pa.int64())
-        return pa.table({"u": flat(us), "v": flat(vs)})
+            mine, theirs = comp[first].copy(), comp[second].copy()
+            if (comp[rows] == comp[rows[0]]).all():
+                continue
+            near = near_rows([data[r] for r in first], [data[r] for r in second])
+            for a in range(len(first)):
+                apart = np.flatnonzero(theirs != mine[a])
+                if not len(apart):
+                    continue
+                for b in apart[near(a, apart)]:
+                    old = theirs[b]
+                    if old != mine[a]:
+                        us.append(max(ids[first[a]], ids[second[b]]))
+                        vs.append(min(ids[first[a]], ids[second[b]]))
+                        new = mine[a]
+                        mine[mine == old] = new
+                        theirs[theirs == old] = new
+        return pa.table({"u": pa.array(us, pa.int64()), "v": pa.array(vs, pa.int64())})
 
     return run
 
 
-def _across(members: DataFrame, classes: DataFrame, labels: DataFrame, share: int) -> DataFrame:
-    """Candidate pairs between components that meet in a bucket."""
-    spark = members.sparkSession
-    comp = members.join(labels.select(F.col("u").alias("id"), F.col("v").alias("comp")), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    comp = staged(comp.select("key", "id", "comp"), "members")
-    mixed = comp.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).where("lo < hi")
-    mixed = mixed.select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    rows = comp.join(mixed, "key").withColumn("blk", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    rows = rows.select("key", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"), "blk", "id", "comp")
-    rows = staged(rows.join(classes.select("id", "data"), "id"), "blocks")
-    shares = max(target_partitions(spark), -(-rows.count() // 8192))
-    rows = rows.withColumn("share", F.pmod(F.xxhash64("key", "i", "j"), F.lit(shares)))
-    return rows.groupBy("share").applyInArrow(_between_blocks(share / 100), "u long, v long").distinct()
+def _by_signature(threshold: float):
+    def near_rows(first: list[bytes], second: list[bytes]):
+        a, b = (np.frombuffer(b"".join(x), "<u4").reshape(len(x), -1) for x in (first, second))
+        return lambda row, others: (b[others] == a[row]).mean(axis=1) >= threshold - MARGIN
+
+    return near_rows
+
+
+def _by_set(share: int, columns: int = 1 << 13):
+    def near_rows(first: list[bytes], second: list[bytes]):
+        a, b = ([np.frombuffer(x, "<u8") for x in side] for side in (first, second))
+        na, nb = (np.array([len(x) for x in side]) for side in (a, b))
+        values, column, seen = np.unique(np.concatenate(a + b), return_inverse=True, return_counts=True)
+        place = np.where(seen > 1, np.cumsum(seen > 1) - 1, -1)[column]  # what one set alone holds is in no intersection
+        row = np.repeat(np.arange(len(a) + len(b)), np.concatenate([na, nb]))
+        row, place = row[place >= 0], place[place >= 0]
+        order = np.argsort(place, kind="stable")
+        row, place = row[order], place[order]
+        both = np.zeros((len(a), len(b)), np.float64)
+        for at in range(0, int(place[-1]) + 1 if len(place) else 0, columns):
+            part = slice(*np.searchsorted(place, (at, at + columns)))
+            held = np.zeros((len(a) + len(b), columns), np.float32)
+            held[row[part], place[part] - at] = 1
+            both += held[: len(a)] @ held[len(a) :].T
+        linked = 100 * both >= share * (na[:, None] + nb[None] - both) - 1e-6
+        return lambda row, others: linked[row, others]
+
+    return near_rows
+
+
+def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    comp = members.join(labels.select(F.col("u").alias("id"), F.col("v").alias("comp")), "id", "left")
+    return comp.withColumn("comp", F.coalesce("comp", "id"))
+
+
+def joined_across(docs: DataFrame, classes: DataFrame, members: DataFrame, labels: DataFrame, share: int, width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Links between components that meet in a bucket, enough of them to join what belongs together."""
+    met = staged(_labelled(members, labels).select("key", "id", "comp"), "members")
+    rows = _blocked(met, "key", BLOCK, classes.select("id", "data"))
+    near = staged(_in_shares(rows).applyInArrow(_join_blocks(_by_signature(share / 100)), "u long, v long").distinct(), "near")
+    if near.isEmpty():
+        return near
+    whole = labels.select("u", "v").unionByName(near)
+    clusters = star_components(whole)
+    ids = clusters.select(F.col("u").alias("id"), F.col("v").alias("cluster"))
+    ids = ids.unionByName(clusters.select(F.col("v").alias("id"), F.col("v").alias("cluster")).distinct())
+    inside = staged(_labelled(ids, labels).select("cluster", "id", "comp"), "inside")
+    mixed = inside.groupBy("cluster").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("cluster")
+    inside = staged(inside.join(mixed, "cluster"), "inside")
+    sets = sets_of(docs, classes, inside.select("id"), width, id_col, text_col)
+    rows = _blocked(inside, "cluster", SET_BLOCK, sets)
+    return staged(_in_shares(rows).applyInArrow(_join_blocks(_by_set(share)), "u long, v long").distinct(), "links")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, share: int = 80, id_col: str = "doc_id", text_col: str = "text", hashes: int = HASHES, bands: int = BANDS) -> DataFrame:
@@ -199,9 +273,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, share: int = 80, id_col: st
     stars = members.where("id <> hub").select(F.col("id").alias("u"), F.col("hub").alias("v")).distinct()
     links = confirmed(docs, classes, stars, share, width, id_col, text_col)
     labels = star_components(links)
-    across = staged(_across(members.select("key", "id"), classes, labels, share), "across")
-    if not across.isEmpty():
-        labels = star_components(labels.unionByName(confirmed(docs, classes, across, share, width, id_col, text_col)))
+    more = joined_across(docs, classes, members.select("key", "id"), labels, share, width, id_col, text_col)
+    if not more.isEmpty():
+        labels = star_components(labels.unionByName(more))
 
     named = classes.select("id", "set_key", "rep").join(labels.select(F.col("u").alias("id"), F.col("v").alias("comp")), "id", "left")
     named = staged(named.select("set_key", "rep", F.coalesce("comp", "id").alias("comp")), "named")

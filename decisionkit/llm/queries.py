@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, licenses, near, packing, pii, toxicity
+from . import ann, bpe, exact, licenses, near, packing, pii, toxicity, warc, webtext
 from .common import read
 
 QUERIES, ORACLES = {}, {}
@@ -71,3 +71,28 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_bpe")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read(spark, sf_dir, "documents"), vocabulary("byte"))
+
+
+@query("op5_nearest_vectors")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query(
+    "op7_warc_revisits",
+    """
+WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+r AS (SELECT page_id, CAST(octet_length(encode(t)) AS BIGINT) AS payload_bytes, sha1(t) AS payload_digest,
+  max(page_id) OVER (PARTITION BY t) AS original FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> original THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> original THEN original END AS refers_to
+FROM r""",
+)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(read(spark, sf_dir, "pages"))
+
+
+@query("op10_main_text")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return webtext.main_text(read(spark, sf_dir, "pages"))

@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import filled, staged
 from .wordids import word_ids
@@ -245,5 +246,5 @@ def packed(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most ``capacity`` rows
     runs, _ = linear_grouping(counts, capacity, groups)
     rows = ranked(pieces).select(*pieces.columns, "rank")
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id long, offset long"
+    schema = T.StructType(list(pieces.schema)).add("sequence_id", "long").add("offset", "long")
     return rows.mapInArrow(_placed(runs), schema)

@@ -1,0 +1,272 @@
+"""Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing column names."""
+
+import random
+
+import numpy as np
+import pytest
+
+from decisionkit.llm import ann, bpe, components, exact, licenses, near, packing, pii, toxicity, warc, webtext, wordids
+from decisionkit.llm.common import rows_of  # noqa: F401
+from decisionkit.llm.queries import vocabulary
+from tests.llm import brute
+
+LONG = " ".join(f"w{k % 977}" for k in range(60_000))
+ROWS = [(1, "a b  c", "x"), (1, "a b  c", "x"), (1, "other words here now", "y"), (2, "a b\tc", None), (None, "a b c", "z"), (None, None, None), (3, "", "q"), (4, LONG, "l"), (5, LONG + " tail", "l")]
+SCHEMA = "doc_id long, text string, key string, score string, words string, n int, kept int, component_id long, spans string, lang string, label string"
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return spark.createDataFrame([(i, t, c, *[None] * 8) for i, t, c in ROWS], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def test_exact(odd, none):
+    got = sorted(((r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in exact.exact_duplicates(odd, block_bytes=16).collect()), key=str)
+    want = [(1, 1, 4, True), (1, 1, 4, False), (2, 1, 4, False), (None, 1, 4, False), (1, 1, 1, True), (None, 3, 2, False), (3, 3, 2, True), (4, 4, 1, True), (5, 5, 1, True)]
+    assert got == sorted(want, key=str)
+    assert exact.exact_duplicates(none).count() == 0
+    kept = exact.keep_distinct(odd)
+    assert kept.columns == odd.columns and kept.count() == 5
+
+
+def test_blocks_of_any_size_give_the_same_groups(spark):
+    draw = random.Random(4)
+    rows = [(i, "".join(draw.choice("ab ") for _ in range(draw.randrange(0, 12)))) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    groups = {b: {(r["doc_id"], r["keep_id"]) for r in exact.exact_duplicates(docs, block_bytes=b).collect()} for b in (1, 3, 64)}
+    assert groups[1] == groups[3] == groups[64]
+
+
+def test_near(odd, none):
+    got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in near.near_duplicates(odd, 4).collect()), key=str)
+    n = len(brute.shingles(LONG, 4))
+    assert got == sorted([(1, 1, 1), (1, 1, 1), (1, 1, 1), (2, 1, 1), (None, 1, 1), (None, 0, None), (3, 0, 3), (4, n, 4), (5, n + 1, 4)], key=str)
+    assert near.near_duplicates(none).count() == 0
+    assert near.keep_one_of_each(odd).columns == odd.columns
+
+
+def test_near_copies_around_a_centre(spark):
+    """Variants that reach the threshold with their centre only; the centre has the largest id, so no hub is central."""
+    draw = random.Random(7)
+    base = [f"w{k}" for k in range(300)]
+    rows = []
+    for i in range(40):
+        words = list(base)
+        for at in draw.sample(range(300), 9):
+            words[at] = f"v{i}x{at}"
+        rows.append((i, " ".join(words)))
+    rows += [(99, " ".join(base)), (100, " ".join(f"z{k}" for k in range(50)))]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 4).collect()}
+    assert got == brute.near(rows, 4, 80)
+
+
+def test_set_products_count_exactly():
+    draw = np.random.default_rng(3)
+    sets = [np.unique(draw.integers(0, 60, 40).astype("<u8")) for _ in range(30)]
+    near_row = near._by_set(50, columns=7)([x.tobytes() for x in sets], [x.tobytes() for x in sets])
+    for a in range(30):
+        both = np.array([len(np.intersect1d(sets[a], s)) for s in sets])
+        union = np.array([len(np.union1d(sets[a], s)) for s in sets])
+        assert (near_row(a, np.arange(30)) == (100 * both >= 50 * union)).all()
+
+
+def test_components(spark):
+    draw = random.Random(2)
+    edges = [(draw.randrange(200), draw.randrange(200)) for _ in range(150)] + [(k, k + 1) for k in range(300, 340)] + [(500, k) for k in range(501, 560)]
+    got = {r["u"]: r["v"] for r in components.star_components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    root = {x: x for e in edges for x in e}
+    for _ in range(400):
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    assert {x: got.get(x, x) for x in root} == root
+
+
+def test_licenses(odd, none, spark):
+    assert licenses.license_scan(none).count() == 0
+    text = "MIT License mit-license; the General  Public\nLicense é Apache license. " + "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software"
+    docs = spark.createDataFrame([(1, text), (2, None), (2, "public license"), (2, "public license"), (3, LONG + " mit license")], "doc_id long, text string")
+    got = sorted(licenses.license_scan(docs).collect(), key=lambda r: (r["doc_id"], r["n_words"]))
+    for r, (i, t) in zip(got, sorted([(1, text), (2, ""), (2, "public license"), (2, "public license"), (3, LONG + " mit license")], key=lambda x: (x[0], len(x[1])))):
+        assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) == brute.licenses([(i, t)])[i]
+
+
+def test_personal_data(odd, none, spark):
+    assert pii.personal_data(none).count() == 0 and len(pii.personal_data(odd).collect()) == len(ROWS)
+    texts = [
+        "a@b.c%d@e.f..x@y.z. 1.2.3.4.5.6.7.8 300.1.1.1 0001.2.3.004",
+        "4111 1111 1111 1111, 4111-1111-1111-1112 41111111111111111111 +1 (456) 555-2186+44 20 7946 0958 +12",
+        "é 😀 x@y.example\n+49(30)1234567. 5500005555555559 " + "9" * 400 + ".1.1.1 a@" + "b." * 3000 + "c",
+        "@ + 1.1.1 a@b",
+    ]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(0, texts[0]), (0, "me@here.org"), (None, "me@here.org"), (7, None)]
+    got = [r.asDict() for r in pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    want = sorted(str((i, *brute.personal([(i, t)])[i][:5])) for i, t in rows)
+    assert sorted(str((r["doc_id"], r["n_email"], r["n_ip"], r["n_card"], r["n_phone"], r["base_sha256"])) for r in got) == want
+    clean = pii.redacted(spark.createDataFrame([(i, t, "k") for i, t in rows], "doc_id long, text string, key string")).collect()
+    assert len(clean) == len(rows) and all(not brute.personal([(r["doc_id"], r["text"])])[r["doc_id"]][5] for r in clean)
+    assert next(r["text"] for r in clean if r["doc_id"] is None) == "<email>" and next(r for r in clean if r["doc_id"] == 7)["text"] is None
+
+
+def test_packing(odd, none):
+    assert packing.packed(none, vocabulary("word")).count() == 0
+    got = packing.packed(odd, vocabulary("word"), capacity=64).collect()
+    starts = {}
+    for r in got:
+        starts.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    assert all(sum(n for _, n in p) <= 64 and sorted(p)[0][0] == 0 for p in starts.values())
+    assert sum(r["length"] == 1 for r in got if r["doc_id"] in (None, 3)) == 2
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_grouping_places_every_rank_once(seed):
+    draw = random.Random(seed)
+    counts = {draw.randrange(1, 129): draw.randrange(1, 400) for _ in range(draw.randrange(1, 90))}
+    runs, sequences = packing.linear_grouping(counts, capacity=128, groups=12)
+    room, ranks = [[] for _ in range(sequences)], {x: [] for x in counts}
+    for x, rank, n, each, first, offset in runs:
+        ranks[x] += range(rank, rank + n)
+        for k in range(n):
+            room[first + k // each].append((offset + k % each * x, x))
+    assert {x: sorted(r) for x, r in ranks.items()} == {x: list(range(n)) for x, n in counts.items()}
+    for parts in map(sorted, room):
+        assert parts and all(o == sum(x for _, x in parts[:k]) for k, (o, _) in enumerate(parts)) and sum(x for _, x in parts) <= 128
+
+
+def test_word_ids_equal_the_tokenizer():
+    words = wordids.WordIds(vocabulary("word"))
+    for text in ["", " \n", "Straße ÉÀ ΣΑΣ İstanbul ǅ don't I'LL <|endoftext|>x a b\x85c\x1cd　日本語 x̀ ½ ² ª × ÷ ĳ ŉ 'S ''ve", LONG[:3000], "a" * 5000, "._-#" * 900]:
+        assert np.frombuffer(b"".join(words.stream(text.encode())), "<u4").tolist() == words.whole.encode(text, add_special_tokens=False).ids
+
+
+@pytest.fixture(scope="module")
+def coder():
+    return bpe.ByteBpe(vocabulary("byte"))
+
+
+def test_transducer_equals_the_tokenizer(coder, monkeypatch):
+    from tokenizers import Tokenizer
+
+    whole, draw = Tokenizer.from_file(vocabulary("byte")), random.Random(1)
+    letters = list("ab 's't'll  \n\n\t.,!?'-_12²é日本　\xa0\x85\x1c ​😀ЖΣ́") + ["<|endoftext|>", "<|endof", "text|>", " the", " and"]
+    texts = ["".join(draw.choice(letters) for _ in range(draw.randrange(60))) for _ in range(600)]
+    monkeypatch.setattr(bpe, "PART", 1 << 10)
+    monkeypatch.setattr(bpe, "RUN", 1 << 7)
+    for base in ("a", "the", "aaab", " ", "\n", " \n", "!", "'", "!'s", "é", "日", "12", "Ж ", "́", "thatisthe"):
+        texts += [base * (5000 // len(base)), "x " + base * (3100 // len(base)) + " tail <|endoftext|> z"]
+    for text in texts:
+        ids = np.frombuffer(b"".join(coder.encode(text)), "<u4").tolist()
+        assert ids == whole.encode(text, add_special_tokens=False).ids, text[:80]
+        assert "".join(coder.decode([ids[:1], ids[1:]])) == whole.decode(ids, skip_special_tokens=False)
+
+
+def test_lookahead_holds(coder):
+    """Tokens that end a lookahead before a cut do not depend on what follows it."""
+    draw, tokens = random.Random(5), [t for t in coder.ids if t.isalpha()]
+    for _ in range(60):
+        body = b"".join(draw.choice(tokens) for _ in range(200))
+        cut = draw.randrange(coder.lookahead + 1, len(body))
+        ids, size = coder.stable(body[:cut])
+        assert coder.merged(body)[: len(ids)] == ids and size <= cut - coder.lookahead
+
+
+def test_broken_bytes_decode_to_replacement(coder):
+    ids = [coder.ids[bytes([b])] for b in "é".encode()[:1] + b"a" + "日".encode()[:2]]
+    assert "".join(coder.decode([[i] for i in ids])) == "�a�"
+
+
+def test_round_trip_rows(odd, none):
+    assert bpe.round_trip(none, vocabulary("byte")).count() == 0
+    ids = bpe.encoded(odd, vocabulary("byte"))
+    back = sorted(((r["doc_id"], r["text"]) for r in bpe.decoded(ids, vocabulary("byte")).collect()), key=str)
+    assert back == sorted(((i, t or "") for i, t, _ in ROWS), key=str)
+
+
+def test_toxicity(odd, none, spark):
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    assert toxicity.toxicity(none, labels).count() == 0
+    got = toxicity.toxicity(odd, labels).collect()
+    assert len(got) == len(ROWS) and all(0 <= r["score"] < 0.01 and r["predicted"] == 0 for r in got)
+    draw = random.Random(3)
+    text = lambda bad: " ".join([draw.choice(["the", "of", "and", "to", "in"]) for _ in range(30)] + ["vileness", "vilely"][: 2 * bad])
+    rows = [(k, text(k % 4 == 0), "en" if k % 3 else None) for k in range(600)]
+    docs = spark.createDataFrame(rows + [(None, "vileness", "xx")], "doc_id long, text string, lang string")
+    marks = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(600)] + [(3, None), (None, 1)], "doc_id long, toxic int")
+    got = toxicity.toxicity(docs, marks).collect()
+    aside = [r for r in got if r["held_out"]]
+    assert all(r["predicted"] == (r["doc_id"] % 4 == 0) for r in aside) and len(aside) > 100
+    kept = toxicity.keep_acceptable(docs, marks)
+    assert kept.columns == docs.columns and {r["doc_id"] % 4 for r in kept.where("doc_id is not null").collect()} == {1, 2, 3}
+
+
+def test_chunks_do_not_change_a_score(monkeypatch):
+    model = toxicity._initial(toxicity.WIDTHS, 512, 4, 4, 1)
+    words = [f"w{k % 211}".encode() for k in range(900)]
+    whole = toxicity.Reader(model).maxima(words)
+    monkeypatch.setattr(toxicity, "CHUNK", 64)
+    monkeypatch.setattr(toxicity, "CACHED", 8)
+    assert np.allclose(whole, toxicity.Reader(model).maxima(words))
+
+
+PAGE = "<html><head><title>t</title></head><body><nav><a>menu</a></nav>{}<footer>foot</footer></body></html>"
+
+
+def test_main_text(spark):
+    cases = {
+        None: "",
+        "": "",
+        "plain &amp; simple": "plain & simple",
+        "<p>a\n b<br>c<p>d &lt;x&gt;&nbsp;&#233;<script>if (a<b) '</p>'</script><div class='ad'>buy</div><!-- c --><div>e": "a b c\nd <x> é\ne",
+        PAGE.format("<article><header><h1>T</h1></header><p>x</p><aside>s</aside><section class='comments'><article>r</article></section></article><p>out</p>"): "T\nx",
+        "<nav><ul><li>m<article><p>kept</p></article>": "kept",
+        "<p title='a>b' class=x>q</p><form><p>f</p></form><p>z": "q\nz",
+        "<div id=cookie-notice>c</div><p>1 < 2 and <b>bold</b></p>": "1 < 2 and bold",
+    }
+    rows = [(k, f"http://h{k}.org/a", h, "t", 1) for k, h in enumerate(cases)]
+    got = {r["page_id"]: r for r in webtext.main_text(spark.createDataFrame(rows, "page_id long, url string, html string, text string, host int")).collect()}
+    assert [got[k]["text"] for k in range(len(cases))] == list(cases.values()) and all(r["n_chars"] == len(r["text"]) for r in got.values())
+    assert webtext.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_differencing(spark):
+    page = lambda k: f"<div>Site name</div><div>Home</div><p>Story {k} begins</p><p>and ends {k}</p><div>Contact us</div>"
+    rows = [(k, f"https://h.org/news/{k}", page(k)) for k in range(6)] + [(6, "https://h.org/copy/1", "<p>same"), (7, "https://h.org/copy/2", "<p>same"), (8, None, "<p>alone")]
+    got = {r["page_id"]: r["text"] for r in webtext.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)).collect()}
+    assert [got[k] for k in range(1, 5)] == [f"Story {k} begins\nand ends {k}" for k in range(1, 5)] and got[6] == got[7] == "same" and got[8] == "alone"
+
+
+def test_common_lines():
+    draw = np.random.default_rng(0)
+    for _ in range(60):
+        a, b = draw.integers(0, 6, draw.integers(0, 25)), draw.integers(0, 6, draw.integers(0, 25))
+        table = np.zeros((len(a) + 1, len(b) + 1), int)
+        for i in range(len(a)):
+            for j in range(len(b)):
+                table[i + 1, j + 1] = table[i, j] + 1 if a[i] == b[j] else max(table[i, j + 1], table[i + 1, j])
+        for cells in (1 << 20, 30):
+            pairs = webtext.common_lines(a, b, cells)
+            assert len(pairs) == table[-1, -1] and all(a[i] == b[j] for i, j in pairs) and pairs == sorted(pairs) and len({j for _, j in pairs}) == len(pairs)
+
+
+def test_warc(spark):
+    body, tricky = "x" * 1200, "é\r\n\r\nWARC/1.1\r\nContent-Length: 3\r\n\r\n" + "y" * 1100
+    rows = [(1, "http://a/1", body), (5, "http://a/5\r\nX: y", body), (3, None, body), (None, "u", body), (7, "u", "short"), (8, "u", "short"), (9, "u", None), (10, "u", tricky), (11, "u", tricky), (11, "u", tricky)]
+    pages = spark.createDataFrame([(*r, "d") for r in rows], "page_id long, url string, html string, digest string")
+    got = sorted(((r["page_id"], r["payload_bytes"], r["record_type"], r["refers_to"]) for r in warc.archived(pages).collect()), key=str)
+    n = len(tricky.encode())
+    want = [(1, 1200, "revisit", 5), (5, 1200, "response", None), (3, 1200, "revisit", 5), (None, 1200, "revisit", 5), (7, 5, "response", None), (8, 5, "response", None), (9, 0, "response", None), (10, n, "revisit", 11)] + [(11, n, "response", None)] * 2
+    assert got == sorted(want, key=str)
+    assert warc.archived(spark.createDataFrame([], pages.schema)).count() == 0
+
+
+def test_nearest(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [0.0, 1.0]), (0, [0.0, 1.0]), (1, [0.0, 2.0]), (2, [1.0, 1.0]), (3, [0.0, 0.0]), (4, None), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [None, 1.0]), (8, [1.0]), (100, [0.0, 1.0]), (None, [1.0, 1.0])]
+    table = spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<float>, rank int")
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in ann.nearest(table, "vec_id % 100 = 0").collect()}
+    assert got == {(0, 1): (100, 0.0), (0, 2): (1, 1.0), (0, 3): (2, 1.0), (100, 1): (0, 0.0), (100, 2): (1, 1.0), (100, 3): (2, 1.0)}
+    assert ann.nearest(spark.createDataFrame([], table.schema), "vec_id % 100 = 0").count() == 0

@@ -27,6 +27,16 @@ def hash_order(seed: int | str, *keys: str | Column) -> Column:
     return hex_slice(hex_digest(seed, *keys), 1, 8)
 
 
+def hash_long(seed: int | str, *keys: str | Column) -> Column:
+    """A 60-bit hash as BIGINT, for draws among more than 2^32 ranks."""
+    return hex_slice(hex_digest(seed, *keys), 1, 15)
+
+
+def hash_fraction(seed: int | str, *keys: str | Column) -> Column:
+    """A uniform draw in [0, 1) with all 52 bits a double holds."""
+    return hex_slice(hex_digest(seed, *keys), 1, 13) / F.lit(float(2**52))
+
+
 def hash_unit(seed: int | str, *keys: str | Column) -> Column:
     """A uniform draw in [0, 1) from the same hash."""
     return hash_order(seed, *keys) / F.lit(float(2**HASH_BITS))

@@ -10,13 +10,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import hash_order, hash_unit
+from ..functions.hashing import hash_fraction, hash_long
 from ..functions.scalars import r6, ratio
 from ..session import staged
 from .neighbors import knn_join, neighbour_rows
 
 SAMPLE = 256
-POOL = 64 * SAMPLE
 
 
 def scale_columns(train: DataFrame, columns: Sequence[str]) -> Column:
@@ -82,18 +81,20 @@ def _grow(sample: np.ndarray, seed: int) -> list[tuple]:
 
 
 def fit_isolation_forest(train: DataFrame, trees: int, key: str = "id", vector: str = "vector", seed: int = 42) -> DataFrame:
-    """Node table (tree, node, feature, cut, left, right, path); each tree sees at most 256 hash-chosen rows.
+    """Node table (tree, node, feature, cut, left, right, path); each tree sees at most SAMPLE hash-chosen rows of the whole table.
 
-    The rows come from a hash sample of the whole table, so the work after one scan does not grow with it.
+    A row meets each tree with probability ``wanted / n``. Where that makes fewer meetings than rows, one hash thins the rows to those that
+    meet any tree, and a second one tells which; so only the chosen rows are copied or shuffled.
     """
-    pool = train.orderBy(hash_order(seed, key), key).limit(POOL).select(key, vector)
-    pool = staged(pool, "pool")
-    size = pool.agg(F.count(F.lit(1))).scalar()
-    drawn = (
-        pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-        .withColumn("_u", hash_unit(seed + 1, "tree", key))
-        .filter(F.col("_u") * size < 1.5 * SAMPLE)
-    )
+    wanted = 1.5 * SAMPLE
+    rows = train.select(key, vector)
+    n = max(rows.count(), 1)
+    if trees * wanted < n:
+        kept = rows.filter(hash_fraction(seed, key) < trees * wanted / n)
+        drawn = kept.withColumn("tree", (hash_long(seed + 2, key) % trees).cast("int")).withColumn("_u", hash_fraction(seed + 1, key))
+    else:
+        drawn = rows.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+        drawn = drawn.withColumn("_u", hash_fraction(seed + 1, "tree", key)).filter(F.col("_u") * n < wanted)
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         chosen = pdf.sort_values(["_u", key]).head(SAMPLE)

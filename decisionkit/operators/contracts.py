@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 from ..functions.scalars import r6
 from .ordered import group_sizes
 
-# Documented month names.
-MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 PREDICTION_FEATURES = {
     # feature -> known at the prediction moment
     "age": True, "job": True, "balance": True, "contact": True, "day": True, "month": True,
@@ -40,13 +38,13 @@ def column_set(columns: Iterable[str], required: Iterable[str], exact: bool = Fa
 def require_columns(df: DataFrame, required: Iterable[str], exact: bool = False) -> DataFrame:
     missing, extra = column_set(df.columns, required, exact)
     if missing or extra:
-        raise ValueError(f"schema mismatch; missing={missing}, extra={extra}")
+        raise ValueError(f"columns differ from the contract: missing={missing} extra={extra}")
     return df
 
 
 def require_rows(df: DataFrame) -> DataFrame:
     if df.isEmpty():
-        raise ValueError("batch must contain at least one row")
+        raise ValueError("nothing to check: the batch is empty")
     return df
 
 
@@ -197,10 +195,10 @@ def mean_shift(df: DataFrame, batch: str, column: str, limit: float) -> DataFram
 def contact_rules(age_low: int = 18, age_high: int = 100) -> list[Rule]:
     """The value contract of the contact frame."""
     return [
-        Rule("target is binary and non-null", bad_label("y")),
-        Rule(f"age is between {age_low} and {age_high}", out_of_range("age", age_low, age_high)),
-        Rule("day is between 1 and 31", out_of_range("day", 1, 31)),
-        Rule("month is documented", not_in_vocabulary("month", range(1, 13), nulls_allowed=False)),
-        Rule("pdays is -1 or non-negative", not_sentinel_or_range("pdays")),
-        Rule("campaign is at least one", out_of_range("campaign", 1)),
+        Rule("label known as 0 or 1", bad_label("y")),
+        Rule(f"age within {age_low}..{age_high}", out_of_range("age", age_low, age_high)),
+        Rule("calendar day exists", out_of_range("day", 1, 31)),
+        Rule("calendar month exists", not_in_vocabulary("month", range(1, 13), nulls_allowed=False)),
+        Rule("gap counted in days or marked -1", not_sentinel_or_range("pdays")),
+        Rule("attempt number starts at 1", out_of_range("campaign", 1)),
     ]

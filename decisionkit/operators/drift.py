@@ -15,7 +15,7 @@ from ..functions.scalars import r6
 from ..session import staged
 from .ordered import match_keys
 from .quantiles import bin_left_closed, exact_quantiles, ordered_distinct
-from .resampling import with_replicates
+from .resampling import bootstrap_totals
 
 FLOOR = 1e-6
 PSI_WARN, PSI_CRITICAL = 0.10, 0.25
@@ -160,26 +160,22 @@ def chi_square_tail(table: DataFrame) -> DataFrame:
     Even df is a Poisson tail. Odd df starts from the normal tail, which a rational approximation
     (absolute error below 1.5e-7) provides.
     """
-    half = F.col("chi2") / 2.0
+    half = F.greatest(F.col("chi2") / 2.0, F.lit(1e-300))
     z = F.sqrt(half)
     t = 1.0 / (1.0 + 0.3275911 * z)
     # Published coefficients of the error-function approximation.
     poly = t * (0.254829592 + t * (-0.284496736 + t * (1.421413741 + t * (-1.453152027 + t * 1.061405429))))
     normal_tail = poly * F.exp(-half)
     steps = F.floor(F.col("df") / 2).cast("int")
-    even = F.aggregate(
-        F.sequence(F.lit(1), F.greatest(steps, F.lit(1))),
-        F.struct(F.exp(-half).alias("term"), F.lit(0.0).alias("total")),
-        lambda s, i: F.struct((s["term"] * half / i).alias("term"), (s["total"] + s["term"]).alias("total")),
-    )["total"]
-    odd = F.aggregate(
-        F.sequence(F.lit(0), steps),
-        F.struct((2.0 * z / F.sqrt(F.lit(3.141592653589793)) * F.exp(-half)).alias("term"), normal_tail.alias("total")),
-        lambda s, i: F.when(
-            i < steps,
-            F.struct((s["term"] * half / (i + 1.5)).alias("term"), (s["total"] + s["term"]).alias("total")),
-        ).otherwise(s),
-    )["total"]
+
+    def tail(first: Column, start: Column, shift: float) -> Column:
+        """Sum of ``steps`` terms; each is kept as its logarithm, for the first ones may be too small for a double."""
+        zero = F.struct(first.alias("log_term"), start.alias("total"))
+        grown = lambda s, i: F.struct((s["log_term"] + F.ln(half / (i + shift))).alias("log_term"), (s["total"] + F.exp(s["log_term"])).alias("total"))
+        return F.when(steps < 1, start).otherwise(F.aggregate(F.sequence(F.lit(1), F.greatest(steps, F.lit(1))), zero, grown)["total"])
+
+    even = tail(-half, F.lit(0.0), 0.0)
+    odd = tail(F.ln(2.0 * z / F.sqrt(F.lit(3.141592653589793))) - half, normal_tail, 0.5)
     p = F.when(F.col("df") < 1, 1.0).when(F.col("df") % 2 == 0, even).otherwise(odd)
     return table.withColumn("p_value", r6(F.greatest(F.least(p, F.lit(1.0)), F.lit(0.0))))
 
@@ -210,9 +206,7 @@ def psi_control_limit(tidy: DataFrame, key: str, replicates: int, level: float =
     reference = tidy.filter("part = 'ref'")
     edges = reference_edges(reference)
     rows = binned(reference, edges).select(key, "feature", "bin")
-    drawn = with_replicates(rows, key, replicates, "limits").groupBy("feature", "replicate", "bin").agg(
-        F.sum("weight").alias("_w")
-    )
+    drawn = bootstrap_totals(rows, key, replicates, {"_w": F.lit(1)}, "limits", by=["feature", "bin"]).filter("_w > 0")
     base = rows.groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("_n"))
     per = Window.partitionBy("feature", "replicate")
     p_all = Window.partitionBy("feature")

@@ -146,15 +146,21 @@ def out_of_fold_target(df: DataFrame, category: str, label: str, folds: int) ->
     return apply_state(df, state, [category])
 
 
-def text_bucket(text: Column) -> Column:
-    """A monotone bucket of text order: the code points of the first two characters."""
-    return F.ascii(text).cast("bigint") * F.lit(2**21) + F.ascii(F.substring(text, 2, 1))
+def with_text_bucket(levels: DataFrame, column: str, name: str, cuts: int = 255) -> DataFrame:
+    """Add a monotone bucket of text order: how many of a few hash-drawn levels are not above the text.
+
+    The draw only decides where the order is cut, so shared prefixes do no harm and the result never depends on it.
+    """
+    drawn = levels.filter(F.col(column).isNotNull()).orderBy(F.xxhash64(column), column).limit(cuts)
+    points = drawn.agg(F.array_sort(F.collect_list(column))).scalar()
+    work = levels.withColumn("_points", points)
+    return work.withColumn(name, F.size(F.filter("_points", lambda c: c <= F.col(column)))).drop("_points")
 
 
 def fit_ordinal(train: DataFrame, column: str) -> DataFrame:
-    """Index of each level in the sorted vocabulary; ordered in ranges of the first two characters."""
+    """Index of each level in the sorted vocabulary; ordered in ranges between drawn levels."""
     levels = train.filter(F.col(column).isNotNull()).select(column).distinct()
-    ranked = ordered_state(levels, [], [column], text_bucket(F.col(column)), rank="_rank")
+    ranked = ordered_state(with_text_bucket(levels, column, "_text"), [], [column], F.col("_text"), rank="_rank")
     return ranked.select(column, (F.col("_rank") - 1).alias("code"))
 
 
@@ -183,7 +189,8 @@ def encoded_names(df: DataFrame, numeric: Sequence[str], categorical: Sequence[s
     sources = F.create_map(*[x for i, c in enumerate(sorted({*numeric, *categorical})) for x in (F.lit(c), F.lit(i))])
     group = F.when(F.col("level").isNull(), 0).otherwise(len(numeric) + len(categorical)) + sources[F.col("source")]
     work = names.withColumns({"_group": group, "_level": F.coalesce("level", F.lit(""))})
-    bucket = F.col("_group").cast("bigint") * F.lit(2**42) + text_bucket(F.col("_level"))
+    work = with_text_bucket(work, "_level", "_text")
+    bucket = F.col("_group").cast("bigint") * F.lit(2**20) + F.col("_text")
     ranked = ordered_state(work, [], ["_group", "_level"], bucket, rank="_rank")
     return ranked.select("source", "level", "feature", (F.col("_rank") - 1).alias("position"))
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.hashing import hash_order, hash_unit
+from ..functions.hashing import hash_fraction, hash_long
 from ..session import staged
 from .neighbors import knn_join
 from .ordered import HOT_ROWS, group_sizes, match_keys
@@ -16,11 +16,9 @@ from .splits import stratum_rank
 
 def balanced_weights(df: DataFrame, label: str = "y", name: str = "weight") -> DataFrame:
     """n / (classes * n_c) on every row."""
-    sizes = group_sizes(df, [label], "_n")
-    state = sizes.select(
-        label,
-        (sizes.agg(F.sum("_n")).scalar() / (sizes.agg(F.count(F.lit(1))).scalar() * F.col("_n").cast("double"))).alias(name),
-    )
+    whole = Window.partitionBy()  # over the few classes, after one aggregate of the rows
+    share = F.sum("_n").over(whole) / (F.count(F.lit(1)).over(whole) * F.col("_n").cast("double"))
+    state = group_sizes(df, [label], "_n").select(label, share.alias(name))
     return match_keys(df, F.broadcast(state), [label])  # one row per class
 
 
@@ -41,7 +39,7 @@ def synthetic_slots(df: DataFrame, key: str, label: str = "y", minority: int = 1
     majority = df.filter(F.col(label) != minority).select(key)
     ranked = stratum_rank(majority, key, None, seed=17, rank="_rn", hot_rows=hot_rows)
     surplus = ranked.withColumn("_small", small).filter(F.col("_rn") > F.col("_small"))
-    base = hash_order(seed, key) % F.col("_small") + 1
+    base = hash_long(seed, key) % F.col("_small") + 1
     return surplus.select(F.col(key).alias("slot"), base.alias("base_rank"))
 
 
@@ -87,8 +85,8 @@ def smote(
     around = knn_join(small, small, k, key, vector, exclude_self=True, **knn).select(key, "neighbours")
     slots = synthetic_slots(df, key, label, minority, hot_rows=hot_rows)
     base = staged(small.join(around, key).drop(vector), "neighbours")
-    pick = F.col("neighbours")[(hash_order(29, "slot") % F.size("neighbours")).cast("int")]["id"]
-    chosen = slots.join(base, "base_rank").withColumn("neighbour", pick).withColumn("_u", hash_unit(31, "slot"))
+    pick = F.col("neighbours")[(hash_long(29, "slot") % F.size("neighbours")).cast("int")]["id"]
+    chosen = slots.join(base, "base_rank").withColumn("neighbour", pick).withColumn("_u", hash_fraction(31, "slot"))
     other = small.select(F.col(key).alias("neighbour"), *[F.col(c).alias(f"_o_{c}") for c in numeric])
     mixed = chosen.join(other, "neighbour")
     numbers = [(F.col(c) + F.col("_u") * (F.col(f"_o_{c}") - F.col(c))).cast("double").alias(c) for c in numeric]

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import r6, ratio, ratio_or_zero, row_brier, row_log_loss
@@ -58,29 +58,29 @@ def probability_columns(label: str = "y", score: str = "p") -> dict[str, Column]
 
 
 def score_counts(df: DataFrame, by: Sequence[str], label: str = "y", score: str = "p") -> DataFrame:
-    """(group, distinct score) -> positives and negatives; at most 1e6+1 rows per group for 6-digit scores."""
-    return df.groupBy(*by, F.round(F.col(score), 6).alias("p")).agg(
-        F.sum((F.col(label) == 1).cast("bigint")).alias("pos"),
-        F.sum((F.col(label) != 1).cast("bigint")).alias("neg"),
-    )
+    """(group, distinct score p) -> pos, neg, and both over lower scores (``_before``) and in the group (``_all``).
+
+    Scores are taken as they are, and ordered in ranges, so any number of distinct scores will do.
+    """
+    named = df.select(*by, F.col(score).alias("p"), F.col(label).alias("_label"))
+    totals = {"pos": (F.col("_label") == 1).cast("bigint"), "neg": (F.col("_label") != 1).cast("bigint")}
+    return ordered_distinct(named, by, "p", totals)
 
 
 def ranking_metrics(df: DataFrame, by: Sequence[str], label: str = "y", score: str = "p") -> DataFrame:
     """Tie-aware ROC-AUC and step-wise average precision per group."""
-    counts = score_counts(df, by, label, score)
-    whole = Window.partitionBy(*by)
-    down = whole.orderBy(F.col("p").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    curve = counts.select(
+    curve = score_counts(df, by, label, score).select(
         *by,
         "pos",
         "neg",
-        F.sum("pos").over(down).alias("tp"),
-        F.sum("neg").over(down).alias("fp"),
-        F.sum("pos").over(whole).alias("all_pos"),
-        F.sum("neg").over(whole).alias("all_neg"),
+        "neg_before",
+        (F.col("pos_all") - F.col("pos_before")).alias("tp"),
+        (F.col("neg_all") - F.col("neg_before")).alias("fp"),
+        F.col("pos_all").alias("all_pos"),
+        F.col("neg_all").alias("all_neg"),
     )
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
-    negatives_below = F.col("all_neg") - F.col("fp")
+    negatives_below = F.col("neg_before")
     return curve.groupBy(*by).agg(
         r6(
             ratio(

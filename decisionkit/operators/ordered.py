@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
-MAX_HOT_GROUPS = 100_000
 
 
 def match_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
@@ -34,12 +33,8 @@ def group_sizes(df: DataFrame, by: Sequence[str], name: str = "_size") -> DataFr
 
 
 def hot_groups(df: DataFrame, by: Sequence[str], hot_rows: int) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows: at most MAX_HOT_GROUPS of them, so they can be broadcast.
-
-    A key left out of the list is only ordered in one task; no result depends on the list.
-    """
-    sizes = group_sizes(df, by).filter(F.col("_size") > hot_rows)
-    return sizes.orderBy(F.col("_size").desc(), *by).limit(MAX_HOT_GROUPS)
+    """Keys with more than ``hot_rows`` rows. Their number is bounded by rows / hot_rows; the join picks its strategy by measured size."""
+    return group_sizes(df, by).filter(F.col("_size") > hot_rows)
 
 
 def ordered_state(
@@ -71,7 +66,7 @@ def ordered_state(
         bucket.cast("bigint").alias("_order_bucket"),
     )
     if by:
-        work = match_keys(work, F.broadcast(hot_groups(df, by, hot_rows)), by)
+        work = match_keys(work, hot_groups(df, by, hot_rows), by)
         hot = F.col("_size").isNotNull()
         work = work.withColumn("_bucket", F.when(hot, F.col("_order_bucket")).otherwise(F.lit(-1)))
         hot_part = work.filter(hot)

@@ -38,8 +38,8 @@ def cost_sensitivity(table: DataFrame, fn_costs: Sequence[float], fp_cost: float
 def score_cells(df: DataFrame, by: Sequence[str], label: str = "y", score: str = "p") -> DataFrame:
     """Distinct scores with their counts and the rows ranked above them."""
     counts = score_counts(df, by, label, score).withColumn("n", F.col("pos") + F.col("neg"))
-    above = Window.partitionBy(*by).orderBy(F.col("p").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    return counts.select("*", F.coalesce(F.sum("n").over(above), F.lit(0)).alias("n_above"))
+    above = F.col("pos_all") + F.col("neg_all") - F.col("pos_before") - F.col("neg_before") - F.col("n")
+    return counts.select(*by, "p", "pos", "neg", "n", above.alias("n_above"))
 
 
 def top_k_flags(df: DataFrame, k: Column, key: str, label: str = "y", score: str = "p") -> DataFrame:
@@ -56,22 +56,21 @@ def top_k_flags(df: DataFrame, k: Column, key: str, label: str = "y", score: str
     # No cut exists when k is 0 (nothing taken) or above the row count (everything taken).
     everything = k >= df.agg(F.count(F.lit(1))).scalar()
     work = df.withColumn("_cut", cut_score).withColumn("_room", room)
-    rounded = F.round(F.col(score), 6)
-    at_cut = F.coalesce(rounded == F.col("_cut"), F.lit(False))
+    at_cut = F.coalesce(F.col(score) == F.col("_cut"), F.lit(False))
     clear = work.filter(~at_cut).select(
-        *df.columns, F.coalesce(rounded > F.col("_cut"), everything).alias("taken")
+        *df.columns, F.coalesce(F.col(score) > F.col("_cut"), everything).alias("taken")
     )
     tied = work.filter(at_cut)
-    placed = ordered_state(tied, by=[], order=[key], bucket=tie_bucket(tied, key), rank="_place")
+    placed = ordered_state(with_tie_bucket(tied, key, "_tie"), by=[], order=[key], bucket=F.col("_tie"), rank="_place")
     return clear.unionByName(placed.select(*df.columns, (F.col("_place") <= F.col("_room")).alias("taken")))
 
 
-def tie_bucket(df: DataFrame, key: str, buckets: int = 1024) -> Column:
-    """Equal-width ranges of an integer key: a monotone bucket for ordering it in many tasks."""
-    low = df.agg(F.min(key)).scalar()
-    high = df.agg(F.max(key)).scalar()
-    width = F.greatest(F.ceil((high - low + 1) / F.lit(float(buckets))), F.lit(1))
-    return F.floor((F.col(key) - low) / width)
+def with_tie_bucket(df: DataFrame, key: str, name: str, buckets: int = 256) -> DataFrame:
+    """Add ranges of a numeric key that hold about as many rows each: a monotone bucket for ordering it in many tasks."""
+    points = ", ".join(f"{i / buckets}D" for i in range(1, buckets))
+    cuts = df.agg(F.percentile_approx(key, F.expr(f"array({points})"), 16 * buckets)).scalar()
+    work = df.withColumn("_cuts", cuts)
+    return work.withColumn(name, F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col(key))), F.lit(0))).drop("_cuts")
 
 
 def top_k_metrics(flagged: DataFrame, label: str = "y") -> DataFrame:

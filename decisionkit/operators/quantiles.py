@@ -15,13 +15,21 @@ from pyspark.sql import functions as F
 from ..session import staged
 from .ordered import match_keys
 
-RANGES = 256  # a power of four
+RANGES = 256  # least number of ranges, a power of four
 
 
-def _with_range(df: DataFrame, value: str, cuts: str, name: str = "_range") -> DataFrame:
+def range_count(df: DataFrame) -> int:
+    """Ranges to cut an order into: follows the shuffle partitions, so that a range stays a task's work. No result depends on it."""
+    ranges, wanted = RANGES, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    while ranges < wanted:
+        ranges *= 4
+    return ranges
+
+
+def _with_range(df: DataFrame, value: str, cuts: str, ranges: int, name: str = "_range") -> DataFrame:
     """Add how many cuts lie below the value: a four-way search, a dozen plain comparisons."""
     out = df.withColumn(name, F.lit(0))
-    step = RANGES // 4
+    step = ranges // 4
     while step:
         here = [F.get(F.col(cuts), F.col(name) + (i * step - 1)) < F.col(value) for i in (1, 2, 3)]
         out = out.withColumn(name, F.col(name) + sum((h.cast("int") for h in here[1:]), here[0].cast("int")) * step)
@@ -33,14 +41,15 @@ def _ranges(df: DataFrame, by: Sequence[str], value: str, totals: Mapping[str, C
     """Distinct values with their range, and per range the totals before it and of the whole group."""
     present = df.filter(F.col(value).isNotNull())
     distinct = present.groupBy(*by, value).agg(*[F.sum(e).alias(n) for n, e in totals.items()])
-    points = ", ".join(f"{i / RANGES}D" for i in range(1, RANGES))
-    cuts = F.percentile_approx(value, F.expr(f"array({points})"), 4096).alias("_cuts")
+    ranges = range_count(df)
+    points = ", ".join(f"{i / ranges}D" for i in range(1, ranges))
+    cuts = F.percentile_approx(value, F.expr(f"array({points})"), 16 * ranges).alias("_cuts")
     if by:
         # Written down first: Spark then knows its size and broadcasts it only if it is small.
         ranged = match_keys(distinct, staged(present.groupBy(*by).agg(cuts), "cuts"), by)
     else:
         ranged = distinct.withColumn("_cuts", present.agg(cuts).scalar())
-    ranged = _with_range(ranged, value, "_cuts")
+    ranged = _with_range(ranged, value, "_cuts", ranges)
     whole = Window.partitionBy(*by)
     before = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     carried = (

@@ -2,54 +2,68 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from ..functions.hashing import hex_digest
 from ..functions.scalars import r6
 
 PER_DIGEST = 8  # an md5 holds eight 16-bit draws
 POISSON_CUTS = [round(65536 * sum(math.exp(-1) / math.factorial(j) for j in range(k + 1))) for k in range(8)]
 
 
-def poisson_weight(draw: Column) -> Column:
-    """Weight of a draw given as four hex digits; equally long hex texts compare like their numbers."""
-    weight = F.lit(0)
-    for cut in POISSON_CUTS:
-        weight = weight + (draw >= f"{cut:04x}").cast("int")
-    return weight.cast("bigint")
-
-
-def with_replicates(df: DataFrame, key: str, replicates: int, seed: int | str = "boot") -> DataFrame:
-    """Each row once per replicate with its weight; zero weights are dropped at once.
-
-    ``replicates`` is rounded up to a multiple of eight. The copies only feed partial aggregates.
+def _partial_totals(replicates: int, seed: int | str, groups: list[str], names: list[str], schema: pa.Schema):
+    """Weighted totals of a task's rows: one row per group and replicate leaves the task, however many rows it reads."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weight_of = np.searchsorted(POISSON_CUTS, np.arange(65536), side="right").astype(np.float64)
+        blocks, sums = -(-replicates // PER_DIGEST), {}
+        for batch in batches:
+            keys = batch.column("_key").to_pylist()
+            group = list(zip(*[batch.column(g).to_pylist() for g in groups])) if groups else [()] * len(keys)
+            values = np.stack([batch.column(n).to_numpy(zero_copy_only=False).astype(np.float64) for n in names], axis=1)
+            distinct = sorted(set(keys), key=str)
+            for at in range(0, len(distinct), 256):
+                part = {k: i for i, k in enumerate(distinct[at : at + 256])}
+                texts = ([f"{seed}|{b}" + ("" if k is None else f"|{k}") for b in range(blocks)] for k in part)
+                draws = b"".join(hashlib.md5(t.encode()).digest() for ts in texts for t in ts)
+                weights = weight_of[np.frombuffer(draws, ">u2").reshape(len(part), -1)[:, :replicates]]
+                rows: dict[tuple, list[int]] = {}
+                for r, (k, g) in enumerate(zip(keys, group)):
+                    if k in part:
+                        rows.setdefault(g, []).append(r)
+                for g, own in rows.items():
+                    total = weights[[part[keys[r]] for r in own]].T @ values[own]
+                    sums[g] = sums[g] + total if g in sums else total
+        for g, total in sums.items():
+            columns = [pa.array([x] * replicates, t.type) for x, t in zip(g, schema)]
+            columns.append(pa.array(np.arange(replicates, dtype=np.int32)))
+            columns += [pa.array(total[:, k].round().astype(np.int64)) for k in range(len(names))]
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
+
+    return run
+
+
+def bootstrap_totals(
+    df: DataFrame, key: str, replicates: int, totals: Mapping[str, Column], seed: int | str = "boot", by: Sequence[str] = ()
+) -> DataFrame:
+    """Weighted totals per replicate (and per group of ``by``, of which there should be few).
+
+    The weights are drawn and summed inside the tasks, a block of keys at a time; rows are never copied.
     """
-    blocks = math.ceil(replicates / PER_DIGEST)
-    digests = df.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).withColumn(
-        "_digest", hex_digest(seed, "_block", key)
-    )
-    draws = F.array(
-        *[
-            F.struct(
-                (F.col("_block") * PER_DIGEST + j).alias("replicate"),
-                poisson_weight(F.substring("_digest", 4 * j + 1, 4)).alias("weight"),
-            )
-            for j in range(PER_DIGEST)
-        ]
-    )
-    rows = digests.withColumn("_draw", F.explode(draws)).select(*df.columns, "_draw.replicate", "_draw.weight")
-    return rows.filter("weight > 0")
-
-
-def bootstrap_totals(df: DataFrame, key: str, replicates: int, totals: Mapping[str, Column], seed: int | str = "boot") -> DataFrame:
-    """Weighted totals per replicate."""
-    work = df.select(key, *[e.cast("bigint").alias(n) for n, e in totals.items()])
-    rows = with_replicates(work, key, replicates, seed)
-    return rows.groupBy("replicate").agg(*[F.sum(F.col(n) * F.col("weight")).alias(n) for n in totals])
+    work = df.select(*by, F.col(key).cast("string").alias("_key"), *[F.coalesce(e.cast("bigint"), F.lit(0)).alias(n) for n, e in totals.items()])
+    spark_schema = T.StructType([work.schema[g] for g in by]).add("replicate", "integer")
+    for n in totals:
+        spark_schema = spark_schema.add(n, "long")
+    rows = work.mapInArrow(_partial_totals(replicates, seed, list(by), list(totals), to_arrow_schema(spark_schema)), spark_schema)
+    return rows.groupBy(*by, "replicate").agg(*[F.sum(n).alias(n) for n in totals])
 
 
 def cluster_totals(df: DataFrame, entity: str, replicates: int, totals: Mapping[str, Column], seed: int | str = "boot") -> DataFrame:

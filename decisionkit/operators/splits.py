@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.hashing import hash_bucket, hash_order
+from ..functions.hashing import hash_bucket, hash_order, hash_unit
 from ..functions.scalars import r6
 from .ordered import HOT_ROWS, group_sizes, match_keys, ordered_state
 
@@ -84,8 +84,7 @@ def stratified_sample(df: DataFrame, key: str, n: int, label: str = "y", hot_row
 
 def entity_split(df: DataFrame, entity: str, share: float, seed: int | str = 42, name: str = "split") -> DataFrame:
     """All rows of an entity land on one side; no shuffle."""
-    bucket = hash_order(seed, entity) % 1000
-    side = F.when(bucket < int(share * 1000), "development").otherwise("validation")
+    side = F.when(hash_unit(seed, entity) < share, "development").otherwise("validation")
     return df.withColumn(name, side)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .contracts import Rule, fail_fast, not_in_vocabulary, not_sentinel_or_range, out_of_range, require_columns
 from .features import add_domain_features, prepare_precontact
 
-REQUIRED = ("age", "day", "month", "pdays", "prior_contacts_in_campaign")
+INPUTS = ("prior_contacts_in_campaign", "pdays", "age", "month", "day")
 
 
 class ContractGate(Transformer, DefaultParamsReadable, DefaultParamsWritable):
@@ -30,15 +30,15 @@ class ContractGate(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     def rules(self) -> list[Rule]:
         low, high = self.getOrDefault(self.ageLow), self.getOrDefault(self.ageHigh)
         return [
-            Rule(f"age must be between {low} and {high}", out_of_range("age", low, high)),
-            Rule("day must be between 1 and 31", out_of_range("day", 1, 31)),
-            Rule("month must be documented", not_in_vocabulary("month", range(1, 13))),
-            Rule("pdays must be -1 or non-negative", not_sentinel_or_range("pdays")),
-            Rule("prior_contacts_in_campaign must be non-negative", out_of_range("prior_contacts_in_campaign", 0)),
+            Rule(f"age within {low}..{high}", out_of_range("age", low, high)),
+            Rule("calendar day exists", out_of_range("day", 1, 31)),
+            Rule("calendar month exists", not_in_vocabulary("month", range(1, 13))),
+            Rule("gap counted in days or marked -1", not_sentinel_or_range("pdays")),
+            Rule("earlier attempts counted from 0", out_of_range("prior_contacts_in_campaign", 0)),
         ]
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        return fail_fast(require_columns(dataset, REQUIRED), self.rules())
+        return fail_fast(require_columns(dataset, INPUTS), self.rules())
 
 
 class PrecontactColumns(Transformer, DefaultParamsReadable, DefaultParamsWritable):

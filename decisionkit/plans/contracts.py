@@ -11,26 +11,26 @@ REQUIRED = {"age", "balance", "contact", "previous", "housing"}
 
 def strict_rules():
     return [
-        C.Rule("age is between 18 and 95", C.out_of_range("age", 18, 95)),
-        C.Rule("pdays is -1 or at least 3", C.not_sentinel_or_range("pdays", low=3)),
-        C.Rule("job is known", C.not_in_vocabulary("job", ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD"])),
-        C.Rule("balance is not negative", C.out_of_range("balance", 0)),
+        C.Rule("age within 18..95", C.out_of_range("age", 18, 95)),
+        C.Rule("gap of three days or marked -1", C.not_sentinel_or_range("pdays", low=3)),
+        C.Rule("job among four segments", C.not_in_vocabulary("job", ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD"])),
+        C.Rule("no overdrawn account", C.out_of_range("balance", 0)),
     ]
 
 
 STRICT_SQL = {
-    "age is between 18 and 95": "age NOT BETWEEN 18 AND 95",
-    "pdays is -1 or at least 3": "NOT (pdays = -1 OR pdays >= 3)",
-    "job is known": "job NOT IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD')",
-    "balance is not negative": "NOT balance >= 0",
+    "age within 18..95": "age NOT BETWEEN 18 AND 95",
+    "gap of three days or marked -1": "NOT (pdays = -1 OR pdays >= 3)",
+    "job among four segments": "job NOT IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD')",
+    "no overdrawn account": "NOT balance >= 0",
 }
 CHECKS_SQL = {
-    "target is binary and non-null": "y IS NULL OR y NOT IN (0, 1)",
-    "age is between 18 and 100": "age NOT BETWEEN 18 AND 100",
-    "day is between 1 and 31": '"day" NOT BETWEEN 1 AND 31',
-    "month is documented": '"month" NOT BETWEEN 1 AND 12',
-    "pdays is -1 or non-negative": "NOT (pdays = -1 OR pdays >= 0)",
-    "campaign is at least one": "campaign < 1",
+    "label known as 0 or 1": "y IS NULL OR y NOT IN (0, 1)",
+    "age within 18..100": "age NOT BETWEEN 18 AND 100",
+    "calendar day exists": '"day" NOT BETWEEN 1 AND 31',
+    "calendar month exists": '"month" NOT BETWEEN 1 AND 12',
+    "gap counted in days or marked -1": "NOT (pdays = -1 OR pdays >= 0)",
+    "attempt number starts at 1": "campaign < 1",
 }
 
 

@@ -243,15 +243,16 @@ def audit(spark, sf_dir):
     return table.withColumn("known_too_late", F.col("feature").isin("campaign", "duration"))
 
 
-POISSON_SQL = " + ".join(f"CAST(u >= {c} AS INTEGER)" for c in B.POISSON_CUTS)
-REPLICATES = 64
+REPLICATES = 2000
 
 
 def weights_sql(source: str, key: str, seed: str = "boot", replicates: int = REPLICATES) -> str:
     """Every row of ``source`` per replicate, with its weight as column w."""
-    cases = " ".join(f"WHEN {j} THEN {hex_sql(seed, 4 * j + 1, 4, 'r // 8', key)}" for j in range(8))
-    return f"""drawn AS (SELECT s.*, CAST(r AS INTEGER) AS replicate, CASE r % 8 {cases} END AS u FROM {source} AS s, range({replicates}) AS t(r)),
-weighted AS (SELECT *, {POISSON_SQL} AS w FROM drawn)"""
+    digest = f"md5('{seed}' || '|' || CAST(b AS VARCHAR) || '|' || CAST({key} AS VARCHAR))"
+    cuts = " + ".join(f"CAST(u >= '{c:04x}' AS INTEGER)" for c in B.POISSON_CUTS if c < 65536)
+    return f"""digests AS (SELECT s.*, b, {digest} AS d FROM {source} AS s, range({-(-replicates // 8)}) AS t(b)),
+drawn AS (SELECT * EXCLUDE (d, b, j), CAST(b * 8 + j AS INTEGER) AS replicate, substr(d, CAST(4 * j + 1 AS INTEGER), 4) AS u FROM digests, range(8) AS t(j) WHERE b * 8 + j < {replicates}),
+weighted AS (SELECT *, {cuts} AS w FROM drawn)"""
 
 
 INTERVAL_SQL = """, tidy AS (UNPIVOT samples ON cost_per_row, recall, precision INTO NAME metric VALUE value)
@@ -278,13 +279,13 @@ TOTALS_SQL = """, totals AS (SELECT replicate, sum(w * CAST(p < 0.14 AND y = 0 A
   sum(w * CAST(p < 0.14 AND y = 1 AS INTEGER)) AS fn, sum(w * CAST(p >= 0.14 AND y = 1 AS INTEGER)) AS tp FROM weighted GROUP BY replicate)"""
 
 
-@query("evl23_bootstrap_interval", SCORED + ", " + weights_sql("scored", "contact_id") + TOTALS_SQL + SAMPLES_SQL + INTERVAL_SQL)
+@query("evl23_bootstrap_interval", SCORED + ", " + weights_sql("(SELECT contact_id, y, p FROM scored)", "contact_id") + TOTALS_SQL + SAMPLES_SQL + INTERVAL_SQL)
 def bootstrap(spark, sf_dir):
     totals = B.bootstrap_totals(scored(spark, sf_dir), "contact_id", REPLICATES, cell_columns())
     return B.percentile_interval(samples(totals), ["cost_per_row", "recall", "precision"])
 
 
-@query("evl24_cluster_bootstrap", SCORED + ", " + weights_sql("scored", "client_id") + TOTALS_SQL + SAMPLES_SQL + INTERVAL_SQL)
+@query("evl24_cluster_bootstrap", SCORED + ", " + weights_sql("(SELECT client_id, y, p FROM scored)", "client_id") + TOTALS_SQL + SAMPLES_SQL + INTERVAL_SQL)
 def cluster_bootstrap(spark, sf_dir):
     totals = B.cluster_totals(scored(spark, sf_dir), "client_id", REPLICATES, cell_columns())
     return B.percentile_interval(samples(totals), ["cost_per_row", "recall", "precision"])

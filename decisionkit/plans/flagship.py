@@ -19,7 +19,7 @@ SELECT *, row_number() OVER (ORDER BY cost, threshold) = 1 AS selected FROM swee
 def flagship(spark, sf_dir):
     # Staged once: the split counts the rows before it places them, and should not redo the history.
     frame = staged(contacts(spark, sf_dir).select("contact_id", "y", *FULL.required_columns()), "contacts")
-    valid = fail_fast(frame, [Rule("age is between 18 and 100", out_of_range("age", 18, 100))])
+    valid = fail_fast(frame, [Rule("age within 18..100", out_of_range("age", 18, 100))])
     split = stratified_split(valid, "contact_id")
     validation = score(split.filter("split = 'validation'"))
     return mark_selected(threshold_table(validation))

@@ -171,8 +171,8 @@ def board(spark, sf_dir):
     return D.status_board(signals)
 
 
-LIMITS = 40
-LIMIT_SQL = TALL_SQL + drift_sql() + """, rows0 AS (SELECT t.contact_id, t.feature, len(list_filter(edges[2:len(edges) - 1], lambda e: e <= value)) AS bin FROM tidy AS t JOIN ed ON ed.feature = t.feature WHERE part = 'ref' AND t.feature IN ('age', 'balance')),
+LIMITS = 2000
+LIMIT_SQL = TALL_SQL + drift_sql() + """, rows0 AS (SELECT t.contact_id, t.feature, len(list_filter(edges[2:len(edges) - 1], lambda e: e <= value)) AS bin FROM tidy AS t JOIN ed ON ed.feature = t.feature WHERE part = 'ref'),
 bb AS (SELECT feature, bin, greatest(count(*) / CAST(sum(count(*)) OVER (PARTITION BY feature) AS DOUBLE), 1e-6) AS p FROM rows0 GROUP BY feature, bin), """ + weights_sql("rows0", "contact_id", "limits", LIMITS) + """,
 dr AS (SELECT feature, replicate, bin, sum(w) AS w FROM weighted WHERE w > 0 GROUP BY 1, 2, 3),
 sq AS (SELECT dr.feature, replicate, p, greatest(w / CAST(sum(w) OVER (PARTITION BY dr.feature, replicate) AS DOUBLE), 1e-6) AS q FROM dr JOIN bb ON bb.feature = dr.feature AND bb.bin = dr.bin),
@@ -182,8 +182,7 @@ SELECT feature, count(*) AS replicates, round(quantile_cont(psi, 0.95), 6) AS ps
 
 @query("drf9_control_limits", LIMIT_SQL)
 def limits(spark, sf_dir):
-    tidy = tidy_contacts(spark, sf_dir).filter(F.col("feature").isin("age", "balance"))
-    return D.psi_control_limit(tidy, "contact_id", LIMITS)
+    return D.psi_control_limit(tidy_contacts(spark, sf_dir), "contact_id", LIMITS)
 
 
 DELAYED_SQL = SCORED + f""", j AS (SELECT CAST(date_trunc('quarter', contact_date) AS DATE) AS "window", job, p, s.y AS y0, CASE WHEN o_orderstatus <> 'P' THEN s.y END AS y FROM scored AS s JOIN orders ON o_orderkey = contact_id),

@@ -13,7 +13,7 @@ from ..operators.neighbors import knn_join, neighbour_rows
 from ..operators.splits import stratified_split
 from ..session import staged
 from ..sources.frames import contacts, embeddings, event_log
-from .base import CONTACTS, SPLITS, hash_sql, query
+from .base import CONTACTS, SPLITS, hash_sql, hex_sql, query
 
 
 def distance_sql(a: str, b: str) -> str:
@@ -41,7 +41,7 @@ z AS (SELECT contact_id, y, age, balance, previous, job, contact, [round((age -
 SMALL_SQL = f""", nm AS (SELECT sum(y) AS n FROM contacts),
 small AS (SELECT *, row_number() OVER (ORDER BY {hash_sql(19, 'contact_id')}, contact_id) AS base_rank FROM z WHERE y = 1),
 big AS (SELECT contact_id, row_number() OVER (ORDER BY {hash_sql(17, 'contact_id')}, contact_id) AS rn FROM contacts WHERE y = 0),
-slots AS (SELECT contact_id AS slot, CAST({hash_sql(23, 'contact_id')} % n + 1 AS BIGINT) AS base_rank FROM big, nm WHERE rn > n)
+slots AS (SELECT contact_id AS slot, CAST({hex_sql(23, 1, 15, 'contact_id')} % n + 1 AS BIGINT) AS base_rank FROM big, nm WHERE rn > n)
 """
 
 
@@ -49,7 +49,7 @@ def neighbours_sql(vector: str, k: int) -> str:
     return f""", pairs AS (SELECT a.contact_id, b.contact_id AS neighbour, {distance_sql(f'a.{vector}', f'b.{vector}')} AS distance FROM small AS a JOIN small AS b ON a.contact_id <> b.contact_id),
 nb AS (SELECT contact_id, list(neighbour ORDER BY distance, neighbour) AS ns FROM (
   SELECT * FROM pairs QUALIFY row_number() OVER (PARTITION BY contact_id ORDER BY distance, neighbour) <= {k}) GROUP BY contact_id),
-mix AS (SELECT slot, b.contact_id AS base, ns[CAST({hash_sql(29, 'slot')} % len(ns) AS INTEGER) + 1] AS neighbour, {hash_sql(31, 'slot')} / 4294967296.0 AS u,
+mix AS (SELECT slot, b.contact_id AS base, ns[CAST({hex_sql(29, 1, 15, 'slot')} % len(ns) AS INTEGER) + 1] AS neighbour, {hex_sql(31, 1, 13, 'slot')} / 4503599627370496.0::DOUBLE AS u,
   b.age AS a0, b.balance AS b0, b.previous AS p0 FROM slots JOIN small AS b ON b.base_rank = slots.base_rank JOIN nb ON nb.contact_id = b.contact_id)
 """
 
@@ -136,7 +136,7 @@ def smotenc(spark, sf_dir):
     Z_SQL + SMALL_SQL + neighbours_sql("v", 5) + ", syn AS (" + SYNTH_SQL + """ FROM mix JOIN contacts AS o ON o.contact_id = neighbour)
 SELECT 'age is whole' AS "check", count(*) FILTER (WHERE age <> floor(age)) AS violations, count(*) FILTER (WHERE age <> floor(age)) = 0 AS passed FROM syn UNION ALL
 SELECT 'previous is whole', count(*) FILTER (WHERE previous <> floor(previous)), count(*) FILTER (WHERE previous <> floor(previous)) = 0 FROM syn UNION ALL
-SELECT 'age is between 18 and 100', count(*) FILTER (WHERE age NOT BETWEEN 18 AND 100), count(*) FILTER (WHERE age NOT BETWEEN 18 AND 100) = 0 FROM syn""",
+SELECT 'age within 18..100', count(*) FILTER (WHERE age NOT BETWEEN 18 AND 100), count(*) FILTER (WHERE age NOT BETWEEN 18 AND 100) = 0 FROM syn""",
 )
 def audit(spark, sf_dir):
     rows = I.smote(z_frame(spark, sf_dir), "contact_id", "vector", NUMERIC, k=5)
@@ -146,7 +146,7 @@ def audit(spark, sf_dir):
         [
             C.Rule("age is whole", F.col("age") != F.floor("age")),
             C.Rule("previous is whole", F.col("previous") != F.floor("previous")),
-            C.Rule("age is between 18 and 100", C.out_of_range("age", 18, 100)),
+            C.Rule("age within 18..100", C.out_of_range("age", 18, 100)),
         ],
     )
 

@@ -7,7 +7,7 @@ from ..operators.aggregates import key_difference
 from ..sources.frames import contacts, event_log, lineitem_frame
 from .base import CONTACTS, SCORED, SPLITS, hash_sql, query
 
-ENTITY_SIDE = f"CASE WHEN {hash_sql(42, 'client_id')} % 1000 < 700 THEN 'development' ELSE 'validation' END"
+ENTITY_SIDE = f"CASE WHEN {hash_sql(42, 'client_id')} / 4294967296.0 < 0.7 THEN 'development' ELSE 'validation' END"
 FOLDS = SCORED + ", folds AS (SELECT *, CAST((row_number() OVER (PARTITION BY y ORDER BY h, contact_id) - 1) % 5 AS INTEGER) AS fold FROM scored)\n"
 
 

@@ -92,7 +92,7 @@ def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lineitem_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The large bench frame. Order keys repeat in the data, so the order is a hash of the whole row."""
     raw = read_table(spark, sf_dir, "lineitem")
-    row = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in raw.columns]))
+    row = F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\u2205")) for c in raw.columns]))
     return raw.select(
         F.conv(F.substring(row, 1, 8), 16, 10).cast("bigint").alias("h"),
         row.alias("row_hash"),

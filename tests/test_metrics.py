@@ -88,3 +88,23 @@ def test_bootstrap_weights_average_one(spark):
     assert len(totals) == 40 and abs(totals["n"].mean() / 2000 - 1) < 0.02
     again = B.bootstrap_totals(df.repartition(9), "id", 40, {"n": F.lit(1)}).toPandas()
     assert totals.sort_values("replicate")["n"].tolist() == again.sort_values("replicate")["n"].tolist()
+
+
+def test_scores_that_differ_in_the_eighth_digit_are_ranked(spark):
+    rows = [(i, 0.5 + i * 1e-8, int(i % 3 == 0 or i > 30)) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, p double, y int")
+    pairs = [(a, b) for _, a, x in rows for _, b, z in rows if x == 1 and z == 0]
+    want = sum(a > b for a, b in pairs) / len(pairs)
+    assert M.ranking_metrics(df, []).first()["roc_auc"] == pytest.approx(want, abs=1e-6)
+    assert sorted(r["id"] for r in P.top_k_flags(df, F.lit(5), "id").filter("taken").collect()) == [35, 36, 37, 38, 39]
+
+
+def test_ties_at_the_cut_with_an_outlying_key(spark):
+    df = spark.createDataFrame([(i, 0.5, 0) for i in [*range(50), 10**15]], "id long, p double, y int")
+    assert sorted(r["id"] for r in P.top_k_flags(df, F.lit(7), "id").filter("taken").collect()) == list(range(7))
+
+
+def test_bootstrap_gives_the_replicates_asked_for(spark):
+    df = spark.createDataFrame([(i, i % 2) for i in range(300)], "id long, y int")
+    totals = B.bootstrap_totals(df, "id", 10, {"n": F.lit(1)}, by=["y"]).toPandas()
+    assert sorted(totals["replicate"].unique()) == list(range(10)) and set(totals["y"]) == {0, 1} and len(totals) == 20

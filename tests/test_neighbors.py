@@ -84,3 +84,17 @@ def test_detectors_rank_the_outliers_first(spark):
     again = A.score_isolation_forest(new, A.fit_isolation_forest(train.repartition(3), 40))
     first = A.score_isolation_forest(new, nodes)
     assert {r["id"]: r["score"] for r in first.collect()} == {r["id"]: r["score"] for r in again.collect()}
+
+
+@pytest.mark.parametrize("n", [400, 9000])
+def test_isolation_trees_draw_from_the_whole_table(spark, n):
+    """Few rows meet many trees, many rows one tree at most; either way far points stand out."""
+    from decisionkit.operators import anomaly as A
+
+    rng = np.random.default_rng(0)
+    rows = [(i, [float(v) for v in rng.normal(size=2)]) for i in range(n)]
+    train = spark.createDataFrame(rows, "id long, vector array<double>")
+    nodes = A.fit_isolation_forest(train, 12, key="id")
+    new = spark.createDataFrame([(0, [0.0, 0.0]), (1, [9.0, -9.0])], "id long, vector array<double>")
+    score = {r["id"]: r["score"] for r in A.score_isolation_forest(new, nodes, "id").collect()}
+    assert score[1] > 0 > score[0] and nodes.select("tree").distinct().count() == 12

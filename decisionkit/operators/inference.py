@@ -67,6 +67,10 @@ def evaluate_sealed(test: DataFrame, card: Scorecard, threshold: float, runs_pat
     runs = read_runs(spark, runs_path)
     if runs is not None and not runs.filter(F.col("cycle") == cycle).isEmpty():
         raise PermissionError(f"the test split was already scored in cycle {cycle}")
+    try:  # creating the marker is one step: of two jobs in one cycle, one gets it
+        spark.range(1).write.mode("errorifexists").parquet(f"{runs_path}.cycles/{cycle}")
+    except AnalysisException as e:
+        raise PermissionError(f"the test split was already scored in cycle {cycle}") from e
     scored = test.select("y", card.probability().alias("p"))
     report = model_report(scored, [], threshold).select(
         F.lit(cycle).alias("cycle"), F.lit(float(threshold)).alias("threshold"), "*"

@@ -46,6 +46,27 @@ def fitted_report(spark, sf_dir, name, fit):
     return report(staged(predict(fit(development), validation), "scores"), name)
 
 
+def facts(scored, name):
+    """What must hold for any fitted model on the rows it scored: each key once, probabilities, better than chance."""
+    auc = M.ranking_metrics(scored, []).select("roc_auc").scalar()
+    p = F.col("p")
+    return scored.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_distinct("contact_id").alias("keys"),
+        F.count_if(p.isNull() | F.isnan(p) | (p < 0) | (p > 1)).alias("outside"),
+    ).select(F.lit(name).alias("model"), "rows", "keys", "outside", (auc > 0.55).alias("beats_chance"))
+
+
+def facts_sql(name, split="validation"):
+    """The same facts, counted from the raw rows."""
+    return SPLITS + f"""SELECT '{name}' AS model, count(*) AS "rows", count(DISTINCT contact_id) AS keys, CAST(0 AS BIGINT) AS outside, TRUE AS beats_chance FROM splits WHERE split = '{split}'"""
+
+
+def fitted_facts(spark, sf_dir, name, fit):
+    development, validation = split_frames(spark, sf_dir)
+    return facts(staged(predict(fit(development), validation), "scores"), name)
+
+
 def plain(df):
     return L.logistic(df, NUMERIC, CATEGORICAL)
 
@@ -75,16 +96,31 @@ def logistic(spark, sf_dir):
     return fitted_report(spark, sf_dir, "logistic", plain)
 
 
+@query("mdl2_logistic_facts", facts_sql("logistic"))
+def logistic_facts(spark, sf_dir):
+    return fitted_facts(spark, sf_dir, "logistic", plain)
+
+
 @query("mdl3_class_weighted_logistic")
 def class_weighted(spark, sf_dir):
     return fitted_report(spark, sf_dir, "class_weighted", weighted)
 
 
+@query("mdl3_class_weighted_facts", facts_sql("class_weighted"))
+def class_weighted_facts(spark, sf_dir):
+    return fitted_facts(spark, sf_dir, "class_weighted", weighted)
+
+
 @query("mdl4_gradient_boosting")
 def gradient_boosting(spark, sf_dir):
     return fitted_report(spark, sf_dir, "boosting", lambda df: boosted(df, trees=15, rate=0.2, depth=3))
 
 
+@query("mdl4_gradient_boosting_facts", facts_sql("boosting"))
+def gradient_boosting_facts(spark, sf_dir):
+    return fitted_facts(spark, sf_dir, "boosting", lambda df: boosted(df, trees=15, rate=0.2, depth=3))
+
+
 @query("mdl5_subsampled_boosting")
 def subsampled(spark, sf_dir):
     return fitted_report(
@@ -93,8 +129,15 @@ def subsampled(spark, sf_dir):
     )
 
 
-@query("mdl6_ordered_category_boosting")
-def ordered_boosting(spark, sf_dir):
+@query("mdl5_subsampled_boosting_facts", facts_sql("subsampled_boosting"))
+def subsampled_facts(spark, sf_dir):
+    return fitted_facts(
+        spark, sf_dir, "subsampled_boosting",
+        lambda df: boosted(df, trees=10, rate=0.2, depth=5, min_leaf=40, subsample=0.9, features="0.9"),
+    )
+
+
+def ordered_scores(spark, sf_dir):
     """Category columns become ordered target statistics of the training rows; new rows use the full history."""
     development, validation = split_frames(spark, sf_dir)
     numeric = [*NUMERIC, "job_stat", "contact_stat"]
@@ -104,7 +147,17 @@ def ordered_boosting(spark, sf_dir):
         encoded = ordered_target_statistic(development, column, "y", ["h", "contact_id"])
         development = encoded.withColumnRenamed("ordered_stat", f"{column}_stat").drop("earlier_rows")
     model = L.boosted_trees(staged(development, "ordered"), numeric, ["poutcome"], trees=10, rate=0.2, depth=4)
-    return report(staged(L.probability(model, validation, numeric, KEEP), "scores"), "ordered_boosting")
+    return staged(L.probability(model, validation, numeric, KEEP), "scores")
+
+
+@query("mdl6_ordered_category_boosting")
+def ordered_boosting(spark, sf_dir):
+    return report(ordered_scores(spark, sf_dir), "ordered_boosting")
+
+
+@query("mdl6_ordered_category_facts", facts_sql("ordered_boosting"))
+def ordered_boosting_facts(spark, sf_dir):
+    return facts(ordered_scores(spark, sf_dir), "ordered_boosting")
 
 
 @query("mdl7_random_forest")
@@ -112,6 +165,11 @@ def random_forest(spark, sf_dir):
     return fitted_report(spark, sf_dir, "forest", forest)
 
 
+@query("mdl7_random_forest_facts", facts_sql("forest"))
+def random_forest_facts(spark, sf_dir):
+    return fitted_facts(spark, sf_dir, "forest", forest)
+
+
 @query("mdl8_early_stopping")
 def early_stopping(spark, sf_dir):
     development, validation = split_frames(spark, sf_dir)
@@ -227,12 +285,30 @@ def reload_parity(spark, sf_dir):
     return L.reload_difference(model, rows.filter("split = 'validation'"), "contact_id")
 
 
+@query(
+    "enc14_reload_parity_facts",
+    SPLITS + """SELECT count(*) AS "rows", TRUE AS same FROM splits WHERE split = 'validation'""",
+)
+def reload_parity_facts(spark, sf_dir):
+    """The saved and loaded artifact scores every validation row within 1e-12 of the fitted one."""
+    rows = staged(stratified_split(contacts(spark, sf_dir), "contact_id"), "raw")
+    model = L.guarded_logistic(rows.filter("split = 'development'"), NUMERIC, CATEGORICAL)
+    gap = L.reload_difference(model, rows.filter("split = 'validation'"), "contact_id")
+    return gap.select("rows", (F.col("max_difference") <= 1e-12).alias("same"))
+
+
 @query("evl19_out_of_fold")
 def out_of_fold(spark, sf_dir):
     development, _ = split_frames(spark, sf_dir)
     return L.out_of_fold(folded(development), plain, lambda m, d: predict(m, d, [*KEEP, "fold"]), FOLDS)
 
 
+@query("evl19_out_of_fold_facts", facts_sql("out_of_fold", "development"))
+def out_of_fold_facts(spark, sf_dir):
+    """Each development row is scored once, by a model that did not see its fold."""
+    return facts(staged(out_of_fold(spark, sf_dir), "oof"), "out_of_fold")
+
+
 def cv_table(rows, fit, name, numeric=NUMERIC, folds=FOLDS):
     """Per-fold report of one candidate."""
     def run(model, df):
@@ -293,12 +369,16 @@ def nested(spark, sf_dir):
     return M.model_report(scored, ["fold", "chosen_c"], CUT).select("fold", "chosen_c", *REPORT)
 
 
-def calibrated(spark, sf_dir, method):
-    """Fit the map on out-of-fold development scores, judge it on validation."""
+def calibration_scores(spark, sf_dir, method):
+    """Fit the map on out-of-fold development scores, apply it to validation: (raw scores, calibrated scores)."""
     development, validation = split_frames(spark, sf_dir)
     oof = staged(L.out_of_fold(folded(development), weighted, lambda m, d: predict(m, d), FOLDS), "oof")
     new = staged(predict(weighted(development), validation), "scores")
-    after = staged(method(oof, new, KEEP).withColumnRenamed("calibrated", "p"), "calibrated")
+    return new, staged(method(oof, new, KEEP).withColumnRenamed("calibrated", "p"), "calibrated")
+
+
+def calibrated(spark, sf_dir, method):
+    new, after = calibration_scores(spark, sf_dir, method)
     both = new.withColumn("stage", F.lit("before")).unionByName(after.withColumn("stage", F.lit("after")))
     gaps = expected_calibration_error(fixed_curve(both, ["stage"]), ["stage"])
     losses = both.groupBy("stage").agg(*[c.alias(n) for n, c in M.probability_columns().items()])
@@ -310,6 +390,16 @@ def platt(spark, sf_dir):
     return calibrated(spark, sf_dir, L.platt)
 
 
+@query("cal4_platt_facts", facts_sql("platt"))
+def platt_facts(spark, sf_dir):
+    return facts(calibration_scores(spark, sf_dir, L.platt)[1], "platt")
+
+
+@query("cal5_isotonic_facts", facts_sql("isotonic"))
+def isotonic_facts(spark, sf_dir):
+    return facts(calibration_scores(spark, sf_dir, L.isotonic)[1], "isotonic")
+
+
 @query("cal5_isotonic")
 def isotonic(spark, sf_dir):
     return calibrated(spark, sf_dir, L.isotonic)

@@ -10,10 +10,9 @@ from ..operators import imbalance as I
 from ..operators import policy as P
 from ..operators.aggregates import equal_width_histogram
 from ..operators.neighbors import knn_join, neighbour_rows
-from ..operators.splits import stratified_split
 from ..session import staged
-from ..sources.frames import contacts, embeddings, event_log
-from .base import CONTACTS, SPLITS, hash_sql, hex_sql, query
+from ..sources.frames import contacts, embeddings, event_log, labelled_documents
+from .base import CONTACTS, hash_sql, hex_sql, query
 
 
 def distance_sql(a: str, b: str) -> str:
@@ -151,50 +150,59 @@ def audit(spark, sf_dir):
     )
 
 
-def contaminated(rows):
-    """Test data: a hash-chosen fiftieth of the rows with one of three controlled violations."""
-    draw = hash_order("inject", "contact_id")
-    kind = F.when(draw % 50 == 0, F.floor(draw / 50) % 3)
-    return (
-        rows.withColumn("_kind", kind)
-        .withColumn("injected", F.col("_kind").isNotNull().cast("int"))
-        .withColumn("age", F.when(F.col("_kind") == 0, 120).otherwise(F.col("age")))
-        .withColumn("campaign", F.when(F.col("_kind") == 1, F.lit(250).cast("bigint")).otherwise(F.col("campaign")))
-        .withColumn("balance", F.when(F.col("_kind") == 2, 1_000_000.0).otherwise(F.col("balance")))
-        .drop("_kind")
-    )
-
-
-DETECT = ["age", "campaign", "balance"]
-CONTAMINATED = SPLITS + f""", ch AS (SELECT *, CASE WHEN {hash_sql('inject', 'contact_id')} % 50 = 0 THEN ({hash_sql('inject', 'contact_id')} // 50) % 3 END AS kind FROM splits WHERE split = 'validation'),
-inj AS (SELECT contact_id, CAST(kind IS NOT NULL AS INTEGER) AS injected, CASE WHEN kind = 0 THEN 120 ELSE age END AS age,
-  CASE WHEN kind = 1 THEN 250 ELSE campaign END AS campaign, CASE WHEN kind = 2 THEN 1000000.0::DOUBLE ELSE balance END AS balance FROM ch),
-dev AS (SELECT avg(age) AS am, stddev_pop(age) AS asd, avg(campaign) AS cm, stddev_pop(campaign) AS csd, avg(balance) AS bm, stddev_pop(balance) AS bsd FROM splits WHERE split = 'development'),
-zs AS (SELECT contact_id, injected, round((age - am) / asd, 9) AS z1, round((campaign - cm) / csd, 9) AS z2, round((balance - bm) / bsd, 9) AS z3 FROM inj, dev),
-sc AS (SELECT contact_id, injected, round(1.0 - 1.0 / (1.0 + sqrt(z1 * z1 + z2 * z2 + z3 * z3)), 6) AS score FROM zs)
+DETECT = ["length", "lines", "digits"]
+#: Documents with labels: poor quality is what the detectors are judged by; they are fitted on a hash part of the rows.
+DOCS_SQL = f"""WITH d AS (SELECT doc_id, CAST(quality = 0 AS INTEGER) AS poor, CAST(length(text) AS DOUBLE) AS c1, CAST(length(text) - length(replace(text, chr(10), '')) AS DOUBLE) AS c2,
+  CAST(length(regexp_replace(text, '[^0-9]', '', 'g')) AS DOUBLE) AS c3, {hash_sql(42, 'doc_id')} % 10 < 6 AS train FROM documents JOIN labels USING (doc_id)),
+dev AS (SELECT avg(c1) AS m1, stddev_pop(c1) AS s1, avg(c2) AS m2, stddev_pop(c2) AS s2, avg(c3) AS m3, stddev_pop(c3) AS s3 FROM d WHERE train),
+zs AS (SELECT doc_id, poor, train, round((c1 - m1) / s1, 9) AS z1, round((c2 - m2) / s2, 9) AS z2, round((c3 - m3) / s3, 9) AS z3 FROM d, dev),
+sc AS (SELECT doc_id, poor, round(1.0 - 1.0 / (1.0 + sqrt(z1 * z1 + z2 * z2 + z3 * z3)), 6) AS score FROM zs WHERE NOT train)
 """
 
 
 def detection_frames(spark, sf_dir):
-    rows = staged(stratified_split(contacts(spark, sf_dir), "contact_id").select("contact_id", "split", *DETECT))
-    train = rows.filter("split = 'development'")
-    new = contaminated(rows.filter("split = 'validation'"))
-    return A.scaled_vector(train, train, DETECT), A.scaled_vector(new, train, DETECT)
+    size = lambda c: F.length(c).cast("double")
+    rows = labelled_documents(spark, sf_dir).select(
+        "doc_id",
+        (F.col("quality") == 0).cast("int").alias("poor"),
+        size(F.col("text")).alias("length"),
+        (size(F.col("text")) - size(F.replace(F.col("text"), F.lit("\n"), F.lit("")))).alias("lines"),
+        size(F.regexp_replace("text", "[^0-9]", "")).alias("digits"),
+        (hash_order(42, "doc_id") % 10 < 6).alias("train"),
+    )
+    rows = staged(rows, "documents")
+    train = rows.filter("train")
+    return A.scaled_vector(train, train, DETECT), A.scaled_vector(rows.filter("not train"), train, DETECT)
 
 
 def distance_scores(spark, sf_dir):
-    """A transparent detector: distance from the development centre, squeezed into [0, 1)."""
+    """A transparent detector: distance from the centre of the training rows, squeezed into [0, 1)."""
     _, new = detection_frames(spark, sf_dir)
     squares = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)
-    return new.select("contact_id", "injected", F.round(1.0 - 1.0 / (1.0 + F.sqrt(squares)), 6).alias("score"))
+    return new.select("doc_id", "poor", F.round(1.0 - 1.0 / (1.0 + F.sqrt(squares)), 6).alias("score"))
 
 
 @query("ano1_isolation_forest")
 def isolation_forest(spark, sf_dir):
     train, new = detection_frames(spark, sf_dir)
-    nodes = A.fit_isolation_forest(train, 100, "contact_id")
-    scores = A.score_isolation_forest(new, nodes, "contact_id")
-    return scores.join(new.select("contact_id", "injected"), "contact_id")
+    nodes = A.fit_isolation_forest(train, 100, "doc_id")
+    scores = A.score_isolation_forest(new, nodes, "doc_id")
+    return scores.join(new.select("doc_id", "poor"), "doc_id")
+
+
+@query(
+    "ano1_isolation_forest_facts",
+    DOCS_SQL + """SELECT count(*) AS "rows", count(DISTINCT doc_id) AS keys, CAST(0 AS BIGINT) AS outside, TRUE AS far_rows_stand_out FROM zs WHERE NOT train""",
+)
+def isolation_forest_facts(spark, sf_dir):
+    """Each new row is scored once, within the score's bounds, and rows far from the centre score higher."""
+    scored = staged(isolation_forest(spark, sf_dir), "isolation")
+    far = distance_scores(spark, sf_dir).select("doc_id", F.col("score").alias("far"))
+    s = F.col("score")
+    return scored.join(far, "doc_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("doc_id").alias("keys"), F.count_if(s.isNull() | (s < -0.5) | (s > 0.5)).alias("outside"),
+        (F.corr("score", "far") > 0.5).alias("far_rows_stand_out"),
+    )
 
 
 LOF_K = 10
@@ -215,33 +223,46 @@ def lof(spark, sf_dir):
     return A.local_outlier_factor(rows.filter("_side < 7"), rows.filter("_side >= 7"), LOF_K, "vec_id", "embedding")
 
 
-@query("ano2_contact_density")
-def contact_density(spark, sf_dir):
+DENSITY_K = 35
+
+
+@query(
+    "ano2_document_density",
+    DOCS_SQL + f""", v AS (SELECT doc_id, poor, train, [z1, z2, z3] AS e FROM zs),
+rr AS (SELECT a.doc_id, b.doc_id AS nb, {distance_sql('a.e', 'b.e')} AS d FROM v AS a JOIN v AS b ON a.doc_id <> b.doc_id AND a.train AND b.train QUALIFY row_number() OVER (PARTITION BY a.doc_id ORDER BY d, b.doc_id) <= {DENSITY_K}),
+kd AS (SELECT doc_id, max(d) AS kd FROM rr GROUP BY doc_id),
+lr AS (SELECT rr.doc_id, 1.0 / (avg(greatest(d, kd)) + 1e-10) AS lrd FROM rr JOIN kd ON kd.doc_id = nb GROUP BY rr.doc_id),
+nr AS (SELECT a.doc_id, b.doc_id AS nb, {distance_sql('a.e', 'b.e')} AS d FROM v AS a JOIN v AS b ON NOT a.train AND b.train QUALIFY row_number() OVER (PARTITION BY a.doc_id ORDER BY d, b.doc_id) <= {DENSITY_K}),
+ln AS (SELECT nr.doc_id, 1.0 / (avg(greatest(d, kd)) + 1e-10) AS lrd FROM nr JOIN kd ON kd.doc_id = nb GROUP BY nr.doc_id),
+f AS (SELECT nr.doc_id, round(avg(lr.lrd) / max(ln.lrd), 6) AS score FROM nr JOIN lr ON lr.doc_id = nb JOIN ln ON ln.doc_id = nr.doc_id GROUP BY nr.doc_id)
+SELECT f.doc_id, score, poor FROM f JOIN v ON v.doc_id = f.doc_id""",
+)
+def document_density(spark, sf_dir):
     train, new = detection_frames(spark, sf_dir)
-    scores = A.local_outlier_factor(train, new, 35, "contact_id")
-    return scores.join(new.select("contact_id", "injected"), "contact_id")
+    scores = A.local_outlier_factor(train, new, DENSITY_K, "doc_id")
+    return scores.join(new.select("doc_id", "poor"), "doc_id")
 
 
 @query(
     "ano3_alert_budget",
-    CONTAMINATED + """, k AS (SELECT sum(injected) AS k FROM sc), f AS (SELECT sc.*, row_number() OVER (ORDER BY score DESC, contact_id) <= k AS taken FROM sc, k),
-c AS (SELECT count(*) FILTER (WHERE taken) AS k, count(*) FILTER (WHERE taken AND injected = 1) AS hits, sum(injected) AS pos, count(*) AS n FROM f)
+    DOCS_SQL + """, k AS (SELECT sum(poor) AS k FROM sc), f AS (SELECT sc.*, row_number() OVER (ORDER BY score DESC, doc_id) <= k AS taken FROM sc, k),
+c AS (SELECT count(*) FILTER (WHERE taken) AS k, count(*) FILTER (WHERE taken AND poor = 1) AS hits, sum(poor) AS pos, count(*) AS n FROM f)
 SELECT k, hits, round(hits / CAST(k AS DOUBLE), 6) AS precision_at_k, round(hits / CAST(pos AS DOUBLE), 6) AS recall_at_k, round((hits / CAST(k AS DOUBLE)) / (pos / CAST(n AS DOUBLE)), 6) AS lift_at_k FROM c""",
 )
 def alert_budget(spark, sf_dir):
     rows = distance_scores(spark, sf_dir)
-    k = rows.agg(F.sum("injected")).scalar()
-    return P.top_k_metrics(P.top_k_flags(rows, k, "contact_id", "injected", "score"), "injected")
+    k = rows.agg(F.sum("poor")).scalar()
+    return P.top_k_metrics(P.top_k_flags(rows, k, "doc_id", "poor", "score"), "poor")
 
 
 @query(
     "ano4_score_distribution",
-    CONTAMINATED + """, lim AS (SELECT min(score) AS lo, (max(score) - min(score)) / 40.0::DOUBLE AS w FROM sc),
-b AS (SELECT injected, CAST(least(floor((score - lo) / w), 39) AS INTEGER) AS bin, w FROM sc, lim)
-SELECT injected, bin, count(*) AS n, round(count(*) / (CAST(sum(count(*)) OVER (PARTITION BY injected) AS DOUBLE) * max(w)), 6) AS density FROM b GROUP BY injected, bin""",
+    DOCS_SQL + """, lim AS (SELECT min(score) AS lo, (max(score) - min(score)) / 40.0::DOUBLE AS w FROM sc),
+b AS (SELECT poor, CAST(least(floor((score - lo) / w), 39) AS INTEGER) AS bin, w FROM sc, lim)
+SELECT poor, bin, count(*) AS n, round(count(*) / (CAST(sum(count(*)) OVER (PARTITION BY poor) AS DOUBLE) * max(w)), 6) AS density FROM b GROUP BY poor, bin""",
 )
 def distribution(spark, sf_dir):
-    return equal_width_histogram(distance_scores(spark, sf_dir), ["injected"], "score", 40)
+    return equal_width_histogram(distance_scores(spark, sf_dir), ["poor"], "score", 40)
 
 
 @query(

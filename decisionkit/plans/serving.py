@@ -142,7 +142,7 @@ def sliding(spark, sf_dir):
 
 
 JOIN_SQL = """WITH p AS (SELECT o_orderkey AS prediction_id, o_orderdate AS predicted_at FROM orders),
-l AS (SELECT l_orderkey AS prediction_id, l_shipdate AS labelled_at, CAST(l_returnflag = 'R' AS INTEGER) AS label FROM lineitem WHERE l_linenumber = 1),
+l AS (SELECT l_orderkey AS prediction_id, l_shipdate AS labelled_at, CAST(l_returnflag = 'R' AS INTEGER) AS label FROM lineitem),
 wm AS (SELECT least((SELECT max(predicted_at) FROM p), (SELECT max(labelled_at) FROM l)) - INTERVAL 1 DAY AS w),
 j AS (SELECT p.prediction_id, p.predicted_at, l.labelled_at, l.label FROM p LEFT JOIN l ON l.prediction_id = p.prediction_id AND labelled_at >= predicted_at AND labelled_at <= predicted_at + INTERVAL 180 DAY)
 SELECT prediction_id, CAST(predicted_at AS DATE) AS predicted_on, CAST(labelled_at AS DATE) AS labelled_on, label FROM j, wm WHERE label IS NOT NULL OR predicted_at + INTERVAL 180 DAY < w"""
@@ -154,7 +154,7 @@ def label_join(spark, sf_dir):
     predictions = S.event_stream(spark, f"{sf_dir}/orders.parquet*", orders.schema, "o_orderdate").select(
         F.col("o_orderkey").alias("prediction_id"), F.col("o_orderdate").alias("predicted_at")
     )
-    labels = S.event_stream(spark, f"{sf_dir}/lineitem.parquet*", items.schema, "l_shipdate").filter("l_linenumber = 1").select(
+    labels = S.event_stream(spark, f"{sf_dir}/lineitem.parquet*", items.schema, "l_shipdate").select(
         F.col("l_orderkey").alias("prediction_id"),
         F.col("l_shipdate").alias("labelled_at"),
         (F.col("l_returnflag") == "R").cast("int").alias("label"),

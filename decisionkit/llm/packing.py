@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from .common import filled, staged
 from .wordids import word_ids
 
-CAPACITY, GROUPS, LARGE = 2048, 96, 1 / 8
+CAPACITY, GROUPS, LARGE = 2048, 256, 0.4
 RANKED = 1 << 16
 COLUMNS = ["doc_id", "piece", "start", "length", "ids_crc32"]
 

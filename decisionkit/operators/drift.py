@@ -25,10 +25,16 @@ def in_part(name: str) -> Column:
     return (F.col("part") == name).cast("bigint")
 
 
-def reference_edges(tidy: DataFrame, by: Sequence[str] = ("feature",), bins: int = 10) -> DataFrame:
-    """Distinct interpolated quantiles of the reference rows, per feature."""
+def value_cells(tidy: DataFrame, by: Sequence[str] = ("feature",)) -> DataFrame:
+    """(feature, value, ref, cur): the rows collapsed to distinct values, written once; edges, bins and KS all read this."""
+    cells = tidy.groupBy(*by, "value").agg(F.sum(in_part("ref")).alias("ref"), F.sum(in_part("cur")).alias("cur"))
+    return staged(cells, "cells")
+
+
+def reference_edges(cells: DataFrame, by: Sequence[str] = ("feature",), bins: int = 10) -> DataFrame:
+    """Distinct interpolated quantiles of the reference values, per feature."""
     points = [i / bins for i in range(bins + 1)]
-    edges = exact_quantiles(tidy.filter("part = 'ref'"), by, "value", points, "_q")
+    edges = exact_quantiles(cells, by, "value", points, "_q", weight="ref")
     # Used by several later steps; a few numbers per feature, so they are written down once.
     return staged(edges.select(*by, F.array_distinct("_q").alias("edges")), "edges")
 
@@ -40,12 +46,10 @@ def binned(tidy: DataFrame, edges: DataFrame, by: Sequence[str] = ("feature",))
     )
 
 
-def share_table(tidy: DataFrame, edges: DataFrame, by: Sequence[str] = ("feature",)) -> DataFrame:
+def share_table(cells: DataFrame, edges: DataFrame, by: Sequence[str] = ("feature",)) -> DataFrame:
     """(feature, bin, p, q) with every bin present and shares clipped from below, not renormalised."""
     by = list(by)
-    counts = binned(tidy, edges, by).groupBy(*by, "bin").agg(
-        F.sum(in_part("ref")).alias("_r"), F.sum(in_part("cur")).alias("_c")
-    )
+    counts = binned(cells, edges, by).groupBy(*by, "bin").agg(F.sum("ref").alias("_r"), F.sum("cur").alias("_c"))
     bins = edges.filter(F.size("edges") >= 3).select(
         *by, F.explode(F.sequence(F.lit(0), F.size("edges") - 2)).alias("bin")
     )
@@ -89,8 +93,12 @@ def kolmogorov_tail(statistic: Column, n: Column, m: Column) -> Column:
 
 
 def ks_two_sample(tidy: DataFrame, by: Sequence[str] = ("feature",)) -> DataFrame:
+    return ks_of(value_cells(tidy, by), by)
+
+
+def ks_of(cells: DataFrame, by: Sequence[str] = ("feature",)) -> DataFrame:
     by = list(by)
-    cells = ordered_distinct(tidy, by, "value", {"ref": in_part("ref"), "cur": in_part("cur")})
+    cells = ordered_distinct(cells, by, "value", {"ref": F.col("ref"), "cur": F.col("cur")})
     left = (F.col("ref_before") + F.col("ref")) / F.nullif(F.col("ref_all").cast("double"), F.lit(0.0))
     right = (F.col("cur_before") + F.col("cur")) / F.nullif(F.col("cur_all").cast("double"), F.lit(0.0))
     stats = cells.groupBy(*by).agg(
@@ -101,14 +109,17 @@ def ks_two_sample(tidy: DataFrame, by: Sequence[str] = ("feature",)) -> DataFram
     return tailed.select(*by, "n_ref", "n_cur", r6(F.col("ks_stat")).alias("ks_stat"), r6(F.col("_tail")).alias("ks_p"))
 
 
-def numeric_drift(tidy: DataFrame, by: Sequence[str] = ("feature",), bins: int = 10) -> DataFrame:
-    """PSI, KS and Jensen-Shannon per feature; fewer than three distinct edges count as no drift."""
+def numeric_drift(tidy: DataFrame, by: Sequence[str] = ("feature",), bins: int = 10, ks: bool = True) -> DataFrame:
+    """PSI, Jensen-Shannon and, with ``ks``, KS per feature; fewer than three distinct edges count as no drift."""
     by = list(by)
-    edges = reference_edges(tidy, by, bins)
-    table = match_keys(edges, divergences(share_table(tidy, edges, by), by), by)
-    table = match_keys(table, ks_two_sample(tidy, by).select(*by, "ks_stat", "ks_p"), by)
+    cells = value_cells(tidy, by)
+    edges = reference_edges(cells, by, bins)
+    table = match_keys(edges, divergences(share_table(cells, edges, by), by), by)
     usable = F.size("edges") >= 3
-    neutral = {"psi": 0.0, "js": 0.0, "ks_stat": 0.0, "ks_p": 1.0}
+    neutral = {"psi": 0.0, "js": 0.0}
+    if ks:
+        table = match_keys(table, ks_of(cells, by).select(*by, "ks_stat", "ks_p"), by)
+        neutral |= {"ks_stat": 0.0, "ks_p": 1.0}
     return table.select(*by, *[F.when(usable, F.col(c)).otherwise(F.lit(v)).alias(c) for c, v in neutral.items()])
 
 
@@ -204,7 +215,7 @@ def status_board(signals: DataFrame, warn: float = PSI_WARN, critical: float = P
 def psi_control_limit(tidy: DataFrame, key: str, replicates: int, level: float = 0.95) -> DataFrame:
     """PSI limits from the reference itself: each replicate redraws the reference and is compared with it."""
     reference = tidy.filter("part = 'ref'")
-    edges = reference_edges(reference)
+    edges = reference_edges(value_cells(reference))
     rows = binned(reference, edges).select(key, "feature", "bin")
     drawn = bootstrap_totals(rows, key, replicates, {"_w": F.lit(1)}, "limits", by=["feature", "bin"]).filter("_w > 0")
     base = rows.groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("_n"))

@@ -95,15 +95,18 @@ def ordered_distinct(
 
 
 def exact_quantiles(
-    df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float], name: str = "quantiles"
+    df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float], name: str = "quantiles", weight: str | None = None
 ) -> DataFrame:
     """One row per group: array of linearly interpolated quantiles of the non-NULL values.
 
+    ``weight`` names a column that says how many rows a row stands for.
+
     Range counts show which ranges hold the wanted positions; only their values are put in order.
     """
     by = list(by)
-    work = df.select(*by, F.col(value).cast("double").alias("_value"))
-    ranged, carried = _ranges(work, by, "_value", {"_n": F.lit(1)})
+    count = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
+    work = df.select(*by, F.col(value).cast("double").alias("_value"), count.alias("_w")).filter("_w > 0")
+    ranged, carried = _ranges(work, by, "_value", {"_n": F.col("_w")})
     positions = [F.lit(float(p)) * (F.col("_n_all") - 1) for p in probs]
     last = F.col("_c__n") + F.col("_r__n") - 1
     wanted = F.lit(False)

@@ -12,6 +12,7 @@ from ..operators.aggregates import dispersion, melt_metrics
 from ..operators.quantiles import tall
 from ..operators.scoring import score, score_many
 from ..operators.splits import stratified_folds
+from ..session import staged
 from ..sources.frames import contacts, lineitem_frame
 from .base import (
     CONTACTS, LL_SQL, MODELS, SCORED, counts_sql, decision_sql, hex_sql, mean_p, query, ranking_sql, sweep_sql,
@@ -323,7 +324,7 @@ curve AS (SELECT model, bin, count(*) AS n, {mean_p()} AS mean_predicted, round(
 
 @query("cal1_quantile_reliability", CURVE_SQL + "SELECT * FROM curve")
 def quantile_reliability(spark, sf_dir):
-    return K.quantile_curve(models(spark, sf_dir), ["model"])
+    return K.quantile_curve(staged(models(spark, sf_dir).select("model", "y", "p"), "scores"), ["model"])
 
 
 @query("cal2_fixed_reliability", FIXED_SQL + "SELECT * FROM curve")

@@ -22,6 +22,7 @@ from __future__ import annotations
 import codecs
 import hashlib
 import json
+import re
 from array import array
 from collections.abc import Iterator
 from itertools import pairwise
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import filled
-from .wordids import byte_alphabet
+from .wordids import TwoAges, byte_alphabet
 
 PART, CACHED, RUN = 1 << 16, 200_000, 1 << 9
 # fixed values: the white space of Unicode, and the splitter of this vocabulary
@@ -57,6 +58,20 @@ def sufficient_lookahead(merges: list[tuple[bytes, bytes]]) -> int:
     return most + max((len(u) + len(v) for u, v in merges), default=1)
 
 
+_WORDS = re.compile(r"(?<=[!-~]) | (?=[!-~])")
+
+
+class _Words(TwoAges):
+    """Ids of what follows a space, up to the next place where a space begins a pretoken."""
+
+    def __init__(self, bpe: ByteBpe):
+        super().__init__()
+        self.bpe = bpe
+
+    def made(self, word: str) -> bytes:
+        return b"".join(map(self.bpe.piece, self.bpe.split.findall(" " + word)))
+
+
 class ByteBpe:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -75,7 +90,7 @@ class ByteBpe:
         self.special_split = regex.compile("|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) or r"(?!)")
         self.hold = max(map(len, self.special), default=1) - 1
         self.split = regex.compile(SPLIT)
-        self.known: dict[str, bytes] = {}
+        self.known = _Words(self)
         self.pieces: dict[str, bytes] = {}
 
     def merged(self, body: bytes) -> list[int]:
@@ -140,23 +155,9 @@ class ByteBpe:
 
     def _words(self, text: str) -> Iterator[bytes]:
         """Ids of a text whose ends are pretoken ends. Between a visible ASCII sign and a space, or a space and such a sign, a pretoken begins."""
-        known, parts = self.known, text.split(" ")
-        chunk = parts[0]
-        for nxt in parts[1:]:
-            if ("!" <= chunk[-1:] <= "~") or ("!" <= nxt[:1] <= "~"):
-                yield known.get(chunk) or self._chunk(chunk)
-                chunk = " " + nxt
-            else:
-                chunk += " " + nxt
-        yield known.get(chunk) or self._chunk(chunk)
-
-    def _chunk(self, chunk: str) -> bytes:
-        out = b"".join(map(self.piece, self.split.findall(chunk)))
-        if len(chunk) < 64:
-            if len(self.known) >= CACHED:
-                self.known.clear()
-            self.known[chunk] = out
-        return out
+        first, *rest = _WORDS.split(text)
+        yield b"".join(map(self.piece, self.split.findall(first)))
+        yield b"".join(map(self.known.__getitem__, rest))
 
     def _safe(self, text: str) -> int:
         """The last place where a visible ASCII sign is followed by a space and another such sign."""

@@ -12,7 +12,7 @@ import re
 from array import array
 from collections.abc import Iterator
 
-CACHED = 300_000
+CACHED = 200_000
 SLICE = 1 << 20
 _SPACE = re.compile(rb"[ \t\n\r\x0b\x0c]")
 _LETTERS = "a-zß-öø-įı-ɏ"
@@ -54,7 +54,31 @@ def _core(path: str):
     return tiktoken.Encoding("word-ends", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={}), ids
 
 
-class WordIds(dict):
+class TwoAges(dict):
+    """A bounded table that computes what it lacks. When full, it becomes the old table, from which what is used again comes back."""
+
+    size, longest = 250_000, 64
+
+    def __init__(self):
+        super().__init__()
+        self.old: dict = {}
+
+    def made(self, key):
+        raise NotImplementedError
+
+    def __missing__(self, key):
+        out = self.old.get(key)
+        if out is None:
+            out = self.made(key)
+        if len(key) < self.longest:
+            if len(self) >= self.size:
+                self.old = dict(self)
+                self.clear()
+            self[key] = out
+        return out
+
+
+class WordIds(TwoAges):
     """word (bytes) -> its ids as little-endian unsigned 32-bit integers."""
 
     def __init__(self, path: str):
@@ -67,7 +91,7 @@ class WordIds(dict):
         self.core, self.ids = _core(path)
         self.pieces: dict[str, list[int]] = {}
 
-    def __missing__(self, word: bytes) -> bytes:
+    def made(self, word: bytes) -> bytes:
         text = word.decode("utf-8")
         if _PLAIN.fullmatch(text) and "<|" not in text:
             ids = []
@@ -82,12 +106,7 @@ class WordIds(dict):
                 ids += known
         else:
             ids = self.whole.encode(text, add_special_tokens=False).ids
-        out = array("I", ids).tobytes()
-        if len(word) < 100:
-            if len(self) >= CACHED:
-                self.clear()
-            self[word] = out
-        return out
+        return array("I", ids).tobytes()
 
     def stream(self, body: bytes) -> Iterator[bytes]:
         """The ids of a text, in parts; never cuts a word."""

@@ -27,6 +27,9 @@ HEADLINE = [
     "cal1_quantile_reliability",
     "drf1_large_frame",
     "inf1_guarded_scoring",
+    "mdl2_logistic_regression",
+    "jn5_nearest_neighbours",
+    "str2_volume_monitor",
 ]
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 

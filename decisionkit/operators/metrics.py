@@ -124,26 +124,48 @@ def threshold_table(
     fp_cost: float = FP_COST,
     fn_cost: float = FN_COST,
 ) -> DataFrame:
-    """All metrics at every cut-off low%..high%, from one pass over the rows.
+    """All metrics at every cut-off low%..high% of six-digit scores, from one pass over the rows.
 
     Rows collapse to at most 101 score buckets per group; the cut-offs are applied to the buckets.
     """
+    percent = F.floor(F.floor(F.col(score) * 1e6 + 0.5) / 10000).cast("int")
+    cuts = F.transform(F.sequence(F.lit(low), F.lit(high)), lambda c: F.struct(c.alias("at"), (c / 100.0).alias("threshold")))
+    return _sweep(df, by, label, score, percent, cuts, fp_cost, fn_cost)
+
+
+def threshold_table_at(
+    df: DataFrame,
+    cutoffs: Sequence[float],
+    by: Sequence[str] = (),
+    label: str = "y",
+    score: str = "p",
+    fp_cost: float = FP_COST,
+    fn_cost: float = FN_COST,
+) -> DataFrame:
+    """The same at any list of cut-offs, on scores as they are: a row's bucket is the number of cut-offs it reaches."""
+    ordered = sorted({float(c) for c in cutoffs})
+    reached = F.size(F.filter(F.array(*map(F.lit, ordered)), lambda c: c <= F.col(score)))
+    cuts = F.array(*[F.struct(F.lit(k).alias("at"), F.lit(c).alias("threshold")) for k, c in enumerate(ordered, 1)])
+    return _sweep(df, by, label, score, reached, cuts, fp_cost, fn_cost)
+
+
+def _sweep(df: DataFrame, by: Sequence[str], label: str, score: str, bucket: Column, cuts: Column, fp_cost: float, fn_cost: float) -> DataFrame:
+    """``cuts`` holds (at, threshold); a row counts as called at a cut whose ``at`` its bucket reaches."""
     p, y = F.col(score), F.col(label)
-    percent = F.floor(F.floor(p * 1e6 + 0.5) / 10000).cast("int")
-    buckets = df.groupBy(*by, percent.alias("_bucket")).agg(
+    buckets = df.groupBy(*by, bucket.alias("_bucket")).agg(
         F.sum((y == 1).cast("bigint")).alias("_pos"),
         F.sum((y != 1).cast("bigint")).alias("_neg"),
         F.sum(row_log_loss(y, p)).alias("_ll"),
         F.sum(row_brier(y, p)).alias("_br"),
     )
-    at = buckets.select("*", F.explode(F.sequence(F.lit(low), F.lit(high))).alias("_cut"))
-    above = F.col("_bucket") >= F.col("_cut")
+    at = buckets.select("*", F.explode(cuts).alias("_cut"))
+    above = F.col("_bucket") >= F.col("_cut.at")
 
     def total(column: str, condition: Column) -> Column:
         return F.sum(F.when(condition, F.col(column)).otherwise(0))
 
     rows = F.sum(F.col("_pos") + F.col("_neg"))
-    counts = at.groupBy(*by, "_cut").agg(
+    counts = at.groupBy(*by, F.col("_cut.threshold").alias("threshold")).agg(
         total("_neg", ~above).alias("tn"),
         total("_neg", above).alias("fp"),
         total("_pos", ~above).alias("fn"),
@@ -152,9 +174,7 @@ def threshold_table(
         r6(F.sum("_br") / rows).alias("brier"),
     )
     return counts.select(
-        *by,
-        (F.col("_cut") / 100.0).alias("threshold"),
-        "tn", "fp", "fn", "tp", "log_loss", "brier",
+        *by, "threshold", "tn", "fp", "fn", "tp", "log_loss", "brier",
         *[c.alias(n) for n, c in decision_columns(fp_cost, fn_cost).items()],
     )
 

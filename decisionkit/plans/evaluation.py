@@ -93,6 +93,16 @@ def sweep(spark, sf_dir):
     return M.threshold_table(scored(spark, sf_dir))
 
 
+CUTOFFS = [0.033, 0.1, 0.123456, 0.14, 0.2, 0.35, 0.5]
+CUTOFF_SQL = f"""SELECT threshold, tn, fp, fn, tp, log_loss, brier, {decision_sql()} FROM (SELECT threshold, {counts_sql('threshold')},
+  round(avg({LL_SQL}), 6) AS log_loss, round(avg((p - y) * (p - y)), 6) AS brier FROM scored, (SELECT unnest({CUTOFFS}::DOUBLE[]) AS threshold) GROUP BY threshold) AS c"""
+
+
+@query("evl9_any_cutoffs", SCORED + CUTOFF_SQL)
+def sweep_any(spark, sf_dir):
+    return M.threshold_table_at(scored(spark, sf_dir), CUTOFFS)
+
+
 LARGE_P = "round(1.0 / (1.0 + exp(-(CAST(-3.0 AS DOUBLE) + CAST(0.02 AS DOUBLE) * l_quantity + CAST(8.0 AS DOUBLE) * l_tax))), 6)"
 LARGE = f"WITH large AS (SELECT CASE WHEN l_returnflag = 'R' AND l_discount >= 0.07 THEN 1 ELSE 0 END AS y, {LARGE_P} AS p FROM lineitem)\n"
 

@@ -127,6 +127,16 @@ def row_count_band(current: DataFrame, previous: DataFrame, tolerance: float) ->
     )
 
 
+def row_count_bands(df: DataFrame, load: Column, tolerance: float) -> DataFrame:
+    """Row count of every load against the one before; one row per load reaches the window."""
+    counts = df.groupBy(load).agg(F.count(F.lit(1)).alias("rows"))
+    name = counts.columns[0]
+    before = F.lag("rows").over(Window.orderBy(name))
+    return counts.withColumn("previous_rows", before).withColumn(
+        "passed", F.abs(F.col("rows") - F.col("previous_rows")) <= F.col("previous_rows") * tolerance
+    )
+
+
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return group_sizes(df, key, "copies").filter("copies > 1")
 

@@ -109,13 +109,12 @@ def ordered_large(spark, sf_dir):
 
 @query(
     "enc7_smoothed_target_statistic",
-    SPLITS + """, s AS (SELECT job, (sum(y) + 1.0) / (count(*) + 2.0) AS stat FROM splits WHERE split = 'development' AND job <> 'BUILDING' GROUP BY job)
+    SPLITS + """, s AS (SELECT job, (sum(y) + 1.0) / (count(*) + 2.0) AS stat FROM splits WHERE split = 'development' GROUP BY job)
 SELECT contact_id, round(coalesce(stat, 0.5), 6) AS target_stat FROM splits AS v LEFT JOIN s ON s.job = v.job WHERE split = 'validation'""",
 )
 def smoothed(spark, sf_dir):
-    # One level is kept out of the training rows, so that unseen levels fall back to the prior.
     rows = stratified_split(contacts(spark, sf_dir), "contact_id").select("contact_id", "job", "y", "split")
-    state = E.fit_target_statistic(rows.filter("split = 'development' AND job <> 'BUILDING'"), "job", "y")
+    state = E.fit_target_statistic(rows.filter("split = 'development'"), "job", "y")
     out = E.apply_target_statistic(rows.filter("split = 'validation'"), state, "job")
     return out.select("contact_id", r6(F.col("target_stat")).alias("target_stat"))
 

@@ -48,7 +48,7 @@ def as_of(spark, sf_dir):
         time="ts",
         key="event_id",
         history_columns=["bought_id", "value"],
-        bucket=day_number(F.col("ts").cast("date")),
+        bucket=F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 3_600_000_000),
     )
     return joined.select(
         "event_id", "user_id", F.col("latest.bought_id").alias("latest_id"), F.col("latest.value").alias("latest_value")
@@ -263,12 +263,15 @@ def difference(spark, sf_dir):
 
 @query(
     "set2_row_difference",
-    "SELECT o_custkey, o_orderstatus FROM orders WHERE year(o_orderdate) = 1996 EXCEPT ALL SELECT o_custkey, o_orderstatus FROM orders WHERE year(o_orderdate) = 1997",
+    """SELECT o_custkey, o_orderstatus, CAST(year(o_orderdate) AS INTEGER) AS load FROM orders
+EXCEPT ALL SELECT o_custkey, o_orderstatus, CAST(year(o_orderdate) - 1 AS INTEGER) FROM orders""",
 )
 def row_difference(spark, sf_dir):
+    """Rows of each year's load that the next year's does not repeat."""
     orders = read_table(spark, sf_dir, "orders")
-    pick = lambda year: orders.filter(F.year("o_orderdate") == year).select("o_custkey", "o_orderstatus")
-    return pick(1996).exceptAll(pick(1997))
+    load = F.year("o_orderdate")
+    pick = lambda year: orders.select("o_custkey", "o_orderstatus", year.alias("load"))
+    return pick(load).exceptAll(pick(load - 1))
 
 
 @query("rsh1_melt", FOLD_METRICS + ", t AS (UNPIVOT fm ON log_loss, brier, accuracy INTO NAME metric VALUE value) SELECT model, fold, metric, round(value, 6) AS value FROM t")

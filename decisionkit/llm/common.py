@@ -36,9 +36,11 @@ def rows_of(docs: DataFrame, key: str, kept: DataFrame, id_col: str = "doc_id",
 
     ``key`` names a column of ``docs`` and of ``kept``. Ids compare null-safe.
     """
-    ids = kept.select(F.col(id_col).alias("__keep_id"), F.col(key).alias("__keep_key")).distinct()
-    hit = docs[id_col].eqNullSafe(ids["__keep_id"]) & (docs[key] == ids["__keep_key"])
-    return docs.join(ids, hit, "left_semi").dropDuplicates([id_col, key]).drop(key)
+    # one column that is never null, so that the join's partitioning also serves the removal of repeated rows
+    one = F.concat_ws("|", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.col(key))
+    ids = kept.select(one.alias("__keep")).distinct()
+    rows = docs.withColumn("__row", one)
+    return rows.join(ids, rows["__row"] == ids["__keep"], "left_semi").dropDuplicates(["__row"]).drop(key, "__row")
 
 
 def target_partitions(spark: SparkSession) -> int:

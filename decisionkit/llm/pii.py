@@ -2,15 +2,18 @@
 
 Generators of high recall propose spans, which may overlap. Four of them are the patterns of the base result; a proposal that passes its
 check (parts, digits, Luhn) is a base span and always stays. Gradient-boosted trees then score every proposal from its format and its
-context; checks are no features. They learn from a bounded, documented sample of proposals, in which base spans are the
-positives. Per kind, a threshold is calibrated on proposals set aside: the lowest one at which at least ``PRECISION`` of what it selects
-are base spans. Proposals above it that touch no base span are added.
+context; neither the checks nor the generator are features. They learn from a bounded, documented sample of labelled proposals. Proposals of the
+four patterns are labelled by their check. The two looser generators have no check, so their labels come from elsewhere: every base
+email and base phone also stands there rewritten, spelt out or without its country, in the same context; a spelt address is right if its
+normal form ends in a domain of letters; a bare number inside a base span of another kind is wrong; other bare numbers have no label and
+teach nothing. Per kind, a threshold is calibrated on proposals set aside: the lowest one at which at least ``PRECISION`` of the labelled
+proposals it selects are right. Proposals above it that touch no base span are added.
 
 No pattern reaches across a line break. Positions are code points: matches and the text between them come from the same pattern, and
 running sums of their lengths within a document give the places.
 
 Nulls and odd rows: a null or empty text has no spans; repeated rows get the same result each; rows that share an id but not the text stay
-apart; without proposals, or with proposals of one class only, nothing is added to the base spans; an empty table gives an empty result;
+apart; with labels of one class only there is nothing to learn, and a spelt address is added if its label is right; an empty table gives an empty result;
 other columns are not looked at. Redaction cuts a text at each of its spans, which costs spans times length within one text.
 """
 
@@ -27,16 +30,20 @@ from .common import filled, row_key, staged
 KINDS = ["email", "ip", "card", "phone"]  # in the order of the base result
 LOCAL = "[A-Za-z0-9._%+-]"
 #: generator, kind, pattern. Possessive groups run without recursion; an address starts where no sign of its kind stands before, or where the last one ended.
+BARE = r"(?:\([0-9]{2,4}\)|[0-9]{2,4})[\x20.-][0-9]{3,4}[\x20.-][0-9]{3,4}"
 GENERATORS = [
     ("email", "email", rf"(?:(?<!{LOCAL})|\G){LOCAL}++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)++"),
     ("ip", "ip", r"[0-9]++(?:\.[0-9]++){3}"),
     ("card", "card", r"[0-9](?:[\x20-]?[0-9])++"),
     ("phone", "phone", r"\+[0-9][\x20().0-9-]+[0-9]"),
-    ("email_spelt", "email", r"[A-Za-z0-9._%+-]++ ?[(\[](?:at|AT)[)\]] ?[A-Za-z0-9-]++(?: ?(?:\.|[(\[](?:dot|DOT)[)\]]) ?[A-Za-z0-9-]++)++"),
-    ("phone_bare", "phone", r"(?<![0-9A-Za-z+.])(?:\([0-9]{2,4}\)|[0-9]{2,4})[\x20.-][0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9A-Za-z])"),
+    ("email_spelt", "email", r"[A-Za-z0-9._%+-]++ ?[(\[](?:at|AT)[)\]] ?[A-Za-z0-9-]++(?:(?:\x20\.\x20|\.| ?[(\[](?:dot|DOT)[)\]] ?)[A-Za-z0-9-]++)++"),
+    ("phone_bare", "phone", rf"(?<![0-9A-Za-z+.]){BARE}(?![0-9A-Za-z])"),
 ]
+#: How a rewritten address spells its signs, and what parts a rewritten number; None leaves it as it is.
+SPELT = [(" (at) ", "."), ("[at]", "[dot]"), (" [at] ", " [dot] "), ("(AT)", " (DOT) ")]
+PARTED = [None, "-", " ", "."]
 CONTEXT = {"c_mail": "mail|contact|@", "c_phone": "phone|tel|call|fax|mobile", "c_card": "card|visa|credit|pay", "c_net": "ip|host|server|addr", "c_secret": "token|password|key|secret|="}
-FEATURES = ["gen", "size", "digits", "letters", "blanks", "dashes", "dots", "brackets", "plus", "at", "groups", "runs", "lead", "tail", *CONTEXT]
+FEATURES = ["size", "digits", "letters", "blanks", "dashes", "dots", "brackets", "plus", "at", "groups", "runs", "lead", "tail", "more", *CONTEXT]
 SAMPLE, TREES, DEPTH, PRECISION = 20_000, 12, 4, 0.95
 
 
@@ -75,7 +82,8 @@ def _count(pattern: str) -> Column:
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Proposals: doc_id, key, gen, kind, start, end, base, and what the trees read. Each distinct (id, text) is read as one."""
+    """Proposals: doc_id, key, generator, kind, start, end, base, label, the span with its surroundings, and what the trees read. Each distinct
+    (id, text) is read as one."""
     rows = docs.select(F.col(id_col).alias("doc_id"), row_key(F.col(text_col)).alias("key"), filled(F.col(text_col)).alias("text"))
     worth = {"email": F.contains("text", F.lit("@")), "email_spelt": F.lower("text").rlike(r"[(\[]at[)\]]"), "phone": F.contains("text", F.lit("+"))}
     found = [F.when(worth.get(g, F.col("text").rlike("[0-9]")), _matches(F.col("text"), p, g, k)) for g, k, p in GENERATORS]
@@ -86,7 +94,7 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.length(F.get("gaps", i)).cast("long").alias("gap"),
         span.alias("span"),
         F.lower(F.right(F.get("gaps", i), F.lit(24))).alias("before"),
-        F.left(F.get("gaps", i + 1), F.lit(1)).alias("after"),
+        F.left(F.get("gaps", i + 1), F.lit(2)).alias("after"),
     )
     rows = rows.select("doc_id", "key", "gen", "kind", F.explode(F.transform("spans", entry)).alias("e")).select("doc_id", "key", "gen", "kind", "e.*")
     rows = rows.repartition("doc_id", "key").dropDuplicates(["doc_id", "key", "gen", "i"])
@@ -95,11 +103,48 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows = rows.withColumn("end", so_far).withColumn("start", F.col("end") - size).withColumn("digits", F.length(_kept_digits(F.col("span"))))
     rows = rows.where(F.when(F.col("gen") == "card", F.col("digits") >= 12).when(F.col("gen").isin("phone", "phone_bare"), F.col("digits") >= 7).otherwise(True))
     rows = rows.withColumn("base", F.coalesce(_valid(), F.lit(False)))
-    gen = F.lit(0)
-    for k, (name, _, _) in enumerate(GENERATORS):
-        gen = F.when(F.col("gen") == name, k).otherwise(gen)
+    down, up = _around()
+    other = F.col("base") & (F.col("kind") != "phone")
+    rows = rows.withColumn("taken", (F.max(F.when(other, F.col("end"))).over(down) >= F.col("end")) | (F.min(F.when(other, F.col("start"))).over(up) <= F.col("start")))
+    rows = rows.withColumn("label", F.when(F.col("gen") == "email_spelt", _spelt_right()).when(F.col("gen") == "phone_bare", F.when(F.col("taken"), False)).otherwise(F.col("base")))
+    return _described(rows.withColumnRenamed("gen", "generator"))
+
+
+def _around() -> tuple:
+    """Windows over the spans of a document that stand before and after a span."""
+    down = Window.partitionBy("doc_id", "key").orderBy("start", "end", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    up = Window.partitionBy("doc_id", "key").orderBy(F.desc("start"), F.desc("end"), F.desc("kind")).rowsBetween(Window.unboundedPreceding, -1)
+    return down, up
+
+
+def _spelt_right() -> Column:
+    """The normal form of a spelt address ends in a domain of letters."""
+    normal = F.regexp_replace("span", r" ?[(\[](?:at|AT)[)\]] ?", "@")
+    normal = F.regexp_replace(normal, r" ?[(\[](?:dot|DOT)[)\]] ?|\x20\.\x20", ".")
+    return normal.rlike(rf"^{LOCAL}++@[A-Za-z0-9.-]*[A-Za-z0-9-]\.[A-Za-z]{{2,}}$")
+
+
+def _one_of(texts: list[Column]) -> Column:
+    return F.element_at(F.array(*texts), (F.pmod(F.xxhash64("key", "start"), F.lit(len(texts))) + 1).cast("int"))
+
+
+def rewritten(found: DataFrame) -> DataFrame:
+    """Base emails spelt out and base phones without their country, as proposals of the looser generators with labels."""
+    name, host = F.substring_index("span", "@", 1), F.substring_index("span", "@", -1)
+    spelt = _one_of([F.concat(name, F.lit(at), F.replace(host, F.lit("."), F.lit(dot))) for at, dot in SPELT])
+    bare = F.regexp_replace("span", r"^\+[0-9]{1,3}[\x20.-]*", "")
+    inner = F.regexp_replace(bare, "[()]", "")
+    bare = _one_of([bare if sign is None else F.regexp_replace(inner, r"[\x20.-]", sign) for sign in PARTED])
+    rows = found.where("base and kind in ('email', 'phone')").withColumn("span", F.when(F.col("kind") == "email", spelt).otherwise(bare))
+    rows = rows.where((F.col("kind") == "email") | F.col("span").rlike(f"^{BARE}$"))
+    rows = rows.withColumn("generator", F.when(F.col("kind") == "email", "email_spelt").otherwise("phone_bare")).withColumn("base", F.lit(False))
+    rows = rows.withColumn("label", F.when(F.col("kind") == "email", _spelt_right()).otherwise(True)).withColumn("digits", F.length(_kept_digits(F.col("span"))))
+    return _described(rows)
+
+
+def _described(rows: DataFrame) -> DataFrame:
+    """What the trees read of a span, as columns f_*."""
     numbers = {
-        "gen": gen,
         "size": F.least(F.length("span"), F.lit(100)),
         "digits": F.least("digits", F.lit(40)),
         "letters": F.least(_count("[A-Za-z]"), F.lit(60)),
@@ -112,31 +157,33 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         "groups": _count("[0-9]+"),
         "runs": F.coalesce(F.array_max(F.transform(F.regexp_extract_all("span", F.lit("[0-9]+"), F.lit(0)), lambda x: F.length(x))), F.lit(0)),
         "lead": F.when(F.right("before", F.lit(1)).rlike(r"^[\x20\n]?$"), 0).when(F.right("before", F.lit(1)).rlike("[0-9a-z]"), 2).otherwise(1),
-        "tail": F.when(F.col("after").rlike(r"^[\x20\n]?$"), 0).when(F.col("after").rlike("[0-9A-Za-z]"), 2).otherwise(1),
+        "tail": F.when(F.left("after", F.lit(1)).rlike(r"^[\x20\n]?$"), 0).when(F.left("after", F.lit(1)).rlike("[0-9A-Za-z]"), 2).otherwise(1),
+        "more": F.col("after").rlike(r"^[\x20.-]?[0-9]").cast("int"),
     } | {c: F.col("before").rlike(p).cast("int") for c, p in CONTEXT.items()}
-    return rows.select("doc_id", "key", F.col("gen").alias("generator"), "kind", "start", "end", "base", *[v.cast("double").alias(f"f_{k}") for k, v in numbers.items()])
+    return rows.select("doc_id", "key", "generator", "kind", "start", "end", "base", "label", "span", "before", "after", *[v.cast("double").alias(f"f_{k}") for k, v in numbers.items()])
 
 
 def _scored(found: DataFrame, sample: int, trees: int, depth: int) -> tuple[DataFrame, DataFrame] | None:
     """(all proposals with ``score``, the part of the sample set aside), or nothing to learn from."""
-    sizes = {r["base"]: r["n"] for r in found.groupBy("base").agg(F.count("*").alias("n")).collect()}
+    known = found.where("label is not null").unionByName(rewritten(found))
+    sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if min(sizes.get(True, 0), sizes.get(False, 0)) < 20:
         return None
     share = min(1.0, sample / sum(sizes.values()))
     draw = F.pmod(F.xxhash64("doc_id", "key", "generator", "start"), F.lit(1 << 30)) / float(1 << 30)
-    every = VectorAssembler(inputCols=[f"f_{c}" for c in FEATURES], outputCol="features").transform(found)
-    part = every.withColumn("draw", draw).where(F.col("draw") < share).withColumn("label", F.col("base").cast("double"))
+    gathered = VectorAssembler(inputCols=[f"f_{c}" for c in FEATURES], outputCol="features")
+    part = gathered.transform(known).withColumn("draw", draw).where(F.col("draw") < share).withColumn("label", F.col("label").cast("double"))
     part = part.withColumn("aside", F.pmod(F.xxhash64("start", "key"), F.lit(4)) == 0)
     fit = part.where("not aside")
     if fit.agg(F.countDistinct("label")).first()[0] < 2:
         return None
     model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.3, seed=5, checkpointInterval=-1).fit(fit.select("features", "label"))
     probability = lambda df: model.transform(df).withColumn("score", F.round(vector_to_array("probability")[1], 4))
-    return probability(every), probability(part.where("aside"))
+    return probability(gathered.transform(found)), probability(part.where("aside"))
 
 
 def _thresholds(aside: DataFrame, precision: float) -> dict[str, float]:
-    """Per kind the lowest score from which on enough of the selection are base spans. Scores are rounded, so few rows reach the driver."""
+    """Per kind the lowest score from which on enough of the selection are right. Scores are rounded, so few rows reach the driver."""
     table = aside.withColumn("bin", F.floor(F.col("score") * 200) / 200).groupBy("kind", "bin").agg(F.count("*").alias("n"), F.sum("label").alias("hits"))
     rows = sorted((r["kind"], -r["bin"], r["n"], r["hits"]) for r in table.collect())
     out: dict[str, float] = {}
@@ -154,15 +201,15 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     found = staged(candidates(docs, id_col, text_col), "proposals")
     learnt = _scored(found, sample, trees, depth)
     if learnt is None:
-        return found.where("base").withColumn("score", F.lit(1.0)).select("doc_id", "key", "kind", "start", "end", "base", "score")
-    scored, aside = learnt
-    cuts = _thresholds(aside, precision)
-    cut = F.lit(2.0)
-    for kind, value in cuts.items():
-        cut = F.when(F.col("kind") == kind, F.lit(value)).otherwise(cut)
-    rows = scored.where(F.col("base") | (F.col("score") >= cut)).select("doc_id", "key", "kind", "start", "end", "base", "score")
-    down = Window.partitionBy("doc_id", "key").orderBy("start", "end", "kind").rowsBetween(Window.unboundedPreceding, -1)
-    up = Window.partitionBy("doc_id", "key").orderBy(F.desc("start"), F.desc("end"), F.desc("kind")).rowsBetween(Window.unboundedPreceding, -1)
+        rows = found.where("base or generator = 'email_spelt' and label").withColumn("score", F.lit(1.0)).select("doc_id", "key", "kind", "start", "end", "base", "score")
+    else:
+        scored, aside = learnt
+        cuts = _thresholds(aside, precision)
+        cut = F.lit(2.0)
+        for kind, value in cuts.items():
+            cut = F.when(F.col("kind") == kind, F.lit(value)).otherwise(cut)
+        rows = scored.where(F.col("base") | (F.col("score") >= cut)).select("doc_id", "key", "kind", "start", "end", "base", "score")
+    down, up = _around()
     rows = rows.withColumn("before", F.max(F.when(F.col("base"), F.col("end"))).over(down)).withColumn("next", F.min(F.when(F.col("base"), F.col("start"))).over(up))
     free = (F.coalesce("before", F.lit(-1)) <= F.col("start")) & (F.coalesce("next", F.col("end")) >= F.col("end"))
     return rows.where(F.col("base") | free).drop("before", "next").dropDuplicates(["doc_id", "key", "kind", "start", "end"])

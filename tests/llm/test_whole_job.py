@@ -4,7 +4,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from decisionkit.llm import ann
+from decisionkit.llm import ann, pii
 
 
 def neighbours(ids, x, q, k=10):
@@ -29,3 +29,29 @@ def test_no_true_neighbour_is_missing(spark, kind):
         got.setdefault(r["query_id"], {})[r["rank"]] = r["vec_id"]
     assert set(got) == set(ids[ids % 100 == 0].tolist())
     assert all([found[k] for k in sorted(found)] == neighbours(ids, x, q) for q, found in got.items())
+
+
+def selected(spark, texts, kind):
+    """Per text the spans of a kind."""
+    got = pii.personal_data(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    cut = {r["doc_id"]: [s.split(":") for s in filter(None, r["spans"].split(","))] for r in got}
+    return [[t[int(a) : int(b)] for k, a, b in cut[i] if k == kind] for i, t in enumerate(texts)]
+
+
+def private_texts():
+    draw = np.random.default_rng(5)
+    number = lambda n: "".join(map(str, draw.integers(0, 10, n)))
+    texts = []
+    for k in range(240):
+        texts.append([f"some words and name{k}@host{k % 7}.example more words", f"call +1 ({number(3)}) 555-{number(4)} then", f"seen 10{k % 9}.153.118.{k % 200 + 20} in", f"key {number(16)} and", "plain words only"][k % 5])
+    return texts
+
+
+def test_spelt_addresses_and_bare_numbers_are_selected(spark):
+    mails = ["jane.doe [at] mail [dot] com", "sam(at)site.org", "kim (at) firm.example"]
+    phones = ["(017) 555-7713", "415-555-0100", "212 555 0187"]
+    texts = private_texts() + [f"some words and {m}. More words" for m in mails] + [f"call {p} then" for p in phones] + ["seen 96.153.118.61 in"]
+    n = len(private_texts())
+    assert selected(spark, texts, "email")[n : n + 3] == [[m] for m in mails]
+    found = selected(spark, texts, "phone")
+    assert found[n + 3 : n + 6] == [[p] for p in phones] and found[-1] == []

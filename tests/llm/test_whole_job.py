@@ -4,7 +4,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from decisionkit.llm import ann, pii
+from decisionkit.llm import ann, pii, webtext
 
 
 def neighbours(ids, x, q, k=10):
@@ -55,3 +55,20 @@ def test_spelt_addresses_and_bare_numbers_are_selected(spark):
     assert selected(spark, texts, "email")[n : n + 3] == [[m] for m in mails]
     found = selected(spark, texts, "phone")
     assert found[n + 3 : n + 6] == [[p] for p in phones] and found[-1] == []
+
+
+def extracted(spark, pages):
+    """Texts of pages, each on a host of its own."""
+    rows = [(k, f"http://h{k}.org/a", h) for k, h in enumerate(pages)]
+    got = {r["page_id"]: r["text"] for r in webtext.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    return [got[k] for k in range(len(pages))]
+
+
+def test_wrappers_named_like_furniture_keep_their_text(spark):
+    names = ["layout no-sidebar", "has-banner", "elementor-widget-text-editor", "post-social", "menu-closed"]
+    pages = [f"<div class='{n}'><p>the story</p></div>" for n in names] + ["<article class='post comments-open'><p>the story</p></article>"]
+    pages += [f"<div class='{n}'><article><p>the story</p></article></div>" for n in ("widget", "comments", "menu")]
+    pages += [f"<article><div class='{n}'><p>the story</p></div></article>" for n in names]
+    pages += [f"<article><p>the story</p></article><div class='{n}'><article>remark</article></div>" for n in ("comments", "comments-area")]
+    pages += [f"<p>the story</p><div class='{n}'>menu</div>" for n in ("site-footer", "ad", "nav-menu", "side-bar", "top widget_2")]
+    assert extracted(spark, pages) == ["the story"] * len(pages)

@@ -72,3 +72,15 @@ def test_wrappers_named_like_furniture_keep_their_text(spark):
     pages += [f"<article><p>the story</p></article><div class='{n}'><article>remark</article></div>" for n in ("comments", "comments-area")]
     pages += [f"<p>the story</p><div class='{n}'>menu</div>" for n in ("site-footer", "ad", "nav-menu", "side-bar", "top widget_2")]
     assert extracted(spark, pages) == ["the story"] * len(pages)
+
+
+def test_teasers_do_not_replace_the_story(spark):
+    story = "a story of quite a few words"
+    pages = [f"<div><p>{story}</p></div><{tag}><article>teaser</article></{tag}>" for tag in ("aside", "nav", "footer")]
+    pages += [f"<{tag}>menu<article>{story}</article>" for tag in ("aside", "nav")] + [f"<nav>menu<article>{story}</article><nav>more</nav>"]
+    pages += [f"<div><div class=ad>buy<article>{story}</article></div><p>out", f"<form><div>x</div><article>{story}</article></form>"]
+    assert extracted(spark, pages) == [story] * len(pages)
+    cards = f"<div>Site name</div><p>{story} {{0}}</p><article class=card>teaser {{0}}</article><div>Contact us</div>"
+    rows = [(k, f"https://h.org/news/{k}", cards.format(k)) for k in range(3)]
+    got = {r["page_id"]: r["text"] for r in webtext.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)).collect()}
+    assert got == {k: f"{story} {k}\nteaser {k}" for k in range(3)}

@@ -6,14 +6,14 @@ context; neither the checks nor the generator are features. They learn from a bo
 four patterns are labelled by their check. The two looser generators have no check, so their labels come from elsewhere: every base
 email and base phone also stands there rewritten, spelt out or without its country, in the same context; a spelt address is right if its
 normal form ends in a domain of letters; a bare number inside a base span of another kind is wrong; other bare numbers have no label and
-teach nothing. Per kind, a threshold is calibrated on proposals set aside: the lowest one at which at least ``PRECISION`` of the labelled
+teach nothing. The sample is drawn by kind. Per kind, a threshold is calibrated on all labelled proposals outside it: the lowest one at which at least ``PRECISION`` of the labelled
 proposals it selects are right. Proposals above it that touch no base span are added.
 
 No pattern reaches across a line break. Positions are code points: matches and the text between them come from the same pattern, and
 running sums of their lengths within a document give the places.
 
 Nulls and odd rows: a null or empty text has no spans; repeated rows get the same result each; rows that share an id but not the text stay
-apart; with labels of one class only there is nothing to learn, and a spelt address is added if its label is right; an empty table gives an empty result;
+apart; with fewer than 20 right or 20 wrong labels there is nothing to learn from or to calibrate on, and a spelt address is added if its label is right; an empty table gives an empty result;
 other columns are not looked at. Redaction cuts a text at each of its spans, which costs spans times length within one text.
 """
 
@@ -164,22 +164,25 @@ def _described(rows: DataFrame) -> DataFrame:
 
 
 def _scored(found: DataFrame, sample: int, trees: int, depth: int) -> tuple[DataFrame, DataFrame] | None:
-    """(all proposals with ``score``, the part of the sample set aside), or nothing to learn from."""
+    """(all proposals with ``score``, every labelled proposal that was not fitted on with ``score``), or nothing to learn from. The fitting
+    sample is drawn by kind, an equal part of ``sample`` each; a quarter of the labelled proposals is never in it."""
     known = found.where("label is not null").unionByName(rewritten(found))
-    sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    if min(sizes.get(True, 0), sizes.get(False, 0)) < 20:
+    sizes = {(r["kind"], r["label"]): r["n"] for r in known.groupBy("kind", "label").agg(F.count("*").alias("n")).collect()}
+    if min(sum(n for (_, right), n in sizes.items() if right == label) for label in (True, False)) < 20:
         return None
-    share = min(1.0, sample / sum(sizes.values()))
+    share = F.lit(0.0)
+    for kind in KINDS:
+        share = F.when(F.col("kind") == kind, min(1.0, sample / len(KINDS) / max(1, sum(n for (k, _), n in sizes.items() if k == kind)))).otherwise(share)
     draw = F.pmod(F.xxhash64("doc_id", "key", "generator", "start"), F.lit(1 << 30)) / float(1 << 30)
     gathered = VectorAssembler(inputCols=[f"f_{c}" for c in FEATURES], outputCol="features")
-    part = gathered.transform(known).withColumn("draw", draw).where(F.col("draw") < share).withColumn("label", F.col("label").cast("double"))
-    part = part.withColumn("aside", F.pmod(F.xxhash64("start", "key"), F.lit(4)) == 0)
-    fit = part.where("not aside")
+    every = gathered.transform(known).withColumn("label", F.col("label").cast("double"))
+    every = every.withColumn("fitted", (draw < share) & (F.pmod(F.xxhash64("start", "key"), F.lit(4)) != 0))
+    fit = every.where("fitted")
     if fit.agg(F.countDistinct("label")).first()[0] < 2:
         return None
     model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.3, seed=5, checkpointInterval=-1).fit(fit.select("features", "label"))
     probability = lambda df: model.transform(df).withColumn("score", F.round(vector_to_array("probability")[1], 4))
-    return probability(gathered.transform(found)), probability(part.where("aside"))
+    return probability(gathered.transform(found)), probability(every.where("not fitted"))
 
 
 def _thresholds(aside: DataFrame, precision: float) -> dict[str, float]:

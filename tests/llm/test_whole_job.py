@@ -57,6 +57,15 @@ def test_spelt_addresses_and_bare_numbers_are_selected(spark):
     assert found[n + 3 : n + 6] == [[p] for p in phones] and found[-1] == []
 
 
+def test_thresholds_of_a_rare_kind_see_all_its_proposals(spark):
+    texts = private_texts() + [f"words and name{k}@host.example words" for k in range(3000)]
+    found = pii.candidates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).cache()
+    _, aside = pii._scored(found, 200, 2, 2)
+    cards, known = aside.where("kind = 'card'").count(), found.where("kind = 'card'").count()
+    assert known > 40 and known / 10 < cards < known  # the fitting sample has some, and all others calibrate
+    assert aside.where("kind = 'email'").count() > 5000
+
+
 def extracted(spark, pages):
     """Texts of pages, each on a host of its own."""
     rows = [(k, f"http://h{k}.org/a", h) for k, h in enumerate(pages)]

@@ -19,7 +19,7 @@ LATE = {"campaign", "y"}
 TYPES = {"age": "int", "job": "string", "contact": "string", "day": "int", "month": "int", "campaign": "bigint",
          "previous": "bigint", "pdays": "int", "poutcome": "string", "y": "int"}
 DICTIONARY_SQL = "\nUNION ALL\n".join(
-    f"""SELECT '{c}' AS feature, '{ROLES[c]}' AS role, '{TYPES[c]}' AS dtype, count(*) - count("{c}") AS missing,
+    f"""SELECT '{c}' AS feature, '{ROLES[c].replace("'", "''")}' AS role, '{TYPES[c]}' AS dtype, count(*) - count("{c}") AS missing,
   round(100.0 * (count(*) - count("{c}")) / count(*), 6) AS missing_pct, count(DISTINCT "{c}") AS distinct_values,
   {'FALSE' if c in LATE else 'TRUE'} AS available_at_prediction, min(CAST("{c}" AS VARCHAR)) AS example FROM frame"""
     for c in ROLES

@@ -130,3 +130,85 @@ def auc(score, label):
     ranks = (np.cumsum(n) - (n - 1) / 2)[inverse]
     y = np.asarray(label)[order]
     return (ranks[y == 1].sum() - (y == 1).sum() * ((y == 1).sum() + 1) / 2) / ((y == 1).sum() * (y == 0).sum())
+
+
+def base_secrets(text):
+    """Sorted (start, order of the kind, end) of the base patterns."""
+    found = []
+    for m in re.finditer(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text):
+        if len(m.group(2)) >= 6:
+            found.append((m.start(), 0, m.end()))
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m.group()) >= 20]
+    found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m.group()) >= 24]
+    return sorted(found)
+
+
+def secret_spans(text, generators, kinds, roles, reach, least_kinds, blank_line):
+    """All reported spans by comparing every part of a scope with every other one."""
+    base, weak = base_secrets(text), []
+    for name, kind, pattern, _, group in generators[3:]:
+        for m in re.finditer(pattern, text):
+            v = m.group(group)
+            if name == "opaque" and not (re.search("[0-9]", v) and re.search("[A-Z]", v) and re.search("[a-z]", v) and len(set(v)) >= least_kinds and 6 * v.count("/") <= len(v)):
+                continue
+            if not any(s < m.end() and m.start() < e for s, _, e in base):
+                weak.append((m.start(), kinds.index(kind), m.end()))
+    inside = lambda s, o: o != s and o[0] <= s[0] and s[2] <= o[2] and ((o[0], o[2]) != (s[0], s[2]) or o[1] < s[1])
+    spans = sorted(set(base + [s for s in set(weak) if not any(inside(s, o) for o in weak)]))
+    scope = {s: len(re.findall(blank_line, text[: s[0]])) for s in spans}
+    role = lambda s: roles[kinds[s[1]]]
+
+    def meets(s, wanted):
+        return any(o != s and scope[o] == scope[s] and max(o[0] - s[2], s[0] - o[2], 0) <= reach and wanted(o) for o in spans)
+
+    out = []
+    for s in spans:
+        has = {r: meets(s, lambda o, r=r: role(o) == r) for r in ("identifier", "secret", "endpoint")}
+        strong = meets(s, lambda o: o[1] < 3)
+        good = {"secret": has["identifier"] or has["endpoint"], "identifier": has["secret"], "endpoint": has["secret"] and (has["identifier"] or strong)}[role(s)]
+        if s[1] < 3 or good:
+            out.append(s)
+    return ",".join(f"{kinds[k]}:{a}:{b}" for a, k, b in out)
+
+
+def trie(rows):
+    """Nodes of rebuilt conversations (conv_id, turn, role, text) by walking an actual trie."""
+    own = defaultdict(list)
+    for c, t, r, x in sorted((x for x in rows if x[0] is not None), key=lambda x: (x[0], x[1] is not None, x[1] or 0)):
+        own[c].append((r or "", x or ""))
+    built = {}
+    for c in own:
+        h = zlib.crc32(str(c).encode()) % 6
+        donor = c - int(np.fmod(c, 100))
+        built[c] = tuple(own.get(donor, [])[:h] + own[c][h:])
+    return trie_of(built)
+
+
+def trie_of(built):
+    members = defaultdict(list)
+    for c, turns in built.items():
+        for d in range(len(turns) + 1):
+            members[turns[:d]].append(c)
+    children = Counter(n[:-1] for n in members if n)
+    below = {n: [0, 0] for n in members}
+    for n, cs in members.items():
+        for d in range(len(n) + 1):
+            below[n[:d]][0] += n not in children
+            below[n[:d]][1] += (len(cs) - 1) * (len(n[-1][1]) if n else 0)
+    out = []
+    for n, cs in members.items():
+        ends = ",".join(str(c) for c in sorted(cs) if len(built[c]) == len(n))
+        out.append((min(cs), len(n), min(members[n[:-1]]) if n else None, len(cs), children[n], *below[n], sha(ends)))
+    return sorted(out, key=str)
+
+
+def whitening(rows, k=8):
+    """(ids, n, deviations, whitened up to sign, explained) of rows (id, vector or None) of one length."""
+    fine = [(i, v) for i, v in rows if v is not None and all(c is not None and np.isfinite(c) for c in v)]
+    x = np.array([[int(np.floor(1024 * float(c))) + 100000 for c in v] for _, v in fine], object)
+    n, sums = len(x), x.sum(axis=0)
+    d = (x * n - sums)
+    c = np.array(d / n, float)
+    e, v = np.linalg.eigh(c.T @ c / n)
+    e, v = e[::-1], v[:, ::-1]
+    return [i for i, _ in fine], n, [int(s) for s in (d * d).sum(axis=1)], (c @ v[:, :k]) / np.sqrt(e[:k]), e[:k] / e.sum()

@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from decisionkit.llm import licenses
+from decisionkit.llm import licenses, secrets
 from decisionkit.llm.queries import ORACLES, QUERIES, vocabulary
 from tests.llm import brute
 from tools.check import compare, connect
@@ -23,8 +23,8 @@ def rows(spark, sf, n):
     return [r.asDict() for r in QUERIES[NAMES[n]](spark, sf).collect()]
 
 
-def test_ten_queries_and_the_pipeline_are_registered():
-    assert sorted(NAMES) == list(range(1, 11)) and set(QUERIES) | {"pipeline"} <= set(entry.queries())
+def test_queries_and_the_pipeline_are_registered():
+    assert sorted(NAMES) == list(range(1, 14)) and set(QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(ORACLES) <= set(entry.oracle_sql()) and [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "near_dedup", "personal_data", "packing"]
 
 
@@ -63,6 +63,33 @@ def test_personal_data(spark, sf, docs):
         assert set(want[r["doc_id"]][5]) <= set(r["spans"].split(","))
 
 
+def test_secrets(spark, sf, docs):
+    got, text = rows(spark, sf, 11), dict(docs)
+    assert len(got) == len(docs)
+    for r in got:
+        base = brute.base_secrets(text[r["doc_id"]] or "")
+        assert (r["n_assign"], r["n_access"], r["n_hex"]) == tuple(sum(k == j for _, k, _ in base) for j in range(3))
+        assert r["base_sha256"] == brute.sha(",".join(f"{secrets.KINDS[k]}:{s}:{e}" for s, k, e in base))
+        assert r["spans"] == brute.secret_spans(text[r["doc_id"]] or "", secrets.GENERATORS, secrets.KINDS, secrets.ROLES, secrets.REACH, secrets.LEAST_KINDS, secrets.BREAK)
+
+
+def test_prefix_trie(spark, sf):
+    table = duckdb.sql(f"SELECT conv_id, turn, role, text FROM '{sf}/conversations.parquet'").fetchall()
+    columns = ("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+    assert sorted((tuple(r[c] for c in columns) for r in rows(spark, sf, 12)), key=str) == brute.trie(table)
+
+
+def test_whitening(spark, sf):
+    table = duckdb.sql(f"SELECT vec_id, embedding FROM '{sf}/embeddings.parquet' ORDER BY vec_id").fetchall()
+    ids, n, deviations, coordinates, explained = brute.whitening(table)
+    got = {(r["vec_id"], r["component"]): r for r in rows(spark, sf, 13)}
+    assert len(got) == 8 * len(ids) and all(r["n"] == n and r["identity_error"] < 1e-9 for r in got.values())
+    found = np.array([[got[i, k]["whitened"] for k in range(1, 9)] for i in ids])
+    assert np.allclose(found * np.sign((found * coordinates).sum(axis=0)), coordinates, atol=1e-7)
+    assert [got[i, 1]["deviation"] for i in ids] == deviations
+    assert np.allclose([got[ids[0], k]["explained"] for k in range(1, 9)], explained, rtol=1e-10)
+
+
 def test_nearest_vectors(spark, sf):
     table = duckdb.sql(f"SELECT vec_id, embedding FROM '{sf}/embeddings.parquet' ORDER BY vec_id").fetchnumpy()
     ids, x = table["vec_id"], np.stack(table["embedding"]).astype(float)

@@ -106,6 +106,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     named = staged(identities(docs, id_col, text_col, block_bytes), "named")
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("row").alias("row"))
     groups = named.groupBy(F.col("n").alias("g_n"), F.col("name").alias("g_name")).agg(F.count("*").alias("group_size"), F.min(order).alias("best"))
+    groups = staged(groups, "groups")  # else the count and the join share a stage, in which a large group cannot be split
     same = (F.col("n") == F.col("g_n")) & (F.col("name") == F.col("g_name"))
     return named.join(groups, same).select(
         "doc_id",

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from decisionkit.session import scratch_path, staged
 
-__all__ = ["ascii_lower", "filled", "read", "row_key", "rows_of", "scratch_path", "staged", "target_partitions"]
+__all__ = ["ascii_lower", "filled", "read", "row_key", "rows_of", "scratch_path", "sliced", "staged", "target_partitions"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -43,5 +47,16 @@ def rows_of(docs: DataFrame, key: str, kept: DataFrame, id_col: str = "doc_id",
     return rows.join(ids, rows["__row"] == ids["__keep"], "left_semi").dropDuplicates(["__row"]).drop(key, "__row")
 
 
+def sliced(batch: pa.RecordBatch, column: str, most: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """A record batch in slices of about ``most`` bytes of ``column``, so that what a task builds from it and passes on stays small."""
+    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype("int64")
+    part = sizes.cumsum() // most
+    at = 0
+    while at < batch.num_rows:
+        end = int(part.searchsorted(part[at], side="right"))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def target_partitions(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import filled, rows_of, staged, target_partitions
+from .common import filled, rows_of, sliced, staged, target_partitions
 from .components import star_components
 
 HASHES, BANDS = 128, 32
@@ -76,30 +76,33 @@ def signature(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _featured(width: int, hashes: int, with_sets: bool):
+    """Rows leave in small batches; sets come without a key of the text, as their callers need none."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = _functions(hashes)
         for batch in batches:
-            n, keys, out, texts = [], [], [], []
-            for body in batch.column("body"):
-                texts.append(hashlib.md5(body.as_py()).hexdigest())
-                s = shingle_hashes(body.as_py(), width)
-                raw = s.astype("<u8").tobytes()
-                n.append(len(s))
-                keys.append(hashlib.blake2b(raw, digest_size=16).digest() if len(s) else None)
-                out.append(raw if with_sets else signature(s, a, b).astype("<u4").tobytes() if len(s) else None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(out, pa.binary()), pa.array(texts, pa.string())],
-                names=["doc_id", "n_shingles", "set_key", "data", "text_key"],
-            )
+            for part in sliced(batch, "body"):
+                n, keys, out, texts = [], [], [], []
+                for body in part.column("body"):
+                    body = body.as_py()
+                    s = shingle_hashes(body, width)
+                    raw = s.astype("<u8").tobytes()
+                    n.append(len(s))
+                    keys.append(hashlib.blake2b(raw, digest_size=16).digest() if len(s) else None)
+                    out.append(raw if with_sets else signature(s, a, b).astype("<u4").tobytes() if len(s) else None)
+                    if not with_sets:
+                        texts.append(hashlib.md5(body).hexdigest())
+                columns = {"doc_id": part.column("doc_id"), "n_shingles": pa.array(n, pa.int64()), "set_key": pa.array(keys, pa.binary()), "data": pa.array(out, pa.binary())}
+                yield pa.RecordBatch.from_pydict(columns if with_sets else columns | {"text_key": pa.array(texts, pa.string())})
 
     return run
 
 
 def shingled(docs: DataFrame, width: int, hashes: int = HASHES, with_sets: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, n_shingles, set_key, data (the signature, or the set itself) and text_key (md5)."""
+    """Per row: doc_id, n_shingles, set_key and data: the set itself, or the signature and text_key (md5)."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.encode(filled(F.col(text_col)), "UTF-8").alias("body"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(_featured(width, hashes, with_sets), f"doc_id {kind}, n_shingles long, set_key binary, data binary, text_key string")
+    return rows.mapInArrow(_featured(width, hashes, with_sets), f"doc_id {kind}, n_shingles long, set_key binary, data binary" + ("" if with_sets else ", text_key string"))
 
 
 def _near(threshold: float):

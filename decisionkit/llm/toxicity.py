@@ -5,13 +5,15 @@ bytes, so that inflected forms share a part; a word's embedding is the sum. Filt
 label 1. Nothing but the text goes into it.
 
 The model is fitted on the driver from a bounded, documented sample: at most ``max_rows`` labelled rows, half of them of either label where
-there are enough, of at most ``max_words`` words each (whole rows, never prefixes). A fifth of the sample is set aside for calibration (weighted
-back to the labels' true shares) and for one decision threshold per language. Scoring reads every word of every text, in chunks.
+there are enough, of at most ``max_words`` words each (whole rows, never prefixes); a fifth of the labelled rows, by a hash of the id, never enters it. Everything after
+that sees all rows: every document is scored once, in chunks of words, and all usable labelled rows that were not fitted on are counted by
+language, label and bin of the raw score. Platt scaling is fitted to the counts, each label weighted back to its true share. A language's threshold has the best F1, among calibrated scores of one half or more, on
+its own counts plus ``PRIOR`` rows spread like the counts of all languages, so one rule serves languages with many rows, few or none.
 
 Nulls and odd rows: a null or empty text is scored like any other (all maxima zero); rows without label, or with a label other than 0 and
 1, are not learnt from; several labels of one id count as their maximum; with one class only, or none, every score is the share of label
-1 (0 without labels); an unknown or null language uses the general threshold; repeated rows get equal scores; an empty table gives an
-empty result; other columns are not looked at.
+1 (0 without labels); an unknown or null language uses the threshold of all languages together; repeated rows get equal scores; a very long text is read in
+chunks; an empty table gives an empty result; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -27,11 +29,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import filled
+from .common import filled, sliced, staged
 
 BUCKETS, DIM, FILTERS, WIDTHS, STEMS = 1 << 16, 8, 8, (1, 2, 3), (4, 6)
 MAX_ROWS, MAX_WORDS, EPOCHS, LEAST_STEPS = 6000, 20_000, 3, 450
 THRESHOLD = 0.7
+PRIOR, BINS, REACH = 40.0, 64, 40  # bins of a raw score: 64 a unit, from -40 to 40
 CHUNK, CACHED = 1 << 14, 1 << 17
 _TABLE = bytes.maketrans((string.ascii_uppercase + string.punctuation).encode(), (string.ascii_lowercase + " " * len(string.punctuation)).encode())
 
@@ -57,7 +60,7 @@ class TextCnn:
     bias: float
     scale: float = 1.0  # calibration: score = sigmoid(scale * z + shift)
     shift: float = 0.0
-    thresholds: dict[str, float] | None = None
+    cut: float = THRESHOLD  # of all languages together
 
     def score(self, z: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.scale * np.asarray(z, float) + self.shift, -60, 60)))
@@ -172,7 +175,7 @@ def fit_cnn(texts: list[np.ndarray], labels: np.ndarray, widths=WIDTHS, buckets=
 
 
 def _calibrate(model: TextCnn, z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> None:
-    """Platt scaling by Newton steps with a light ridge."""
+    """Platt scaling by Newton steps with a light ridge towards the raw score."""
     beta = np.array([1.0, 0.0])
     x = np.stack([z, np.ones_like(z)], axis=1)
     for _ in range(30):
@@ -183,20 +186,15 @@ def _calibrate(model: TextCnn, z: np.ndarray, y: np.ndarray, weight: np.ndarray)
     model.scale, model.shift = float(beta[0]), float(beta[1])
 
 
-def _language_thresholds(score: np.ndarray, y: np.ndarray, weight: np.ndarray, lang: list[str], least: int = 40) -> dict[str, float]:
-    """Per language the cut of best F1 on the rows set aside, in the middle of its range; languages with few rows keep the general one."""
-    out, lang = {}, np.array(lang, object)
-    for name in sorted({x for x in lang if x is not None}):
-        rows = lang == name
-        s, t, w = score[rows], y[rows], weight[rows]
-        if min((t == 1).sum(), (t == 0).sum()) < least:
-            continue
-        order = np.argsort(-s, kind="stable")
-        s, hit, seen = s[order], np.cumsum((w * t)[order]), np.cumsum(w[order])
-        f1 = 2 * hit / (seen + (w * t).sum())
-        best = int(f1.argmax())
-        out[name] = float((s[best] + (s[best + 1] if best + 1 < len(s) else 0.0)) / 2)
-    return out
+def best_cut(score: np.ndarray, hits: np.ndarray, misses: np.ndarray) -> float:
+    """The calibrated score of best F1, in the middle between it and the next one below that holds rows; never where label 0 is the likelier one."""
+    order = np.argsort(-score, kind="stable")
+    score, hits, seen = score[order], np.cumsum(hits[order]), np.cumsum((hits + misses)[order])
+    able = score >= 0.5
+    if not able.any():
+        return 0.5
+    best = int(np.where(able, 2 * hits / np.maximum(seen + hits[-1], 1e-12), -1).argmax())
+    return max(0.5, float((score[best] + score[min(best + 1, len(score) - 1)]) / 2))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -213,91 +211,151 @@ def _split(max_words: int):
     return run
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int, max_words: int, seed: int = 11) -> tuple[list, np.ndarray, np.ndarray, list]:
-    """(words joined by line ends, labels, weights, languages) of the bounded sample. The draw is by a hash of the id."""
+def usable_labels(labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic): one label per id, of the ids that may be learnt from."""
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    return known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+
+
+def draw(known: DataFrame, max_rows: int, seed: int = 11) -> tuple[DataFrame, dict[int, int]]:
+    """(labelled ids with ``fitted``, number of ids of either label). The draw is by a hash of the id; a fifth of the ids cannot be drawn."""
     sizes = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     few = min(sizes.values(), default=0)
     room = {k: min(n, max_rows // 2 if few >= max_rows // 2 or n == few else max_rows - few) for k, n in sizes.items()}
-    draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
+    unit = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
     share = F.lit(0.0)
     for k, n in sizes.items():
-        share = F.when(F.col("toxic") == k, F.lit(room[k] / n)).otherwise(share)
-    drawn = known.where(draw < share).select(F.col("doc_id").alias("__id"), "toxic")
-    language = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
-    rows = docs.select("doc_id", language.alias("lang"), F.encode(filled(F.col("text")), "UTF-8").alias("body"))
+        share = F.when(F.col("toxic") == k, F.lit(min(0.8, room[k] / n))).otherwise(share)
+    return known.withColumn("fitted", unit < share), sizes
+
+
+def training_rows(docs: DataFrame, drawn: DataFrame, max_words: int) -> tuple[list, np.ndarray]:
+    """(words joined by line ends, labels) of the bounded sample."""
+    rows = docs.select("doc_id", F.encode(filled(F.col("text")), "UTF-8").alias("body"))
     # the draw holds about ``max_rows`` ids, so it may be broadcast
-    rows = rows.join(F.broadcast(drawn), rows["doc_id"] == drawn["__id"]).select("doc_id", "lang", "toxic", "body")
+    picked = drawn.where("fitted").select(F.col("doc_id").alias("__id"), "toxic")
+    rows = rows.join(F.broadcast(picked), rows["doc_id"] == picked["__id"]).select("doc_id", "toxic", "body")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    rows = rows.mapInArrow(_split(max_words), f"doc_id {kind}, lang string, toxic int, words binary")
-    table = rows.toArrow().to_pydict()
+    table = rows.mapInArrow(_split(max_words), f"doc_id {kind}, toxic int, words binary").toArrow().to_pydict()
     order = np.lexsort(([bytes(w) for w in table["words"]], np.array(table["doc_id"], object))) if table["doc_id"] else []
-    y = np.array([table["toxic"][i] for i in order], float)
-    weight = np.array([sizes[int(t)] / max(1, (y == t).sum()) for t in y])
-    return [table["words"][i] for i in order], y, weight * len(y) / max(weight.sum(), 1e-9), [table["lang"][i] for i in order]
+    return [table["words"][i] for i in order], np.array([table["toxic"][i] for i in order], float)
 
 
-def fitted(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_words: int = MAX_WORDS) -> TextCnn:
-    texts, y, weight, lang = training_rows(docs, labels, max_rows, max_words)
-    aside = np.arange(len(y)) % 5 == 4
-    if len(y) < 10 or any(len(set(y[part])) < 2 for part in (aside, ~aside)):
+def fitted(docs: DataFrame, drawn: DataFrame, sizes: dict[int, int], max_words: int = MAX_WORDS) -> TextCnn:
+    """The network, not yet calibrated; a constant where one of the labels is missing from the sample."""
+    texts, y = training_rows(docs, drawn, max_words)
+    if len(set(y)) < 2:
         model = _initial(WIDTHS, 1, 1, FILTERS, 0)
-        share = float(np.average(y, weights=weight)) if len(y) else 0.0
+        share = sizes.get(1, 0) / max(1, sum(sizes.values()))
         model.weights[:] = 0
-        model.scale, model.shift, model.thresholds = 0.0, float(np.log(max(share, 1e-9) / max(1 - share, 1e-9))), {}
+        model.scale, model.shift = 0.0, float(np.log(max(share, 1e-9) / max(1 - share, 1e-9)))
         return model
-    model = fit_cnn([word_units(t.split()) for t, a in zip(texts, aside) if not a], y[~aside])
-    reader = Reader(model)
-    z = np.array([reader.logit(t.split()) for t, a in zip(texts, aside) if a])
-    _calibrate(model, z, y[aside], weight[aside])
-    model.thresholds = _language_thresholds(model.score(z), y[aside], weight[aside], [x for x, a in zip(lang, aside) if a])
-    return model
-
-
-def _scored(model: TextCnn):
+    return fit_cnn([word_units(t.split()) for t in texts], y)
+
+
+def calibrated(model: TextCnn, scored: DataFrame, drawn: DataFrame, sizes: dict[int, int]) -> DataFrame:
+    """Calibrates the model on ``scored`` (doc_id, lang, z) and gives (lang, threshold) of the languages with labels. A count per language, label and bin is
+    all that is gathered, and a language's choice is a task of its own."""
+    raw = F.least(F.greatest(F.floor(F.col("z") * BINS), F.lit(-REACH * BINS)), F.lit(REACH * BINS)).cast("int").alias("bin")
+    rows = scored.join(drawn.where("not fitted").select(F.col("doc_id").alias("__id"), "toxic"), F.col("doc_id") == F.col("__id"))
+    counts = staged(rows.groupBy("lang", raw, "toxic").agg(F.count("*").alias("n")), "counts")
+    total = counts.groupBy("bin", "toxic").agg(F.sum("n").alias("n")).collect()  # at most 2 * 80 * BINS rows
+    n = {k: sum(r["n"] for r in total if r["toxic"] == k) for k in (0, 1)}
+    weight = {k: sizes.get(k, 0) / n[k] if n[k] else 0.0 for k in (0, 1)}
+    schema = "lang string, threshold double"
+    if model.scale == 0.0 or not total:
+        return counts.sparkSession.createDataFrame([], schema)
+    bins = np.array(sorted({r["bin"] for r in total}))
+    at = {b: k for k, b in enumerate(bins)}
+    pooled = np.zeros((2, len(bins)))
+    for r in total:
+        pooled[r["toxic"], at[r["bin"]]] = r["n"] * weight[r["toxic"]]
+    z = (np.concatenate([bins, bins]) + 0.5) / BINS
+    spread = np.concatenate([pooled[0], pooled[1]])
+    _calibrate(model, z, np.repeat([0.0, 1.0], len(bins)), spread * sum(n.values()) / spread.sum())
+    score = model.score((bins + 0.5) / BINS)
+    model.cut = best_cut(score, pooled[1], pooled[0])
+    prior = pooled / pooled.sum() * PRIOR
+
+    def choose(table):
+        own = prior.copy()
+        for b, k, m in zip(table["bin"], table["toxic"], table["n"]):
+            own[k, at[b]] += m * weight[k]
+        return table[["lang"]].iloc[:1].assign(threshold=best_cut(score, own[1], own[0]))
+
+    return staged(counts.where("lang is not null").groupBy("lang").applyInPandas(choose, schema), "cuts")
+
+
+def _scored(model: TextCnn, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(model)
         for batch in batches:
-            z = [reader.logit(words_of(x.as_py())) for x in batch.column("__body")]
-            columns = {c: batch.column(c) for c in batch.schema.names if c != "__body"}
-            yield pa.RecordBatch.from_pydict(columns | {"__score": pa.array(model.score(np.array(z)) if z else [], pa.float64())})
+            for part in sliced(batch, text_col):
+                bodies = part.column(text_col).cast(pa.binary())
+                z = [reader.logit(words_of(x.as_py() or b"")) for x in bodies]
+                yield part.append_column("__z", pa.array(z, pa.float64()))
 
     return run
 
 
 def scores(docs: DataFrame, model: TextCnn, columns: list[str], text_col: str = "text") -> DataFrame:
-    """The given columns of ``docs`` with ``__score``; every text is read whole."""
-    rows = docs.select(*[F.col(f"`{c}`") for c in columns], F.encode(filled(F.col(text_col)), "UTF-8").alias("__body"))
-    own = [f for f in rows.schema if f.name != "__body"]
-    return rows.mapInArrow(_scored(model), T.StructType(own).add("__score", "double"))
+    """The given columns of ``docs`` with the raw score ``__z``; every text is read whole and goes to Python once."""
+    rows = docs.select(*[F.col(f"`{c}`") for c in columns])
+    if text_col not in columns:
+        rows = docs.select(*[F.col(f"`{c}`") for c in columns], F.col(text_col).cast("string").alias("__text"))
+        out = rows.mapInArrow(_without("__text", _scored(model, "__text")), T.StructType([f for f in rows.schema if f.name != "__text"]).add("__z", "double"))
+        return out
+    return rows.mapInArrow(_scored(model, text_col), T.StructType(list(rows.schema)).add("__z", "double"))
 
 
-def threshold_of(model: TextCnn, lang: Column) -> Column:
-    out = F.lit(THRESHOLD)
-    for name, cut in sorted((model.thresholds or {}).items()):
-        out = F.when(lang == name, F.lit(cut)).otherwise(out)
-    return out
+def _without(column: str, run):
+    def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in run(batches):
+            yield batch.drop_columns([column])
+
+    return narrow
+
+
+def probability(model: TextCnn, z: Column) -> Column:
+    raw = F.greatest(F.least(F.lit(model.scale) * z + F.lit(model.shift), F.lit(60.0)), F.lit(-60.0))
+    return 1 / (1 + F.exp(-raw))
+
+
+def _language(docs: DataFrame) -> Column:
+    return F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+
+
+def _with_cut(rows: DataFrame, model: TextCnn, cuts: DataFrame, lang: str) -> DataFrame:
+    """Adds ``__cut``, the threshold of the row's language. The table has one small row per labelled language; Spark broadcasts it below its own limit."""
+    side = cuts.select(F.col("lang").alias("__of"), F.col("threshold").alias("__own"))
+    return rows.join(side, rows[lang] == side["__of"], "left").withColumn("__cut", F.coalesce("__own", F.lit(model.cut))).drop("__of", "__own")
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, **limits: int) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_words: int = MAX_WORDS) -> DataFrame:
     """Per document: doc_id, held_out, score, predicted (score >= 0.7), threshold (of its language) and rejected."""
-    model = fitted(docs, labels, **limits)
-    lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
-    rows = scores(docs.withColumn("__lang", lang), model, ["doc_id", "__lang"])
-    cut = threshold_of(model, F.col("__lang"))
-    return rows.select(
+    known, sizes = draw(usable_labels(labels), max_rows)
+    known = staged(known, "labels")
+    model = fitted(docs, known, sizes, max_words)
+    rows = scores(docs.select("doc_id", "text", _language(docs).alias("__lang")), model, ["doc_id", "__lang"])
+    rows = staged(rows.withColumnRenamed("__z", "z"), "scores")
+    cuts = calibrated(model, rows.select("doc_id", F.col("__lang").alias("lang"), "z"), known, sizes)
+    score = probability(model, F.col("z"))
+    return _with_cut(rows, model, cuts, "__lang").select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
-        F.col("__score").alias("score"),
-        (F.col("__score") >= THRESHOLD).cast("int").alias("predicted"),
-        cut.alias("threshold"),
-        (F.col("__score") >= cut).alias("rejected"),
+        score.alias("score"),
+        (score >= THRESHOLD).cast("int").alias("predicted"),
+        F.col("__cut").alias("threshold"),
+        (score >= F.col("__cut")).alias("rejected"),
     )
 
 
-def keep_acceptable(docs: DataFrame, labels: DataFrame, **limits: int) -> DataFrame:
-    """``docs`` without the rows whose score reaches their language's threshold, all columns kept."""
-    model = fitted(docs, labels, **limits)
-    lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
-    return scores(docs, model, docs.columns).where(F.col("__score") < threshold_of(model, lang)).drop("__score")
+def keep_acceptable(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_words: int = MAX_WORDS) -> DataFrame:
+    """``docs`` without the rows whose score reaches their language's threshold, all columns kept. The scored rows are written once, as
+    their decision needs the counts of all of them."""
+    known, sizes = draw(usable_labels(labels), max_rows)
+    known = staged(known, "labels")
+    model = fitted(docs, known, sizes, max_words)
+    rows = staged(scores(docs, model, docs.columns).withColumn("__lang", _language(docs)), "scored")
+    cuts = calibrated(model, rows.select("doc_id", F.col("__lang").alias("lang"), F.col("__z").alias("z")), known, sizes)
+    return _with_cut(rows, model, cuts, "__lang").where(probability(model, F.col("__z")) < F.col("__cut")).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -203,6 +203,23 @@ def test_toxicity(odd, none, spark):
     assert kept.columns == docs.columns and {r["doc_id"] % 4 for r in kept.where("doc_id is not null").collect()} == {1, 2, 3}
 
 
+def test_a_language_with_few_rows_leans_on_all():
+    score, hits, misses = np.array([0.9, 0.7, 0.6, 0.1]), np.array([9.0, 9.0, 0.0, 2.0]), np.array([0.0, 1.0, 9.0, 90.0])
+    cut = toxicity.best_cut(score, hits, misses)
+    assert 0.6 <= cut <= 0.7
+    assert toxicity.best_cut(score[3:], hits[3:], misses[3:]) == 0.5  # nothing is likelier toxic than not
+
+
+def test_batches_are_cut_by_bytes():
+    import pyarrow as pa
+
+    from decisionkit.llm.common import sliced
+
+    batch = pa.RecordBatch.from_pydict({"t": pa.array(["x" * 30, None, "", "y" * 100, "z" * 5, "w"], pa.string())})
+    parts = [p.column("t").to_pylist() for p in sliced(batch, "t", 32)]
+    assert sum(parts, []) == batch.column("t").to_pylist() and len(parts) == 2 and list(sliced(batch.slice(0, 0), "t")) == []
+
+
 def test_chunks_do_not_change_a_score(monkeypatch):
     model = toxicity._initial(toxicity.WIDTHS, 512, 4, 4, 1)
     words = [f"w{k % 211}".encode() for k in range(900)]

@@ -140,6 +140,25 @@ def test_toxicity(spark, sf, docs):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in got)
 
 
+def test_held_out_toxicity(spark):
+    """On the largest tables here: documents whose labels were never learnt from."""
+    import zlib
+
+    sf = "/root/testdata/sf0.1"
+    labels = duckdb.sql(f"SELECT doc_id, max(toxic) FROM '{sf}/labels.parquet' WHERE toxic IN (0, 1) GROUP BY doc_id").fetchall()
+    from decisionkit.llm import toxicity
+
+    read = lambda n: spark.read.parquet(f"{sf}/{n}.parquet")
+    got = {r["doc_id"]: r for r in toxicity.toxicity(read("documents"), read("labels")).collect()}
+    aside = [(got[i], y) for i, y in labels if zlib.crc32(str(i).encode()) % 3 == 1]
+    y = np.array([y for _, y in aside])
+    assert len(y) > 1000 and brute.auc([r["score"] for r, _ in aside], y) > 0.95
+    for column in ("predicted", "rejected"):
+        picked = np.array([bool(r[column]) for r, _ in aside])
+        assert (picked & (y == 1)).sum() > 0.8 * y.sum() and (picked & (y == 1)).sum() > 0.9 * picked.sum()
+    assert all(0.5 <= r["threshold"] <= 1 for r in got.values()) and len({r["threshold"] for r in got.values()}) > 1
+
+
 def test_pipeline(spark, sf, docs):
     """Stage by stage: what each keeps follows from what it was given."""
     given = spark.read.parquet(f"{sf}/documents.parquet")

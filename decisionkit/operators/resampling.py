@@ -13,10 +13,29 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from ..functions.hashing import hash_long
 from ..functions.scalars import r6
 
-PER_DIGEST = 8  # an md5 holds eight 16-bit draws
+PRIME = (1 << 31) - 1
+DRAW_SHIFT = 15  # a draw below PRIME has 16 leading bits above this
 POISSON_CUTS = [round(65536 * sum(math.exp(-1) / math.factorial(j) for j in range(k + 1))) for k in range(8)]
+ROWS_AT_ONCE = 512
+
+
+def lines(replicates: int, seed: int | str) -> tuple[np.ndarray, np.ndarray]:
+    """Slope and intercept of each replicate: a key with hash h draws (slope h + intercept) mod PRIME there."""
+    digit = lambda kind, r: int(hashlib.md5(f"{seed}|{kind}|{r}".encode()).hexdigest()[:15], 16)
+    slopes = [1 + digit("slope", r) % (PRIME - 1) for r in range(replicates)]
+    return np.array(slopes, np.int64), np.array([digit("intercept", r) % PRIME for r in range(replicates)], np.int64)
+
+
+def poisson_weights(hashes: np.ndarray, slopes: np.ndarray, intercepts: np.ndarray, weight_of: np.ndarray) -> np.ndarray:
+    """Weights (rows x replicates); products stay below 2**62 and are exact."""
+    draws = hashes[:, None] * slopes[None, :] + intercepts[None, :]
+    draws = (draws & PRIME) + (draws >> 31)  # mod a Mersenne prime: fold twice
+    draws = (draws & PRIME) + (draws >> 31)
+    draws[draws == PRIME] = 0
+    return weight_of[draws >> DRAW_SHIFT]
 
 
 def _partial_totals(replicates: int, seed: int | str, groups: list[str], names: list[str], schema: pa.Schema):
@@ -24,23 +43,18 @@ def _partial_totals(replicates: int, seed: int | str, groups: list[str], names:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight_of = np.searchsorted(POISSON_CUTS, np.arange(65536), side="right").astype(np.float64)
-        blocks, sums = -(-replicates // PER_DIGEST), {}
+        (slopes, intercepts), sums = lines(replicates, seed), {}
         for batch in batches:
-            keys = batch.column("_key").to_pylist()
-            group = list(zip(*[batch.column(g).to_pylist() for g in groups])) if groups else [()] * len(keys)
+            hashes = batch.column("_hash").to_numpy()
             values = np.stack([batch.column(n).to_numpy(zero_copy_only=False).astype(np.float64) for n in names], axis=1)
-            distinct = sorted(set(keys), key=str)
-            for at in range(0, len(distinct), 256):
-                part = {k: i for i, k in enumerate(distinct[at : at + 256])}
-                texts = ([f"{seed}|{b}" + ("" if k is None else f"|{k}") for b in range(blocks)] for k in part)
-                draws = b"".join(hashlib.md5(t.encode()).digest() for ts in texts for t in ts)
-                weights = weight_of[np.frombuffer(draws, ">u2").reshape(len(part), -1)[:, :replicates]]
-                rows: dict[tuple, list[int]] = {}
-                for r, (k, g) in enumerate(zip(keys, group)):
-                    if k in part:
-                        rows.setdefault(g, []).append(r)
-                for g, own in rows.items():
-                    total = weights[[part[keys[r]] for r in own]].T @ values[own]
+            group = list(zip(*[batch.column(g).to_pylist() for g in groups])) if groups else [()] * len(hashes)
+            place: dict[tuple, int] = {}
+            member = np.fromiter((place.setdefault(g, len(place)) for g in group), np.int64, len(group))
+            order = np.argsort(member, kind="stable")
+            for g, own in zip(place, np.split(order, np.searchsorted(member[order], np.arange(1, len(place))))):
+                for at in range(0, len(own), ROWS_AT_ONCE):
+                    rows = own[at : at + ROWS_AT_ONCE]
+                    total = poisson_weights(hashes[rows], slopes, intercepts, weight_of).T @ values[rows]
                     sums[g] = sums[g] + total if g in sums else total
         for g, total in sums.items():
             columns = [pa.array([x] * replicates, t.type) for x, t in zip(g, schema)]
@@ -56,9 +70,11 @@ def bootstrap_totals(
 ) -> DataFrame:
     """Weighted totals per replicate (and per group of ``by``, of which there should be few).
 
-    The weights are drawn and summed inside the tasks, a block of keys at a time; rows are never copied.
+    The JVM hashes each key once; the weights of all replicates follow from that hash by one linear function each, and are
+    drawn and summed inside the tasks, a block of rows at a time; rows are never copied.
     """
-    work = df.select(*by, F.col(key).cast("string").alias("_key"), *[F.coalesce(e.cast("bigint"), F.lit(0)).alias(n) for n, e in totals.items()])
+    hashed = (hash_long(seed, key) % F.lit(PRIME)).cast("bigint").alias("_hash")
+    work = df.select(*by, hashed, *[F.coalesce(e.cast("bigint"), F.lit(0)).alias(n) for n, e in totals.items()])
     spark_schema = T.StructType([work.schema[g] for g in by]).add("replicate", "integer")
     for n in totals:
         spark_schema = spark_schema.add(n, "long")

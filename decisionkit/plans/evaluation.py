@@ -259,11 +259,13 @@ REPLICATES = 2000
 
 def weights_sql(source: str, key: str, seed: str = "boot", replicates: int = REPLICATES) -> str:
     """Every row of ``source`` per replicate, with its weight as column w."""
-    digest = f"md5('{seed}' || '|' || CAST(b AS VARCHAR) || '|' || CAST({key} AS VARCHAR))"
-    cuts = " + ".join(f"CAST(u >= '{c:04x}' AS INTEGER)" for c in B.POISSON_CUTS if c < 65536)
-    return f"""digests AS (SELECT s.*, b, {digest} AS d FROM {source} AS s, range({-(-replicates // 8)}) AS t(b)),
-drawn AS (SELECT * EXCLUDE (d, b, j), CAST(b * 8 + j AS INTEGER) AS replicate, substr(d, CAST(4 * j + 1 AS INTEGER), 4) AS u FROM digests, range(8) AS t(j) WHERE b * 8 + j < {replicates}),
-weighted AS (SELECT *, {cuts} AS w FROM drawn)"""
+    number = lambda text: f"CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT)"
+    draw = f"(((slope * h + intercept) % {B.PRIME}) >> {B.DRAW_SHIFT})"
+    cuts = " + ".join(f"CAST({draw} >= {c} AS INTEGER)" for c in B.POISSON_CUTS if c < 65536)
+    return f"""hashed AS (SELECT s.*, {number(f"'{seed}|' || CAST({key} AS VARCHAR)")} % {B.PRIME} AS h FROM {source} AS s),
+lines AS (SELECT CAST(r AS INTEGER) AS replicate, 1 + {number(f"'{seed}|slope|' || CAST(r AS VARCHAR)")} % {B.PRIME - 1} AS slope,
+  {number(f"'{seed}|intercept|' || CAST(r AS VARCHAR)")} % {B.PRIME} AS intercept FROM range({replicates}) AS t(r)),
+weighted AS (SELECT hashed.* EXCLUDE (h), replicate, {cuts} AS w FROM hashed, lines)"""
 
 
 INTERVAL_SQL = """, tidy AS (UNPIVOT samples ON cost_per_row, recall, precision INTO NAME metric VALUE value)

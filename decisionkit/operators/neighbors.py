@@ -145,6 +145,19 @@ def choose_pivots(refs: DataFrame, count: int) -> np.ndarray:
     return _matrix(picked["vector"])
 
 
+def _sides(queries: DataFrame, references: DataFrame, key: str, vector: str, wanted: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(all queries, references with at most ``wanted`` copies of a vector, one query per vector)."""
+    doubles = F.col(vector).cast("array<double>").alias("vector")
+    copies = Window.partitionBy("vector").orderBy("id")
+    refs = (
+        references.select(F.col(key).alias("id"), doubles)
+        .withColumn("_copy", F.row_number().over(copies))
+        .filter(F.col("_copy") <= wanted)
+    )
+    rows = queries.select(F.col(key).alias("id"), doubles)
+    return rows, staged(refs, "knn-references"), rows.groupBy("vector").agg(F.min("id").alias("id"))
+
+
 def knn_join(
     queries: DataFrame,
     references: DataFrame,
@@ -161,16 +174,7 @@ def knn_join(
     Distances are rounded to six decimals before they are compared.
     """
     wanted = k + 1 if exclude_self else k
-    doubles = F.col(vector).cast("array<double>").alias("vector")
-    copies = Window.partitionBy("vector").orderBy("id")
-    refs = (
-        references.select(F.col(key).alias("id"), doubles)
-        .withColumn("_copy", F.row_number().over(copies))
-        .filter(F.col("_copy") <= wanted)
-    )
-    refs = staged(refs, "knn-references")
-    rows = queries.select(F.col(key).alias("id"), doubles)
-    searched = rows.groupBy("vector").agg(F.min("id").alias("id"))
+    rows, refs, searched = _sides(queries, references, key, vector, wanted)
 
     if pivots is None:
         pivots = min(MAX_PIVOTS, max(1, math.ceil(math.sqrt(refs.count()) / 2)))
@@ -225,14 +229,19 @@ def knn_join(
 
     block = ["group", "qb", "rb"]
     partial = left.groupBy(*block).cogroup(right.groupBy(*block)).applyInPandas(search, "qid bigint, id bigint, distance double")
+    return _attached(rows, placed, partial, k, wanted, key, exclude_self)
+
+
+def _attached(rows: DataFrame, searched: DataFrame, pairs: DataFrame, k: int, wanted: int, key: str, exclude_self: bool) -> DataFrame:
+    """The best of the pairs found for each searched vector, given to every query with that vector."""
     best = Window.partitionBy("qid").orderBy("distance", "id")
     merged = (
-        partial.withColumn("_place", F.row_number().over(best))
+        pairs.withColumn("_place", F.row_number().over(best))
         .filter(F.col("_place") <= wanted)
         .groupBy("qid")
         .agg(F.array_sort(F.collect_list(F.struct("distance", "id"))).alias("neighbours"))
     )
-    lists = placed.join(merged, F.col("id") == F.col("qid")).select("vector", "neighbours")
+    lists = searched.join(merged, F.col("id") == F.col("qid")).select("vector", "neighbours")
     joined = match_keys(rows, lists, ["vector"])
     neighbours = F.col("neighbours")
     if exclude_self:
@@ -240,6 +249,89 @@ def knn_join(
     return joined.select(F.col("id").alias(key), "vector", F.slice(neighbours, 1, k).alias("neighbours"))
 
 
+def _hashed(df: DataFrame, directions: list[np.ndarray], probes: int) -> DataFrame:
+    """Each vector once per table and probe: its bucket is the direction it points along most, further probes the next ones."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            step = max(1, 2_000_000 // (len(directions) * len(directions[0])))
+            for start in range(0, len(pdf), step):
+                part = pdf.iloc[start : start + step]
+                vectors = _matrix(part["vector"])
+                for table, axes in enumerate(directions):
+                    along = vectors @ axes.T
+                    best = np.argpartition(-along, probes - 1, axis=1)[:, :probes] if probes < len(axes) else np.tile(np.arange(len(axes)), (len(part), 1))
+                    row = np.repeat(np.arange(len(part)), best.shape[1])
+                    yield pd.DataFrame({"bucket": table * len(axes) + best.ravel(), "id": part["id"].to_numpy()[row], "vector": part["vector"].to_numpy()[row]})
+
+    return df.select("id", "vector").mapInPandas(run, "bucket bigint, id bigint, vector array<double>")
+
+
+def approximate_knn_join(
+    queries: DataFrame,
+    references: DataFrame,
+    k: int,
+    key: str = "id",
+    vector: str = "vector",
+    exclude_self: bool = False,
+    tables: int = 4,
+    probes: int = 6,
+    bucket_rows: int = 4096,
+    least_buckets: int = 16,
+    query_block: int = QUERY_BLOCK,
+    reference_block: int = REFERENCE_BLOCK,
+    seed: int = 5,
+) -> DataFrame:
+    """(key, vector, neighbours): nearly the k nearest references, from random-projection hash tables.
+
+    A table draws random directions, about one per ``bucket_rows`` references, and files a vector under the direction it points along most. A reference is
+    copied once per table, a query once per table and probe, whatever the number of rows; a query meets at most about tables * probes * bucket_rows references, in
+    blocks, and each block pair passes on its k best per query, never its pairs. Distances are exact and rounded to six decimals; ``neighbour_recall``
+    measures what is missed. The same call gives the same result: directions come from ``seed``, blocks from hashes of keys.
+    """
+    wanted = k + 1 if exclude_self else k
+    rows, refs, searched = _sides(queries, references, key, vector, wanted)
+    searched = staged(searched, "knn-queries")
+    seen = refs.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("width")).first()
+    if not seen["n"]:
+        empty = F.array().cast("array<struct<distance:double,id:bigint>>")
+        return rows.select(F.col("id").alias(key), "vector", empty.alias("neighbours"))
+    buckets = max(least_buckets, math.ceil(seen["n"] / bucket_rows))
+    draw = np.random.default_rng(seed)
+    directions = [draw.normal(size=(buckets, seen["width"])) for _ in range(tables)]
+    filed = staged(_hashed(refs, directions, 1), "knn-filed")
+    asked = staged(_hashed(searched, directions, min(probes, buckets)), "knn-asked")
+    # one row per bucket: tables * references / bucket_rows of them
+    size = filed.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / reference_block).cast("int").alias("r"))
+    plan = size.join(asked.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / query_block).cast("int").alias("q")), "bucket")
+    plan = staged(plan, "knn-plan")
+
+    def every(n: str) -> F.Column:
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    left = asked.join(plan, "bucket").select("bucket", F.pmod(F.xxhash64("id"), F.col("q")).cast("int").alias("qb"), every("r").alias("rb"), "id", "vector")
+    right = filed.join(plan, "bucket").select("bucket", every("q").alias("qb"), F.pmod(F.xxhash64("id"), F.col("r")).cast("int").alias("rb"), "id", "vector")
+
+    def search(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
+        if not len(q) or not len(r):
+            return pd.DataFrame({"qid": [], "id": [], "distance": []})
+        row, found, distance = _nearest_pairs(_matrix(q["vector"]), _matrix(r["vector"]), r["id"].to_numpy(), wanted)
+        return pd.DataFrame({"qid": q["id"].to_numpy()[row], "id": found, "distance": distance})
+
+    block = ["bucket", "qb", "rb"]
+    pairs = left.groupBy(*block).cogroup(right.groupBy(*block)).applyInPandas(search, "qid bigint, id bigint, distance double")
+    return _attached(rows, searched, pairs.dropDuplicates(["qid", "id"]), k, wanted, key, exclude_self)
+
+
+def neighbour_recall(found: DataFrame, exact: DataFrame, key: str = "id") -> DataFrame:
+    """One row: queries, recall (share of the exact neighbours that were found) and how many distances of found neighbours beat the exact list's own place."""
+    both = exact.select(F.col(key).alias("_key"), F.col("neighbours").alias("_exact")).join(found, F.col("_key").eqNullSafe(F.col(key)))
+    ids = lambda c: F.transform(c, lambda n: n["id"])
+    hits = F.size(F.array_intersect(ids(F.col("_exact")), ids(F.col("neighbours"))))
+    better = F.size(F.filter(F.arrays_zip(F.col("_exact").alias("e"), F.col("neighbours").alias("f")), lambda z: z["f"]["distance"] < z["e"]["distance"]))
+    return both.agg(F.count(F.lit(1)).alias("queries"), (F.sum(hits) / F.sum(F.size("_exact"))).alias("recall"), F.sum(better).alias("better_than_exact"))
+
+
 def neighbour_rows(joined: DataFrame, key: str = "id") -> DataFrame:
     """One row per neighbour: (key, place, neighbour, distance)."""
     return joined.select(key, F.posexplode("neighbours").alias("_i", "_n")).select(

@@ -9,7 +9,7 @@ from ..operators import contracts as C
 from ..operators import imbalance as I
 from ..operators import policy as P
 from ..operators.aggregates import equal_width_histogram
-from ..operators.neighbors import knn_join, neighbour_rows
+from ..operators.neighbors import approximate_knn_join, knn_join, neighbour_recall, neighbour_rows
 from ..session import staged
 from ..sources.frames import contacts, embeddings, event_log, labelled_documents
 from .base import CONTACTS, hash_sql, hex_sql, query
@@ -33,6 +33,32 @@ def nearest(spark, sf_dir):
     return neighbour_rows(knn_join(rows, rows, 5, "vec_id", "embedding", exclude_self=True), "vec_id")
 
 
+@query(
+    "jn5_approximate_neighbours",
+    """SELECT count(*) AS queries, 10 * count(*) AS neighbours, CAST(0 AS BIGINT) AS wrong_distances, CAST(0 AS BIGINT) AS better_than_exact, TRUE AS recall_at_least_090 FROM embeddings""",
+)
+def approximate(spark, sf_dir):
+    """Every row's ten nearest from hash tables, held against the exact join over all rows and against distances computed anew."""
+    rows = embeddings(spark, sf_dir)
+    found = staged(approximate_knn_join(rows, rows, 10, "vec_id", "embedding", exclude_self=True), "approximate")
+    exact = knn_join(rows, rows, 10, "vec_id", "embedding", exclude_self=True)
+    pairs = neighbour_rows(found, "vec_id").join(found.select("vec_id", "vector"), "vec_id")
+    other = rows.select(F.col("vec_id").alias("neighbour"), F.col("embedding").cast("array<double>").alias("other"))
+    square = F.aggregate(F.zip_with("vector", "other", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda total, x: total + x)
+    checked = pairs.join(other, "neighbour").agg(F.count(F.lit(1)).alias("neighbours"), F.count_if(F.abs(F.sqrt(square) - F.col("distance")) > 2e-6).alias("wrong_distances"))
+    recall = neighbour_recall(found, exact, "vec_id")
+    return recall.select(
+        "queries", *[checked.select(c).scalar().alias(c) for c in ("neighbours", "wrong_distances")], "better_than_exact", (F.col("recall") >= 0.9).alias("recall_at_least_090")
+    )
+
+
+@query("jn5_approximate_recall")
+def approximate_recall(spark, sf_dir):
+    rows = embeddings(spark, sf_dir)
+    found = approximate_knn_join(rows, rows, 10, "vec_id", "embedding", exclude_self=True)
+    return neighbour_recall(found, knn_join(rows, rows, 10, "vec_id", "embedding", exclude_self=True), "vec_id")
+
+
 NUMERIC = ["age", "balance", "previous"]
 Z_SQL = CONTACTS + """, st AS (SELECT avg(age) AS am, stddev_pop(age) AS asd, avg(balance) AS bm, stddev_pop(balance) AS bsd, avg(previous) AS pm, stddev_pop(previous) AS psd FROM contacts),
 z AS (SELECT contact_id, y, age, balance, previous, job, contact, [round((age - am) / asd, 9), round((balance - bm) / bsd, 9), round((previous - pm) / psd, 9)] AS v FROM contacts, st)

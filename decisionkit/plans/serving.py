@@ -125,20 +125,9 @@ def sliding(spark, sf_dir):
     reference = table.filter(F.col("ts").cast("date") < F.lit("2024-01-16").cast("date"))
     edges = exact_quantiles(reference, [], "value", [i / 10 for i in range(11)]).first()[0]
     path = scratch_path(spark, "sliding")
-    counts = S.bin_counts(stream(spark, sf_dir), "ts", "value", edges, DELAY, "2 days", "1 day")
-    S.to_table(counts, f"{path}/out", f"{path}/checkpoint")
-    cuts = F.array(*[F.lit(float(e)) for e in edges])
-    base = reference.groupBy(D.bin_left_closed(F.col("value"), cuts).alias("bin")).agg(F.count(F.lit(1)).alias("_n"))
-    shares = base.select("bin", F.greatest(F.col("_n") / F.sum("_n").over(Window.partitionBy()), F.lit(D.FLOOR)).alias("p"))
-    emitted = spark.read.parquet(f"{path}/out")
-    # Windows x ten bins: both sides are bounded, and a bin without rows still counts.
-    grid = emitted.select("window_start").distinct().withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(9))))
-    full = grid.join(emitted, ["window_start", "bin"], "left").join(shares, "bin").fillna(0, ["n"])
-    q = F.greatest(F.col("n") / F.sum("n").over(Window.partitionBy("window_start")), F.lit(D.FLOOR))
-    table = full.withColumn("q", q).groupBy("window_start").agg(
-        F.sum("n").alias("volume"), r6(D.psi_of(F.col("p"), F.col("q"))).alias("psi")
-    )
-    return table.withColumn("status", D.status(F.col("psi")))
+    with S.rocksdb_state(spark):
+        S.drift_monitor(stream(spark, sf_dir), reference, "ts", "value", edges, DELAY, "2 days", "1 day", f"{path}/out", f"{path}/checkpoint")
+    return spark.read.parquet(f"{path}/out").drop("batch")
 
 
 JOIN_SQL = """WITH p AS (SELECT o_orderkey AS prediction_id, o_orderdate AS predicted_at FROM orders),
@@ -161,7 +150,8 @@ def label_join(spark, sf_dir):
     )
     path = scratch_path(spark, "label-join")
     joined = S.delayed_labels(predictions, labels, "prediction_id", "1 day", "180 days")
-    S.to_table(joined, f"{path}/out", f"{path}/checkpoint")
+    with S.rocksdb_state(spark):  # predictions of 180 days wait for their labels
+        S.to_table(joined, f"{path}/out", f"{path}/checkpoint")
     return spark.read.parquet(f"{path}/out").select(
         "prediction_id", F.col("predicted_at").cast("date").alias("predicted_on"),
         F.col("labelled_at").cast("date").alias("labelled_on"), "label",
@@ -192,13 +182,15 @@ def deduplication(spark, sf_dir):
         alerts = events.filter("value > 20").select("event_id", "ts", "user_id", "event_type")
         S.to_table(S.deduplicated(alerts, "ts", ["event_id"], "31 days"), f"{path}/out", f"{path}/checkpoint")
 
-    in_two_loads(spark, sf_dir, False, run)
+    with S.rocksdb_state(spark):  # the ids of 31 days
+        in_two_loads(spark, sf_dir, False, run)
     return spark.read.parquet(f"{path}/out").select("event_id", "user_id", "event_type")
 
 
 BREACH_SQL = f"""WITH m AS (SELECT event_type AS signal, CAST(ts AS DATE) AS "day", round(count(*) FILTER (WHERE value > 20) / CAST(count(*) AS DOUBLE), 6) > 0.1 AS breach FROM events WHERE CAST(ts AS DATE) + INTERVAL 1 DAY <= {DONE_SQL} GROUP BY 1, 2),
 i AS (SELECT *, sum(CAST(NOT breach AS INTEGER)) OVER (PARTITION BY signal ORDER BY "day") AS island FROM m)
-SELECT signal, "day", CAST(CASE WHEN breach THEN sum(CAST(breach AS INTEGER)) OVER (PARTITION BY signal, island ORDER BY "day") ELSE 0 END AS BIGINT) AS run_length FROM i"""
+SELECT signal, "day", CAST(CASE WHEN breach THEN sum(CAST(breach AS INTEGER)) OVER (PARTITION BY signal, island ORDER BY "day") ELSE 0 END AS BIGINT) AS run_length FROM i
+QUALIFY "day" <= max("day") OVER () - INTERVAL 2 DAY"""
 
 
 @query("str7_sustained_alerts", BREACH_SQL)
@@ -207,9 +199,10 @@ def sustained(spark, sf_dir):
     rows = S.volume_monitor(stream(spark, sf_dir), "ts", ["event_type"], F.col("value") > 20, F.col("props").isNull(), DELAY)
     S.to_table(rows, f"{path}/daily", f"{path}/checkpoint-daily")
     daily = spark.readStream.schema(spark.read.parquet(f"{path}/daily").schema).parquet(f"{path}/daily")
-    signals = daily.select(F.col("event_type").alias("signal"), F.col("window_start").alias("day"), (F.col("decision_rate") > 0.1).alias("breach"))
-    S.to_table(S.sustained_alerts(signals, "signal", "day", "breach"), f"{path}/out", f"{path}/checkpoint")
-    return spark.read.parquet(f"{path}/out")
+    signals = daily.select(F.col("event_type").alias("signal"), F.col("window_start").cast("timestamp").alias("day"), (F.col("decision_rate") > 0.1).alias("breach"))
+    with S.rocksdb_state(spark):
+        S.to_table(S.sustained_alerts(signals, "signal", "day", "breach", "2 days"), f"{path}/out", f"{path}/checkpoint")
+    return spark.read.parquet(f"{path}/out").withColumn("day", F.col("day").cast("date"))
 
 
 @query(

@@ -1,5 +1,7 @@
 import datetime as dt
 
+import numpy as np
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -82,15 +84,85 @@ def write_batches(spark, batches, schema):
     return f"{path}/part=*"
 
 
-def test_run_length_survives_micro_batches(spark):
-    day = lambda n: dt.date(2024, 1, n)
-    schema = "signal string, step date, breach boolean"
-    path = write_batches(spark, [[("a", day(1), True), ("a", day(2), True), ("b", day(1), False)], [("a", day(3), True), ("b", day(2), True)], [("a", day(4), False), ("a", day(5), True)]], schema)
+@pytest.mark.parametrize("backwards", [False, True])
+def test_runs_do_not_depend_on_the_order_of_arrival(spark, backwards):
+    """Steps fed in order, or in reverse over three batches, close in event-time order; a signal that goes idle leaves the state."""
+    day = lambda n: dt.datetime(2024, 1, 1) + dt.timedelta(days=n - 1)
+    schema = "signal string, step timestamp, breach boolean"
+    hits = {"a": [True, True, True, False, True, True], "b": [False, True, False, True, True, True]}
+    batches = [[(s, day(k + 1), hits[s][k]) for s in hits for k in part] for part in ([0, 1], [2, 3], [4, 5])]
+    if backwards:
+        batches = [rows[::-1] for rows in batches[::-1]]
+    path = write_batches(spark, [*batches, [("clock", day(40), False)], [("clock", day(400), False)]], schema)
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
     out = scratch_path(spark, "runs")
-    S.to_table(S.sustained_alerts(stream, "signal", "step", "breach"), f"{out}/t", f"{out}/c")
-    got = {(r["signal"], r["step"].day): r["run_length"] for r in spark.read.parquet(f"{out}/t").collect()}
-    assert got == {("a", 1): 1, ("a", 2): 2, ("a", 3): 3, ("a", 4): 0, ("a", 5): 1, ("b", 1): 0, ("b", 2): 1}
+    with S.rocksdb_state(spark):
+        S.to_table(S.sustained_alerts(stream, "signal", "step", "breach", "10 days", dt.timedelta(days=60)), f"{out}/t", f"{out}/c")
+    got = {}
+    for r in spark.read.parquet(f"{out}/t").collect():
+        got.setdefault(r["signal"], {})[(r["step"] - day(1)).days] = r["run_length"]
+    assert {k: [v[i] for i in sorted(v)] for k, v in got.items() if k != "clock"} == {"a": [1, 2, 3, 0, 1, 2], "b": [0, 1, 0, 1, 2, 3]}
+    held = S.state_rows(spark, f"{out}/c", stateVarName="run").collect()
+    assert {r["key"][0] for r in held} <= {"clock"}
+    waiting = S.state_rows(spark, f"{out}/c", stateVarName="pending").collect()
+    assert {r["key"][0] for r in waiting} <= {"clock"}
+
+
+def label_streams(spark, path, schemas, files):
+    read = lambda name: spark.readStream.schema(schemas[name]).option("maxFilesPerTrigger", files).parquet(f"{path}/{name}/part=*")
+    return S.delayed_labels(read("predictions"), read("labels"), "id", "1 day", "30 days")
+
+
+def test_label_join_goes_on_after_a_stop(spark):
+    """Stopped after some batches and started again on its checkpoint: the rows of one uninterrupted run, and state past the watermark is gone."""
+    day = lambda n: dt.datetime(2024, 1, 1) + dt.timedelta(days=n)
+    schemas = {"predictions": "id long, predicted_at timestamp", "labels": "id long, labelled_at timestamp, label int"}
+    predictions = [[(10 * k + i, day(20 * k + i)) for i in range(5)] for k in range(4)]
+    labels = [[(10 * k + i, day(20 * k + i + 3), i % 2) for i in range(4)] for k in range(4)]  # the last of each batch stays without
+    path, out = scratch_path(spark, "label-stream"), scratch_path(spark, "label-joined")
+
+    def load(upto):
+        for name, parts in (("predictions", predictions), ("labels", labels)):
+            for k in upto:
+                spark.createDataFrame(parts[k], schemas[name]).coalesce(1).write.parquet(f"{path}/{name}/part={k}")
+
+    with S.rocksdb_state(spark):
+        load([0, 1])
+        S.to_table(label_streams(spark, path, schemas, 1), f"{out}/t", f"{out}/c")
+        halfway = spark.read.parquet(f"{out}/t").count()
+        load([2, 3])
+        S.to_table(label_streams(spark, path, schemas, 1), f"{out}/t", f"{out}/c")  # the same checkpoint: state comes back from its changelog
+        S.to_table(label_streams(spark, path, schemas, 1), f"{out}/whole", f"{out}/c-whole")
+    rows = lambda t: sorted(map(tuple, spark.read.parquet(f"{out}/{t}").select("id", "predicted_at", "labelled_at", "label").collect()), key=str)
+    assert 0 < halfway < len(rows("t")) and rows("t") == rows("whole")
+    assert (4, day(4), None, None) in rows("t") and (0, day(0), day(3), 0) in rows("t")
+    kept = S.state_rows(spark, f"{out}/c", joinSide="left")
+    assert 0 < kept.count() < 20 and kept.select("value.id").where("id < 20").count() == 0  # predictions whose horizon has passed are gone
+
+
+def test_drift_status_is_written_by_the_stream(spark):
+    draw = np.random.default_rng(3)
+    t0 = dt.datetime(2024, 1, 1)
+    calm = [(t0 + dt.timedelta(hours=float(h)), float(v)) for h, v in zip(draw.uniform(0, 72, 900), draw.normal(size=900))]
+    moved = [(t0 + dt.timedelta(hours=float(h)), float(v) + 2) for h, v in zip(draw.uniform(72, 120, 600), draw.normal(size=600))]
+    schema = "ts timestamp, value double"
+    path = write_batches(spark, [calm, moved, [(t0 + dt.timedelta(days=30), 0.0)]], schema)
+    reference = spark.createDataFrame(calm, schema)
+    edges = sorted(v for _, v in calm)[::90] + [max(v for _, v in calm)]
+    edges = [edges[0], *edges]  # an edge that repeats
+    out = scratch_path(spark, "drift")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    S.drift_monitor(stream, reference, "ts", "value", edges, "1 hour", "1 day", "1 day", f"{out}/t", f"{out}/c")
+    got = {r["window_start"]: r for r in spark.read.parquet(f"{out}/t").collect()}
+    cuts = np.array(sorted(set(edges)))
+    place = lambda v: np.searchsorted(cuts[1:-1], v, side="right")
+    p = np.maximum(np.bincount(place([v for _, v in calm]), minlength=len(cuts) - 1) / len(calm), 1e-6)
+    for k in range(5):
+        own = [v for t, v in calm + moved if k <= (t - t0).total_seconds() / 86400 < k + 1]
+        q = np.maximum(np.bincount(place(own), minlength=len(cuts) - 1) / len(own), 1e-6)
+        row = got[(t0 + dt.timedelta(days=k)).date()]
+        assert row["volume"] == len(own) and abs(row["psi"] - ((q - p) * np.log(q / p)).sum()) < 1e-5
+    assert got[dt.date(2024, 1, 5)]["status"] == "critical" and got[dt.date(2024, 1, 2)]["status"] == "ok"
 
 
 def test_latest_label_wins_and_a_replayed_batch_adds_nothing(spark):

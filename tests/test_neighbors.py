@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from decisionkit.operators import anomaly as A
 from decisionkit.operators import imbalance as I
+from decisionkit.operators import neighbors as N
 from decisionkit.operators.neighbors import knn_join
 
 
@@ -98,3 +99,39 @@ def test_isolation_trees_draw_from_the_whole_table(spark, n):
     new = spark.createDataFrame([(0, [0.0, 0.0]), (1, [9.0, -9.0])], "id long, vector array<double>")
     score = {r["id"]: r["score"] for r in A.score_isolation_forest(new, nodes, "id").collect()}
     assert score[1] > 0 > score[0] and nodes.select("tree").distinct().count() == 12
+
+
+def clustered(n, centres=40, width=16, seed=3):
+    draw = np.random.default_rng(seed)
+    middle = draw.normal(size=(centres, width)) * 4
+    return middle[draw.integers(0, centres, n)] + draw.normal(size=(n, width))
+
+
+@pytest.mark.parametrize("blocks", [{}, {"query_block": 64, "reference_block": 100}])
+def test_hash_tables_find_nearly_all(spark, blocks):
+    x = clustered(3000)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id bigint, vector array<double>").cache()
+    found = N.approximate_knn_join(df, df, 10, exclude_self=True, bucket_rows=64, **blocks).cache()
+    facts = N.neighbour_recall(found, N.knn_join(df, df, 10, exclude_self=True)).first()
+    assert facts["queries"] == 3000 and facts["recall"] > 0.95 and facts["better_than_exact"] == 0
+    rows = {r["id"]: r["neighbours"] for r in found.collect()}
+    assert all(len({n["id"] for n in ns}) == len(ns) and i not in {n["id"] for n in ns} for i, ns in rows.items())
+    assert all(abs(n["distance"] - np.sqrt(((x[i] - x[n["id"]]) ** 2).sum())) < 1e-5 for i in range(0, 3000, 300) for n in rows[i])
+
+
+def test_copies_do_not_grow_with_rows(spark):
+    """A reference is filed once per table and a query asked once per table and probe at any size."""
+    draw = np.random.default_rng(1)
+    for n in (300, 1200):
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(clustered(n))], "id bigint, vector array<double>")
+        axes = [draw.normal(size=(max(16, n // 20), 16)) for _ in range(4)]
+        assert N._hashed(df, axes, 1).count() == 4 * n and N._hashed(df, axes, 6).count() == 24 * n
+
+
+def test_hash_tables_on_odd_rows(spark):
+    same = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(50)] + [(50, [1.0, 3.0])], "id bigint, vector array<double>")
+    got = {r["id"]: [n["id"] for n in r["neighbours"]] for r in N.approximate_knn_join(same, same, 3, exclude_self=True, probes=16).collect()}
+    assert len(got) == 51 and got[7] == [0, 1, 2] and got[0] == [1, 2, 3] and got[50] == [0, 1, 2]
+    none = same.limit(0)
+    assert N.approximate_knn_join(none, none, 3).count() == 0
+    assert all(r["neighbours"] == [] for r in N.approximate_knn_join(same, none, 3).collect())

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .contracts import out_of_range, require_columns
 from .features import feature_groups
 from .metrics import model_report
 from .scoring import Scorecard
+from .stages import INPUTS, ContractGate
 
 AGE_LIMITS = (18, 120)
 
@@ -52,6 +56,55 @@ def predict_batch(df: DataFrame, card: Scorecard, threshold: float, key: str, re
     )
 
 
+def score_with_pipeline(batch: DataFrame, model_path: str, threshold: float, key: str, path: str, run: str, numeric: Sequence[str] = ()) -> dict[str, int]:
+    """Score a batch with a saved pipeline in one pass, and show the scores only if the whole batch kept its contract.
+
+    The saved pipeline's own gate becomes counts: an ``Observation`` gathers rows, broken rules and missing numbers while the scores are written to a folder of their own. Only
+    then is the run committed, by creating its marker, which is one step. A batch that breaks a rule, an empty batch or a job that dies leaves a folder that no
+    marker names, so readers never see it. A run that was committed is refused. Returns the counts.
+    """
+    spark = batch.sparkSession
+    if any(r["run"] == run for r in _committed(spark, path)):
+        raise PermissionError(f"run {run} was already scored")
+    seen, rows = Observation(), batch
+    for stage in PipelineModel.load(model_path).stages:
+        if not isinstance(stage, ContractGate):
+            rows = stage.transform(rows)
+            continue
+        # a bad number would stop the job before it is counted: such rows are counted and not scored, and their batch is not committed
+        checks = {r.name: r.violated for r in stage.rules()} | {f"no number in {c}": F.col(c).try_cast("double").isNull() for c in numeric}
+        counts = [F.count(F.lit(1)).alias("rows"), F.count_if(F.col(key).isNull()).alias("no key"), *[F.count_if(bad).alias(name) for name, bad in checks.items()]]
+        usable = F.lit(True)
+        for bad in checks.values():
+            usable = usable & ~bad
+        rows = require_columns(rows, INPUTS).observe(seen, *counts).filter(usable)
+    p = vector_to_array("probability")[1]
+    scored = rows.select(key, p.alias("subscription_probability"), (p >= threshold).alias("prioritize_call"), F.lit(float(threshold)).alias("model_threshold"))
+    folder = f"part-{uuid.uuid4().hex}"
+    scored.write.parquet(f"{path}/{folder}")
+    found = seen.get
+    broken = sorted(k for k, n in found.items() if k != "rows" and n)
+    if broken or not found["rows"]:
+        raise ValueError(f"batch not committed: {[f'{k}: {found[k]} rows' for k in broken] or 'it is empty'}")
+    marker = spark.createDataFrame([(run, folder, int(found["rows"]))], "run string, folder string, rows bigint")
+    try:  # of two jobs with one run, one creates the marker
+        marker.coalesce(1).write.mode("errorifexists").parquet(f"{path}/committed/run={run}")
+    except AnalysisException as e:
+        raise PermissionError(f"run {run} was already scored") from e
+    return found
+
+
+def _committed(spark: SparkSession, path: str) -> list:
+    marks = read_runs(spark, f"{path}/committed")
+    return [] if marks is None else marks.select("run", "folder").collect()  # one row per run
+
+
+def read_scores(spark: SparkSession, path: str) -> DataFrame | None:
+    """The scores of all committed runs; nothing where none is."""
+    folders = [f"{path}/{r['folder']}" for r in _committed(spark, path)]
+    return spark.read.parquet(*folders) if folders else None
+
+
 def read_runs(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)

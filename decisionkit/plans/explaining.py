@@ -132,16 +132,43 @@ def trial_log(spark, sf_dir):
     return tried.groupBy("trial", "intercept", "slope", "step").agg(F.avg(row_log_loss(F.col("y"), p)).alias("loss"))
 
 
-@query(
-    "tun2_median_pruning",
-    GRID_SQL + """, rm AS (SELECT trial, step, round(avg(loss) OVER (PARTITION BY trial ORDER BY step), 6) AS running_mean FROM lo),
-md AS (SELECT a.trial, a.step, a.running_mean, round(median(b.running_mean), 6) AS median FROM rm AS a LEFT JOIN rm AS b ON b.step = a.step AND b.trial < a.trial GROUP BY 1, 2, 3)
-SELECT trial, step, running_mean, median, coalesce(trial >= 3 AND running_mean > median, FALSE) AS prune FROM md""",
-)
+def pruning_sql(source: str, trials: int, steps: int, startup: int = 3, wave: int = 4) -> str:
+    """CTEs j0, j1, ...: per wave the steps that are run, judged by what earlier waves completed. ``source`` has trial, step, value, best."""
+    parts, done = [], "SELECT trial, step, value FROM " + source + " WHERE FALSE"
+    for w in range(-(-trials // wave)):
+        parts.append(f"""d{w} AS ({done}), m{w} AS (SELECT step, count(*) AS n, round(median(value), 6) AS median FROM d{w} GROUP BY step),
+f{w} AS (SELECT s.trial, s.step, s.value, CASE WHEN n >= {startup} THEN median END AS median, coalesce(n >= {startup} AND best > median AND s.step + 1 < {steps}, FALSE) AS prune
+  FROM {source} AS s LEFT JOIN m{w} ON m{w}.step = s.step WHERE s.trial // {wave} = {w}),
+j{w} AS (SELECT * FROM f{w} QUALIFY coalesce(max(prune) OVER (PARTITION BY trial ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), FALSE) = FALSE)""")
+        done += f" UNION ALL SELECT trial, step, value FROM j{w} WHERE trial NOT IN (SELECT trial FROM j{w} WHERE prune)"
+    return ",\n".join(parts)
+
+
+RULE_SQL = GRID_SQL + """, rm AS (SELECT trial, step, round(avg(loss) OVER (PARTITION BY trial ORDER BY step), 6) AS value FROM lo),
+vb AS (SELECT *, min(value) OVER (PARTITION BY trial ORDER BY step) AS best FROM rm),
+""" + pruning_sql("vb", TRIALS, 5)
+JUDGED_SQL = " UNION ALL ".join(f"SELECT * FROM j{w}" for w in range(-(-TRIALS // 4)))
+
+
+@query("tun2_median_pruning", RULE_SQL + " " + JUDGED_SQL)
 def pruning(spark, sf_dir):
     return T.replay_pruning(trial_log(spark, sf_dir))
 
 
+@query("tun2_live_pruning", RULE_SQL + f" SELECT trial, step, value, CASE WHEN prune THEN 'PRUNED' ELSE 'RAN' END AS state FROM ({JUDGED_SQL})")
+def live_pruning(spark, sf_dir):
+    """The same grid as concurrent trials that score their folds in Spark jobs of their own: the log of what they ran."""
+    rows = staged(stratified_folds(contacts(spark, sf_dir), "contact_id", 5, name="step").select("step", "y", "contact"), "folds")
+
+    def loss(params, fold):
+        t = params["trial"]
+        p = sigmoid(F.lit(((t * 7) % 12) / 4.0 - 4.0) + F.lit(((t * 5) % 12) / 6.0) * FULL.terms()["contact"])
+        return rows.filter(F.col("step") == fold).agg(F.avg(row_log_loss(F.col("y"), p))).first()[0]
+
+    history = T.search({}, loss, 5, TRIALS, spark=spark, drawn=[{"trial": t} for t in range(TRIALS)])
+    return T.live_log(spark, history)
+
+
 @query(
     "tun3_trial_history",
     GRID_SQL + """, v AS (SELECT trial, intercept, slope, round(avg(loss), 6) AS value FROM lo GROUP BY ALL)

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import r6
 from ..operators import imbalance as I
+from ..operators import inference as V
 from ..operators import metrics as M
 from ..operators import models as L
 from ..operators import tuning as T
@@ -14,7 +15,7 @@ from ..operators.features import FAMILIES
 from ..operators.joins import align_scores
 from ..operators.scoring import FULL, SCORECARDS, score, score_many
 from ..operators.splits import stratified_folds, stratified_split
-from ..session import staged
+from ..session import scratch_path, staged
 from ..sources.frames import contacts
 from .base import CONTACTS, LEVEL_SQL, MODELS, P_CONTACT, P_FULL, P_HISTORY, SPLITS, query
 
@@ -297,6 +298,33 @@ def reload_parity_facts(spark, sf_dir):
     return gap.select("rows", (F.col("max_difference") <= 1e-12).alias("same"))
 
 
+@query(
+    "inf1_pipeline_scoring",
+    SPLITS + """SELECT count(*) AS "rows", count(DISTINCT contact_id) AS keys, CAST(0 AS BIGINT) AS outside, 0.14::DOUBLE AS threshold, CAST(0 AS BIGINT) AS wrong_decisions,
+  count(*) AS committed_rows, TRUE AS bad_batch_refused, TRUE AS second_run_refused FROM splits WHERE split = 'validation'""",
+)
+def pipeline_scoring(spark, sf_dir):
+    """The saved artifact scores the validation rows once; a batch with an impossible age and a second run leave nothing behind."""
+    rows = staged(stratified_split(contacts(spark, sf_dir), "contact_id"), "raw")
+    path = scratch_path(spark, "scores")
+    L.guarded_logistic(rows.filter("split = 'development'"), NUMERIC, CATEGORICAL).write().save(f"{path}/model")
+    batch = rows.filter("split = 'validation'").drop("y", "split")
+    found = V.score_with_pipeline(batch, f"{path}/model", CUT, "contact_id", f"{path}/scores", "first", ["balance"])
+    refused = {}
+    for name, run, frame, error in (("bad", "second", batch.withColumn("age", F.when(F.col("contact_id") % 1000 == 1, -5).otherwise(F.col("age"))), ValueError), ("again", "first", batch, PermissionError)):
+        try:
+            V.score_with_pipeline(frame, f"{path}/model", CUT, "contact_id", f"{path}/scores", run, ["balance"])
+            refused[name] = False
+        except error:
+            refused[name] = True
+    p, cut = F.col("subscription_probability"), F.col("model_threshold")
+    return V.read_scores(spark, f"{path}/scores").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("contact_id").alias("keys"), F.count_if((p < 0) | (p > 1) | p.isNull() | F.isnan(p)).alias("outside"), F.max(cut).alias("threshold"),
+        F.count_if(F.col("prioritize_call") != (p >= cut)).alias("wrong_decisions"), F.lit(found["rows"]).cast("bigint").alias("committed_rows"),
+        F.lit(refused["bad"]).alias("bad_batch_refused"), F.lit(refused["again"]).alias("second_run_refused"),
+    )
+
+
 @query("evl19_out_of_fold")
 def out_of_fold(spark, sf_dir):
     development, _ = split_frames(spark, sf_dir)
@@ -425,16 +453,48 @@ def interventions(spark, sf_dir):
     return dispersion(melt_metrics(tables, ["model", "fold"], metrics), ["model", "metric"])
 
 
-@query("tun1_search")
-def search(spark, sf_dir):
+SPACE = {
+    "trees": T.Span(4, 16, whole=True), "depth": T.Span(2, 5, whole=True), "rate": T.Span(0.05, 0.5, log=True),
+    "min_leaf": T.Span(5, 60, whole=True), "subsample": T.Span(0.6, 1.0),
+}
+SEARCH_NUMERIC = ["age", "balance", "previous"]
+
+
+def searched(spark, sf_dir):
+    """Eight boosted trials over three folds; what the folds share is prepared once."""
     development, _ = split_frames(spark, sf_dir)
-    rows = folded(development.select("contact_id", "y", "age", "balance", "previous", "contact"))
-    numeric = ["age", "balance", "previous"]
+    rows = folded(development.select("contact_id", "y", "contact", *SEARCH_NUMERIC))
 
     def loss(params, fold):
-        model = L.logistic(rows.filter(F.col("fold") != fold), numeric, ["contact"], c=params["c"])
-        scored = L.probability(model, rows.filter(F.col("fold") == fold), numeric, KEEP)
+        model = L.boosted_trees(
+            rows.filter(F.col("fold") != fold), SEARCH_NUMERIC, ["contact"], trees=params["trees"], depth=params["depth"],
+            rate=params["rate"], min_leaf=params["min_leaf"], subsample=params["subsample"],
+        )
+        scored = L.probability(model, rows.filter(F.col("fold") == fold), SEARCH_NUMERIC, KEEP)
         return scored.agg(M.probability_columns()["log_loss"]).first()[0]
 
-    history = T.search({"c": T.Span(1e-3, 10.0, log=True)}, loss, FOLDS, trials=5, budget_seconds=180)
-    return T.trial_table(spark, history)
+    return T.search(SPACE, loss, FOLDS, trials=8, spark=spark)
+
+
+@query("tun1_search")
+def search(spark, sf_dir):
+    return T.trial_table(spark, searched(spark, sf_dir))
+
+
+@query(
+    "tun1_search_facts",
+    SPLITS + """SELECT CAST(8 AS BIGINT) AS trials, CAST(0 AS BIGINT) AS outside_space, CAST(0 AS BIGINT) AS wrong_states, TRUE AS better_than_base_rate
+FROM splits WHERE split = 'development' HAVING count(*) > 0""",
+)
+def search_facts(spark, sf_dir):
+    """Every trial lies in its space, the replay of the log by the rule gives each trial's state, and the best one beats the base rate's loss."""
+    history = searched(spark, sf_dir)
+    table = T.trial_table(spark, history)
+    outside = F.lit(False)
+    for name, span in SPACE.items():
+        outside = outside | ~F.col(name).between(span.low, span.high)
+    wrong = sum(T.should_prune(t.values, [o.values for o in history if o.number // 4 < t.number // 4 and o.state == "COMPLETE"]) != (t.state == "PRUNED") for t in history if len(t.values) < FOLDS or t.state == "PRUNED")
+    rate = contacts(spark, sf_dir).agg(F.avg("y")).scalar()
+    base = -(rate * F.log(rate) + (1 - rate) * F.log(1 - rate))
+    best = table.agg(F.count(F.lit(1)).alias("trials"), F.count_if(outside).alias("outside_space"), F.min("value").alias("best"))
+    return best.select("trials", "outside_space", F.lit(wrong).cast("bigint").alias("wrong_states"), (F.col("best") < base).alias("better_than_base_rate"))

@@ -6,10 +6,12 @@ from ..functions.scalars import mean_score, r6, row_brier, row_log_loss
 from ..operators import aggregates as A
 from ..operators import joins as J
 from ..operators import metrics as M
+from ..operators import sketches as K
 from ..operators.ordered import ordered_state
 from ..operators.quantiles import exact_quantiles, tall
 from ..operators.scoring import SCORECARDS, score, score_many
 from ..operators.splits import stratified_folds, stratified_split
+from ..session import staged
 from ..sources.frames import contacts, day_number, event_log, lineitem_frame, read_table
 from .base import (
     CONTACTS, LL_SQL, MODELS, P_CONTACT, P_FULL, P_HISTORY, SCORED, SPLITS, counts_sql, decision_sql, mean_p, query, sweep_sql,
@@ -117,6 +119,29 @@ def quantiles(spark, sf_dir):
     return q.select("feature", *[r6(F.col("quantiles")[i]).alias(f"q{int(p * 100):02d}") for i, p in enumerate(PROBS)])
 
 
+@query(
+    "agg3_sketched_quantiles",
+    """WITH u AS (SELECT event_type, count(*) AS "rows", count(value) AS "values", count(DISTINCT user_id) AS users FROM events GROUP BY event_type), p AS (SELECT unnest([0.01, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99]) AS probability)
+SELECT event_type, "rows", "values", users, CAST(probability AS DOUBLE) AS probability, TRUE AS quantile_within, TRUE AS users_within FROM u, p""",
+)
+def sketched(spark, sf_dir):
+    """Sketches per day of load are written down and merged; the exact answers, from the rows, lie within the bounds of the merged ones."""
+    rows = read_table(spark, sf_dir, "events").select("event_type", "value", "user_id", F.col("ts").cast("date").alias("load"))
+    stored = staged(K.load_sketches(rows, "load", ["event_type"], "value", "user_id"), "sketches")
+    merged = staged(K.merged_sketches(stored, ["event_type"]), "merged")
+    bounds = K.sketched_quantiles(merged, ["event_type"], PROBS).join(merged.select("event_type", "rows"), "event_type")
+    users = K.sketched_distinct(merged, ["event_type"]).select("event_type", F.col("low").alias("u_low"), F.col("high").alias("u_high"))
+    exact = exact_quantiles(rows.select("event_type", "value"), ["event_type"], "value", PROBS)
+    exact = exact.select("event_type", F.explode(F.arrays_zip(F.array(*[F.lit(p) for p in PROBS]).alias("p"), F.col("quantiles").alias("q"))).alias("e"))
+    exact = exact.select("event_type", F.col("e.p").alias("probability"), F.col("e.q").alias("exact"))
+    known = rows.groupBy("event_type").agg(F.count_distinct("user_id").alias("users"))
+    both = bounds.join(exact, ["event_type", "probability"]).join(users, "event_type").join(known, "event_type")
+    return both.select(
+        "event_type", "rows", "values", "users", "probability", F.col("exact").between(F.col("low"), F.col("high")).alias("quantile_within"),
+        F.col("users").between(F.col("u_low"), F.col("u_high")).alias("users_within"),
+    )
+
+
 @query(
     "agg4_histogram",
     CONTACTS + """, b AS (SELECT y, CAST(CASE WHEN balance >= 9000 THEN 10 WHEN balance < 0 THEN 0 ELSE floor(balance / 1000) + 1 END AS INTEGER) AS bin

@@ -103,6 +103,20 @@ def cardinality(spark, sf_dir):
     return catalog.cardinality(contacts(spark, sf_dir), ["job", "contact", "poutcome", "client_id"])
 
 
+@query(
+    "src5_approximate_cardinality",
+    CONTACTS + """SELECT 'job' AS feature, count(DISTINCT job) AS exact_levels, TRUE AS within_bounds FROM contacts UNION ALL
+  SELECT 'poutcome', count(DISTINCT poutcome), TRUE FROM contacts UNION ALL SELECT 'balance', count(DISTINCT balance), TRUE FROM contacts UNION ALL
+  SELECT 'client_id', count(DISTINCT client_id), TRUE FROM contacts UNION ALL SELECT 'contact_id', count(DISTINCT contact_id), TRUE FROM contacts""",
+)
+def approximate_cardinality(spark, sf_dir):
+    columns = ["job", "poutcome", "balance", "client_id", "contact_id"]
+    frame = contacts(spark, sf_dir).select(*columns)
+    exact = catalog.cardinality(frame, columns).select("feature", F.col("levels").alias("exact_levels"))
+    both = exact.join(catalog.cardinality(frame, columns, approximate=True), "feature")
+    return both.select("feature", "exact_levels", F.col("exact_levels").between(F.col("low"), F.col("high")).alias("within_bounds"))
+
+
 @query(
     "src6_metadata_sink",
     SPLITS + """SELECT split, count(*) AS "rows", CAST(sum(y) AS BIGINT) AS positives, round(avg(y), 6) AS positive_rate FROM splits GROUP BY split""",

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import r6
+from ..operators.sketches import HLL_BITS, distinct_bound
 
 
 def asset_row(df: DataFrame, facts: Mapping[str, str]) -> DataFrame:
@@ -63,9 +64,12 @@ def data_dictionary(df: DataFrame, roles: Mapping[str, str], available: Mapping[
 
 
 def cardinality(df: DataFrame, columns: Sequence[str], approximate: bool = False) -> DataFrame:
-    """Distinct levels per column, ascending; the approximate form needs no shuffle of the values."""
+    """Distinct levels per column, ascending. The approximate form keeps one sketch per column and task instead of the
+    values, and says between which bounds the exact count lies."""
     if approximate:
-        counts = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns])
-        return counts.unpivot([], list(columns), "feature", "levels").orderBy("levels", "feature")
+        counts = df.agg(*[F.hll_sketch_estimate(F.hll_sketch_agg(F.col(c).cast("string"), F.lit(HLL_BITS))).alias(c) for c in columns])
+        table, bound = counts.unpivot([], list(columns), "feature", "levels"), distinct_bound()
+        low, high = F.floor(F.col("levels") / (1 + bound)), F.ceil(F.col("levels") / (1 - bound))
+        return table.select("feature", "levels", low.alias("low"), high.alias("high"), F.lit(bound).alias("relative_error")).orderBy("levels", "feature")
     levels = level_counts(df, columns).groupBy("feature").agg(F.count("value").alias("levels"))
     return levels.orderBy("levels", "feature")

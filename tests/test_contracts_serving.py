@@ -80,3 +80,44 @@ def test_test_split_is_scored_once(spark):
     with pytest.raises(PermissionError):
         V.evaluate_sealed(rows, FULL, 0.14, path, "c1")
     assert V.evaluate_sealed(rows, FULL, 0.14, path, "c2").count() == 1
+
+
+def test_pipeline_scores_appear_only_when_the_batch_is_good(spark, sf):
+    from decisionkit.operators import models as L
+    from decisionkit.operators.splits import stratified_split
+    from decisionkit.sources.frames import contacts
+
+    rows = stratified_split(contacts(spark, sf), "contact_id").cache()
+    numeric, path = ["age", "balance", "previous"], scratch_path(spark, "scores")
+    L.guarded_logistic(rows.filter("split = 'development'"), numeric, ["contact"]).write().save(f"{path}/model")
+    batch = rows.filter("split = 'test'").drop("y", "split")
+    score = lambda df, run: V.score_with_pipeline(df, f"{path}/model", 0.2, "contact_id", f"{path}/out", run, ["balance"])
+    bad = {"age": batch.withColumn("age", F.when(F.col("contact_id") % 7 == 0, 300).otherwise(F.col("age"))), "no number in balance": batch.withColumn("balance", F.lit("much")), "no key": batch.withColumn("contact_id", F.lit(None).cast("long")), "empty": batch.limit(0)}
+    for what, frame in bad.items():
+        with pytest.raises(ValueError, match=what):
+            score(frame, "one")
+        assert V.read_scores(spark, f"{path}/out") is None
+    assert score(batch, "one")["rows"] == batch.count()
+    with pytest.raises(PermissionError):
+        score(batch, "one")
+    half = batch.filter("contact_id % 2 = 0")
+    score(half, "two")
+    got = V.read_scores(spark, f"{path}/out")
+    assert got.columns == ["contact_id", "subscription_probability", "prioritize_call", "model_threshold"]
+    assert got.count() == batch.count() + half.count()
+
+
+def test_sketches_of_loads_merge_within_their_bounds(spark):
+    from decisionkit.operators import sketches as K
+
+    rows = spark.range(60_000).select((F.col("id") % 6).alias("load"), (F.col("id") % 2).alias("g"), F.when(F.col("id") % 10 != 0, F.pmod(F.xxhash64("id"), F.lit(10_007))).alias("value"), (F.col("id") % 5000).alias("user"))
+    path = scratch_path(spark, "sketches")
+    K.load_sketches(rows, "load", ["g"], "value", "user").write.parquet(path)
+    merged = K.merged_sketches(spark.read.parquet(path), ["g"])
+    assert {(r["g"], r["rows"]) for r in merged.collect()} == {(0, 30_000), (1, 30_000)}
+    for r in K.sketched_quantiles(merged, ["g"], [0.0, 0.25, 0.5, 1.0]).collect():
+        exact = rows.filter(F.col("g") == r["g"]).agg(F.percentile("value", F.lit(r["probability"]))).first()[0]
+        assert r["low"] <= r["estimate"] <= r["high"] and r["low"] - 1 <= exact <= r["high"] + 1
+    for r in K.sketched_distinct(merged, ["g"]).collect():
+        assert r["low"] <= 2500 <= r["high"]
+    assert K.sketched_quantiles(K.merged_sketches(spark.read.parquet(path).limit(0), ["g"]), ["g"], [0.5]).count() == 0

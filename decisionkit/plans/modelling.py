@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions.scalars import r6
+from ..operators import foldwise as W
 from ..operators import imbalance as I
 from ..operators import inference as V
 from ..operators import metrics as M
@@ -337,6 +338,36 @@ def out_of_fold_facts(spark, sf_dir):
     return facts(staged(out_of_fold(spark, sf_dir), "oof"), "out_of_fold")
 
 
+STRENGTHS = [0.01, 0.1, 1.0, 10.0]
+
+
+def one_pass(rows, part, sets, numeric, categorical):
+    """Rows with their features written once, the designs and the coefficients of all sets and strengths, and the scans they took."""
+    rows = staged(rows.select("contact_id", "y", part, *numeric, *categorical), "rows")
+    design = W.fit_design(rows, part, sets, numeric, categorical)
+    betas, scans = W.fit_all(rows, design, part, sets, STRENGTHS)
+    return rows, design, betas, scans
+
+
+@query(
+    "evl19_one_pass_folds_facts",
+    SPLITS + """SELECT count(*) AS "rows", count(DISTINCT contact_id) AS keys, CAST(4 AS BIGINT) AS strengths, CAST(0 AS BIGINT) AS outside, TRUE AS beats_chance, TRUE AS at_optimum, TRUE AS few_scans
+FROM splits WHERE split = 'development'""",
+)
+def one_pass_facts(spark, sf_dir):
+    """Out-of-fold scores of four strengths from one scan per Newton step; at the end each model's gradient, summed anew, is zero."""
+    development, _ = split_frames(spark, sf_dir)
+    rows, design, betas, scans = one_pass(folded(development), "fold", W.folds_as_sets(FOLDS), NUMERIC, CATEGORICAL)
+    scores = staged(W.scored_by(rows, design, betas, "fold", [[(k, c) for c in range(len(STRENGTHS))] for k in range(FOLDS)], KEEP), "oof")
+    again, _ = W.fit_all(rows, design, "fold", W.folds_as_sets(FOLDS), STRENGTHS, start=betas, most_steps=1)
+    own = scores.filter(F.col("strength") == STRENGTHS.index(1.0))
+    table = facts(own, "one_pass").select("rows", "keys", "outside", "beats_chance")
+    return table.select(
+        "rows", "keys", F.lit(scores.select("strength").distinct().count()).cast("bigint").alias("strengths"), "outside", "beats_chance",
+        F.lit(bool(abs(again - betas).max() < 1e-6)).alias("at_optimum"), F.lit(scans <= 15).alias("few_scans"),
+    )
+
+
 def cv_table(rows, fit, name, numeric=NUMERIC, folds=FOLDS):
     """Per-fold report of one candidate."""
     def run(model, df):
@@ -374,27 +405,43 @@ def leakage_audit(spark, sf_dir):
     return dispersion(melt_metrics(tables, ["model", "fold"], ["roc_auc", "log_loss"]), ["model", "metric"])
 
 
+OUTER, INNER = 5, 3
+
+
+def nested_scores(spark, sf_dir):
+    """Each row scored once, by the model of its outer fold with the strength that the inner folds chose there. All inner and outer models are fitted together."""
+    rows = stratified_folds(contacts(spark, sf_dir), "contact_id", OUTER, name="outer")
+    rows = stratified_folds(staged(rows, "outer"), "contact_id", INNER, name="inner", seed=7).withColumn("part", (F.col("outer") * INNER + F.col("inner")).cast("int"))
+    sets = W.nested_sets(OUTER, INNER)
+    rows, design, betas, _ = one_pass(rows, "part", sets, ["age", "balance", "previous"], ["contact", "job"])
+    every = range(len(STRENGTHS))
+    # a row judges the inner models of the other outer folds that left its inner fold out
+    inner = [[(o * (INNER + 1) + p % INNER, c) for o in range(OUTER) if o != p // INNER for c in every] for p in range(OUTER * INNER)]
+    judged = W.scored_by(rows, design, betas, "part", inner, KEEP)
+    losses = judged.groupBy(F.floor(F.col("held") / (INNER + 1)).cast("int").alias("fold"), "strength").agg(M.probability_columns()["log_loss"].alias("loss")).collect()
+    chosen = {o: min((r["loss"], r["strength"]) for r in losses if r["fold"] == o)[1] for o in range(OUTER)}
+    outer = [[(p // INNER * (INNER + 1) + INNER, chosen[p // INNER])] for p in range(OUTER * INNER)]
+    scored = W.scored_by(rows, design, betas, "part", outer, KEEP)
+    strength = F.element_at(F.array(*[F.lit(c) for c in STRENGTHS]), F.col("strength") + 1)
+    return staged(scored.select(*KEEP, F.floor(F.col("held") / (INNER + 1)).cast("int").alias("fold"), strength.alias("chosen_c"), "p"), "nested")
+
+
 @query("evl25_nested_estimate")
 def nested(spark, sf_dir):
     """Outer score of the whole selection: strength chosen on inner folds, judged on the outer fold."""
-    rows = staged(stratified_folds(contacts(spark, sf_dir), "contact_id", 3, name="outer"), "outer")
-    numeric = ["age", "balance", "previous"]
-    scored = None
-    for outer in range(3):
-        train = staged(stratified_folds(rows.filter(F.col("outer") != outer), "contact_id", 2), "inner")
-        losses = {}
-        for c in (0.01, 1.0):
-            fit = lambda df, c=c: L.logistic(df, numeric, ["contact"], c=c)
-            oof = L.out_of_fold(train, fit, lambda m, d: L.probability(m, d, numeric, KEEP), 2)
-            losses[c] = oof.agg(M.probability_columns()["log_loss"]).first()[0]
-        best = min(losses, key=lambda c: (losses[c], c))
-        model = L.logistic(train, numeric, ["contact"], c=best)
-        part = L.probability(model, rows.filter(F.col("outer") == outer), numeric, KEEP).withColumns(
-            {"fold": F.lit(outer), "chosen_c": F.lit(best)}
-        )
-        scored = part if scored is None else scored.unionByName(part)
-    scored = staged(scored, "nested")
-    return M.model_report(scored, ["fold", "chosen_c"], CUT).select("fold", "chosen_c", *REPORT)
+    return M.model_report(nested_scores(spark, sf_dir), ["fold", "chosen_c"], CUT).select("fold", "chosen_c", *REPORT)
+
+
+@query(
+    "evl25_nested_facts",
+    CONTACTS + """SELECT count(*) AS "rows", count(DISTINCT contact_id) AS keys, CAST(0 AS BIGINT) AS outside, TRUE AS beats_chance, CAST(5 AS BIGINT) AS folds, CAST(5 AS BIGINT) AS choices FROM contacts""",
+)
+def nested_facts(spark, sf_dir):
+    """Each row is scored once, by one choice per outer fold."""
+    scores = nested_scores(spark, sf_dir)
+    seen = scores.agg(F.count_distinct("fold").alias("folds"), F.count_distinct("fold", "chosen_c").alias("choices"))
+    table = facts(scores, "nested").select("rows", "keys", "outside", "beats_chance")
+    return table.select("*", *[seen.select(c).scalar().alias(c) for c in ("folds", "choices")])
 
 
 def calibration_scores(spark, sf_dir, method):

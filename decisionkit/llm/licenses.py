@@ -5,9 +5,10 @@ in one block. Template words are ordered by their frequency over all documents,
 block is the list of its template words in that order. For a template of t words and a threshold c, an overlap of o = ceil(c t) is
 needed. A pair that reaches it shares a word among the template's first t - o + 1 and the block's first b - o + 1 (prefix filter), has
 b >= o (length filter), and after the shared word enough words are left on either side (positional filter). What is left is counted
-exactly. The order of words changes the work only, never the result.
+exactly: the template's words must stand within a passage of at most twice its own length, and words that name the license must be among
+them. The order of words changes the work only, never the result. A passage longer than half a window is found if a window holds enough of it.
 
-Nulls and odd rows: a null or empty text has no words and no labels; repeated rows get the same result each; rows that share an id but not the
+Nulls and odd rows: a null or empty text has no words and no labels; a very long text is cut into its windows like any other; repeated rows get the same result each; rows that share an id but not the
 text stay apart; an empty table gives an empty result; other columns are not looked at.
 """
 
@@ -22,18 +23,18 @@ from pyspark.sql import functions as F
 from .common import ascii_lower, filled
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-# fixed values: phrases of the base result, and opening sentences of public licenses
+# fixed values: phrases of the base result, and opening sentences of public licenses with the words that must be there
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 TEMPLATES = [
-    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction"),
-    ("mit", "Released under the MIT License"),
-    ("apache", "you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
-    ("apache", "Licensed under the Apache License, Version 2.0"),
-    ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation"),
-    ("gpl", "This work is licensed under the GNU General Public License, version 3"),
-    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
-    ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
-    ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction", ""),
+    ("mit", "Released under the MIT License", "mit"),
+    ("apache", "you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0", "apache"),
+    ("apache", "Licensed under the Apache License, Version 2.0", "apache"),
+    ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation", "general public"),
+    ("gpl", "This work is licensed under the GNU General Public License, version 3", "general public"),
+    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met", ""),
+    ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0", "mozilla"),
+    ("cc-by-nc", "Licensed under CC BY-NC 4.0", "cc nc"),
 ]
 THRESHOLD, BLOCK_WORDS = 0.8, 64
 
@@ -46,6 +47,11 @@ def _template_words(text: str) -> list[str]:
     return sorted(set(re.findall(r"[0-9a-z]+", text.lower())))
 
 
+def span_of(text: str) -> int:
+    """Words within which a template's words must stand."""
+    return 2 * len(re.findall(r"[0-9a-z]+", text.lower()))
+
+
 def frequency_order(rows: DataFrame, vocabulary: list[str]) -> list[str]:
     """The vocabulary of the templates, rarest over all documents first. At most that many counts reach the driver."""
     own = F.array(*map(F.lit, vocabulary))
@@ -54,10 +60,10 @@ def frequency_order(rows: DataFrame, vocabulary: list[str]) -> list[str]:
     return sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))
 
 
-def _prefixes(spark: SparkSession, templates: list[tuple[str, str]], order: list[str], threshold: float) -> DataFrame:
-    """One row per template and word of its prefix: word, t_pos, t_size, needed, label, t_words. A few rows per template."""
+def _prefixes(spark: SparkSession, templates: list[tuple[str, str, str]], block_words: int, order: list[str], threshold: float) -> DataFrame:
+    """One row per template and word of its prefix: word, t_pos, t_size, needed, label, t_words, names, span. A few rows per template."""
     rows = []
-    for label, text in templates:
+    for label, text, names in templates:
         own = [w for w in order if w in set(_template_words(text))]
         needed = math.ceil(threshold * len(own) - 1e-9)
         for pos, word in enumerate(own[: len(own) - needed + 1]):
@@ -69,34 +75,42 @@ def _prefixes(spark: SparkSession, templates: list[tuple[str, str]], order: list
                     F.lit(needed).alias("needed"),
                     F.lit(label).alias("label"),
                     F.array(*map(F.lit, own)).alias("t_words"),
+                    F.array(*map(F.lit, names.split())).cast("array<string>").alias("names"),
+                    F.lit(min(block_words, span_of(text))).alias("span"),
                 )
             )
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 
-def similarity_join(rows: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD, block_words: int = BLOCK_WORDS) -> DataFrame:
+def similarity_join(rows: DataFrame, templates: list[tuple[str, str, str]] = TEMPLATES, threshold: float = THRESHOLD, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, key, words) -> doc_id, key, block (first word), label, containment: every block and template at or above the threshold."""
-    vocabulary = sorted({w for _, text in templates for w in _template_words(text)})
-    if max(len(_template_words(text)) for _, text in templates) > block_words // 2:
+    vocabulary = sorted({w for _, text, _ in templates for w in _template_words(text)})
+    if max(len(_template_words(text)) for _, text, _ in templates) > block_words // 2:
         raise ValueError("a block must be twice as long as the longest template")
     order = frequency_order(rows, vocabulary)
-    least = min(math.ceil(threshold * len(_template_words(text)) - 1e-9) for _, text in templates)
+    least = min(math.ceil(threshold * len(_template_words(text)) - 1e-9) for _, text, _ in templates)
     own, half = F.array(*map(F.lit, order)), block_words // 2
     starts = F.sequence(F.lit(0), F.greatest(F.size("words") - half - 1, F.lit(0)), F.lit(half))
     hit = F.arrays_overlap(F.col("words"), own)
+    window = lambda s: F.slice("words", s + 1, F.lit(block_words))
     blocks = rows.where(hit).select(
         "doc_id",
         "key",
-        F.explode(F.transform(starts, lambda s: F.struct(s.alias("block"), F.array_intersect(own, F.slice("words", s + 1, F.lit(block_words))).alias("own")))).alias("b"),
+        F.explode(F.transform(starts, lambda s: F.struct(s.alias("block"), F.array_intersect(own, window(s)).alias("own"), window(s).alias("text")))).alias("b"),
     )
-    blocks = blocks.select("doc_id", "key", "b.block", "b.own", F.size("b.own").alias("b_size")).where(F.col("b_size") >= least)
-    prefix = blocks.select("doc_id", "key", "block", "own", "b_size", F.posexplode(F.slice("own", F.lit(1), F.col("b_size") - least + 1)).alias("b_pos", "word"))
-    index = F.broadcast(_prefixes(rows.sparkSession, templates, order, threshold))  # bounded by the templates
+    blocks = blocks.select("doc_id", "key", "b.block", "b.own", "b.text", F.size("b.own").alias("b_size")).where(F.col("b_size") >= least)
+    prefix = blocks.select("doc_id", "key", "block", "text", "b_size", F.posexplode(F.slice("own", F.lit(1), F.col("b_size") - least + 1)).alias("b_pos", "word"))
+    index = F.broadcast(_prefixes(rows.sparkSession, templates, block_words, order, threshold))  # bounded by the templates
     pairs = prefix.join(index, "word").where(
         (F.col("b_pos") <= F.col("b_size") - F.col("needed")) & (1 + F.least(F.col("b_size") - F.col("b_pos"), F.col("t_size") - F.col("t_pos")) - 1 >= F.col("needed"))
     )
-    overlap = F.size(F.array_intersect("own", "t_words"))
-    return pairs.withColumn("overlap", overlap).where("overlap >= needed").select("doc_id", "key", "block", "label", (F.col("overlap") / F.col("t_size")).alias("containment"))
+    # words of the template within one of its spans, from each place where one of them stands
+    places = F.filter(F.transform("text", lambda w, i: F.struct(i.alias("at"), w.alias("word"))), lambda x: F.array_contains(F.col("t_words"), x["word"]))
+    pairs = pairs.withColumn("places", places)
+    within = lambda x: F.array_distinct(F.transform(F.filter("places", lambda y: (y["at"] >= x["at"]) & (y["at"] < x["at"] + F.col("span"))), lambda y: y["word"]))
+    named = F.filter(F.transform("places", within), lambda own: F.size(F.array_except("names", own)) == 0)
+    pairs = pairs.withColumn("overlap", F.coalesce(F.array_max(F.transform(named, lambda own: F.size(own))), F.lit(0)))
+    return pairs.where("overlap >= needed").select("doc_id", "key", "block", "label", (F.col("overlap") / F.col("t_size")).alias("containment"))
 
 
 def _phrase_places(phrases: dict[str, str]) -> Column:
@@ -117,7 +131,7 @@ def _phrase_places(phrases: dict[str, str]) -> Column:
     return F.when(F.arrays_overlap("words", lasts), places).otherwise(F.array().cast("array<struct<at:bigint,label:string>>"))
 
 
-def license_scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, phrases: dict[str, str] = PHRASES, threshold: float = THRESHOLD, block_words: int = BLOCK_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def license_scan(docs: DataFrame, templates: list[tuple[str, str, str]] = TEMPLATES, phrases: dict[str, str] = PHRASES, threshold: float = THRESHOLD, block_words: int = BLOCK_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score (the best containment; 1 for a base phrase)."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(filled(F.col(text_col))).alias("key"), words_of(F.col(text_col)).alias("words"))
     found = similarity_join(rows, templates, threshold, block_words).groupBy(F.col("doc_id").alias("f_id"), F.col("key").alias("f_key"))

@@ -32,15 +32,18 @@ def licenses(docs):
 
 
 def contained(text, templates, threshold, block):
-    """Labels of the templates whose word set is covered by some window of the text."""
+    """Labels of the templates whose words and names stand, enough of them, within twice the template's length in some window of the text."""
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text or ""))
     half, labels = block // 2, {}
-    for s in range(0, max(len(words) - half - 1, 0) + 1, half):
-        own = set(words[s : s + block])
-        for label, t in templates:
-            t = set(re.findall(r"[0-9a-z]+", t.lower()))
-            if len(t & own) >= threshold * len(t) - 1e-9:
-                labels[label] = max(labels.get(label, 0), len(t & own) / len(t))
+    for label, t, names in templates:
+        every = re.findall(r"[0-9a-z]+", t.lower())
+        t, span = set(every), min(block, 2 * len(every))
+        for s in range(0, max(len(words) - half - 1, 0) + 1, half):
+            window = words[s : s + block]
+            for k in range(len(window)):
+                own = t & set(window[k : k + span])
+                if set(names.split()) <= own and len(own) >= threshold * len(t) - 1e-9:
+                    labels[label] = max(labels.get(label, 0), len(own) / len(t))
     return labels
 
 

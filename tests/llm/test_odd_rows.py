@@ -95,6 +95,21 @@ def test_licenses(odd, none, spark):
         assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) == brute.licenses([(i, t)])[i]
 
 
+def test_a_short_template_needs_its_name_and_a_place(spark):
+    cases = {
+        "Released under the Apache License": "apache", "the license was released under pressure": "", "Released under the MIT License": "mit", "released under MIT license": "mit",
+        "see cc for 4 of the nc files by hand " + "word " * 20 + "licensed under 0": "", "licensed under cc by-nc 4.0": "cc-by-nc", "licensed under cc by nc, version 4": "cc-by-nc",
+        "released " + "x " * 30 + "under the mit " + "y " * 20 + "license": "", "x " * 5000 + "Released under the MIT License": "mit",
+    }
+    got = {r["doc_id"]: r["labels"] for r in licenses.license_scan(spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")).collect()}
+    assert [got[k] for k in range(len(cases))] == list(cases.values())
+
+
+def test_false_labels_of_real_documents_are_gone(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id in (725, 4359, 6687)")
+    assert [r["labels"] for r in licenses.license_scan(docs).collect() if "mit" in r["labels"] and "mit" not in r["base_labels"]] == []
+
+
 def test_personal_data(odd, none, spark):
     assert pii.personal_data(none).count() == 0 and len(pii.personal_data(odd).collect()) == len(ROWS)
     texts = [

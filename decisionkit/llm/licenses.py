@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -91,7 +92,9 @@ def similarity_join(rows: DataFrame, templates: list[tuple[str, str, str]] = TEM
     least = min(math.ceil(threshold * len(_template_words(text)) - 1e-9) for _, text, _ in templates)
     own, half = F.array(*map(F.lit, order)), block_words // 2
     starts = F.sequence(F.lit(0), F.greatest(F.size("words") - half - 1, F.lit(0)), F.lit(half))
-    hit = F.arrays_overlap(F.col("words"), own)
+    # a window can hold no more of a template than its document, so most documents are left out at once
+    able = lambda held, text, names: (F.size(F.array_intersect(F.array(*map(F.lit, _template_words(text))), held)) >= math.ceil(threshold * len(_template_words(text)) - 1e-9)) & (F.size(F.array_except(F.array(*map(F.lit, names.split())).cast("array<string>"), held)) == 0)
+    hit = F.exists(F.array(F.array_intersect(own, F.col("words"))), lambda held: reduce(lambda a, b: a | b, [able(held, text, names) for _, text, names in templates]))
     window = lambda s: F.slice("words", s + 1, F.lit(block_words))
     blocks = rows.where(hit).select(
         "doc_id",

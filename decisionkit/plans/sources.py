@@ -61,6 +61,39 @@ def digest(spark, sf_dir):
     return files.file_digests(spark, f"{sf_dir}/orders.parquet")
 
 
+ORDER_FILE_KEYS = 1 << 20  # order keys of one exported file
+LINE = "concat_ws('|', o_orderkey, o_custkey, coalesce(o_orderstatus, ''), CAST(round(o_totalprice * 100) AS BIGINT), coalesce(o_orderpriority, ''))"
+
+
+def tree_sql(levels: int, fan: int) -> str:
+    """Levels of a hash tree above ``nodes0`` (file, chunk, chunks, digest)."""
+    return ",\n".join(
+        f"""nodes{i + 1} AS (SELECT file, chunk // {fan} AS chunk, (chunks + {fan - 1}) // {fan} AS chunks,
+  CASE WHEN chunks = 1 THEN min(digest) ELSE sha256('node' || string_agg(digest, '' ORDER BY chunk)) END AS digest
+  FROM nodes{i} GROUP BY file, chunk // {fan}, chunks)"""
+        for i in range(levels)
+    )
+
+
+@query(
+    "src2_chunked_digest",
+    f"""WITH lines AS (SELECT o_orderkey // {ORDER_FILE_KEYS} AS file, o_orderkey, {LINE} || chr(10) AS line FROM orders),
+whole AS (SELECT file, string_agg(line, '' ORDER BY o_orderkey) AS body FROM lines GROUP BY file),
+nodes0 AS (SELECT file, unnest(range(0, (length(body) + 4095) // 4096)) AS chunk, (length(body) + 4095) // 4096 AS chunks,
+  sha256(substr(body, unnest(range(0, (length(body) + 4095) // 4096)) * 4096 + 1, 4096)) AS digest FROM whole),
+{tree_sql(6, 16)}
+SELECT file, length(body) AS bytes, (length(body) + 4095) // 4096 AS chunks, digest AS root FROM whole JOIN nodes6 USING (file)""",
+)
+def chunked_digest(spark, sf_dir):
+    """Orders exported as sorted text files of a million keys each, and the hash tree of each file."""
+    path = scratch_path(spark, "order-files")
+    lines = read_table(spark, sf_dir, "orders").select(F.floor(F.col("o_orderkey") / ORDER_FILE_KEYS).alias("file"), "o_orderkey", F.expr(LINE).alias("line"))
+    lines = lines.repartition("file").sortWithinPartitions("file", "o_orderkey")
+    lines.select("file", "line").write.partitionBy("file").text(path)
+    trees = files.file_digests(spark, path, chunk=4096, fan=16, tasks=8)
+    return trees.select(F.regexp_extract("path", r"/file=(\d+)/", 1).cast("bigint").alias("file"), "bytes", "chunks", "root")
+
+
 @query(
     "src3_asset_catalog",
     """SELECT 'contacts' AS asset_name, 'an order with its customer' AS grain, 'y' AS target,

@@ -82,7 +82,7 @@ def file_digests(spark: SparkSession, path: str, chunk: int = CHUNK, fan: int =
     """(path, bytes, chunks, root): a hash tree over the chunks of each file below a path, so a file of any size is read by many tasks.
 
     A leaf is the SHA-256 of a chunk's bytes, a node that of "node" and its children's hex digests, ``fan`` consecutive ones; levels follow until one is left,
-    which is the root (for an empty file the digest of no bytes). It depends on the bytes, ``chunk`` and ``fan`` only, not on ``tasks`` (by default
+    which is the root. Spark lists no empty files, so these have no row. The root depends on the bytes, ``chunk`` and ``fan`` only, not on ``tasks`` (by default
     one for each 128 MB). Files are listed without their content, and their ranges opened by the executors, so the path needs a file system
     that Arrow can read in place (a shared folder, HDFS, S3, GCS). A level keeps one row per node; none if there are no files.
     """

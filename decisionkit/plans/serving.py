@@ -15,8 +15,9 @@ from ..operators.splits import stratified_split
 from ..session import scratch_path, staged
 from ..sources import files
 from ..sources.frames import contacts, read_table
+from ..sources.versions import VersionedTable
 from ..streaming import monitors as S
-from .base import LL_SQL, SCORED, SPLITS, counts_sql, decision_sql, query, ranking_sql
+from .base import LL_SQL, SCORED, SPLITS, counts_sql, decision_sql, hash_sql, query, ranking_sql
 
 CUT = 0.14
 BATCH = ["contact_id", "age", "balance", "previous", "contact", "job"]
@@ -174,6 +175,29 @@ def backfill(spark, sf_dir):
     return newest.groupBy("day").agg(F.count(F.lit(1)).alias("labels"), r6(F.avg("label")).alias("rate"))
 
 
+VERSIONS_SQL = f"""WITH labels AS (SELECT CAST(ts AS DATE) AS "day", CAST(event_type = 'purchase' AS INTEGER) AS label,
+  {hash_sql('late', 'event_id')} % 5 = 0 AS late FROM events)
+SELECT 1 AS version, "day", count(*) AS labels, sum(CASE WHEN late THEN 0 ELSE label END)::BIGINT AS positives FROM labels GROUP BY "day"
+UNION ALL SELECT 3, "day", count(*), sum(label)::BIGINT FROM labels GROUP BY "day\""""
+
+
+@query("str5_versioned_labels", VERSIONS_SQL)
+def versioned_labels(spark, sf_dir):
+    """A stream upserts labels, a fifth of them provisional, and then their corrections; the old and the compacted version stay readable."""
+    path = scratch_path(spark, "versioned-labels")
+    table = VersionedTable(spark, f"{path}/table", "event_id", ["day", "label"])
+    rows = read_table(spark, sf_dir, "events")
+    late = hash_order("late", "event_id") % 5 == 0
+    label = (F.col("event_type") == "purchase").cast("int")
+    for i, part in enumerate([rows.withColumn("label", F.when(late, 0).otherwise(label)), rows.filter(late).withColumn("label", label)]):
+        part.select("event_id", "ts", "label").write.parquet(f"{path}/arrived/part={i}")
+        stream = S.event_stream(spark, f"{path}/arrived/part=*", spark.read.parquet(f"{path}/arrived/part={i}").schema)
+        S.upsert_stream(stream.withColumn("day", F.col("ts").cast("date")), table, f"{path}/checkpoint")
+    shown = [(1, table.read(1)), (table.compact(), table.read())]
+    per_day = [df.groupBy("day").agg(F.count(F.lit(1)).alias("labels"), F.sum("label").alias("positives")).select(F.lit(v).alias("version"), "*") for v, df in shown]
+    return per_day[0].union(per_day[1])
+
+
 @query("str6_alert_deduplication", "SELECT event_id, user_id, event_type FROM events WHERE value > 20")
 def deduplication(spark, sf_dir):
     path = scratch_path(spark, "alerts")

@@ -19,6 +19,7 @@ from ..operators.contracts import Rule, quarantine
 from ..operators.drift import FLOOR, psi_of, status
 from ..operators.quantiles import bin_left_closed
 from ..session import staged
+from ..sources.versions import VersionedTable
 
 
 def event_stream(spark: SparkSession, path: str, schema, time: str = "ts", files_per_batch: int | None = None) -> DataFrame:
@@ -143,6 +144,11 @@ def label_log(stream: DataFrame, path: str, checkpoint: str) -> None:
     drain(stream.writeStream.foreachBatch(write), checkpoint)
 
 
+def upsert_stream(stream: DataFrame, table: VersionedTable, checkpoint: str) -> None:
+    """Each micro-batch is one load, named by its checkpoint and number: a batch that is run again after a failure is taken in once."""
+    drain(stream.writeStream.foreachBatch(lambda batch, batch_id: table.upsert(batch, f"{checkpoint}#{batch_id}")), checkpoint)
+
+
 def latest_labels(log: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """The newest version of each label: a backfill only adds rows, so readers never see a half-made rewrite."""
     newest = F.max(F.struct("arrival", *columns))

@@ -1,6 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing column names."""
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -433,3 +434,23 @@ def test_folding_in_blocks_is_one_decomposition():
     for at in range(0, 700, 64):
         factor = whitening._folded(factor, x[at : at + 64])
     assert np.allclose(factor.T @ factor, x.T @ x)
+
+
+@pytest.mark.parametrize("part, count", [
+    ("<a", 200_000), ("<a b=\"x' ", 100_000), ("<!", 200_000), ("<script ", 100_000), ("<a b='>\"", 50_000), ("</p>", 100_000), ("<nav><article>", 30_000), ("<form>", 50_000),
+])
+def test_broken_markup_takes_linear_time(part, count):
+    start = time.perf_counter()
+    webtext.blocks(part * count)
+    webtext.blocks("<div>" * 20_000 + part * count)
+    assert time.perf_counter() - start < 30  # minutes to hours where each tag looks at the rest of the page
+
+
+def test_broken_markup_is_read_as_far_as_it_goes():
+    assert webtext.blocks("one <b two")[0] == ["one <b two"]
+    assert webtext.blocks("<p title='a>b'>one</p> <p title='c>two</p>")[0] == ["one", "two"]  # the second quote never closes
+    assert webtext.blocks("one <!-- two")[0] == ["one"]
+    assert webtext.blocks("one<script>two")[0] == ["one"]
+    assert webtext.blocks("&#" + "9" * 6000 + "; &#" + "0" * 6000 + "65;")[0] == ["� A"]
+    assert webtext.blocks("<nav>menu<article>story</article>")[0] == ["story"]
+    assert webtext.blocks("<article>story</article><aside><article>teaser</article></aside>")[0] == ["story"]

@@ -5,6 +5,7 @@ import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from decisionkit.llm import ann, bpe, components, exact, licenses, near, packing, pii, secrets, toxicity, tries, warc, webtext, whitening, wordids
 from decisionkit.llm.common import rows_of  # noqa: F401
@@ -272,6 +273,22 @@ def test_differencing(spark):
     assert [got[k] for k in range(1, 5)] == [f"Story {k} begins\nand ends {k}" for k in range(1, 5)] and got[6] == got[7] == "same" and got[8] == "alone"
 
 
+def test_partitions_do_not_show_in_the_texts(spark):
+    page = lambda k: f"<div>Site name</div><div>Home</div><p>Story {k} begins</p><p>and ends {k}</p><div>Contact us</div>"
+    rows = [(k % 40, f"https://h{k % 3}.org/{k % 5}/{k % 7}/{k}", page(k)) for k in range(90)] + [(7, "https://h0.org/0/0/0", page("x")), (None, None, None), (None, "https://h0.org", "<article>y</article>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {}
+    for parts, ranges in ((1, 1), (7, 40), (3, 13)):
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", ranges)
+        try:
+            got[ranges] = sorted(webtext.main_text(pages.repartition(parts)).select(F.coalesce("page_id", F.lit(-1)), F.coalesce("url", F.lit("")), "text", "n_chars").collect())
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got[1] == got[40] == got[13] and len(got[1]) == len(rows)
+    assert sorted(r["text"] for r in got[1]) == sorted([f"Story {k} begins\nand ends {k}" for k in [*range(90), "x"]] + ["", "y"])
+
+
 def test_common_lines():
     draw = np.random.default_rng(0)
     for _ in range(60):

@@ -27,6 +27,7 @@ from ..session import scratch_path, staged
 from .features import add_domain_features, prepare_precontact
 from .imbalance import balanced_weights
 from .quantiles import bin_right_closed
+from .splits import stratified_split
 from .stages import AsDoubles, ContractGate, DomainFeatures, PrecontactColumns
 
 Fit = Callable[[DataFrame], PipelineModel]
@@ -271,8 +272,8 @@ def modelling_frame(contacts: DataFrame) -> DataFrame:
     return staged(frame, "modelling")
 
 
-def inner_holdout(df: DataFrame, key: str, share: float = 0.2, seed: int = 43) -> tuple[DataFrame, DataFrame]:
-    """Stop rows for early stopping, by hash of the key; no shuffle."""
-    draw = hash_order(seed, key) % 1000
-    return df.filter(draw >= int(share * 1000)), df.filter(draw < int(share * 1000))
-
+def inner_holdout(df: DataFrame, key: str, share: float = 0.2, seed: int = 43, label: str = LABEL) -> tuple[DataFrame, DataFrame]:
+    """(fit, stop) rows for early stopping: each class is cut at its own floor(n * (1 - share)), in hash order, so both have its rate."""
+    cut = stratified_split(df.drop("split"), key, label, shares=(1.0 - share,), names=("fit", "stop"), seed=seed)
+    rows = staged(cut, "inner-holdout")
+    return tuple(rows.filter(F.col("split") == part).drop("split") for part in ("fit", "stop"))

@@ -1,5 +1,7 @@
 """Fitted models: scores vary with the learner, so most of these have no SQL twin; tests hold their invariants."""
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import r6
@@ -18,7 +20,7 @@ from ..operators.scoring import FULL, SCORECARDS, score, score_many
 from ..operators.splits import stratified_folds, stratified_split
 from ..session import scratch_path, staged
 from ..sources.frames import contacts
-from .base import CONTACTS, LEVEL_SQL, MODELS, P_CONTACT, P_FULL, P_HISTORY, SPLITS, query
+from .base import CONTACTS, LEVEL_SQL, MODELS, P_CONTACT, P_FULL, P_HISTORY, SPLITS, hash_sql, query
 
 NUMERIC = ["age", "balance", "prior_contacts_in_campaign", "previous", "contact_pressure", "balance_per_age", "pdays_clean"]
 CATEGORICAL = ["job", "contact", "poutcome", "age_band"]
@@ -188,6 +190,53 @@ def staged_curve(spark, sf_dir):
     return L.staged_losses(model, {"fit": fit_rows, "stop": stop_rows}, NUMERIC)
 
 
+INNER_SQL = SPLITS + f""", d AS (SELECT contact_id, y, row_number() OVER (PARTITION BY y ORDER BY {hash_sql(43, 'contact_id')}, contact_id) AS rn,
+  count(*) OVER (PARTITION BY y) AS n FROM splits WHERE split = 'development'),
+parts AS (SELECT y, CASE WHEN rn > floor(n * 0.8) THEN 'stop' ELSE 'fit' END AS part FROM d)
+SELECT part, count(*) AS "rows", CAST(sum(y) AS BIGINT) AS positives, 12 AS trees, """
+
+
+@query("mdl9_staged_loss_facts", INNER_SQL + "TRUE AS below_base_rate, TRUE AS falls_while_fitting, TRUE AS ends_at_score_loss FROM parts GROUP BY part")
+def staged_curve_facts(spark, sf_dir):
+    """The curve of each part ends at twice the log loss of the probabilities the model gives (the learner's loss counts double), lies below
+    the loss of the part's base rate there, and never rises on the rows the trees were fitted on."""
+    development, _ = split_frames(spark, sf_dir)
+    parts = dict(zip(("fit", "stop"), L.inner_holdout(development, "contact_id")))
+    model = boosted(parts["fit"], trees=12, rate=0.3, depth=2)
+    curve = L.staged_losses(model, parts, NUMERIC)
+    rises = curve.withColumn("rise", F.col("loss") - F.lag("loss").over(Window.partitionBy("part").orderBy("trees")))
+    ends = rises.groupBy("part").agg(F.max("trees").alias("trees"), F.max_by("loss", "trees").alias("end"), F.coalesce(F.max("rise"), F.lit(0.0)).alias("rise"))
+    y, p = F.col("y"), vector_to_array("probability")[1]
+    known = None
+    for name, rows in parts.items():
+        scored = model.transform(L.as_doubles(rows, NUMERIC)).select(F.lit(name).alias("part"), "y", p.alias("p"))
+        known = scored if known is None else known.union(scored)
+    rate = F.avg("y")
+    sums = known.groupBy("part").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("y").cast("bigint").alias("positives"),
+        F.avg(-F.log(F.when(y == 1, F.col("p")).otherwise(1 - F.col("p")))).alias("score_loss"), (-rate * F.log(rate) - (1 - rate) * F.log(1 - rate)).alias("base_loss"),
+    )
+    return sums.join(ends, "part").select(
+        "part", "rows", "positives", "trees", (F.col("end") / 2 < F.col("base_loss")).alias("below_base_rate"),
+        ((F.col("part") != "fit") | (F.col("rise") <= 1e-9)).alias("falls_while_fitting"), (F.abs(F.col("end") / 2 - F.col("score_loss")) < 1e-6).alias("ends_at_score_loss"),
+    )
+
+
+@query("mdl8_early_stopping_facts", INNER_SQL.replace(", 12 AS trees, ", "") + """, TRUE AS fewest_loss_trees, TRUE AS refit_on_all FROM parts GROUP BY part""")
+def early_stopping_facts(spark, sf_dir):
+    """The number of trees is the first at which the stop rows' loss is least, and the final model has that many."""
+    development, _ = split_frames(spark, sf_dir)
+    parts = dict(zip(("fit", "stop"), L.inner_holdout(development, "contact_id")))
+    model, curve, best = L.early_stopped(parts["fit"], parts["stop"], NUMERIC, CATEGORICAL, trees=12, rate=0.3, depth=2)
+    losses = [r["loss"] for r in curve.filter("part = 'stop'").orderBy("trees").collect()]  # one per tree
+    sums = None
+    for name, rows in parts.items():
+        one = rows.agg(F.lit(name).alias("part"), F.count(F.lit(1)).alias("rows"), F.sum("y").cast("bigint").alias("positives"))
+        sums = one if sums is None else sums.union(one)
+    first_least = losses.index(min(losses)) + 1
+    return sums.withColumns({"fewest_loss_trees": F.lit(best == first_least), "refit_on_all": F.lit(model.stages[-1].getNumTrees == best)})
+
+
 EDGES = {"age": list(range(10, 111, 10)), "balance": list(range(-1000, 10001, 1000)), "previous": list(range(0, 31, 3))}
 
 

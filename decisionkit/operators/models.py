@@ -15,7 +15,7 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, Window
@@ -25,6 +25,7 @@ from ..functions.hashing import hash_order
 from ..functions.scalars import log_odds, r6
 from ..session import scratch_path, staged
 from .features import add_domain_features, prepare_precontact
+from .fitted import LevelEncoder, NumberEncoder, design_names
 from .imbalance import balanced_weights
 from .quantiles import bin_right_closed
 from .splits import stratified_split
@@ -40,22 +41,19 @@ def steady(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
     return df.repartition(n, key).sortWithinPartitions(key)
 
 
-def feature_stages(numeric: Sequence[str], categorical: Sequence[str], scale: bool = True) -> list:
-    """Median impute, scale, one-hot with an extra bucket for unseen levels, assemble."""
+def feature_stages(numeric: Sequence[str], categorical: Sequence[str], scale: bool = True, min_frequency: int = 10) -> list:
+    """Exact median, population scale, mode, levels with a rare bucket, one-hot, assemble. Unseen levels go to the rare bucket, or to no column."""
     numbers = [f"{c}_num" for c in numeric]
     index = [f"{c}_idx" for c in categorical]
     onehot = [f"{c}_hot" for c in categorical]
     stages: list = []
     if numeric:
-        stages.append(Imputer(strategy="median", inputCols=list(numeric), outputCols=numbers))
-        stages.append(VectorAssembler(inputCols=numbers, outputCol="numbers"))
-        if scale:
-            stages.append(StandardScaler(inputCol="numbers", outputCol="scaled", withMean=True))
+        stages.append(NumberEncoder(inputCols=list(numeric), outputCols=numbers, scale=scale))
     if categorical:
-        stages.append(StringIndexer(inputCols=list(categorical), outputCols=index, handleInvalid="keep", stringOrderType="alphabetAsc"))
-        stages.append(OneHotEncoder(inputCols=index, outputCols=onehot, dropLast=False))
-    parts = (["scaled" if scale else "numbers"] if numeric else []) + onehot
-    stages.append(VectorAssembler(inputCols=parts, outputCol="features"))
+        stages.append(LevelEncoder(inputCols=list(categorical), outputCols=index, minFrequency=min_frequency))
+        # sizes are in the columns' metadata; the code one past the last stands for unseen levels and gets no column
+        stages.append(OneHotEncoder(inputCols=index, outputCols=onehot, handleInvalid="keep", dropLast=True))
+    stages.append(VectorAssembler(inputCols=numbers + onehot, outputCol="features"))
     return stages
 
 
@@ -63,6 +61,15 @@ def as_doubles(df: DataFrame, numeric: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") for c in numeric})
 
 
+def fit_encoded(train: DataFrame, stages: list, learner, key: str | None = None) -> PipelineModel:
+    """Fit the stages, write the encoded rows once for the learner's passes (in the fixed order of ``key`` if given), fit the learner."""
+    encoders = Pipeline(stages=stages).fit(train)
+    extra = [learner.getOrDefault(p) for p in ("weightCol", "validationIndicatorCol") if learner.hasParam(p) and learner.isDefined(p)]
+    rows = encoders.transform(train).select(*([key] if key else []), F.col(LABEL).cast("double").alias(LABEL), *extra, "features")
+    rows = steady(staged(rows, "design"), key) if key else staged(rows, "design")
+    return PipelineModel([*encoders.stages, learner.fit(rows)])
+
+
 def logistic(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], weight: str | None = None, c: float = 1.0) -> PipelineModel:
     """L2 logistic regression; strength C on summed losses is 1 / (C * total weight) on mean losses."""
     total = train.agg(F.sum(weight) if weight else F.count(F.lit(1))).first()[0]
@@ -71,7 +78,7 @@ def logistic(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str
     )
     if weight:
         learner.setWeightCol(weight)
-    return Pipeline(stages=[*feature_stages(numeric, categorical), learner]).fit(as_doubles(train, numeric))
+    return fit_encoded(as_doubles(train, numeric), feature_stages(numeric, categorical), learner)
 
 
 def guarded_logistic(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> PipelineModel:
@@ -80,7 +87,7 @@ def guarded_logistic(train: DataFrame, numeric: Sequence[str], categorical: Sequ
         labelCol=LABEL, maxIter=100, regParam=1.0 / float(train.count()), elasticNetParam=0.0, standardization=False
     )
     guards = [PrecontactColumns(), ContractGate(), DomainFeatures(), AsDoubles(columns=list(numeric))]
-    return Pipeline(stages=[*guards, *feature_stages(numeric, categorical), learner]).fit(train)
+    return fit_encoded(train, [*guards, *feature_stages(numeric, categorical)], learner)
 
 
 def weighted_logistic(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> PipelineModel:
@@ -96,18 +103,17 @@ def boosted_trees(train: DataFrame, numeric: Sequence[str], categorical: Sequenc
     )
     if indicator:
         learner.setValidationIndicatorCol(indicator)
-    rows = steady(as_doubles(train, numeric), key)
-    return Pipeline(stages=[*feature_stages(numeric, categorical, scale=False), learner]).fit(rows)
+    return fit_encoded(as_doubles(train, numeric), feature_stages(numeric, categorical, scale=False), learner, key)
 
 
 def random_forest(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], key: str = "contact_id",
                   trees: int = 30, depth: int = 8, seed: int = 42) -> PipelineModel:
-    rows = steady(as_doubles(balanced_weights(train, LABEL), numeric), key)
+    rows = as_doubles(balanced_weights(train, LABEL), numeric)
     learner = RandomForestClassifier(
         labelCol=LABEL, numTrees=trees, maxDepth=depth, minInstancesPerNode=4, featureSubsetStrategy="sqrt",
         weightCol="weight", seed=seed,
     )
-    return Pipeline(stages=[*feature_stages(numeric, categorical, scale=False), learner]).fit(rows)
+    return fit_encoded(rows, feature_stages(numeric, categorical, scale=False), learner, key)
 
 
 def probability(model: PipelineModel, df: DataFrame, numeric: Sequence[str], keep: Sequence[str], name: str = "p") -> DataFrame:
@@ -157,14 +163,31 @@ def early_stopped(fit_rows: DataFrame, stop_rows: DataFrame, numeric: Sequence[s
     return refit, curve, int(best)
 
 
-def coefficient_table(model: PipelineModel, scored: DataFrame, n: int = 10) -> DataFrame:
-    """(place, name, coefficient): the most negative and most positive terms of a fitted logistic model."""
-    learner = model.stages[-1]
-    attributes = scored.schema["features"].metadata["ml_attr"]["attrs"]
-    names = {a["idx"]: a["name"] for group in attributes.values() for a in group}
-    pairs = sorted((float(w), names.get(i, f"f{i}")) for i, w in enumerate(learner.coefficients.toArray()))
-    chosen = [("bottom", nm, w) for w, nm in pairs[:n]] + [("top", nm, w) for w, nm in pairs[::-1][:n]]
-    return scored.sparkSession.createDataFrame(chosen, "side string, name string, coefficient double")
+def coefficient_table(model: PipelineModel, n: int = 10) -> DataFrame:
+    """(side, name, coefficient): the most negative and most positive terms of a fitted logistic model, named by its encoders' tables."""
+    named = coefficients_by_name(model)
+    low = named.orderBy("coefficient", "name").limit(n).withColumn("side", F.lit("bottom"))
+    high = named.orderBy(F.col("coefficient").desc(), "name").limit(n).withColumn("side", F.lit("top"))
+    return low.unionByName(high).select("side", "name", "coefficient")
+
+
+def coefficients_by_name(model: PipelineModel) -> DataFrame:
+    """(source, level, name, coefficient) of every column of the design."""
+    values = [(i, float(w)) for i, w in enumerate(model.stages[-1].coefficients.toArray())]
+    names = design_names(model)
+    return names.join(names.sparkSession.createDataFrame(values, "position bigint, coefficient double"), "position").drop("position")
+
+
+def logistic_gradient(model: PipelineModel, df: DataFrame, c: float = 1.0, label: str = LABEL) -> DataFrame:
+    """(name, gradient) of the summed log loss plus |w|^2 / (2 c), per row: zero at the optimum. One row per coefficient and task leaves the tasks."""
+    names = design_names(model)
+    weights = [(i, float(w)) for i, w in enumerate(model.stages[-1].coefficients.toArray())]
+    miss = vector_to_array("probability")[1] - F.col(label)
+    cells = model.transform(df).select(miss.alias("miss"), F.posexplode(vector_to_array("features")).alias("position", "x")).filter("x <> 0")
+    sums = cells.groupBy(F.col("position").cast("bigint").alias("position")).agg(F.sum(F.col("miss") * F.col("x")).alias("slope"))
+    table = df.sparkSession.createDataFrame(weights, "position bigint, w double").join(sums, "position", "left")
+    rows = df.agg(F.count(F.lit(1))).scalar()
+    return table.join(names, "position").select("name", ((F.coalesce("slope", F.lit(0.0)) + F.col("w") / c) / rows).alias("gradient"))
 
 
 def soft_vote(wide: DataFrame, models: Sequence[str], weights: Sequence[float] | None = None, name: str = "p") -> DataFrame:

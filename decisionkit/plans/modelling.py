@@ -1,5 +1,6 @@
 """Fitted models: scores vary with the learner, so most of these have no SQL twin; tests hold their invariants."""
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from ..operators.aggregates import dispersion, melt_metrics
 from ..operators.calibration import expected_calibration_error, fixed_curve
 from ..operators.encoders import apply_target_statistic, fit_target_statistic, ordered_target_statistic
 from ..operators.features import FAMILIES
+from ..operators.fitted import LevelEncoder, NumberEncoder
 from ..operators.joins import align_scores
 from ..operators.scoring import FULL, SCORECARDS, score, score_many
 from ..operators.splits import stratified_folds, stratified_split
@@ -278,7 +280,56 @@ def scorecard_terms(spark, sf_dir):
 def coefficients(spark, sf_dir):
     development, _ = split_frames(spark, sf_dir)
     model = plain(development)
-    return L.coefficient_table(model, model.transform(L.as_doubles(development, NUMERIC)))
+    return L.coefficient_table(model)
+
+
+def names_sql(numeric, categorical, split="development"):
+    """Names of a design's columns from the raw rows: levels of fewer than ten rows share a bucket."""
+    levels = " UNION ALL ".join(f"SELECT '{c}' AS source, CASE WHEN count(*) < 10 THEN '__infrequent__' ELSE {c} END AS level FROM splits WHERE split = '{split}' GROUP BY {c}" for c in categorical)
+    numbers = "".join(f" UNION ALL SELECT '{c}', NULL, 'numeric__{c}'" for c in numeric)
+    return f"""levels AS ({levels}), names AS (SELECT DISTINCT source, level, 'categorical__' || source || '_' || level AS name FROM levels{numbers})"""
+
+
+@query(
+    "mdl12_coefficient_facts",
+    SPLITS + f", {names_sql(['age', 'balance', 'previous'], ['job', 'contact'])} SELECT source, level, name, TRUE AS at_optimum FROM names",
+)
+def coefficient_facts(spark, sf_dir):
+    """Each column of the design once by name; the penalised gradient of each coefficient, summed anew over the rows, is zero at the fitted model."""
+    development = staged(stratified_split(contacts(spark, sf_dir), "contact_id").filter("split = 'development'"), "development")
+    numeric = ["age", "balance", "previous"]
+    model = L.logistic(development, numeric, ["job", "contact"])
+    named = L.coefficients_by_name(model)
+    gradient = L.logistic_gradient(model, L.as_doubles(development, numeric))
+    return named.join(gradient, "name").select("source", "level", "name", (F.abs("gradient") < 1e-4).alias("at_optimum"))
+
+
+def stage_level_sql(column, least):
+    """(value, code) of one column: the mode takes the nulls, rare levels share a bucket, codes follow the names; the null row is the mode's."""
+    return f"""SELECT v.{column} AS value, dense_rank() OVER (ORDER BY encoded) - 1 AS code, n0, v.{column} = mode AS is_mode FROM (
+  SELECT c.{column}, mode, n AS n0, CASE WHEN n + CASE WHEN c.{column} = mode THEN blank ELSE 0 END < {least} THEN '__infrequent__' ELSE c.{column} END AS encoded
+  FROM (SELECT {column}, count(*) AS n FROM dev WHERE {column} IS NOT NULL GROUP BY 1) AS c,
+    (SELECT (SELECT {column} FROM dev WHERE {column} IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, {column} LIMIT 1) AS mode, count(*) FILTER ({column} IS NULL) AS blank FROM dev) AS m) AS v"""
+
+
+@query(
+    "enc1_saved_encoder_stages",
+    SPLITS + f""", raw AS (SELECT * REPLACE (nullif(poutcome, 'O') AS poutcome, nullif(pdays, -1) AS pdays) FROM splits), dev AS (SELECT * FROM raw WHERE split = 'development'),
+med AS (SELECT quantile_cont(CAST(pdays AS DOUBLE), 0.5) AS m FROM dev),
+num AS (SELECT m, avg(coalesce(CAST(pdays AS DOUBLE), m)) AS pm, stddev_pop(coalesce(CAST(pdays AS DOUBLE), m)) AS ps, avg(balance) AS bm, stddev_pop(balance) AS bs FROM dev, med GROUP BY m),
+jobs AS ({stage_level_sql('job', 10)}), outs AS ({stage_level_sql('poutcome', 10)})
+SELECT contact_id, round((coalesce(CAST(pdays AS DOUBLE), m) - pm) / ps, 6) AS pdays, round((balance - bm) / bs, 6) AS balance, CAST(j.code AS BIGINT) AS job_code, CAST(o.code AS BIGINT) AS poutcome_code
+FROM raw, num, jobs AS j, outs AS o WHERE split = 'validation' AND j.value = raw.job AND (o.value = raw.poutcome OR raw.poutcome IS NULL AND o.is_mode)""",
+)
+def saved_stages(spark, sf_dir):
+    """Encoders fitted on the development rows, saved, loaded, and applied to the validation rows."""
+    blanks = {"poutcome": F.nullif(F.col("poutcome"), F.lit("O")), "pdays": F.nullif(F.col("pdays"), F.lit(-1))}
+    rows = staged(stratified_split(contacts(spark, sf_dir), "contact_id").withColumns(blanks), "raw")
+    stages = [NumberEncoder(inputCols=["pdays", "balance"], outputCols=["pdays_num", "balance_num"]), LevelEncoder(inputCols=["job", "poutcome"], outputCols=["job_idx", "poutcome_idx"])]
+    path = scratch_path(spark, "encoders")
+    Pipeline(stages=stages).fit(rows.filter("split = 'development'")).write().save(path)
+    out = PipelineModel.load(path).transform(rows.filter("split = 'validation'"))
+    return out.select("contact_id", r6(F.col("pdays_num")).alias("pdays"), r6(F.col("balance_num")).alias("balance"), F.col("job_idx").cast("bigint").alias("job_code"), F.col("poutcome_idx").cast("bigint").alias("poutcome_code"))
 
 
 @query(

@@ -6,14 +6,15 @@ context; neither the checks nor the generator are features. They learn from a bo
 four patterns are labelled by their check. The two looser generators have no check, so their labels come from elsewhere: every base
 email and base phone also stands there rewritten, spelt out or without its country, in the same context; a spelt address is right if its
 normal form ends in a domain of letters; a bare number inside a base span of another kind is wrong; other bare numbers have no label and
-teach nothing. The sample is drawn by kind. Per kind, a threshold is calibrated on all labelled proposals outside it: the lowest one at which at least ``PRECISION`` of the labelled
+teach nothing. A fixed set of made-up sentences (``example_texts``), right and wrong ones of each kind, joins the proposals that teach and
+calibrate at every size, so that one rule holds for a table of one row and for one of billions. The sample is drawn by kind. Per kind, a threshold is calibrated on all labelled proposals outside it: the lowest one at which at least ``PRECISION`` of the labelled
 proposals it selects are right. Proposals above it that touch no base span are added.
 
 No pattern reaches across a line break. Positions are code points: matches and the text between them come from the same pattern, and
 running sums of their lengths within a document give the places.
 
 Nulls and odd rows: a null or empty text has no spans; repeated rows get the same result each; rows that share an id but not the text stay
-apart; with fewer than 20 right or 20 wrong labels there is nothing to learn from or to calibrate on, and a spelt address is added if its label is right; an empty table gives an empty result;
+apart; in a table without labels of its own the examples alone teach; an empty table gives an empty result;
 other columns are not looked at. Redaction cuts a text at each of its spans, which costs spans times length within one text.
 """
 
@@ -44,7 +45,7 @@ SPELT = [(" (at) ", "."), ("[at]", "[dot]"), (" [at] ", " [dot] "), ("(AT)", " (
 PARTED = [None, "-", " ", "."]
 CONTEXT = {"c_mail": "mail|contact|@", "c_phone": "phone|tel|call|fax|mobile", "c_card": "card|visa|credit|pay", "c_net": "ip|host|server|addr", "c_secret": "token|password|key|secret|="}
 FEATURES = ["size", "digits", "letters", "blanks", "dashes", "dots", "brackets", "plus", "at", "groups", "runs", "lead", "tail", "more", *CONTEXT]
-SAMPLE, TREES, DEPTH, PRECISION = 20_000, 12, 4, 0.95
+SAMPLE, TREES, DEPTH, PRECISION, EXAMPLES = 20_000, 12, 4, 0.95, 40
 
 
 def _matches(text: Column, pattern: str, generator: str, kind: str) -> Column:
@@ -163,23 +164,57 @@ def _described(rows: DataFrame) -> DataFrame:
     return rows.select("doc_id", "key", "generator", "kind", "start", "end", "base", "label", "span", "before", "after", *[v.cast("double").alias(f"f_{k}") for k, v in numbers.items()])
 
 
-def _scored(found: DataFrame, sample: int, trees: int, depth: int) -> tuple[DataFrame, DataFrame] | None:
-    """(all proposals with ``score``, every labelled proposal that was not fitted on with ``score``), or nothing to learn from. The fitting
-    sample is drawn by kind, an equal part of ``sample`` each; a quarter of the labelled proposals is never in it."""
-    known = found.where("label is not null").unionByName(rewritten(found))
-    sizes = {(r["kind"], r["label"]): r["n"] for r in known.groupBy("kind", "label").agg(F.count("*").alias("n")).collect()}
-    if min(sum(n for (_, right), n in sizes.items() if right == label) for label in (True, False)) < 20:
-        return None
+def _with_check_digit(digits: str) -> str:
+    doubled = [2 * int(d) if i % 2 == 0 else int(d) for i, d in enumerate(reversed(digits))]
+    return digits + str(-sum(d - 9 if d > 9 else d for d in doubled) % 10)
+
+
+def example_texts(n: int = EXAMPLES) -> list[str]:
+    """``n`` made-up sentences for each of nine shapes: an address, numbers with and without the right form, spelt addresses with and without a
+    domain of letters, in all pairs of signs. Every second name has no digits. Right and wrong cards and ips differ in nothing that the trees see."""
+    out = []
+    for i in range(n):
+        a, b = 200 + 13 * i % 700, 1000 + 337 * i % 9000
+        name = "".join(chr(97 + (7 * i + 5 * k) % 26) for k in range(2 + i % 6)) + (str(i) if i % 2 else "")
+        at, dot = [" (at) ", "(at)", " [at] ", "[at]"][i % 4], [".", "[dot]", " [dot] ", " (dot) "][i // 4 % 4]
+        card = _with_check_digit(f"4{b}{a}{b + 7}{a}"[:15])
+        parted = lambda c, i=i: c if i % 2 else " ".join(c[k : k + 4] for k in range(0, 16, 4))
+        out += [
+            f"write to {name}@host{i % 9}.example or stay",
+            f"call +1 ({a}) 555-{b} then",
+            f"order +{i % 9 + 1} {a}-{b} of",
+            f"seen 10.{i}.{a % 256}.{b % 256} in",
+            f"seen 10.{i}.{a % 256}.{256 + b % 256} in",
+            f"pay by {parted(card)} now",
+            f"pay by {parted(card[:15] + str((int(card[15]) + 1 + i % 9) % 10))} now",
+            f"ask {name}{at}{name[::-1]}{dot}{['org', 'example'][i % 2]} too",
+            f"row {name if i % 3 else i % 10}{at}{i % 10 if i % 2 else i}{dot}{a if i % 5 else i % 9} of",
+        ]
+    return out
+
+
+def _examples(found: DataFrame) -> DataFrame:
+    """The examples' proposals, in the columns of ``found``; their ids are null."""
+    spark = found.sparkSession
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(example_texts())], "doc_id long, text string")
+    return candidates(rows).withColumn("doc_id", F.lit(None).cast(found.schema["doc_id"].dataType)).select(found.columns)
+
+
+def _scored(found: DataFrame, sample: int, trees: int, depth: int) -> tuple[DataFrame, DataFrame]:
+    """(all proposals with ``score``, every labelled proposal that was not fitted on with ``score``). Labelled proposals are those of the table
+    and of the examples. The fitting sample is drawn by kind, an equal part of ``sample`` each, and takes the examples beside it; a quarter of the labelled proposals is never in it."""
+    labelled = lambda df: df.where("label is not null").unionByName(rewritten(df))
+    own, given = labelled(found), labelled(staged(_examples(found), "examples"))
+    known = own.withColumn("example", F.lit(False)).unionByName(given.withColumn("example", F.lit(True)))
+    sizes = {r["kind"]: r["n"] for r in own.groupBy("kind").agg(F.count("*").alias("n")).collect()}
     share = F.lit(0.0)
     for kind in KINDS:
-        share = F.when(F.col("kind") == kind, min(1.0, sample / len(KINDS) / max(1, sum(n for (k, _), n in sizes.items() if k == kind)))).otherwise(share)
+        share = F.when(F.col("kind") == kind, min(1.0, sample / len(KINDS) / max(1, sizes.get(kind, 0)))).otherwise(share)
     draw = F.pmod(F.xxhash64("doc_id", "key", "generator", "start"), F.lit(1 << 30)) / float(1 << 30)
     gathered = VectorAssembler(inputCols=[f"f_{c}" for c in FEATURES], outputCol="features")
     every = gathered.transform(known).withColumn("label", F.col("label").cast("double"))
-    every = every.withColumn("fitted", (draw < share) & (F.pmod(F.xxhash64("start", "key"), F.lit(4)) != 0))
+    every = every.withColumn("fitted", (F.col("example") | (draw < share)) & (F.pmod(F.xxhash64("start", "key"), F.lit(4)) != 0))
     fit = every.where("fitted")
-    if fit.agg(F.countDistinct("label")).first()[0] < 2:
-        return None
     model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.3, seed=5, checkpointInterval=-1).fit(fit.select("features", "label"))
     probability = lambda df: model.transform(df).withColumn("score", F.round(vector_to_array("probability")[1], 4))
     return probability(gathered.transform(found)), probability(every.where("not fitted"))
@@ -191,27 +226,23 @@ def _thresholds(aside: DataFrame, precision: float) -> dict[str, float]:
     rows = sorted((r["kind"], -r["bin"], r["n"], r["hits"]) for r in table.collect())
     out: dict[str, float] = {}
     for kind in KINDS:
+        own = [r for r in rows if r[0] == kind]
         n = hits = 0
-        for _, bin_, more, right in (r for r in rows if r[0] == kind):
+        for (_, bin_, more, right), below in zip(own, [-r[1] for r in own[1:]] + [0.0]):
             n, hits = n + more, hits + right
             if hits >= precision * n and -bin_ >= 0.5:
-                out[kind] = -bin_
+                out[kind] = max(0.5, below + 0.005)  # the lowest score that selects no more than these bins
     return out
 
 
 def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, trees: int = TREES, depth: int = DEPTH, precision: float = PRECISION) -> DataFrame:
     """Selected spans: doc_id, key, kind, start, end, base, score. Added spans touch no base span."""
     found = staged(candidates(docs, id_col, text_col), "proposals")
-    learnt = _scored(found, sample, trees, depth)
-    if learnt is None:
-        rows = found.where("base or generator = 'email_spelt' and label").withColumn("score", F.lit(1.0)).select("doc_id", "key", "kind", "start", "end", "base", "score")
-    else:
-        scored, aside = learnt
-        cuts = _thresholds(aside, precision)
-        cut = F.lit(2.0)
-        for kind, value in cuts.items():
-            cut = F.when(F.col("kind") == kind, F.lit(value)).otherwise(cut)
-        rows = scored.where(F.col("base") | (F.col("score") >= cut)).select("doc_id", "key", "kind", "start", "end", "base", "score")
+    scored, aside = _scored(found, sample, trees, depth)
+    cut = F.lit(2.0)
+    for kind, value in _thresholds(aside, precision).items():
+        cut = F.when(F.col("kind") == kind, F.lit(value)).otherwise(cut)
+    rows = scored.where(F.col("base") | (F.col("score") >= cut)).select("doc_id", "key", "kind", "start", "end", "base", "score")
     down, up = _around()
     rows = rows.withColumn("before", F.max(F.when(F.col("base"), F.col("end"))).over(down)).withColumn("next", F.min(F.when(F.col("base"), F.col("start"))).over(up))
     free = (F.coalesce("before", F.lit(-1)) <= F.col("start")) & (F.coalesce("next", F.col("end")) >= F.col("end"))

@@ -57,6 +57,15 @@ def test_spelt_addresses_and_bare_numbers_are_selected(spark):
     assert found[n + 3 : n + 6] == [[p] for p in phones] and found[-1] == []
 
 
+def test_personal_data_of_one_row_is_that_among_many(spark):
+    alone = ["call 415-555-0100 then", "jane.doe [at] mail [dot] com", "seen 96.153.118.61 in", "number 4111111111111112 and", "build 500.2.1.7 of", "row 7 [at] 8.9 of"]
+    many = [pii.personal_data(spark.createDataFrame(list(enumerate(alone + more)), "doc_id long, text string")).where("doc_id < 6").orderBy("doc_id").collect() for more in ([], private_texts())]
+    want = ["phone:5:17", "email:0:28", "ip:5:18", "", "", ""]
+    assert [[r["spans"] for r in rows] for rows in many] == [want, want]
+    one = spark.createDataFrame([(3, alone[0])], "doc_id long, text string")
+    assert pii.personal_data(one).first()["spans"] == want[0]
+
+
 def test_thresholds_of_a_rare_kind_see_all_its_proposals(spark):
     texts = private_texts() + [f"words and name{k}@host.example words" for k in range(3000)]
     found = pii.candidates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).cache()

@@ -13,12 +13,13 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
+    LogisticRegressionModel,
     RandomForestClassifier,
 )
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_order
@@ -61,13 +62,24 @@ def as_doubles(df: DataFrame, numeric: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") for c in numeric})
 
 
+def without_summary(model: LogisticRegressionModel, spark: SparkSession) -> LogisticRegressionModel:
+    """The model read back from a saved copy. A fitted binary model carries its training summary, and with it the session, into every task; once
+    the session has made an ``Observation`` it can no longer be sent."""
+    path = scratch_path(spark, "learner")
+    model.write().save(path)
+    return LogisticRegressionModel.load(path)
+
+
 def fit_encoded(train: DataFrame, stages: list, learner, key: str | None = None) -> PipelineModel:
     """Fit the stages, write the encoded rows once for the learner's passes (in the fixed order of ``key`` if given), fit the learner."""
     encoders = Pipeline(stages=stages).fit(train)
     extra = [learner.getOrDefault(p) for p in ("weightCol", "validationIndicatorCol") if learner.hasParam(p) and learner.isDefined(p)]
     rows = encoders.transform(train).select(*([key] if key else []), F.col(LABEL).cast("double").alias(LABEL), *extra, "features")
     rows = steady(staged(rows, "design"), key) if key else staged(rows, "design")
-    return PipelineModel([*encoders.stages, learner.fit(rows)])
+    fitted = learner.fit(rows)
+    if isinstance(fitted, LogisticRegressionModel):
+        fitted = without_summary(fitted, train.sparkSession)
+    return PipelineModel([*encoders.stages, fitted])
 
 
 def logistic(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], weight: str | None = None, c: float = 1.0) -> PipelineModel:
@@ -201,8 +213,8 @@ def stack(oof: DataFrame, new: DataFrame, members: Sequence[str], keep: Sequence
     """Meta-logistic fitted on out-of-fold scores only, applied to members refitted on all rows."""
     meta = LogisticRegression(labelCol=label, featuresCol="members", maxIter=100)
     assembler = VectorAssembler(inputCols=list(members), outputCol="members")
-    model = Pipeline(stages=[assembler, meta]).fit(oof)
-    return model.transform(new).select(*keep, F.round(vector_to_array("probability")[1], 6).alias("p"))
+    fitted = without_summary(meta.fit(assembler.transform(oof)), oof.sparkSession)
+    return fitted.transform(assembler.transform(new)).select(*keep, F.round(vector_to_array("probability")[1], 6).alias("p"))
 
 
 def platt(train: DataFrame, new: DataFrame, keep: Sequence[str], score: str = "p", label: str = LABEL) -> DataFrame:
@@ -211,13 +223,10 @@ def platt(train: DataFrame, new: DataFrame, keep: Sequence[str], score: str = "p
         bounded = F.greatest(F.least(F.col(score), F.lit(1 - 1e-6)), F.lit(1e-6))
         return df.withColumn("_raw", log_odds(bounded))
 
-    model = Pipeline(
-        stages=[
-            VectorAssembler(inputCols=["_raw"], outputCol="raw"),
-            LogisticRegression(labelCol=label, featuresCol="raw", probabilityCol="calibrated", maxIter=100),
-        ]
-    ).fit(prepared(train))
-    return model.transform(prepared(new)).select(*keep, F.round(vector_to_array("calibrated")[1], 6).alias("calibrated"))
+    assembler = VectorAssembler(inputCols=["_raw"], outputCol="raw")
+    learner = LogisticRegression(labelCol=label, featuresCol="raw", probabilityCol="calibrated", maxIter=100)
+    fitted = without_summary(learner.fit(assembler.transform(prepared(train))), train.sparkSession)
+    return fitted.transform(assembler.transform(prepared(new))).select(*keep, F.round(vector_to_array("calibrated")[1], 6).alias("calibrated"))
 
 
 def isotonic(train: DataFrame, new: DataFrame, keep: Sequence[str], score: str = "p", label: str = LABEL) -> DataFrame:

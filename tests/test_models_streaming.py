@@ -4,6 +4,7 @@ import numpy as np
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from decisionkit.operators import contracts as C
@@ -62,6 +63,15 @@ def test_calibration_maps_are_monotone(spark, frame):
         assert got["calibrated"].is_monotonic_increasing and got["calibrated"].between(0, 1).all()
 
 
+def test_logistic_models_score_after_an_observation(spark, frame):
+    seen = Observation()
+    frame.observe(seen, F.count(F.lit(1)).alias("n")).count()
+    scored = L.probability(L.logistic(frame, NUMERIC, CATEGORICAL), frame, NUMERIC, ["contact_id", "y"])
+    mapped = L.platt(scored, scored, ["contact_id"])
+    stacked = L.stack(scored, scored, ["p"], ["contact_id"])
+    assert seen.get["n"] == mapped.filter("calibrated > 0").count() == stacked.filter("p > 0").count()
+
+
 def test_attributions_add_up(spark, frame):
     total = linear_attributions(frame, FULL, "contact_id").groupBy("contact_id").agg(F.sum("phi").alias("phi"))
     raw = frame.select("contact_id", FULL.raw_score().alias("z"))

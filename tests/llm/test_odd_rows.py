@@ -394,6 +394,20 @@ def test_a_full_sketch_changes_nothing(spark, monkeypatch):
     assert sorted(map(tuple, tries.conversation_trie(frame).collect()), key=str) == plain
 
 
+@pytest.mark.parametrize("limits", [{}, {"hot_rows": 3}])
+def test_trie_orders_tied_turns_by_role_and_text(spark, limits):
+    draw = random.Random(3)
+    texts = ["a", "ab", "b", "é😀", "", None, "a long one 1", "a long one 2", "a long one "]
+    rows = [(c, draw.choice([1, 1, 2, None]), draw.choice(["user", "system", None]), draw.choice(texts)) for c in [*range(60), 300, 301] for _ in range(draw.randrange(1, 9))]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    by_text = sorted(rows, key=lambda x: (x[2] or "", x[3] or ""))  # the brute force sorts by turn and leaves ties as they are
+    assert sorted((tuple(r) for r in tries.rebuilt_trie(frame, **limits).collect()), key=str) == brute.trie(by_text)
+    nodes = tries.conversation_trie(frame.where("conv_id = 300"))
+    got = [(r["role"], r["text"]) for r in tries.with_texts(nodes, frame, **limits).orderBy("depth").collect()]
+    own = sorted((r for r in by_text if r[0] == 300), key=lambda x: (x[1] is not None, x[1] or 0))
+    assert got[1:] == [(r or "", x or "") for _, _, r, x in own]
+
+
 def test_trie_odd(spark):
     schema = "conv_id long, turn long, role string, text string"
     assert tries.rebuilt_trie(spark.createDataFrame([], schema)).count() == 0

@@ -1,3 +1,5 @@
+import hashlib
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -90,6 +92,16 @@ def test_bootstrap_weights_average_one(spark):
     assert totals.sort_values("replicate")["n"].tolist() == again.sort_values("replicate")["n"].tolist()
 
 
+def test_bootstrap_draws_once_for_every_key_and_replicate(spark):
+    """Each weight comes from 16 bits of its own, not from one number a key; rows of one key share it."""
+    rows = [(k % 1500, k % 2) for k in range(1700)]
+    got = B.bootstrap_totals(spark.createDataFrame(rows, "id long, y int").repartition(3), "id", 20, {"n": F.lit(1), "y": F.col("y")}).toPandas().sort_values("replicate")
+    digests = {k: [hashlib.md5(f"boot|{b}|{k}".encode()).digest() for b in range(3)] for k in range(1500)}
+    weight = lambda k, r: sum(int.from_bytes(digests[k][r // 8][r % 8 * 2 : r % 8 * 2 + 2]) >= c for c in B.POISSON_CUTS)
+    assert got["n"].tolist() == [sum(weight(k, r) for k, _ in rows) for r in range(20)]
+    assert got["y"].tolist() == [sum(weight(k, r) * y for k, y in rows) for r in range(20)]
+
+
 def test_scores_that_differ_in_the_eighth_digit_are_ranked(spark):
     rows = [(i, 0.5 + i * 1e-8, int(i % 3 == 0 or i > 30)) for i in range(40)]
     df = spark.createDataFrame(rows, "id long, p double, y int")

@@ -2,8 +2,9 @@
 
 Rows are grouped by their nearest pivot and a distance ring around it (the published pivot-based kNN
 join). The triangle inequality gives each query group a radius that is sure to hold k neighbours, so a
-reference row is sent only to the groups whose radius it can reach. Groups are cut into bounded blocks on
-both sides; each task keeps only the k best pairs per query, and the partial lists are merged.
+reference row is sent only to the groups whose radius it can reach. Small groups of neighbouring pivots are put
+together, large ones cut, into bounded blocks on both sides, so that a reference is copied at most once per block of queries; tasks
+pass on a few thousand rows at a time and keep only the k best pairs per query, and the partial lists are merged.
 Identical vectors are handled once: equal queries share one search, and of equal reference rows only the
 k+1 smallest keys can ever be among the first k.
 """
@@ -27,6 +28,8 @@ REFERENCE_BLOCK = 16384
 RINGS = (-6, 8)
 SLACK = 1e-5
 DIGITS = 6
+CELLS = 1_000_000  # entries of a distance matrix held at once
+SENT_ROWS = 4096  # rows of vectors that a task passes on at once
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -73,7 +76,8 @@ class _Groups:
         self.rings = RINGS[1] - RINGS[0] + 1
 
     def assign(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        nearest = _distances(vectors, self.pivots).argmin(1)
+        step = max(1, CELLS // len(self.pivots))
+        nearest = np.concatenate([_distances(vectors[at : at + step], self.pivots).argmin(1) for at in range(0, len(vectors), step)])
         return nearest, np.sqrt(((vectors - self.pivots[nearest]) ** 2).sum(1))
 
     def group_of(self, cell: np.ndarray, distance: np.ndarray) -> np.ndarray:
@@ -93,11 +97,31 @@ class _Groups:
                 way[i] = np.partition(between[i, at] + away, k - 1)[k - 1]
         self.radius = (way[self.cell] + self.high) * (1 + 1e-9) + SLACK
 
-    def reached(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(reference row, index of a query group it may serve)."""
-        to_pivot = _distances(vectors, self.pivots)[:, self.cell]
-        inside = (to_pivot - self.high[None, :] <= self.radius) & (self.low[None, :] - to_pivot <= self.radius)
-        return np.nonzero(inside)
+    def pack(self, stats: pd.DataFrame, query_block: int) -> None:
+        """Put groups of neighbouring pivots together until a pack holds a block of queries, so that a reference has at most one copy per pack."""
+        between = _distances(self.pivots, self.pivots)
+        cells, way = np.unique(self.cell), []
+        while len(cells):
+            step = int(between[way[-1], cells].argmin()) if way else 0
+            way.append(cells[step])
+            cells = np.delete(cells, step)
+        order = np.lexsort((self.group, np.argsort(way)[np.searchsorted(np.sort(way), self.cell)]))
+        pack, held = np.zeros(len(order), np.int64), 0
+        for at, n in enumerate(stats["n"].to_numpy()[order]):
+            new = at > 0 and held + n > query_block
+            pack[at], held = pack[at - 1] + new if at else 0, n if new else held + n
+        self.order, self.starts = order, np.flatnonzero(np.diff(pack, prepend=-1))
+        self.packs = dict(zip(self.group[order].tolist(), pack.tolist()))
+
+    def reached(self, vectors: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(reference row, pack of query groups it may serve), for some rows at a time."""
+        cell, low, high, radius = (x[self.order] for x in (self.cell, self.low, self.high, self.radius))
+        step = max(1, CELLS // max(len(self.order), len(self.pivots)))
+        for start in range(0, len(vectors), step):
+            to_pivot = _distances(vectors[start : start + step], self.pivots)[:, cell]
+            inside = (to_pivot - high <= radius) & (low - to_pivot <= radius)
+            row, pack = np.nonzero(np.logical_or.reduceat(inside, self.starts, axis=1))
+            yield row + start, pack
 
 
 def _assigned(df: DataFrame, groups: _Groups) -> DataFrame:
@@ -116,27 +140,24 @@ def _assigned(df: DataFrame, groups: _Groups) -> DataFrame:
 def _sent(df: DataFrame, groups: _Groups) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            step = max(1, 4_000_000 // max(len(groups.group), 1))
-            for start in range(0, len(pdf), step):
-                part = pdf.iloc[start : start + step]
-                row, at = groups.reached(_matrix(part["vector"]))
-                yield pd.DataFrame(
-                    {"group": groups.group[at], "id": part["id"].to_numpy()[row], "vector": part["vector"].to_numpy()[row]}
-                )
+            ids, vectors = pdf["id"].to_numpy(), pdf["vector"].to_numpy()
+            for row, pack in groups.reached(_matrix(pdf["vector"])) if len(pdf) else ():
+                for at in range(0, len(row), SENT_ROWS):
+                    own = row[at : at + SENT_ROWS]
+                    yield pd.DataFrame({"pack": pack[at : at + SENT_ROWS], "id": ids[own], "vector": vectors[own]})
 
-    return df.mapInPandas(run, "group bigint, id bigint, vector array<double>")
+    return df.mapInPandas(run, "pack bigint, id bigint, vector array<double>")
 
 
 def _reached_counts(df: DataFrame, groups: _Groups) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(len(groups.starts), np.int64)
         for pdf in batches:
-            step = max(1, 4_000_000 // max(len(groups.group), 1))
-            for start in range(0, len(pdf), step):
-                _, at = groups.reached(_matrix(pdf["vector"].iloc[start : start + step]))
-                found, n = np.unique(at, return_counts=True)
-                yield pd.DataFrame({"group": groups.group[found], "n": n})
+            for _, pack in groups.reached(_matrix(pdf["vector"])) if len(pdf) else ():
+                total += np.bincount(pack, minlength=len(total))
+        yield pd.DataFrame({"pack": np.arange(len(total)), "n": total})
 
-    return df.mapInPandas(run, "group bigint, n bigint").groupBy("group").agg(F.sum("n").alias("n"))
+    return df.select("vector").mapInPandas(run, "pack bigint, n bigint").groupBy("pack").agg(F.sum("n").alias("n"))
 
 
 def choose_pivots(refs: DataFrame, count: int) -> np.ndarray:
@@ -173,7 +194,7 @@ def knn_join(
 
     Distances are rounded to six decimals before they are compared.
     """
-    wanted = k + 1 if exclude_self else k
+    wanted, spark = k + 1 if exclude_self else k, queries.sparkSession
     rows, refs, searched = _sides(queries, references, key, vector, wanted)
 
     if pivots is None:
@@ -202,23 +223,26 @@ def knn_join(
         .toPandas()
     )
     groups.set_reach(stats, nearest, wanted)
-    query_parts = {g: max(1, math.ceil(n / query_block)) for g, n in zip(stats["group"], stats["n"])}
+    groups.pack(stats, query_block)
+    pack_of = spark.createDataFrame(pd.DataFrame(list(groups.packs.items()), columns=["group", "pack"]), "group bigint, pack bigint")
+    placed = placed.join(F.broadcast(pack_of), "group").select("pack", "id", "vector")
+    queried = stats.groupby(stats["group"].map(groups.packs))["n"].sum()
+    query_parts = {p: max(1, math.ceil(n / query_block)) for p, n in queried.items()}
     counts = _reached_counts(refs, groups).toPandas()
-    ref_parts = {g: max(1, math.ceil(n / reference_block)) for g, n in zip(counts["group"], counts["n"])}
-    spark = queries.sparkSession
+    ref_parts = {p: max(1, math.ceil(n / reference_block)) for p, n in zip(counts["pack"], counts["n"])}
     plan = spark.createDataFrame(
-        pd.DataFrame([(int(g), query_parts[g], ref_parts.get(g, 1)) for g in query_parts], columns=["group", "q", "r"]),
-        "group bigint, q int, r int",
+        pd.DataFrame([(int(p), query_parts[p], ref_parts.get(p, 1)) for p in query_parts], columns=["pack", "q", "r"]),
+        "pack bigint, q int, r int",
     )
 
     def every(n: str) -> F.Column:
         return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
 
-    left = placed.join(F.broadcast(plan), "group").select(
-        "group", F.pmod(F.xxhash64("id"), F.col("q")).cast("int").alias("qb"), every("r").alias("rb"), "id", "vector"
+    left = placed.join(F.broadcast(plan), "pack").select(
+        "pack", F.pmod(F.xxhash64("id"), F.col("q")).cast("int").alias("qb"), every("r").alias("rb"), "id", "vector"
     )
-    right = _sent(refs, groups).join(F.broadcast(plan), "group").select(
-        "group", every("q").alias("qb"), F.pmod(F.xxhash64("id"), F.col("r")).cast("int").alias("rb"), "id", "vector"
+    right = _sent(refs, groups).join(F.broadcast(plan), "pack").select(
+        "pack", every("q").alias("qb"), F.pmod(F.xxhash64("id"), F.col("r")).cast("int").alias("rb"), "id", "vector"
     )
 
     def search(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
@@ -227,7 +251,7 @@ def knn_join(
         row, found, distance = _nearest_pairs(_matrix(q["vector"]), _matrix(r["vector"]), r["id"].to_numpy(), wanted)
         return pd.DataFrame({"qid": q["id"].to_numpy()[row], "id": found, "distance": distance})
 
-    block = ["group", "qb", "rb"]
+    block = ["pack", "qb", "rb"]
     partial = left.groupBy(*block).cogroup(right.groupBy(*block)).applyInPandas(search, "qid bigint, id bigint, distance double")
     return _attached(rows, placed, partial, k, wanted, key, exclude_self)
 
@@ -261,8 +285,10 @@ def _hashed(df: DataFrame, directions: list[np.ndarray], probes: int) -> DataFra
                 for table, axes in enumerate(directions):
                     along = vectors @ axes.T
                     best = np.argpartition(-along, probes - 1, axis=1)[:, :probes] if probes < len(axes) else np.tile(np.arange(len(axes)), (len(part), 1))
-                    row = np.repeat(np.arange(len(part)), best.shape[1])
-                    yield pd.DataFrame({"bucket": table * len(axes) + best.ravel(), "id": part["id"].to_numpy()[row], "vector": part["vector"].to_numpy()[row]})
+                    row, bucket = np.repeat(np.arange(len(part)), best.shape[1]), table * len(axes) + best.ravel()
+                    for at in range(0, len(row), SENT_ROWS):
+                        own = row[at : at + SENT_ROWS]
+                        yield pd.DataFrame({"bucket": bucket[at : at + SENT_ROWS], "id": part["id"].to_numpy()[own], "vector": part["vector"].to_numpy()[own]})
 
     return df.select("id", "vector").mapInPandas(run, "bucket bigint, id bigint, vector array<double>")
 

@@ -41,6 +41,21 @@ def test_knn_with_fewer_references_than_k(spark):
     assert {r["id"]: len(r["neighbours"]) for r in got.collect()} == {0: 3, 1: 3, 2: 3, 3: 3}
 
 
+def test_references_are_copied_once_per_block_of_queries(spark, monkeypatch):
+    rows = list(enumerate(np.random.default_rng(4).normal(size=(600, 32))))  # no structure: every group reaches every reference
+    sent, plain = [], N._sent
+    monkeypatch.setattr(N, "_sent", lambda df, groups: sent.append(plain(df, groups)) or sent[-1])
+    monkeypatch.setattr(N, "SENT_ROWS", 50)
+    got = knn_join(frame(spark, rows), frame(spark, rows), 3, exclude_self=True, query_block=200)
+    assert {r["id"]: [(n["distance"], n["id"]) for n in r["neighbours"]] for r in got.collect()} == brute(rows, rows, 3, True)
+    assert 600 <= sent[0].count() <= 6 * 600  # two packs together hold more than a block
+
+
+def test_knn_without_queries(spark):
+    rows = frame(spark, enumerate(np.ones((5, 2))))
+    assert knn_join(rows.filter("id < 0"), rows, 2).count() == 0
+
+
 def minority_frame(spark):
     rng = np.random.default_rng(0)
     pdf = pd.DataFrame({"id": np.arange(300), "y": (np.arange(300) % 6 == 0).astype(int), "a": rng.integers(0, 20, 300),

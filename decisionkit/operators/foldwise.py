@@ -54,17 +54,25 @@ class Design:
     def width(self) -> int:
         return len(self.numeric) + len(self.levels)
 
+    def encoded(self, rows: pd.DataFrame) -> tuple[np.ndarray, dict[str, tuple[np.ndarray, np.ndarray]]]:
+        """(numbers, {feature: code of each row, levels}): what the designs of all sets share; a null level has code -1."""
+        return rows[self.numeric].to_numpy(np.float64), {f: pd.factorize(rows[f]) for f in self.categorical}
+
     def matrix(self, rows: pd.DataFrame, held: int) -> np.ndarray:
         """The rows as one training set's design sees them, with a column of ones at the end."""
-        out = np.zeros((len(rows), self.width + 1))
+        return self.matrix_of(self.encoded(rows), held)
+
+    def matrix_of(self, encoded: tuple[np.ndarray, dict[str, tuple[np.ndarray, np.ndarray]]], held: int, inside: np.ndarray | slice = slice(None)) -> np.ndarray:
+        """The same for the rows ``inside`` of encoded rows."""
+        numbers = encoded[0][inside]
+        out = np.zeros((len(numbers), self.width + 1))
         out[:, -1] = 1.0
-        numbers = rows[self.numeric].to_numpy(np.float64)
         numbers = np.where(np.isnan(numbers), self.medians[held], numbers)
         out[:, : len(self.numeric)] = (numbers - self.means[held]) / self.sds[held]
-        for feature in self.categorical:
-            levels = rows[feature].where(rows[feature].notna(), self.modes[held].get(feature))
+        for feature, (codes, levels) in encoded[1].items():
             none = self.rare[held].get(feature, -1)
-            at = levels.map(lambda v, f=feature, n=none: self.columns[held].get((f, v), n)).to_numpy(np.int64, na_value=none)
+            place = np.array([self.columns[held].get((feature, v), none) for v in [*levels, self.modes[held].get(feature)]])
+            at = place[codes[inside]]
             out[np.flatnonzero(at >= 0), at[at >= 0]] = 1.0
         return out
 
@@ -117,7 +125,7 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -700, 700)))
 
 
-def _sums(design: Design, sets: Sequence[frozenset[int]], part: str, label: str, betas: np.ndarray):
+def _sums(design: Design, sets: Sequence[frozenset[int]], part: str, label: str, betas: np.ndarray, weight: str | None = None):
     """Per task and model: rows, log loss, gradient and Hessian over the rows of the model's set."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -127,17 +135,19 @@ def _sums(design: Design, sets: Sequence[frozenset[int]], part: str, label: str,
             for at in range(0, len(batch), BLOCK):
                 rows = batch.iloc[at : at + BLOCK]
                 own, y_all = rows[part].to_numpy(), rows[label].to_numpy(np.float64)
+                w_all = rows[weight].to_numpy(np.float64) if weight else np.ones(len(rows))
+                encoded = design.encoded(rows)
                 for h, s in enumerate(sets):
-                    inside = np.isin(own, list(s))
-                    if not inside.any():
+                    inside = np.flatnonzero(np.isin(own, list(s)))
+                    if not len(inside):
                         continue
-                    x, y = design.matrix(rows[inside], h), y_all[inside]
+                    x, y, w = design.matrix_of(encoded, h, inside), y_all[inside], w_all[inside]
                     z = x @ betas[h].T
                     p = _sigmoid(z)
                     loss = np.logaddexp(0, z) - y[:, None] * z
                     for c in range(strengths):
-                        hessian = (x * (p[:, c] * (1 - p[:, c]))[:, None]).T @ x
-                        total[h, c] += np.concatenate([[len(y), loss[:, c].sum()], x.T @ (p[:, c] - y), hessian.ravel()])
+                        hessian = (x * (w * p[:, c] * (1 - p[:, c]))[:, None]).T @ x
+                        total[h, c] += np.concatenate([[w.sum(), w @ loss[:, c]], x.T @ (w * (p[:, c] - y)), hessian.ravel()])
         for h in range(held):
             for c in range(strengths):
                 yield pd.DataFrame({"model": [h * strengths + c], "sums": [total[h, c].tolist()]})
@@ -145,7 +155,7 @@ def _sums(design: Design, sets: Sequence[frozenset[int]], part: str, label: str,
     return run
 
 
-def fit_all(rows: DataFrame, design: Design, part: str, sets: Sequence[frozenset[int]], strengths: Sequence[float], label: str = "y", most_steps: int = 30, tolerance: float = 1e-10, start: np.ndarray | None = None) -> tuple[np.ndarray, int]:
+def fit_all(rows: DataFrame, design: Design, part: str, sets: Sequence[frozenset[int]], strengths: Sequence[float], label: str = "y", most_steps: int = 30, tolerance: float = 1e-10, start: np.ndarray | None = None, weight: str | None = None) -> tuple[np.ndarray, int]:
     """(coefficients set x strength x (width + 1), the intercept last; scans). Strength C weighs the summed losses against half the squared coefficients
     without intercept; steps are halved while a loss grows. ``rows`` should be a written table: every step reads it once."""
     size = design.width + 1
@@ -154,10 +164,10 @@ def fit_all(rows: DataFrame, design: Design, part: str, sets: Sequence[frozenset
     ridge = np.ones(size)
     ridge[-1] = 0.0
     columns = [F.col(c).cast("double").alias(c) for c in design.numeric] + [F.col(c).cast("string").alias(c) for c in design.categorical]
-    narrow = rows.select(part, F.col(label).cast("double").alias(label), *columns)
+    narrow = rows.select(part, F.col(label).cast("double").alias(label), *([weight] if weight else []), *columns)
     step, before = np.zeros_like(betas), None
     for scans in range(1, most_steps + 1):
-        sums = narrow.mapInPandas(_sums(design, sets, part, label, betas), "model int, sums array<double>").select("model", F.posexplode("sums").alias("at", "x"))
+        sums = narrow.mapInPandas(_sums(design, sets, part, label, betas, weight), "model int, sums array<double>").select("model", F.posexplode("sums").alias("at", "x"))
         table = sums.groupBy("model", "at").agg(F.sum("x").alias("x")).toPandas()  # models x (width + 2)^2 numbers
         total = np.zeros((len(sets), len(strengths), 2 + size + size * size))
         total.reshape(-1, total.shape[2])[table["model"], table["at"]] = table["x"]
@@ -167,18 +177,38 @@ def fit_all(rows: DataFrame, design: Design, part: str, sets: Sequence[frozenset
             step = np.where(worse[:, :, None], step / 2, 0.0)
             betas = betas - step
             continue
-        before = loss
+        before, gain = loss, np.zeros_like(loss)
         for h in range(len(sets)):
             for c in range(len(strengths)):
                 gradient = total[h, c, 2 : 2 + size] + penalty[c] * ridge * betas[h, c]
                 hessian = total[h, c, 2 + size :].reshape(size, size) + penalty[c] * np.diag(ridge) + 1e-12 * np.eye(size)
                 step[h, c] = -np.linalg.solve(hessian, gradient)
+                gain[h, c] = -gradient @ step[h, c] / 2
         betas = betas + step
-        if np.abs(step).max(initial=0.0) < tolerance:
+        # a step whose gain is below the rounding of the loss is the last: sums over many rows do not tell smaller ones from noise
+        if ((np.abs(step).max(axis=2) < tolerance) | (gain <= np.finfo(float).eps * loss)).all():
             break
     return betas, scans
 
 
+def fit_from_summary(rows: DataFrame, design: Design, part: str, sets: Sequence[frozenset[int]], strengths: Sequence[float], label: str = "y", most_steps: int = 30) -> tuple[np.ndarray, int]:
+    """``fit_all`` from a start near the optimum: (coefficients, scans of the rows).
+
+    The start is fitted to counts, one row per part, label and combination of levels, with every number at its median. Where a level decides the label, a
+    coefficient moves by about one a step up to the logarithm of the rows; these steps are made on the counts. The steps that follow read all
+    rows, up to the same tolerance.
+    """
+    cells = rows.groupBy(part, label, *design.categorical).agg(F.count(F.lit(1)).alias("_weight"))
+    cells = staged(cells.withColumns({c: F.lit(None).cast("double") for c in design.numeric}), "cells")
+    start = None
+    if 4 * cells.count() <= rows.count():
+        start, _ = fit_all(cells, design, part, sets, strengths, label, most_steps, tolerance=1e-3, weight="_weight")
+        numbers, at_median = start[:, :, : len(design.numeric)], (design.medians - design.means) / design.sds
+        start[:, :, -1] += (numbers * at_median[:, None, :]).sum(axis=2)
+        start[:, :, : len(design.numeric)] = 0.0
+    return fit_all(rows, design, part, sets, strengths, label, most_steps, start=start)
+
+
 def scored_by(rows: DataFrame, design: Design, betas: np.ndarray, part: str, models: Sequence[Sequence[tuple[int, int]]], keep: Sequence[str]) -> DataFrame:
     """(keep..., held, strength, p): each row scored by the models (set, strength) listed for its part, in one pass."""
     columns = [F.col(c).cast("double").alias(f"_n_{c}") for c in design.numeric] + [F.col(c).cast("string").alias(f"_c_{c}") for c in design.categorical]
@@ -188,9 +218,9 @@ def scored_by(rows: DataFrame, design: Design, betas: np.ndarray, part: str, mod
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for own, rows_ in batch.groupby("_part"):
-                features = rows_[list(names)].rename(columns=names)
+                features = design.encoded(rows_[list(names)].rename(columns=names))
                 for h in sorted({h for h, _ in models[own]}):
-                    x = design.matrix(features, h)
+                    x = design.matrix_of(features, h)
                     for c in sorted({c for g, c in models[own] if g == h}):
                         yield rows_[list(keep)].assign(held=np.int32(h), strength=np.int32(c), p=np.round(_sigmoid(x @ betas[h, c]), 6))
 

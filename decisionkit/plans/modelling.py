@@ -445,7 +445,7 @@ def one_pass(rows, part, sets, numeric, categorical):
     """Rows with their features written once, the designs and the coefficients of all sets and strengths, and the scans they took."""
     rows = staged(rows.select("contact_id", "y", part, *numeric, *categorical), "rows")
     design = W.fit_design(rows, part, sets, numeric, categorical)
-    betas, scans = W.fit_all(rows, design, part, sets, STRENGTHS)
+    betas, scans = W.fit_from_summary(rows, design, part, sets, STRENGTHS)
     return rows, design, betas, scans
 
 

@@ -55,6 +55,18 @@ def test_coefficients_equal_single_fits(spark, frame):
             assert np.abs(np.append(fit.coefficients.toArray(), fit.intercept) - betas[k, c]).max() < 1e-6
 
 
+def test_a_start_from_counts_saves_scans_and_changes_nothing(spark):
+    """A level that decides the label moves its coefficient by one a step; at any number of rows these steps are made on the counts."""
+    draw = np.random.default_rng(6)
+    rows = [(i, int(i % 4 == 0 and draw.random() < 0.4), i % 3, float(draw.normal()) if i % 7 else None, "abcd"[i % 4] if i % 13 else None) for i in range(40_000)]
+    frame = spark.createDataFrame(rows, "id long, y int, fold int, a double, level string").cache()
+    sets, strengths = W.folds_as_sets(3), [0.1, 10.0, 1e4]
+    design = W.fit_design(frame, "fold", sets, ["a"], ["level"])
+    plain, many = W.fit_all(frame, design, "fold", sets, strengths)
+    betas, scans = W.fit_from_summary(frame, design, "fold", sets, strengths)
+    assert np.abs(betas - plain).max() < 1e-6 and scans <= 8 < many
+
+
 def test_each_row_is_scored_by_the_models_of_its_part(frame):
     sets = W.folds_as_sets(3)
     design = W.fit_design(frame, "fold", sets, ["a"], ["level"])

@@ -191,14 +191,14 @@ def fit_all(rows: DataFrame, design: Design, part: str, sets: Sequence[frozenset
     return betas, scans
 
 
-def fit_from_summary(rows: DataFrame, design: Design, part: str, sets: Sequence[frozenset[int]], strengths: Sequence[float], label: str = "y", most_steps: int = 30) -> tuple[np.ndarray, int]:
+def fit_from_summary(rows: DataFrame, design: Design, part: str, sets: Sequence[frozenset[int]], strengths: Sequence[float], label: str = "y", most_steps: int = 30, weight: str | None = None) -> tuple[np.ndarray, int]:
     """``fit_all`` from a start near the optimum: (coefficients, scans of the rows).
 
     The start is fitted to counts, one row per part, label and combination of levels, with every number at its median. Where a level decides the label, a
     coefficient moves by about one a step up to the logarithm of the rows; these steps are made on the counts. The steps that follow read all
     rows, up to the same tolerance.
     """
-    cells = rows.groupBy(part, label, *design.categorical).agg(F.count(F.lit(1)).alias("_weight"))
+    cells = rows.groupBy(part, label, *design.categorical).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("_weight"))
     cells = staged(cells.withColumns({c: F.lit(None).cast("double") for c in design.numeric}), "cells")
     start = None
     if 4 * cells.count() <= rows.count():
@@ -206,7 +206,7 @@ def fit_from_summary(rows: DataFrame, design: Design, part: str, sets: Sequence[
         numbers, at_median = start[:, :, : len(design.numeric)], (design.medians - design.means) / design.sds
         start[:, :, -1] += (numbers * at_median[:, None, :]).sum(axis=2)
         start[:, :, : len(design.numeric)] = 0.0
-    return fit_all(rows, design, part, sets, strengths, label, most_steps, start=start)
+    return fit_all(rows, design, part, sets, strengths, label, most_steps, start=start, weight=weight)
 
 
 def scored_by(rows: DataFrame, design: Design, betas: np.ndarray, part: str, models: Sequence[Sequence[tuple[int, int]]], keep: Sequence[str]) -> DataFrame:

@@ -1,5 +1,7 @@
 """Fitted models: scores vary with the learner, so most of these have no SQL twin; tests hold their invariants."""
 
+from functools import reduce
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Window
@@ -586,15 +588,22 @@ def interventions(spark, sf_dir):
     development, _ = split_frames(spark, sf_dir)
     rows = folded(development)
 
-    def undersampled(df):
-        return plain(staged(I.undersample(df, "contact_id"), "under"))
-
-    def oversampled(df):
-        return L.logistic(staged(I.oversample_copies(df, "contact_id"), "over"), NUMERIC, CATEGORICAL, weight="copies")
-
-    tables = None
-    for name, fit in {"plain": plain, "class_weight": weighted, "random_under": undersampled, "random_over": oversampled}.items():
-        table = cv_table(rows, fit, name)
+    even = F.lit(1.0).alias("weight")
+    arms = {
+        "plain": lambda df: df.select("*", even),
+        "class_weight": lambda df: I.balanced_weights(df, "y"),
+        "random_under": lambda df: I.undersample(df, "contact_id").select("*", even),
+        "random_over": lambda df: I.oversample_copies(df, "contact_id").withColumnRenamed("copies", "weight"),
+    }
+    sets, tables = [frozenset({k}) for k in range(FOLDS)], None
+    for name, treated in arms.items():
+        # the treated training side of every fold, under the fold's number; all folds are fitted together
+        sides = [treated(rows.filter(F.col("fold") != k)).select("y", *NUMERIC, *CATEGORICAL, F.col("weight").cast("double").alias("weight"), F.lit(k).alias("side")) for k in range(FOLDS)]
+        train = staged(reduce(lambda a, b: a.unionByName(b), sides), "treated")
+        design = W.fit_design(train, "side", sets, NUMERIC, CATEGORICAL)
+        betas, _ = W.fit_from_summary(train, design, "side", sets, [1.0], weight="weight")
+        scored = W.scored_by(rows, design, betas, "fold", [[(k, 0)] for k in range(FOLDS)], ["y", "fold"])
+        table = M.model_report(staged(scored.select("y", "fold", "p"), "oof").withColumn("model", F.lit(name)), ["model", "fold"], CUT)
         tables = table if tables is None else tables.unionByName(table)
     metrics = ["log_loss", "average_precision", "balanced_accuracy", "f1", "cost"]
     return dispersion(melt_metrics(tables, ["model", "fold"], metrics), ["model", "metric"])

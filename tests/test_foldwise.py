@@ -55,6 +55,18 @@ def test_coefficients_equal_single_fits(spark, frame):
             assert np.abs(np.append(fit.coefficients.toArray(), fit.intercept) - betas[k, c]).max() < 1e-6
 
 
+def test_weighted_coefficients_equal_single_fits(spark, frame):
+    weighted = frame.withColumn("w", (1 + F.col("id") % 4).cast("double"))
+    sets = W.folds_as_sets(3)
+    design = W.fit_design(frame, "fold", sets, ["a", "b"], ["level"])
+    betas, _ = W.fit_from_summary(weighted, design, "fold", sets, [1.0], weight="w")
+    rows = weighted.toPandas()
+    own = rows[rows["fold"] != 1]
+    table = spark.createDataFrame([(int(y), float(w), v.tolist()) for y, w, v in zip(own["y"], own["w"], design.matrix(own, 1)[:, :-1])], "y int, w double, v array<double>").select("y", "w", array_to_vector("v").alias("features"))
+    fit = LogisticRegression(labelCol="y", weightCol="w", maxIter=500, tol=1e-12, regParam=1 / own["w"].sum(), standardization=False).fit(table)
+    assert np.abs(np.append(fit.coefficients.toArray(), fit.intercept) - betas[1, 0]).max() < 1e-6
+
+
 def test_a_start_from_counts_saves_scans_and_changes_nothing(spark):
     """A level that decides the label moves its coefficient by one a step; at any number of rows these steps are made on the counts."""
     draw = np.random.default_rng(6)

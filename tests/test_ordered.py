@@ -7,6 +7,7 @@ from decisionkit.functions.hashing import hash_bucket, hash_order
 from decisionkit.operators.joins import as_of_join
 from decisionkit.operators.ordered import ordered_state
 from decisionkit.operators.quantiles import exact_quantiles, ordered_distinct
+from decisionkit.operators.splits import stratified_split
 
 
 def skewed(n=600, seed=1):
@@ -89,3 +90,17 @@ def test_as_of_join_sees_only_earlier_rows(spark, hot_rows):
     ).withColumn("id", F.col("hid"))
     got = as_of_join(decisions, history, "u", "t", "id", ["what"], F.col("t"), hot_rows=hot_rows)
     assert {r["id"]: r["latest"] and r["latest"]["what"] for r in got.collect()} == {1: "early", 2: "mid", 3: None}
+
+
+def test_no_shuffle_by_the_hot_keys_alone(spark):
+    """Rows joined to their hot keys by a shuffle would all meet in the tasks of a few keys."""
+    rows = spark.range(1000).select("id", (F.col("id") % 50 == 0).cast("int").alias("y"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables above it
+    try:
+        plan = stratified_split(rows, "id", hot_rows=100)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert any("_bucket" in line for line in shuffles)
+    assert not any("coalesce(y" in line and "_bucket" not in line for line in shuffles)

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_bucket
+from ..session import staged
 from .ordered import HOT_ROWS, match_keys, ordered_state
 from .quantiles import exact_quantiles
 
@@ -30,11 +31,14 @@ def apply_state(df: DataFrame, state: DataFrame, keys: Sequence[str] = (), fold:
 
 
 def fit_medians(df: DataFrame, column: str, folds: int) -> DataFrame:
-    copies = training_copies(df.select("fold", column), folds)
-    return exact_quantiles(copies, ["held"], column, [0.5]).select("held", F.col("quantiles")[0].alias("median"))
+    """Rows collapse to distinct values of each fold first; only these are copied to the held-out folds."""
+    cells = staged(df.groupBy("fold", column).agg(F.count(F.lit(1)).alias("n")), "cells")
+    copies = training_copies(cells, folds)
+    return exact_quantiles(copies, ["held"], column, [0.5], weight="n").select("held", F.col("quantiles")[0].alias("median"))
 
 
 def impute_median(df: DataFrame, column: str, folds: int) -> DataFrame:
+    df = staged(df, "folds")  # read by the fit and by the imputation; folds are drawn once
     filled = apply_state(df, fit_medians(df, column, folds))
     return filled.withColumn(column, F.coalesce(F.col(column).cast("double"), F.col("median"))).drop("median")
 

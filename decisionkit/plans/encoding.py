@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import r6
 from ..operators import encoders as E
 from ..operators.splits import stratified_folds, stratified_split
+from ..session import staged
 from ..sources.frames import contacts, embeddings, labelled_documents, lineitem_frame, read_table
 from .base import CONTACTS, SPLITS, hash_sql, query
 
@@ -19,11 +20,12 @@ lv AS (SELECT CAST(k AS INTEGER) AS held, source, count(*) AS n FROM docs, range
 """
 
 
-def folded(spark, sf_dir):
+def folded(spark, sf_dir, column):
+    """(contact_id, y, column, fold); the contacts are written once, since the folds pass over them several times."""
     frame = contacts(spark, sf_dir).withColumns(
         {"poutcome": F.nullif(F.col("poutcome"), F.lit("unknown")), "pdays": F.nullif(F.col("pdays"), F.lit(-1))}
     )
-    return stratified_folds(frame, "contact_id", K)
+    return stratified_folds(staged(frame.select("contact_id", "y", column), "contacts"), "contact_id", K)
 
 
 def folded_documents(spark, sf_dir):
@@ -37,7 +39,7 @@ def folded_documents(spark, sf_dir):
 SELECT contact_id, fold, round(coalesce(CAST(pdays AS DOUBLE), med), 6) AS pdays FROM folds JOIN s ON held = fold""",
 )
 def median(spark, sf_dir):
-    rows = E.impute_median(folded(spark, sf_dir).select("contact_id", "fold", "pdays"), "pdays", K)
+    rows = E.impute_median(folded(spark, sf_dir, "pdays").select("contact_id", "fold", "pdays"), "pdays", K)
     return rows.select("contact_id", "fold", r6(F.col("pdays")).alias("pdays"))
 
 
@@ -48,7 +50,7 @@ s AS (SELECT held, poutcome AS mode FROM c QUALIFY row_number() OVER (PARTITION
 SELECT contact_id, fold, coalesce(poutcome, mode) AS poutcome FROM folds JOIN s ON held = fold""",
 )
 def mode(spark, sf_dir):
-    return E.impute_mode(folded(spark, sf_dir).select("contact_id", "fold", "poutcome"), "poutcome", K)
+    return E.impute_mode(folded(spark, sf_dir, "poutcome").select("contact_id", "fold", "poutcome"), "poutcome", K)
 
 
 @query(
@@ -57,7 +59,7 @@ def mode(spark, sf_dir):
 SELECT contact_id, fold, round((balance - m) / sd, 6) AS balance FROM folds JOIN s ON held = fold""",
 )
 def standardise(spark, sf_dir):
-    rows = E.standardise(folded(spark, sf_dir).select("contact_id", "fold", "balance"), "balance", K)
+    rows = E.standardise(folded(spark, sf_dir, "balance").select("contact_id", "fold", "balance"), "balance", K)
     return rows.withColumn("balance", r6(F.col("balance")))
 
 

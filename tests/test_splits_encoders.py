@@ -113,3 +113,15 @@ def test_ordinal_codes_of_levels_with_a_common_prefix(spark):
     assert [r["cat"] for r in got] == levels and [r["code"] for r in got] == list(range(3000))
     buckets = E.with_text_bucket(df, "cat", "b").groupBy("b").count().agg(F.max("count")).first()[0]
     assert buckets < 200
+
+
+def test_median_imputation_evaluates_its_rows_once(spark):
+    pdf, df = rows(spark)
+    seen = spark.sparkContext.accumulator(0)
+    count = F.udf(lambda i: (seen.add(1), i % 4)[1], "bigint").asNondeterministic()
+    frame = df.select("id", F.when(F.col("id") % 3 != 0, F.col("x")).alias("x"), count("id").alias("fold"))
+    got = E.impute_median(frame, "x", 4).toPandas().set_index("id")
+    assert seen.value == len(pdf)
+    known = pdf[pdf["id"] % 3 != 0]
+    for fold, part in got[got.index % 3 == 0].groupby("fold"):
+        assert np.allclose(part["x"], known.loc[known["id"] % 4 != fold, "x"].median())

@@ -121,6 +121,17 @@ def fit_design(rows: DataFrame, part: str, sets: Sequence[frozenset[int]], numer
     return Design(numeric, categorical, levels, medians, means, sds, columns, rare, modes)
 
 
+def narrowed(design: Design, numeric: Sequence[str], categorical: Sequence[str]) -> Design:
+    """The design of fewer columns: what is fitted for a column does not depend on the others."""
+    at = [design.numeric.index(c) for c in numeric]
+    levels = [pair for pair in design.levels if pair[0] in set(categorical)]
+    place = {pair: len(at) + k for k, pair in enumerate(levels)}
+    columns = [{pair: place[design.levels[k - len(design.numeric)]] for pair, k in own.items() if pair[0] in set(categorical)} for own in design.columns]
+    rare = [{f: place[f, INFREQUENT] for f in own if f in set(categorical)} for own in design.rare]
+    modes = [{f: v for f, v in own.items() if f in set(categorical)} for own in design.modes]
+    return Design(list(numeric), list(categorical), levels, design.medians[:, at], design.means[:, at], design.sds[:, at], columns, rare, modes)
+
+
 def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -700, 700)))
 
@@ -233,6 +244,14 @@ def folds_as_sets(folds: int) -> list[frozenset[int]]:
     return [frozenset(range(folds)) - {k} for k in range(folds)]
 
 
+def out_of_fold(rows: DataFrame, fold: str, folds: int, numeric: Sequence[str], categorical: Sequence[str], keep: Sequence[str], design: Design | None = None) -> DataFrame:
+    """(keep..., p): each row scored by the regression that did not see its fold, at strength 1; the regressions of all folds share their scans."""
+    sets = folds_as_sets(folds)
+    design = design or fit_design(rows, fold, sets, numeric, categorical)
+    betas, _ = fit_from_summary(rows, design, fold, sets, [1.0])
+    return scored_by(rows, design, betas, fold, [[(k, 0)] for k in range(folds)], keep).select(*keep, "p")
+
+
 def nested_sets(outer: int, inner: int) -> list[frozenset[int]]:
     """Parts are outer * inner crossings. Set o * (inner + 1) + i leaves outer fold o and inner fold i out, set o * (inner + 1) + inner only outer fold o."""
     cells = [(o, i) for o in range(outer) for i in range(inner)]

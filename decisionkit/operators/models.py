@@ -106,13 +106,25 @@ def weighted_logistic(train: DataFrame, numeric: Sequence[str], categorical: Seq
     return logistic(balanced_weights(train, LABEL), numeric, categorical, weight="weight")
 
 
-def boosted_trees(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], key: str = "contact_id",
-                  trees: int = 20, rate: float = 0.1, depth: int = 3, min_leaf: int = 1, subsample: float = 1.0,
-                  features: str = "all", indicator: str | None = None, seed: int = 42) -> PipelineModel:
-    learner = GBTClassifier(
+def booster(trees: int = 20, rate: float = 0.1, depth: int = 3, min_leaf: int = 1, subsample: float = 1.0, features: str = "all", seed: int = 42) -> GBTClassifier:
+    return GBTClassifier(
         labelCol=LABEL, maxIter=trees, stepSize=rate, maxDepth=depth, minInstancesPerNode=min_leaf,
         subsamplingRate=subsample, featureSubsetStrategy=features, seed=seed,
     )
+
+
+def encoded_rows(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], key: str) -> tuple[PipelineModel, DataFrame]:
+    """The encoders of tree learners and the rows they encode, written once in the fixed order of ``key``: what several learners on the same rows share."""
+    train = as_doubles(train, numeric)
+    encoders = Pipeline(stages=feature_stages(numeric, categorical, scale=False)).fit(train)
+    rows = encoders.transform(train).select(key, F.col(LABEL).cast("double").alias(LABEL), "features")
+    return encoders, steady(staged(rows, "design"), key)
+
+
+def boosted_trees(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], key: str = "contact_id",
+                  trees: int = 20, rate: float = 0.1, depth: int = 3, min_leaf: int = 1, subsample: float = 1.0,
+                  features: str = "all", indicator: str | None = None, seed: int = 42) -> PipelineModel:
+    learner = booster(trees, rate, depth, min_leaf, subsample, features, seed)
     if indicator:
         learner.setValidationIndicatorCol(indicator)
     return fit_encoded(as_doubles(train, numeric), feature_stages(numeric, categorical, scale=False), learner, key)

@@ -431,7 +431,7 @@ def pipeline_scoring(spark, sf_dir):
 @query("evl19_out_of_fold")
 def out_of_fold(spark, sf_dir):
     development, _ = split_frames(spark, sf_dir)
-    return L.out_of_fold(folded(development), plain, lambda m, d: predict(m, d, [*KEEP, "fold"]), FOLDS)
+    return W.out_of_fold(folded(development), "fold", FOLDS, NUMERIC, CATEGORICAL, [*KEEP, "fold"])
 
 
 @query("evl19_out_of_fold_facts", facts_sql("out_of_fold", "development"))

@@ -7,6 +7,9 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from decisionkit.operators import foldwise as W
+from decisionkit.operators import models as L
+from decisionkit.operators.fitted import NumberEncoder
+from decisionkit.plans import modelling
 
 ROWS = 900
 
@@ -97,3 +100,31 @@ def test_nested_sets_leave_out_what_they_judge():
         for i in range(3):
             assert all(p // 3 != o and p % 3 != i for p in sets[o * 4 + i]) and len(sets[o * 4 + i]) == 6
         assert sets[o * 4 + 3] == {p for p in range(12) if p // 3 != o}
+
+
+def test_a_narrowed_design_is_the_design_of_fewer_columns(spark):
+    rows = [(i, i % 2, i % 3, float(i % 11), float(i % 5) if i % 7 else None, "abc"[i % 3] if i % 13 else None, "rare" if i % 50 == 0 else "xy"[i % 2]) for i in range(400)]
+    frame = spark.createDataFrame(rows, "id long, y int, fold int, a double, b double, level string, other string")
+    whole = W.fit_design(frame, "fold", W.folds_as_sets(3), ["a", "b"], ["level", "other"])
+    own = W.fit_design(frame, "fold", W.folds_as_sets(3), ["b"], ["other"])
+    part = W.narrowed(whole, ["b"], ["other"])
+    assert (part.levels, part.columns, part.rare, part.modes) == (own.levels, own.columns, own.rare, own.modes)
+    assert np.allclose([part.medians, part.means, part.sds], [own.medians, own.means, own.sds])
+
+
+def test_folds_fitted_together_score_as_folds_fitted_one_by_one(spark):
+    draw = np.random.default_rng(8)
+    rows = [(i, int(draw.random() < 0.2 + 0.2 * (i % 3)), i % 2, float(draw.normal()), "abc"[i % 3]) for i in range(900)]
+    frame = spark.createDataFrame(rows, "contact_id long, y int, fold int, a double, level string").cache()
+    together = W.out_of_fold(frame, "fold", 2, ["a"], ["level"], ["contact_id", "fold"]).toPandas().set_index("contact_id").sort_index()
+    single = L.out_of_fold(frame, lambda d: L.logistic(d, ["a"], ["level"]), lambda m, d: L.probability(m, d, ["a"], ["contact_id"]), 2).toPandas().set_index("contact_id").sort_index()
+    assert len(together) == 900 and np.abs(together["p"] - single["p"]).max() < 1e-4
+
+
+def test_a_search_fits_the_encoders_once_a_fold(spark, sf, monkeypatch):
+    fits, fit = [], NumberEncoder._fit
+    monkeypatch.setattr(NumberEncoder, "_fit", lambda self, df: (fits.append(1), fit(self, df))[1])
+    params = {"trees": 1, "depth": 2, "rate": 0.3, "min_leaf": 5, "subsample": 1.0}
+    monkeypatch.setattr(modelling.T, "search", lambda space, loss, folds, trials, spark: [loss(params, 0) for _ in range(4)])
+    losses = modelling.searched(spark, sf)
+    assert len(fits) == modelling.FOLDS and len(set(losses)) == 1

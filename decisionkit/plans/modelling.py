@@ -483,15 +483,16 @@ def cv_table(rows, fit, name, numeric=NUMERIC, folds=FOLDS):
 def ablation(spark, sf_dir):
     development, _ = split_frames(spark, sf_dir)
     rows = folded(development)
-    tables = None
+    whole = W.fit_design(rows, "fold", W.folds_as_sets(FOLDS), NUMERIC, CATEGORICAL)
+    scores = []
     for family in [None, *FAMILIES]:
         dropped = set(FAMILIES.get(family, []))
         numeric = [c for c in NUMERIC if c not in dropped]
         categorical = [c for c in CATEGORICAL if c not in dropped]
-        fit = lambda df, n=numeric, c=categorical: L.logistic(df, n, c)
-        table = cv_table(rows, fit, f"without_{family}" if family else "all", numeric)
-        tables = table if tables is None else tables.unionByName(table)
-    tables = staged(tables, "ablation")
+        oof = W.out_of_fold(rows, "fold", FOLDS, numeric, categorical, ["y", "fold"], W.narrowed(whole, numeric, categorical))
+        scores.append(oof.withColumn("model", F.lit(f"without_{family}" if family else "all")))
+    scores = staged(reduce(lambda a, b: a.unionByName(b), scores), "oof")
+    tables = staged(M.model_report(scores, ["model", "fold"], CUT), "ablation")
     return dispersion(M.paired_differences(tables, "all", ["log_loss", "roc_auc"]), ["model", "metric"])
 
 

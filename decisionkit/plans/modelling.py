@@ -354,14 +354,20 @@ def folded(development):
 def stacking(spark, sf_dir):
     development, validation = split_frames(spark, sf_dir)
     rows = folded(development)
-    members = {"logistic": plain, "boosting": lambda df: boosted(df, trees=8, rate=0.3, depth=3)}
-    oof, new = rows.select(*KEEP), validation.select(*KEEP)
-    for name, fit in members.items():
-        part = L.out_of_fold(rows, fit, lambda m, d, n=name: predict(m, d, ["contact_id"], n), FOLDS)
-        oof = oof.join(part, "contact_id")
-        new = new.join(predict(fit(development), validation, ["contact_id"], name), "contact_id")
-    new = staged(new, "members")
-    stacked = report(staged(L.stack(oof, new, list(members), KEEP), "scores"), "stacked")
+    members = ["logistic", "boosting"]
+    # the regressions of all folds and that of all rows share their scans
+    sets = [*W.folds_as_sets(FOLDS), frozenset(range(FOLDS))]
+    design = W.fit_design(rows, "fold", sets, NUMERIC, CATEGORICAL)
+    betas, _ = W.fit_from_summary(rows, design, "fold", sets, [1.0])
+    oof = W.scored_by(rows, design, betas, "fold", [[(k, 0)] for k in range(FOLDS)], KEEP).select(*KEEP, F.col("p").alias("logistic"))
+    new = W.scored_by(validation.withColumn("fold", F.lit(0)), design, betas, "fold", [[(FOLDS, 0)]], KEEP).select(*KEEP, F.col("p").alias("logistic"))
+
+    def fit(df):
+        return boosted(df, trees=8, rate=0.3, depth=3)
+
+    oof = staged(oof.join(L.out_of_fold(rows, fit, lambda m, d: predict(m, d, ["contact_id"], "boosting"), FOLDS), "contact_id"), "oof")
+    new = staged(new.join(predict(fit(development), validation, ["contact_id"], "boosting"), "contact_id"), "members")
+    stacked = report(staged(L.stack(oof, new, members, KEEP), "scores"), "stacked")
     for name in members:
         stacked = stacked.unionByName(report(new.withColumn("p", F.col(name)), name))
     return stacked

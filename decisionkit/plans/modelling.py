@@ -148,13 +148,14 @@ def subsampled_facts(spark, sf_dir):
 def ordered_scores(spark, sf_dir):
     """Category columns become ordered target statistics of the training rows; new rows use the full history."""
     development, validation = split_frames(spark, sf_dir)
-    numeric = [*NUMERIC, "job_stat", "contact_stat"]
+    numeric, raw = [*NUMERIC, "job_stat", "contact_stat"], development
     for column in ("job", "contact"):
-        state = fit_target_statistic(development, column, "y")
+        state = fit_target_statistic(raw, column, "y")
         validation = apply_target_statistic(validation, state, column).withColumnRenamed("target_stat", f"{column}_stat")
         encoded = ordered_target_statistic(development, column, "y", ["h", "contact_id"])
-        development = encoded.withColumnRenamed("ordered_stat", f"{column}_stat").drop("earlier_rows")
-    model = L.boosted_trees(staged(development, "ordered"), numeric, ["poutcome"], trees=10, rate=0.2, depth=4)
+        # written after each column: the next one passes over the rows several times
+        development = staged(encoded.withColumnRenamed("ordered_stat", f"{column}_stat").drop("earlier_rows"), "ordered")
+    model = L.boosted_trees(development, numeric, ["poutcome"], trees=10, rate=0.2, depth=4)
     return staged(L.probability(model, validation, numeric, KEEP), "scores")
 
 

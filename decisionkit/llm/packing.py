@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import filled, staged
+from .common import filled, small_batches, staged
 from .wordids import word_ids
 
 CAPACITY, GROUPS, LARGE = 2048, 256, 0.4
@@ -242,7 +242,8 @@ def ranked(pieces: DataFrame) -> DataFrame:
 
 def packed(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0, groups: int = GROUPS, keep_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, (ids,) sequence_id and offset."""
-    pieces = staged(pieces_of(docs, tokenizer, capacity, end_id, keep_ids, id_col, text_col), "pieces")
+    with small_batches(docs.sparkSession):
+        pieces = staged(pieces_of(docs, tokenizer, capacity, end_id, keep_ids, id_col, text_col), "pieces")
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most ``capacity`` rows
     runs, _ = linear_grouping(counts, capacity, groups)
     rows = ranked(pieces).select(*pieces.columns, "rank")

@@ -1,4 +1,4 @@
-"""Ids of the lower-casing word-end BPE vocabulary, word by word with a bounded cache.
+"""Ids of the lower-casing word-end BPE vocabulary, word by word with a bounded cache of the words that come back.
 
 Neither the normaliser nor the splitter of that tokenizer looks across ASCII white space, so a text's ids are those of its
 white-space-separated words in turn, and words repeat. New words in plain Latin script go through the byte-pair core of tiktoken, in which
@@ -12,7 +12,7 @@ import re
 from array import array
 from collections.abc import Iterator
 
-CACHED = 200_000
+CACHED, DOOR = 1 << 15, 1 << 20
 SLICE = 1 << 20
 _SPACE = re.compile(rb"[ \t\n\r\x0b\x0c]")
 _LETTERS = "a-zß-öø-įı-ɏ"
@@ -79,7 +79,12 @@ class TwoAges(dict):
 
 
 class WordIds(TwoAges):
-    """word (bytes) -> its ids as little-endian unsigned 32-bit integers."""
+    """word (bytes) -> its ids as little-endian unsigned 32-bit integers.
+
+    Most distinct words come once. A word is kept from its second coming on, which one byte per hash value tells (words that share it are kept
+    early), so a quarter of the table finds as much, and a worker stays small."""
+
+    size = 1 << 16
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -89,24 +94,39 @@ class WordIds(TwoAges):
         self.whole.no_truncation()
         self.whole.no_padding()
         self.core, self.ids = _core(path)
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.met = bytearray(DOOR)
+
+    def __missing__(self, key: bytes) -> bytes:
+        if key not in self.old:
+            at = hash(key) % DOOR
+            if not self.met[at]:
+                self.met[at] = 1
+                return self.made(key)
+        if len(self) >= self.size:
+            self.met = bytearray(DOOR)
+        return super().__missing__(key)
+
+    def _piece(self, piece: bytes) -> bytes:
+        return array("I", [self.ids[r] for r in self.core._encode_single_piece(piece + _END)]).tobytes()
 
     def made(self, word: bytes) -> bytes:
+        if word.isalpha():  # of bytes, only ASCII letters are
+            return self._piece(word.lower())
         text = word.decode("utf-8")
-        if _PLAIN.fullmatch(text) and "<|" not in text:
-            ids = []
-            for piece in _PIECES.findall(text.lower()):
-                known = self.pieces.get(piece)
-                if known is None:
-                    known = [self.ids[r] for r in self.core._encode_single_piece(piece.encode() + _END)]
-                    if len(self.pieces) >= CACHED:
-                        self.pieces.clear()
-                    if len(piece) < 100:
-                        self.pieces[piece] = known
-                ids += known
-        else:
-            ids = self.whole.encode(text, add_special_tokens=False).ids
-        return array("I", ids).tobytes()
+        if not _PLAIN.fullmatch(text) or "<|" in text:
+            return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
+        ids = b""
+        for piece in _PIECES.findall(text.lower()):
+            known = self.pieces.get(piece)
+            if known is None:
+                known = self._piece(piece.encode())
+                if len(self.pieces) >= CACHED:
+                    self.pieces.clear()
+                if len(piece) < self.longest:
+                    self.pieces[piece] = known
+            ids += known
+        return ids
 
     def stream(self, body: bytes) -> Iterator[bytes]:
         """The ids of a text, in parts; never cuts a word."""

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from decisionkit.llm import ann, bpe, components, exact, licenses, near, packing, pii, secrets, toxicity, tries, warc, webtext, whitening, wordids
-from decisionkit.llm.common import rows_of  # noqa: F401
+from decisionkit.llm.common import BATCH_ROWS, rows_of  # noqa: F401
 from decisionkit.llm.queries import vocabulary
 from tests.llm import brute
 
@@ -160,6 +160,29 @@ def test_word_ids_equal_the_tokenizer():
         assert np.frombuffer(b"".join(words.stream(text.encode())), "<u4").tolist() == words.whole.encode(text, add_special_tokens=False).ids
 
 
+def test_word_ids_keep_the_words_that_come_back():
+    words = wordids.WordIds(vocabulary("word"))
+    first = [words[w] for w in (b"once", b"twice", b"twice,", b"Stra\xc3\x9fe")]
+    assert not words and words.size <= 1 << 16
+    assert [words[w] for w in (b"twice", b"twice,")] == first[1:3] and set(words) == {b"twice", b"twice,"}
+
+
+def test_packing_hands_few_rows_at_a_time_to_a_worker(spark, monkeypatch):
+    rows, before, cut = spark.range(0, 2500, 1, 1).selectExpr("id AS doc_id", "repeat('a ', 3) AS text"), spark.conf.get(BATCH_ROWS), packing._cut
+
+    def watched(*args):
+        def run(batches):
+            for batch in batches:
+                assert batch.num_rows <= 1000
+                yield from cut(*args)(iter([batch]))
+
+        return run
+
+    monkeypatch.setattr(packing, "_cut", watched)
+    out = packing.packed(rows, vocabulary("word"))
+    assert out.count() == 2500 and spark.conf.get(BATCH_ROWS) == before
+
+
 @pytest.fixture(scope="module")
 def coder():
     return bpe.ByteBpe(vocabulary("byte"))

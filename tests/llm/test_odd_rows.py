@@ -226,6 +226,21 @@ def test_round_trip_rows(odd, none):
     assert back == sorted(((i, t or "") for i, t, _ in ROWS), key=str)
 
 
+def test_training_texts_stay_in_a_task(spark, monkeypatch):
+    """The driver gets the fitted network alone, and it is the one that the same rows give anywhere."""
+    docs = spark.createDataFrame([(i, f"fine words {i} here" if i % 2 else f"foul words {i} there") for i in range(40)], "doc_id long, text string")
+    drawn = spark.createDataFrame([(i, 1 - i % 2, True) for i in range(40)], "doc_id long, toxic int, fitted boolean")
+    rows = sorted(toxicity.training_rows(docs, drawn, 100).collect())
+    alone = toxicity.fit_cnn([toxicity.word_units(bytes(r["words"]).split()) for r in rows], np.array([r["toxic"] for r in rows], float))
+
+    def refuse(*args):
+        raise AssertionError("fitted on the driver")
+
+    monkeypatch.setattr(toxicity, "fit_cnn", refuse)
+    model = toxicity.fitted(docs, drawn, {0: 20, 1: 20}, 100)
+    assert np.array_equal(model.embed, alone.embed) and np.array_equal(model.weights, alone.weights) and model.bias == alone.bias
+
+
 def test_toxicity(odd, none, spark):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     assert toxicity.toxicity(none, labels).count() == 0

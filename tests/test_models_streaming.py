@@ -94,6 +94,14 @@ def write_batches(spark, batches, schema):
     return f"{path}/part=*"
 
 
+def test_state_writes_need_no_look_up(spark):
+    name = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
+    before = spark.conf.get(name, None)
+    with S.rocksdb_state(spark):
+        assert spark.conf.get(name) == "false"
+    assert spark.conf.get(name, None) == before
+
+
 @pytest.mark.parametrize("backwards", [False, True])
 def test_runs_do_not_depend_on_the_order_of_arrival(spark, backwards):
     """Steps fed in order, or in reverse over three batches, close in event-time order; a signal that goes idle leaves the state."""

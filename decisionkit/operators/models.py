@@ -30,7 +30,7 @@ from .features import add_domain_features, prepare_precontact
 from .fitted import LevelEncoder, NumberEncoder, design_names
 from .imbalance import balanced_weights
 from .quantiles import bin_right_closed
-from .splits import stratified_split
+from .splits import split_at_cuts
 from .stages import AsDoubles, ContractGate, DomainFeatures, PrecontactColumns
 
 Fit = Callable[[DataFrame], PipelineModel]
@@ -330,6 +330,6 @@ def modelling_frame(contacts: DataFrame) -> DataFrame:
 
 def inner_holdout(df: DataFrame, key: str, share: float = 0.2, seed: int = 43, label: str = LABEL) -> tuple[DataFrame, DataFrame]:
     """(fit, stop) rows for early stopping: each class is cut at its own floor(n * (1 - share)), in hash order, so both have its rate."""
-    cut = stratified_split(df.drop("split"), key, label, shares=(1.0 - share,), names=("fit", "stop"), seed=seed)
+    cut = split_at_cuts(df.drop("split"), key, label, shares=(1.0 - share,), names=("fit", "stop"), seed=seed)
     rows = staged(cut, "inner-holdout")
     return tuple(rows.filter(F.col("split") == part).drop("split") for part in ("fit", "stop"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_bucket, hash_order, hash_unit
 from ..functions.scalars import r6
+from ..session import staged
 from .ordered import HOT_ROWS, group_sizes, match_keys, ordered_state
 
 SPLIT_NAMES = ("development", "validation", "test")
@@ -49,6 +50,48 @@ def stratified_split(
     return ranked.withColumn("split", case.otherwise(names[len(shares)])).drop("_rn", "_total")
 
 
+def class_cuts(df: DataFrame, key: str, label: str, shares: Sequence[float], order: Column) -> DataFrame:
+    """(label, cut_0, cut_1, ...): the (hash, key) of the last row within floor(n * share) of each class; null where that is no row.
+
+    Rows are counted by class and hash prefix, and only the rows of the prefixes that hold a cut are put in order.
+    """
+    rows = df.select(F.col(label).alias("_class"), order.alias("_h"), F.col(key).alias("_key"))
+    cells = rows.groupBy("_class", hash_bucket(F.col("_h")).alias("_cell")).agg(F.count(F.lit(1)).alias("_n"))
+    whole = Window.partitionBy("_class")
+    upto = whole.orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = cells.withColumns({"_upto": F.sum("_n").over(upto), "_total": F.sum("_n").over(whole)})
+    targets = F.array(*[F.struct(F.lit(i).alias("cut"), F.floor(F.col("_total") * share).alias("last")) for i, share in enumerate(shares)])
+    held = counted.select("*", F.explode(targets).alias("_t")).filter((F.col("_t.last") > F.col("_upto") - F.col("_n")) & (F.col("_t.last") <= F.col("_upto")))
+    held = staged(held.select("_class", "_cell", "_t.cut", (F.col("_t.last") - F.col("_upto") + F.col("_n")).alias("place")), "cut-cells")  # a row per class and share
+    near = match_keys(rows.withColumn("_cell", hash_bucket(F.col("_h"))), held, ["_class", "_cell"], "inner")
+    near = near.withColumn("_rn", F.row_number().over(Window.partitionBy("_class", "cut").orderBy("_h", "_key"))).filter("_rn = place")
+    at = F.struct(F.col("_h").alias("h"), F.col("_key").alias("key"))
+    cuts = [F.max(F.when(F.col("cut") == i, at)).alias(f"cut_{i}") for i in range(len(shares))]
+    classes = staged(near.groupBy("_class").agg(*cuts), "cuts")  # a written table has a known size, so it is broadcast while it is small
+    return classes.withColumnRenamed("_class", label)
+
+
+def split_at_cuts(
+    df: DataFrame,
+    key: str,
+    label: str = "y",
+    shares: Sequence[float] = (0.6, 0.8),
+    names: Sequence[str] = SPLIT_NAMES,
+    seed: int | str = 42,
+) -> DataFrame:
+    """The split of ``stratified_split`` for rows whose ``key`` is unique, by comparing each row with its class's cuts: rows are neither shuffled nor sorted.
+
+    ``df`` is passed over three times, so it should be cheap to read. A class whose first cuts hold no row has none of their parts.
+    """
+    h = hash_order(seed, key)
+    cuts = class_cuts(df, key, label, shares, h)
+    rows = match_keys(df.withColumn("_at", F.struct(h.alias("h"), F.col(key).alias("key"))), cuts, [label])
+    case = F.when(F.col("_at") <= F.col("cut_0"), names[0])
+    for i, name in enumerate(names[1 : len(shares)], 1):
+        case = case.when(F.col("_at") <= F.col(f"cut_{i}"), name)
+    return rows.select(*df.columns, case.otherwise(names[len(shares)]).alias("split"))
+
+
 def stratified_folds(df: DataFrame, key: str, k: int, label: str = "y", name: str = "fold",
                      hot_rows: int = HOT_ROWS, **rank_args) -> DataFrame:
     ranked = stratum_rank(df, key, label, rank="_rn", hot_rows=hot_rows, **rank_args)

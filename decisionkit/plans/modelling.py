@@ -21,7 +21,7 @@ from ..operators.features import FAMILIES
 from ..operators.fitted import LevelEncoder, NumberEncoder
 from ..operators.joins import align_scores
 from ..operators.scoring import FULL, SCORECARDS, score, score_many
-from ..operators.splits import stratified_folds, stratified_split
+from ..operators.splits import split_at_cuts, stratified_folds, stratified_split
 from ..session import scratch_path, staged
 from ..sources.frames import contacts
 from .base import CONTACTS, LEVEL_SQL, MODELS, P_CONTACT, P_FULL, P_HISTORY, SPLITS, hash_sql, query
@@ -36,10 +36,15 @@ REPORT = ["log_loss", "brier", "roc_auc", "average_precision", "balanced_accurac
 
 def split_frames(spark, sf_dir):
     """(development, validation) with engineered features; the test rows are not touched here."""
-    frame = L.modelling_frame(stratified_split(contacts(spark, sf_dir), "contact_id"))
+    frame = L.modelling_frame(split_at_cuts(staged(contacts(spark, sf_dir), "contacts"), "contact_id").filter("split <> 'test'"))
     return frame.filter("split = 'development'"), frame.filter("split = 'validation'")
 
 
+def development_frame(spark, sf_dir):
+    """The development rows alone, with engineered features."""
+    return L.modelling_frame(split_at_cuts(staged(contacts(spark, sf_dir), "contacts"), "contact_id").filter("split = 'development'"))
+
+
 def predict(model, df, keep=KEEP, name="p"):
     return L.probability(model, df, NUMERIC, keep, name)
 
@@ -189,7 +194,7 @@ def early_stopping(spark, sf_dir):
 
 @query("mdl9_staged_loss_curve")
 def staged_curve(spark, sf_dir):
-    development, _ = split_frames(spark, sf_dir)
+    development = development_frame(spark, sf_dir)
     fit_rows, stop_rows = L.inner_holdout(development, "contact_id")
     model, rows = L.boosting_with_rows({"fit": fit_rows, "stop": stop_rows}, NUMERIC, CATEGORICAL, trees=12, rate=0.3, depth=2)
     return L.staged_losses(model.stages[-1], rows)
@@ -205,7 +210,7 @@ SELECT part, count(*) AS "rows", CAST(sum(y) AS BIGINT) AS positives, 12 AS tree
 def staged_curve_facts(spark, sf_dir):
     """The curve of each part ends at twice the log loss of the probabilities the model gives (the learner's loss counts double), lies below
     the loss of the part's base rate there, and never rises on the rows the trees were fitted on."""
-    development, _ = split_frames(spark, sf_dir)
+    development = development_frame(spark, sf_dir)
     parts = dict(zip(("fit", "stop"), L.inner_holdout(development, "contact_id")))
     model, encoded = L.boosting_with_rows(parts, NUMERIC, CATEGORICAL, trees=12, rate=0.3, depth=2)
     curve = L.staged_losses(model.stages[-1], encoded)
@@ -230,7 +235,7 @@ def staged_curve_facts(spark, sf_dir):
 @query("mdl8_early_stopping_facts", INNER_SQL.replace(", 12 AS trees, ", "") + """, TRUE AS fewest_loss_trees, TRUE AS refit_on_all FROM parts GROUP BY part""")
 def early_stopping_facts(spark, sf_dir):
     """The number of trees is the first at which the stop rows' loss is least, and the final model has that many."""
-    development, _ = split_frames(spark, sf_dir)
+    development = development_frame(spark, sf_dir)
     parts = dict(zip(("fit", "stop"), L.inner_holdout(development, "contact_id")))
     model, curve, best = L.early_stopped(parts["fit"], parts["stop"], NUMERIC, CATEGORICAL, trees=12, rate=0.3, depth=2)
     losses = [r["loss"] for r in curve.filter("part = 'stop'").orderBy("trees").collect()]  # one per tree
@@ -415,7 +420,8 @@ def reload_parity_facts(spark, sf_dir):
 )
 def pipeline_scoring(spark, sf_dir):
     """The saved artifact scores the validation rows once; a batch with an impossible age and a second run leave nothing behind."""
-    rows = staged(stratified_split(contacts(spark, sf_dir), "contact_id"), "raw")
+    rows = split_at_cuts(staged(contacts(spark, sf_dir), "contacts"), "contact_id")
+    rows = staged(rows.filter("split <> 'test'"), "raw")
     path = scratch_path(spark, "scores")
     L.guarded_logistic(rows.filter("split = 'development'"), NUMERIC, CATEGORICAL).write().save(f"{path}/model")
     batch = rows.filter("split = 'validation'").drop("y", "split")

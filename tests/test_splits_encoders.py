@@ -27,6 +27,17 @@ def test_split_is_complete_stratified_and_stable(spark, hot_rows):
     assert got.set_index("id")["split"].to_dict() == other.set_index("id")["split"].to_dict()
 
 
+def test_cuts_split_like_ranks_without_moving_rows(spark):
+    _, df = rows(spark)
+    df = df.withColumn("y", F.when(F.col("id") % 11 == 0, F.lit(None)).when(F.col("id") == 5, 7).otherwise(F.col("y")))  # a null class, and one of a single row
+    cut = S.split_at_cuts(df.repartition(5), "id", seed=43)
+    ranked = S.stratified_split(df, "id", seed=43, hot_rows=50).select("id", "split").toPandas()
+    got = cut.select("id", "split").toPandas()
+    assert sorted(got["id"]) == list(range(400)) and got.set_index("id")["split"].to_dict() == ranked.set_index("id")["split"].to_dict()
+    plan = S.split_at_cuts(df, "id")._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "hashpartitioning" not in plan
+
+
 def test_folds_are_balanced(spark):
     _, df = rows(spark)
     counts = S.stratified_folds(df, "id", 5).groupBy("y", "fold").count().toPandas()

@@ -102,3 +102,14 @@ def test_teasers_do_not_replace_the_story(spark):
     rows = [(k, f"https://h.org/news/{k}", cards.format(k)) for k in range(3)]
     got = {r["page_id"]: r["text"] for r in webtext.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)).collect()}
     assert got == {k: f"{story} {k}\nteaser {k}" for k in range(3)}
+
+
+def test_articles_lose_the_lines_that_their_neighbours_share(spark):
+    page = "<nav>menu</nav><article><h1>Story {0}</h1><p>Read all about it here.</p><p>what happened on day {0} and after it</p><p>Share this</p></article><p>out</p>"
+    rows = [(k, f"https://h.org/news/{k}", page.format(k)) for k in range(4)]
+    near = "<article><p>one text that two pages hold</p><p>seen {0}</p></article>"  # near-equal articles are text
+    rows += [(k, f"https://copies.org/{k}", near.format(k)) for k in (10, 11)] + [(20, "https://alone.org/", page.format(20))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    got = {r["page_id"]: r["text"] for r in webtext.main_text(pages).collect()}
+    want = {k: f"Story {k}\nwhat happened on day {k} and after it" for k in range(4)} | {k: f"one text that two pages hold\nseen {k}" for k in (10, 11)}
+    assert got == want | {20: "Story 20\nRead all about it here.\nwhat happened on day 20 and after it\nShare this"}

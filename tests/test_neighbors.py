@@ -150,3 +150,37 @@ def test_hash_tables_on_odd_rows(spark):
     none = same.limit(0)
     assert N.approximate_knn_join(none, none, 3).count() == 0
     assert all(r["neighbours"] == [] for r in N.approximate_knn_join(same, none, 3).collect())
+
+
+def copies_sent(spark, monkeypatch, x, **blocks):
+    """(rows, copies of queries that go to other cells, neighbours)."""
+    sent, plain = [], N._sent
+    with monkeypatch.context() as m:
+        m.setattr(N, "_sent", lambda df, groups: sent.append(plain(df, groups)) or sent[-1])
+        rows = list(enumerate(x))
+        got = {r["id"]: [(n["distance"], n["id"]) for n in r["neighbours"]] for r in knn_join(frame(spark, rows), frame(spark, rows), 3, exclude_self=True, **blocks).collect()}
+    assert got == brute(rows, rows, 3, True)
+    return sum(s.count() for s in sent)
+
+
+def test_queries_meet_few_cells_in_few_dimensions(spark, monkeypatch):
+    x = np.random.default_rng(6).normal(size=(1500, 2))
+    assert copies_sent(spark, monkeypatch, x, query_block=100) < 1500  # a sixteenth of the cells lies around a query
+
+
+def test_nothing_is_copied_where_every_query_meets_every_cell(spark, monkeypatch):
+    x = np.random.default_rng(7).normal(size=(400, 40))
+    assert copies_sent(spark, monkeypatch, x, query_block=20) == 0
+
+
+@pytest.mark.parametrize("width", [3, 40])
+def test_radius_and_small_cells_change_nothing(width):
+    draw = np.random.default_rng(width)
+    q, r, ids = draw.normal(size=(300, width)).round(1), draw.normal(size=(1500, width)).round(1), draw.permutation(1500)
+    r[5], q[9] = np.nan, np.nan
+    within = np.round(np.sqrt(((q[:, None] - r[None]) ** 2).sum(2)), 6)
+    for radius in (None, np.full(300, np.nanquantile(within, 0.01)), np.full(300, np.inf)):
+        row, found, distance = N._search(q, r, ids, 4, radius)
+        for i in range(300):
+            near = sorted((d, j) for d, j in zip(within[i], ids.tolist()) if d <= (np.inf if radius is None else radius[i]))[:4]
+            assert list(zip(distance[row == i], found[row == i])) == near

@@ -113,3 +113,15 @@ def test_articles_lose_the_lines_that_their_neighbours_share(spark):
     got = {r["page_id"]: r["text"] for r in webtext.main_text(pages).collect()}
     want = {k: f"Story {k}\nwhat happened on day {k} and after it" for k in range(4)} | {k: f"one text that two pages hold\nseen {k}" for k in (10, 11)}
     assert got == want | {20: "Story 20\nRead all about it here.\nwhat happened on day 20 and after it\nShare this"}
+
+
+def test_footrules_of_a_block_are_those_of_its_queries():
+    draw = np.random.default_rng(11)
+    prefixes, asked = (np.array([draw.permutation(20)[:6] for _ in range(n)]) for n in (50, 9))
+    pivot = prefixes.ravel()
+    listed = np.argsort(pivot, kind="stable")
+    starts = np.searchsorted(pivot[listed], np.arange(21))
+    members, places = np.repeat(np.arange(50), 6)[listed], np.tile(np.arange(6), 50)[listed]
+    place = lambda prefix: np.array([list(prefix).index(p) if p in prefix else 6 for p in range(20)])
+    want = [[np.abs(place(a) - place(b)).sum() for b in prefixes] for a in asked]
+    assert (ann._footrules(asked, starts, members, places, 50, 6) == want).all()

@@ -4,7 +4,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from decisionkit.llm import ann, pii, webtext
+from decisionkit.llm import ann, licenses, pii, webtext
 
 
 def neighbours(ids, x, q, k=10):
@@ -125,3 +125,14 @@ def test_footrules_of_a_block_are_those_of_its_queries():
     place = lambda prefix: np.array([list(prefix).index(p) if p in prefix else 6 for p in range(20)])
     want = [[np.abs(place(a) - place(b)).sum() for b in prefixes] for a in asked]
     assert (ann._footrules(asked, starts, members, places, 50, 6) == want).all()
+
+
+def test_licenses_read_their_documents_once(spark, tmp_path):
+    """Later passes read where template words stand, and a text of any length costs its own length."""
+    rows = [(1, "x " * 3000 + "released under the mit license " + "y " * 3000), (2, None), (3, "the and of"), (3, "released under the mit " + "z " * 40 + "license")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/docs")
+    out = licenses.license_scan(spark.read.parquet(f"{tmp_path}/docs"))
+    assert f"{tmp_path}/docs" not in "".join(out.inputFiles())
+    assert sorted((r["doc_id"], r["n_words"], r["labels"], round(r["score"], 6)) for r in out.collect()) == [(1, 6005, "mit", 1.0), (2, 0, "", 0.0), (3, 3, "", 0.0), (3, 45, "mit", 0.8)]
+    odd = {r["doc_id"]: r["labels"] for r in licenses.license_scan(spark.read.parquet(f"{tmp_path}/docs").where("doc_id = 1"), block_words=67).collect()}
+    assert odd == {1: "mit"}

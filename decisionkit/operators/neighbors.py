@@ -321,9 +321,9 @@ def knn_join(
 
         more = in_blocks(_sent(rest, groups), elsewhere, f"id bigint, found {_FOUND}")
         more = more.unionByName(rest.select("id", "found"))
-    lists = own.filter("others = 0").select("vector", F.col("found").alias("neighbours"))
-    merged = _merged(more, wanted).withColumnRenamed("id", "_id")
-    lists = lists.unionByName(rest.select("id", "vector").join(merged, F.col("id") == F.col("_id")).select("vector", "neighbours"))
+    # vectors that share an id share its list
+    merged = _merged(more.unionByName(own.filter("others = 0").select("id", "found")), wanted).withColumnRenamed("id", "_id")
+    lists = placed.select("id", "vector").join(merged, F.col("id") == F.col("_id")).select("vector", "neighbours")
     return _attached(rows, lists, k, key, exclude_self)
 
 

@@ -184,3 +184,14 @@ def test_radius_and_small_cells_change_nothing(width):
         for i in range(300):
             near = sorted((d, j) for d, j in zip(within[i], ids.tolist()) if d <= (np.inf if radius is None else radius[i]))[:4]
             assert list(zip(distance[row == i], found[row == i])) == near
+
+
+def test_vectors_that_share_an_id_share_its_list(spark):
+    x = np.random.default_rng(8).normal(size=(300, 2))
+    rows = [(i % 290, v) for i, v in enumerate(x)]
+    got = knn_join(frame(spark, rows), frame(spark, rows), 3, query_block=40)
+    lists = {}
+    for i, v in rows:
+        lists.setdefault(i, []).extend(sorted((round(float(np.sqrt(((v - r) ** 2).sum())), 6), j) for j, r in rows)[:3])
+    for r in got.collect():
+        assert [(n["distance"], n["id"]) for n in r["neighbours"]] == sorted(lists[r["id"]])[:3]
